@@ -75,7 +75,7 @@ class Bindings:
         return c.select(
             fov.alias("fov"),
             F.col("c_custkey").alias("cell_ID"),
-            F.concat(F.lit("c_1_"), fov.cast("string"), F.lit("_"), F.col("c_custkey").cast("string")).alias("cell_id"),
+            F.concat(F.lit("c_1_"), fov.cast("string"), F.lit("_"), F.col("c_custkey").cast("string")).alias("cell_name"),
             F.when(F.col("c_custkey") % 17 == 0, F.lit("")).otherwise(F.col("c_mktsegment")).alias("cell_type"),
             F.concat(F.lit("seg"), (F.col("c_custkey") % 4).cast("string")).alias("seg_id"),
             (F.floor(F.col("c_custkey") / 100) % 3).cast("int").alias("source_idx"),
@@ -91,7 +91,7 @@ class Bindings:
         return c.select(
             fov.alias("fov"),
             k.alias("cell_ID"),
-            F.concat(F.lit("c_1_"), fov.cast("string"), F.lit("_"), k.cast("string")).alias("cell_id"),
+            F.concat(F.lit("c_1_"), fov.cast("string"), F.lit("_"), k.cast("string")).alias("cell_name"),
             F.when(k % 5 == 0, F.lit("HOUSEHOLD")).when(k % 251 == 0, F.lit("RARE"))
              .otherwise(F.col("c_mktsegment")).alias("cell_type"),
             k.alias("row_idx"),
@@ -252,7 +252,7 @@ target_calls AS (
     "cell_meta": """
 cell_meta AS (
   SELECT CAST(c_nationkey + 1 AS INTEGER) AS fov, c_custkey AS cell_ID,
-         'c_1_' || CAST(c_nationkey + 1 AS VARCHAR) || '_' || CAST(c_custkey AS VARCHAR) AS cell_id,
+         'c_1_' || CAST(c_nationkey + 1 AS VARCHAR) || '_' || CAST(c_custkey AS VARCHAR) AS cell_name,
          CASE WHEN c_custkey % 17 = 0 THEN '' ELSE c_mktsegment END AS cell_type,
          'seg' || CAST(c_custkey % 4 AS VARCHAR) AS seg_id,
          CAST(CAST(floor(c_custkey / 100) AS BIGINT) % 3 AS INTEGER) AS source_idx,
@@ -261,7 +261,7 @@ cell_meta AS (
     "cell_meta_b": """
 cell_meta_b AS (
   SELECT CAST(c_nationkey + 1 AS INTEGER) AS fov, c_custkey AS cell_ID,
-         'c_1_' || CAST(c_nationkey + 1 AS VARCHAR) || '_' || CAST(c_custkey AS VARCHAR) AS cell_id,
+         'c_1_' || CAST(c_nationkey + 1 AS VARCHAR) || '_' || CAST(c_custkey AS VARCHAR) AS cell_name,
          CASE WHEN c_custkey % 5 = 0 THEN 'HOUSEHOLD' WHEN c_custkey % 251 = 0 THEN 'RARE'
               ELSE c_mktsegment END AS cell_type,
          c_custkey AS row_idx

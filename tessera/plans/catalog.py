@@ -1,3 +1,4 @@
 """Import every query module so that the registry is complete."""
 
 from . import q_transcripts  # noqa: F401
+from . import q_cells  # noqa: F401

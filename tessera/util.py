@@ -55,3 +55,21 @@ def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def attach(df: DataFrame, small: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Attach the columns of a per-group aggregate ``small`` to ``df``.
+
+    With keys: broadcast equi-join (``small`` has one row per group, e.g. per
+    slide). Without keys ``small`` is a single row of scalars: it is fetched once
+    to the driver and added as literals, so no cross join is planned.
+    """
+    keys = list(keys)
+    if keys:
+        return df.join(F.broadcast(small), keys)
+    row = small.first()
+    for name in small.columns:
+        v = None if row is None else row[name]
+        typ = dict(small.dtypes)[name]
+        df = df.withColumn(name, F.lit(v).cast(typ))
+    return df
