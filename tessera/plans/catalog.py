@@ -2,3 +2,4 @@
 
 from . import q_transcripts  # noqa: F401
 from . import q_cells  # noqa: F401
+from . import q_versions  # noqa: F401
