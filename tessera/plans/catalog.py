@@ -5,3 +5,4 @@ from . import q_cells  # noqa: F401
 from . import q_versions  # noqa: F401
 from . import q_raster  # noqa: F401
 from . import q_ops  # noqa: F401
+from . import q_files  # noqa: F401
