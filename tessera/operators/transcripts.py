@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location, global_xy, with_extent
 from ..functions.keys import unpair_key
+from ..session import ensure_checkpoint_dir
 from ..util import bounded_broadcast
 
 # ---------------------------------------------------------------------------
@@ -83,7 +84,11 @@ def target_counts_for_cells(cells: DataFrame, targets: DataFrame, uid_col: str =
     c = unpair_key(cells.select(uid_col).where(F.col(uid_col).isNotNull()), uid_col).select(
         F.coalesce(F.col("fov").cast("int"), F.lit(-1)).alias("fov"),
         F.coalesce(F.col("CellId").cast("int"), F.lit(-1)).alias("CellId"))
-    c = c.checkpoint(eager=True) if _needs_ckpt(cells) else c
+    # The cell list usually comes out of joins / aggregations (shapes, labels):
+    # materialise it once (reliable checkpoint in the shared checkpoint dir) so
+    # the size check and the join read the stored rows instead of recomputing.
+    ensure_checkpoint_dir(cells.sparkSession)
+    c = c.checkpoint(eager=True)
     n = c.limit(max_broadcast_rows + 1).count()
     if n <= max_broadcast_rows:
         j = targets.select("fov", "CellId", "target").join(F.broadcast(c), ["fov", "CellId"])
@@ -95,14 +100,6 @@ def target_counts_for_cells(cells: DataFrame, targets: DataFrame, uid_col: str =
     return out.orderBy(F.desc("count"), "target")
 
 
-def _needs_ckpt(df: DataFrame) -> bool:
-    """A cell list computed by joins / aggregations is materialised once (reliable
-    checkpoint) before its size check, so the check does not recompute it."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return True
-
-
 def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Replace strings by 0-based codes in alphabetical order.
 
