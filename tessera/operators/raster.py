@@ -439,17 +439,31 @@ def shape_pixels_mask(shapes: DataFrame, mm_per_px: float, top_left_mm, height,
     return s
 
 
+def shape_bucket_size(masks: DataFrame, max_cells_per_shape: int = 4096, minimum: int = 64) -> int:
+    """Grid bucket edge so that the largest shape's bounding box spans at most
+    ~``max_cells_per_shape`` buckets (one scalar from the small shape table)."""
+    a = masks.agg(F.max((F.col("ymax") - F.col("ymin") + 1) * (F.col("xmax") - F.col("xmin") + 1)).alias("a")).first()["a"]
+    b = minimum
+    while a and (a / (b * b)) > max_cells_per_shape:
+        b *= 2
+    return b
+
+
 def cells_in_shapes(shapes: DataFrame, labels: DataFrame, mm_per_px: float, top_left_mm,
-                    height, width, bucket: int = 64) -> DataFrame:
+                    height, width, bucket: int | None = None) -> DataFrame:
     """Distinct non-zero labels with a pixel inside a polygon / rectangle
     (even-odd rule on the pixel index) or ellipse (((r-r0)/a)^2 + ((c-c0)/b)^2 < 1).
 
     Range join as an equi-join: shapes (few, user drawn) are exploded to the
-    ``bucket`` x ``bucket`` grid cells of their bounding box and broadcast; every
+    ``bucket`` x ``bucket`` grid cells of their bounding box (bucket sized from
+    the largest shape, so a slide-wide shape stays a few thousand cells) and
+    broadcast after a size check; every
     label pixel looks up its own cell, then the bbox and the exact test run as
     filters. No nested-loop join. Returns (shape_id, UID)."""
     s = shape_pixels_mask(shapes, mm_per_px, top_left_mm, height, width)
     s = s.where((F.col("ymax") >= F.col("ymin")) & (F.col("xmax") >= F.col("xmin")))
+    if bucket is None:
+        bucket = shape_bucket_size(s)
     cells = s.select("*", F.explode(F.sequence(F.floor(F.col("ymin") / bucket), F.floor(F.col("ymax") / bucket))).alias("by"))
     cells = cells.select("*", F.explode(F.sequence(F.floor(F.col("xmin") / bucket), F.floor(F.col("xmax") / bucket))).alias("bx"))
     cells = cells.select("shape_id", "kind", "pv", "ymin", "ymax", "xmin", "xmax", "er", "ec", "ey", "ex", "by", "bx")

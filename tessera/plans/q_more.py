@@ -186,3 +186,34 @@ def q_cluster_label_job(spark, d):
     for c in ("median_1", "median_2", "pct"):
         b = b.withColumn(c, F.round(c, 6))
     return b
+
+
+# ---------------------------------------------------------------- R1 / R6 block form
+def _block_mosaic(spark, d, block=16):
+    from ..operators import blocks as BL
+    from .q_raster import _ctx
+    b = Bindings(spark, d)
+    tiles = BL.tiles_from_long(b.pixels, 8, 8)
+    return BL.stitch_blocks(tiles, _ctx(b), block)
+
+
+def _nonzero(name):
+    from .registry import ORACLES
+    return f"SELECT * FROM ({ORACLES[name]}) WHERE val <> 0"
+
+
+@query("stitch_blocks", _nonzero("stitch_mosaic"))
+def q_stitch_blocks(spark, d):
+    from ..operators import blocks as BL
+    return BL.blocks_to_long(_block_mosaic(spark, d), 16).select(
+        F.col("channel").cast("int").alias("channel"), "row", "col", "val")
+
+
+@query("pyramid_blocks", _nonzero("build_pyramid"))
+def q_pyramid_blocks(spark, d):
+    from ..operators import blocks as BL
+    from .q_raster import _canvas
+    h, w = _canvas(Bindings(spark, d))
+    p = BL.pyramid_blocks(_block_mosaic(spark, d), h, w, 16, min_size=4)
+    return BL.blocks_to_long(p, 16).select(F.col("channel").cast("int").alias("channel"),
+                                           "level", "row", "col", "val")

@@ -32,9 +32,10 @@ def write_cell_metadata(df: DataFrame, path: str, partition_by: list[str] = ("sl
 def write_targets(df: DataFrame, path: str, partition_by: list[str] = ("slide", "fov")) -> None:
     """Transcript table as parquet partitioned by slide / FOV (partition pruning
     for FOV filters) and sorted by target inside each file (min/max skipping
-    for gene filters)."""
+    for gene filters). Range partitioning on (slide, fov, target) splits a
+    heavy FOV over several tasks / files instead of one task per FOV."""
     parts = [c for c in partition_by if c in df.columns]
-    (df.repartition(*[F.col(c) for c in parts]).sortWithinPartitions(*parts, "target")
+    (df.repartitionByRange(*parts, "target").sortWithinPartitions(*parts, "target")
        .write.mode("overwrite").partitionBy(*parts).parquet(path))
 
 

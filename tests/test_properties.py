@@ -205,3 +205,24 @@ def test_cells_in_shapes_vs_brute_force(spark):
                 if ok and lab[r, c] != 0:
                     expect.add((sid, int(lab[r, c])))
     assert got == expect
+
+
+# ----------------------------------------------------------------- block form == long form
+def test_block_form_matches_long_form(spark):
+    from tessera.operators import blocks as BL
+    rng = np.random.default_rng(4)
+    canvas, tile, n = 37, 9, 10
+    origins = [(f, int(rng.integers(-2, canvas - 4)), int(rng.integers(0, canvas - 4)), int(o), canvas, canvas)
+               for f, o in zip(range(n), rng.permutation(n))]
+    o = spark.createDataFrame(origins, "fov int, y0 long, x0 long, paste_order long, canvas_h long, canvas_w long")
+    t = spark.createDataFrame([(f, "c", r, c, int(rng.integers(0, 5))) for f in range(n) for r in range(tile)
+                               for c in range(tile)], "fov int, channel string, row int, col int, val long")
+    long_m = R.stitch_mosaic(t, o).where(F.col("val") != 0).select("channel", "row", "col", "val")
+    blocks = BL.stitch_blocks(BL.tiles_from_long(t, tile, tile), o, block=8)
+    got = BL.blocks_to_long(blocks, 8).select("channel", "row", "col", "val")
+    assert got.exceptAll(long_m).count() == 0 and long_m.exceptAll(got).count() == 0
+    lp = R.build_pyramid(R.stitch_mosaic(t, o), canvas, canvas, min_size=2).where(F.col("val") != 0)
+    bp = BL.blocks_to_long(BL.pyramid_blocks(blocks, canvas, canvas, 8, min_size=2), 8)
+    cols = ["channel", "level", "row", "col", "val"]
+    assert bp.select(cols).exceptAll(lp.select(cols)).count() == 0
+    assert lp.select(cols).exceptAll(bp.select(cols)).count() == 0
