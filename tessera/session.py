@@ -22,6 +22,12 @@ BASE_CONF = {
 }
 
 
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with the settings above.
@@ -35,12 +41,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
+    local = bool(master and master.startswith("local"))
+    if local:
         conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    if not local:
+        # Cluster: start shuffles wide and let AQE coalesce them to ~128 MB
+        # partitions, so one setting serves small and 100 TB inputs. Values the
+        # cluster already set win.
+        for k, v in CLUSTER_DEFAULTS.items():
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -226,3 +226,23 @@ def test_block_form_matches_long_form(spark):
     cols = ["channel", "level", "row", "col", "val"]
     assert bp.select(cols).exceptAll(lp.select(cols)).count() == 0
     assert lp.select(cols).exceptAll(bp.select(cols)).count() == 0
+
+
+# ----------------------------------------------------------------- J3 plans agree
+def test_target_counts_both_plans(spark):
+    from tessera.operators import transcripts as T
+    from tessera.plans.bindings import Bindings
+    b = Bindings(spark, "/root/testdata/sf0.001")
+    cells = (b.label_pixels.where(F.col("val") != 0)
+             .select(K.pair_key("fov", "val").alias("UID")).distinct())
+    small = {r["target"]: r["count"] for r in T.target_counts_for_cells(cells, b.target_calls).collect()}
+    big = {r["target"]: r["count"] for r in
+           T.target_counts_for_cells(cells, b.target_calls, max_broadcast_rows=0).collect()}
+    assert small == big and len(small) > 0
+
+
+def test_tiles_overlap(spark):
+    o = spark.createDataFrame([(1, 0, 0), (2, 0, 8), (3, 8, 0)], "fov int, y0 long, x0 long")
+    assert not R.tiles_overlap(o, 8, 8)
+    o2 = spark.createDataFrame([(1, 0, 0), (2, 0, 7)], "fov int, y0 long, x0 long")
+    assert R.tiles_overlap(o2, 8, 8)
