@@ -18,7 +18,7 @@ number of values received with the number of in-canvas offsets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location, with_extent
@@ -252,7 +252,7 @@ def _send(pixels: DataFrame, offsets, keys: list[str], height: Column, width: Co
     return e.where((F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width))
 
 
-def _neigh_stats(pixels: DataFrame, offsets, keys, height, width, how: str) -> DataFrame:
+def _neigh_stats(pixels: DataFrame, offsets, keys, height, width) -> DataFrame:
     """Per pixel: own value (0 if absent) and min / max over the offset
     neighbourhood, missing positions counting as 0."""
     H, W = _lit(height), _lit(width)
@@ -289,7 +289,7 @@ def label_boundaries(labels: DataFrame, height, width, keys: list[str] = (), sca
     so out-of-canvas neighbours never differ); sparse output (boundary pixels),
     or with ``scaled`` every touched pixel as 100 / 10000."""
     keys = list(keys)
-    g = _neigh_stats(labels, EIGHT, keys, height, width, "any")
+    g = _neigh_stats(labels, EIGHT, keys, height, width)
     b = ((F.col("nmin") != F.col("own_val")) | (F.col("nmax") != F.col("own_val")))
     out = g.select(*keys, "row", "col", b.cast("int").alias("val"))
     if scaled:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.color import deterministic_color, rgba_from_hex
-from ..functions.keys import parse_segmentation_dir
 from ..operators import cells as C
 from ..operators import raster as R
 from ..operators import transcripts as T

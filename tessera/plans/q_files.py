@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import runlog as RL
-from ..operators import versions as V
 from ..session import ensure_checkpoint_dir
 from ..sources import readers as RD
 from ..sources import sinks as S

@@ -14,7 +14,7 @@ from . import jobs as J
 from .bindings import GENES, Bindings, with_ctes
 from .q_cells import SLIDE_B_FOVS, _B_FOVS_SQL, _STATS_SQL
 from .q_files import _scratch
-from .q_raster import H, MMPP, W, _GEO, _arith, _ARITH_SQL, _ras
+from .q_raster import H, MMPP, W, _arith, _ARITH_SQL, _ras
 from .registry import query
 
 # ---------------------------------------------------------------- S2

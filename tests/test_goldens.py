@@ -1,7 +1,5 @@
 """Golden values (export tests of the reference and our own pinned decisions)."""
 
-from pyspark.sql import functions as F
-
 from tessera.functions import keys as K
 from tessera.functions.color import deterministic_color, rgba_from_hex
 from tessera.operators import cells as C
