@@ -14,9 +14,11 @@ STEPS = ["download", "stitch", "read_targets", "metadata", "upload"]
 # ---------------------------------------------------------------------------
 
 
-def _micros(c: str):
-    # Driver timestamps may be TIMESTAMP_NTZ; read them as UTC instants.
-    return F.unix_micros(F.col(c).cast("timestamp"))
+def _seconds(start, end):
+    """Whole seconds between two timestamps, truncated (durations are >= 0).
+    ``timestamp_diff`` works on TIMESTAMP and TIMESTAMP_NTZ alike, so no time
+    zone conversion is involved."""
+    return F.floor(F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000)).cast("long")
 
 
 def run_durations(steps: DataFrame, step_names: list[str] = STEPS, keys: list[str] = ("run",)) -> DataFrame:
@@ -29,18 +31,15 @@ def run_durations(steps: DataFrame, step_names: list[str] = STEPS, keys: list[st
     list, so no extra pass is needed to discover them.
     """
     keys = list(keys)
-    s = steps.select(*keys, "step", _micros("start").alias("s"), _micros("end").alias("e"))
-    dur = F.when(F.col("e").isNotNull() & F.col("s").isNotNull(),
-                 F.floor((F.col("e") - F.col("s")) / F.lit(1_000_000)).cast("long"))
-    s = s.withColumn("d", dur)
+    s = steps.select(*keys, "step", F.col("start").alias("s"), F.col("end").alias("e"))
+    s = s.withColumn("d", _seconds(F.col("s"), F.col("e")))
     p = s.groupBy(*keys).pivot("step", step_names).agg(F.max("d").alias("d"), F.max("s").alias("s"), F.max("e").alias("e"))
     first, last = step_names[0], step_names[-1]
 
     def col(step, what):
         return F.col(f"`{step}_{what}`")
 
-    total = F.when(col(first, "s").isNotNull() & col(last, "e").isNotNull(),
-                   F.floor((col(last, "e") - col(first, "s")) / F.lit(1_000_000)).cast("long"))
+    total = _seconds(col(first, "s"), col(last, "e"))
     done = F.lit(True)
     for st in step_names:
         done = done & col(st, "e").isNotNull()
