@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.cells import detect_cell_type_column
 from ..util import with_file_order
@@ -218,13 +217,24 @@ def read_dictionary(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def read_indexed_csv(spark: SparkSession, path: str, index_first_column: bool = True) -> DataFrame:
     """CSV with a dense 0-based ``idx`` in file order (positional joins).
 
-    The file-order key (path, block, row id) is sortable; ``zipWithIndex`` on
-    that order gives gap-free positions without collecting rows."""
+    Rows are range-sorted by their file-order key; each sorted partition's row
+    count and first row id form a tiny table whose running sum gives the
+    partition's offset, so idx = offset + position inside the partition — gap
+    free, without collecting rows or a single-partition window. The sorted rows
+    are checkpointed (reliable) so both passes read identical partitions."""
+    from pyspark.sql import Window
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     df = with_file_order(spark.read.option("header", True).csv(path), "_o")
-    ordered = df.orderBy("_o").drop("_o")
-    schema = T.StructType(ordered.schema.fields + [T.StructField("idx", T.LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    out = spark.createDataFrame(rdd, schema)
+    x = (df.orderBy("_o").withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    out = x.join(F.broadcast(offs.select("_pid", "_off", "_m0")), "_pid")
+    out = out.withColumn("idx", (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
+    cols = [c for c in df.columns if c != "_o"]
+    out = out.select(*cols, "idx")
     if index_first_column:
-        out = out.withColumnRenamed(ordered.columns[0], "name")
+        out = out.withColumnRenamed(cols[0], "name")
     return out
