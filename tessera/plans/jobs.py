@@ -10,6 +10,8 @@ results are written through the sinks, so any step can be re-run alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +59,14 @@ def slide_metadata_job(spark: SparkSession, experiment_root: str, slide: str, se
 # X2 -------------------------------------------------------------------------
 def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefix: str, out_root: str,
                          run_log_path: str | None = None) -> dict:
-    """Discover slides, skip processed ones, choose segmentation folders, select
-    the files to use and write transcripts + cell metadata for every new slide
-    in one application. Image decoding (TIFF) is out of scope: label tiles are
-    reported as the chosen file per FOV (W4), ready for a tile reader."""
+    """Discover slides, skip processed ones, choose segmentation folders and
+    label tiles, and write the transcript calls of every new slide — all slides
+    in one application, slide being a column. Transcript files of all slides
+    are read in one scan (layout chosen per slide) and written partitioned by
+    slide / FOV under ``out_root/targets``. Cell metadata is X1
+    (:func:`slide_metadata_job`). Image decoding (TIFF) is out of scope: label
+    tiles are reported as the chosen file per FOV (W4), ready for a tile
+    reader."""
     root = bucket_root.rstrip("/")
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:", ""))
     inv = inv.withColumn("rel", I.relative_path("path", root))
@@ -101,6 +107,25 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
     lab = lab.withColumn("fov", acquisition_field("path", "fov"))
     tiles = V.pick_label_tiles(lab, selected.select(*keys, "dir", F.col("rank").alias("priority")), keys)
     result = {"slides": todo, "selected": selected, "uncovered": uncovered, "label_tiles": tiles}
+    # Transcript calls: AnalysisResults/<sub>/ with the three layouts; per slide
+    # the first layout with files wins (O2 with the slide as key).
+    tf = inv.where(F.col("rel").endswith(RD.TARGET_FILE_SUFFIX)).select(
+        "path", F.regexp_extract("rel", r"^(.*)/AnalysisResults/[^/]+/", 1).alias("slide_base_path"),
+        F.regexp_extract("rel", r"/AnalysisResults/[^/]+/(.*)$", 1).alias("inner"))
+    tf = tf.where(F.col("slide_base_path") != "").join(todo.select(*keys), keys, "left_semi")
+    layout = F.lit(None)
+    for i, pat in reversed(list(enumerate(RD.TARGET_LAYOUTS, start=1))):
+        layout = F.when(F.col("inner").rlike("^" + pat + "$"), F.lit(i)).otherwise(layout)
+    tf = tf.withColumn("priority", layout).where(F.col("priority").isNotNull())
+    chosen = [r["path"] for r in V.first_nonempty_source(tf, keys).select("path").collect()]
+    if chosen:
+        calls = spark.read.option("header", True).csv(chosen)
+        calls = calls.select(*[F.col(c).cast(t).alias(c) for c, t in RD.TARGET_COLUMNS],
+                             F.regexp_extract(F.col("_metadata.file_path"),
+                                              r"^(?:file:)?" + re.escape(root) + r"/(.*)/AnalysisResults/", 1).alias("slide_base_path"))
+        calls = calls.join(F.broadcast(todo.select(*keys, "slide")), keys).drop(*keys)
+        S.write_targets(calls, f"{out_root.rstrip('/')}/targets", ["slide", "fov"])
+        result["targets_path"] = f"{out_root.rstrip('/')}/targets"
     if run_log_path:
         S.write_run_log(todo.select("slide", "study", "experiment", "run", F.current_timestamp().alias("start_time"),
                                     F.lit("success").alias("status"), F.lit("").alias("failed_step")), run_log_path)

@@ -29,6 +29,11 @@ def test_slide_processing_job(spark, scratch):
     _touch(f"{base1}/RunSummary/x_FOV_Locations.csv")
     _touch(f"{root}/{exp}/RunA/flatFiles/Slide1/Slide1_metadata_file.csv.gz",
            "fov,cell_ID,cellSegmentationSetId\n1,1, uu2 \n1,2,uu1\n", gz=True)
+    suffix = "__complete_code_cell_target_call_coord.csv"
+    hdr = "fov,CellId,x,y,z,target,CellComp\n"
+    _touch(f"{base1}/AnalysisResults/abc/FOV001/R{suffix}", hdr + "1,1,0.5,0.5,1,G1,Nuclear\n")
+    _touch(f"{base1}/AnalysisResults/abc/FOV002/R{suffix}", hdr + "2,0,1.5,0.5,1,G2,Nuclear\n")
+    _touch(f"{base1}/AnalysisResults/abc/R{suffix}", hdr + "9,9,9,9,9,Wrong,Nuclear\n")
     # slide 2 was processed already (its output prefix holds an object)
     _touch(f"{base2}/CellStatsDir/Segmentation_zz_001/FOV001/CellLabels_F001.TIF")
     _touch(f"{root}/napari-stitched/St/Exp/RunA/Slide2/images/done")
@@ -46,3 +51,5 @@ def test_slide_processing_job(spark, scratch):
     assert tiles == {1: "Segmentation_uu2_002", 2: "Segmentation_uu2_002", 3: "Segmentation_uu1_001",
                      4: "Segmentation_uu1_001", 5: "CellStatsDir"}
     assert spark.read.parquet(f"{scratch}/runlog").count() == 1
+    t = spark.read.parquet(res["targets_path"])
+    assert sorted((r["slide"], r["fov"], r["target"]) for r in t.collect()) == [("Slide1", 1, "G1"), ("Slide1", 2, "G2")]
