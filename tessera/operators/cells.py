@@ -208,22 +208,58 @@ def density_compare(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 # A4 -------------------------------------------------------------------------
+def exact_median(df: DataFrame, keys: list[str], col: str, out: str, accuracy: int = 1_000_000,
+                 small_group: int = 50_000) -> DataFrame:
+    """Exact interpolating median per group with bounded memory per group.
+
+    Pass 1 (one aggregation): n, and for large groups a rank window around the
+    middle from ``percentile_approx`` (its rank error is at most n/accuracy, so
+    the window [p(0.5 - 2/acc), p(0.5 + 2/acc)] contains both middle ranks).
+    Pass 2: per group the count of values below the window and the sorted
+    values inside it (about 4n/accuracy values, or the whole group when it has
+    at most ``small_group`` rows) — never the whole of a large group.
+    """
+    keys = list(keys)
+    eps = 2.0 / accuracy
+    b = df.groupBy(*keys).agg(F.count(F.col(col)).alias("_n"),
+                              F.percentile_approx(col, [0.5 - eps, 0.5 + eps], accuracy).alias("_q"))
+    b = b.select(*keys, "_n",
+                 F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[0]).alias("_lo"),
+                 F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[1]).alias("_hi"))
+    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(F.broadcast(b), keys)
+    inside = F.col("_lo").isNull() | ((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi")))
+    g = j.groupBy(*keys).agg(
+        F.first("_n").alias("_n"),
+        F.sum((F.col("_lo").isNotNull() & (F.col(col) < F.col("_lo"))).cast("long")).alias("_below"),
+        F.sort_array(F.collect_list(F.when(inside, F.col(col)))).alias("_w"))
+    pos = (F.col("_n") - 1) / 2.0
+    lo_r = F.floor(pos).cast("long") - F.col("_below")
+    hi_r = F.ceil(pos).cast("long") - F.col("_below")
+    v_lo = F.element_at("_w", (lo_r + 1).cast("int"))
+    v_hi = F.element_at("_w", (hi_r + 1).cast("int"))
+    frac = pos - F.floor(pos)
+    med = F.when(lo_r == hi_r, v_lo).otherwise((1 - frac) * v_lo + frac * v_hi)
+    return g.select(*keys, med.alias(out))
+
+
 def cluster_labels(df: DataFrame, keys: list[str] = (), exact: bool = True,
-                   accuracy: int = 100_000) -> DataFrame:
+                   accuracy: int = 1_000_000) -> DataFrame:
     """Per type: median UMAP_1/UMAP_2, n, percent of all cells, ``"type (p%)"``.
 
-    ``exact`` uses the interpolating median (a value->count buffer per group);
-    at cohort scale pass ``exact=False`` for ``percentile_approx`` (bounded
-    sketch per group, mergeable across partitions).
+    ``exact`` gives the exact interpolating median with bounded memory per type
+    (:func:`exact_median`); ``exact=False`` is the one-pass sketch
+    (``percentile_approx``).
     """
     keys = list(keys)
+    gk = keys + ["cell_type"]
+    n = df.groupBy(*gk).agg(F.count(F.lit(1)).alias("n"))
     if exact:
-        m1, m2 = F.median("UMAP_1"), F.median("UMAP_2")
+        g = (n.join(exact_median(df, gk, "UMAP_1", "median_1", accuracy), gk)
+              .join(exact_median(df, gk, "UMAP_2", "median_2", accuracy), gk))
     else:
-        m1 = F.percentile_approx("UMAP_1", 0.5, accuracy)
-        m2 = F.percentile_approx("UMAP_2", 0.5, accuracy)
-    g = df.groupBy(*keys, "cell_type").agg(m1.alias("median_1"), m2.alias("median_2"),
-                                          F.count(F.lit(1)).alias("n"))
+        g = n.join(df.groupBy(*gk).agg(F.percentile_approx("UMAP_1", 0.5, accuracy).alias("median_1"),
+                                       F.percentile_approx("UMAP_2", 0.5, accuracy).alias("median_2")), gk)
+    g = g.select(*gk, "median_1", "median_2", "n")
     tot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     j = attach(g, tot, keys)
     pct = F.col("n") / F.col("_total") * 100

@@ -246,3 +246,17 @@ def test_tiles_overlap(spark):
     assert not R.tiles_overlap(o, 8, 8)
     o2 = spark.createDataFrame([(1, 0, 0), (2, 0, 7)], "fov int, y0 long, x0 long")
     assert R.tiles_overlap(o2, 8, 8)
+
+
+# ----------------------------------------------------------------- bounded exact median
+def test_exact_median_bounded(spark):
+    from tessera.operators.cells import exact_median
+    rng = np.random.default_rng(8)
+    rows = [("big", float(v)) for v in rng.normal(size=20001)] + [("even", float(v)) for v in rng.normal(size=4000)]
+    rows += [("small", 1.0), ("small", 2.0), ("small", 4.0), ("small", 9.0), ("one", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    # small_group=100 forces the window path for the big groups
+    got = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "m", accuracy=10_000, small_group=100).collect()}
+    for g in ("big", "even", "small", "one"):
+        vals = np.array([v for k, v in rows if k == g])
+        assert abs(got[g] - float(np.median(vals))) < 1e-12, g
