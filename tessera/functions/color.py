@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..util import bounded_broadcast
+
 # ---------------------------------------------------------------------------
 # Fixed values.
 # 20-colour categorical palette used for cluster plots (index = rank of the
@@ -50,7 +52,7 @@ def palette_color(df: DataFrame, col: str, palette: list[str] = PALETTE,
     d = (values.withColumn("_i", F.row_number().over(Window.orderBy(col)) - 1)
                .withColumn(out, F.element_at(pal, (F.col("_i") % len(palette) + 1).cast("int")))
                .drop("_i"))
-    return df.join(F.broadcast(d), col, "left")
+    return df.join(bounded_broadcast(d), col, "left")
 
 
 # P9 -------------------------------------------------------------------------
@@ -78,11 +80,11 @@ def assign_category_color(df: DataFrame, col: str, supplied: DataFrame | None =
     base = df
     if supplied is not None:
         s = supplied.toDF(col, "_c_sup")
-        base = base.join(F.broadcast(s), col, "left")
+        base = base.join(bounded_broadcast(s), col, "left")
         cand.append(F.col("_c_sup"))
     if category_colors is not None:
         t = category_colors.toDF(col, "_c_cat")
-        base = base.join(F.broadcast(t), col, "left")
+        base = base.join(bounded_broadcast(t), col, "left")
         cand.append(F.col("_c_cat"))
     if hex_col and hex_col in df.columns:
         order = F.col(order_col) if order_col else F.monotonically_increasing_id()

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.color import HISTOGRAM_DEFAULT_COLOR
 from ..util import attach
+from ..util import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -75,7 +76,7 @@ def subset_cells(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
     column type first; the value list is broadcast into a semi join."""
     typ = dict(df.dtypes)[col]
     v = values.select(F.col(values.columns[0]).cast(typ).alias(col)).distinct()
-    return df.join(F.broadcast(v), col, "left_semi")
+    return df.join(bounded_broadcast(v), col, "left_semi")
 
 
 # J1 -------------------------------------------------------------------------
@@ -226,7 +227,7 @@ def exact_median(df: DataFrame, keys: list[str], col: str, out: str, accuracy: i
     b = b.select(*keys, "_n",
                  F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[0]).alias("_lo"),
                  F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[1]).alias("_hi"))
-    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(F.broadcast(b), keys)
+    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(bounded_broadcast(b), keys)
     inside = F.col("_lo").isNull() | ((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi")))
     g = j.groupBy(*keys).agg(
         F.first("_n").alias("_n"),
@@ -298,7 +299,7 @@ def dotplot_matrix(stats_a: DataFrame, stats_b: DataFrame, label_a: str = "A", l
     st = shared_types(stats_a, stats_b, only)
     u = (stats_a.withColumn("slide", F.lit(label_a))
          .unionByName(stats_b.withColumn("slide", F.lit(label_b))))
-    u = u.join(F.broadcast(st), "cell_type", "left_semi")
+    u = u.join(bounded_broadcast(st), "cell_type", "left_semi")
     mx = u.agg(F.max("mean_expression").alias("_vmax"))
     j = attach(u, mx)
     return j.select("slide", "cell_type", "gene", "pct_expressed", "mean_expression",
@@ -315,11 +316,11 @@ def probe_label(df: DataFrame, dictionary: DataFrame, col: str = "probe", to_nam
     lookup happens before an optional tag is appended."""
     if to_name:
         d = dictionary.groupBy("ProbeID").agg(F.max_by("DisplayName", "ord").alias("_name"))
-        j = df.join(F.broadcast(d), df[col] == d["ProbeID"], "left").drop("ProbeID")
+        j = df.join(bounded_broadcast(d), df[col] == d["ProbeID"], "left").drop("ProbeID")
         res = F.when(F.col(col).contains("CPRO"), F.coalesce("_name", F.col(col))).otherwise(F.col(col))
     else:
         d = dictionary.groupBy("DisplayName").agg(F.min_by("ProbeID", "ord").alias("_name"))
-        j = df.join(F.broadcast(d), df[col] == d["DisplayName"], "left").drop("DisplayName")
+        j = df.join(bounded_broadcast(d), df[col] == d["DisplayName"], "left").drop("DisplayName")
         res = F.coalesce("_name", F.col(col))
     if tag:
         res = F.concat(res, F.lit(f"_{tag}"))
@@ -395,7 +396,7 @@ def assemble_counts(counts: DataFrame, obs: DataFrame, var: DataFrame,
     Returns the long table (cell, gene, count, obs/coords/umap columns)."""
     o = obs.withColumnRenamed("idx", "cell_idx")
     v = var.withColumnRenamed("idx", "gene_idx")
-    j = counts.join(o, "cell_idx").join(F.broadcast(v), "gene_idx")
+    j = counts.join(o, "cell_idx").join(bounded_broadcast(v), "gene_idx")
     if coords is not None:
         j = j.join(coords.withColumnRenamed("idx", "cell_idx"), "cell_idx", "left")
     if umap is not None:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..util import bounded_broadcast
+
 # ---------------------------------------------------------------------------
 # Fixed values.
 RESERVED_LAYERS = ["labels", "protein", "composite", "targets", "fovgrid"]
@@ -54,7 +56,7 @@ def layer_catalog(channels: DataFrame, proteins: DataFrame | None = None,
     if windows is not None:
         w = windows.select(*keys, "name", "type", F.col("start").alias("_s"), F.col("end").alias("_e"),
                            F.col("color").alias("_c") if "color" in windows.columns else F.lit(None).cast("string").alias("_c"))
-        cat = cat.join(F.broadcast(w), keys + ["name", "type"], "left")
+        cat = cat.join(bounded_broadcast(w), keys + ["name", "type"], "left")
     else:
         cat = (cat.withColumn("_s", F.lit(None).cast("long")).withColumn("_e", F.lit(None).cast("long"))
                   .withColumn("_c", F.lit(None).cast("string")))
@@ -112,8 +114,8 @@ def resolve_requested_layers(spark: SparkSession, request: str | None, catalog:
     if request is None or request.strip(" ,") == "":
         kept = names.withColumn("pos", F.row_number().over(Window.orderBy("name")) - 1).select("pos", "name")
         return kept, req.limit(0)
-    kept = req.join(F.broadcast(names), "name", "left_semi").select("pos", "name")
-    bad = req.join(F.broadcast(names), "name", "left_anti").select("pos", "name")
+    kept = req.join(bounded_broadcast(names), "name", "left_semi").select("pos", "name")
+    bad = req.join(bounded_broadcast(names), "name", "left_anti").select("pos", "name")
     return kept, bad
 
 

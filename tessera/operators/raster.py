@@ -55,17 +55,21 @@ def fov_origins(fovs: DataFrame, height: int, width: int, px_per_mm: float,
 
 # --------------------------------------------------------------------- R1
 def stitch_mosaic(tiles: DataFrame, origins: DataFrame, keys: list[str] = (),
-                  channel_cols: list[str] = ("channel",), overlap: bool | None = None) -> DataFrame:
+                  channel_cols: list[str] = ("channel",), overlap: bool | None = None,
+                  tile_height: int | None = None, tile_width: int | None = None) -> DataFrame:
     """Paste FOV tiles at their origins; later tiles (paste order) overwrite the
     whole rectangle, zeros included; FOVs without a location are skipped;
     pixels outside the canvas are dropped.
 
     Overlap: the winner per canvas pixel is ``max_by(val, paste_order)``, a
-    partial aggregate. When the caller knows that tiles do not overlap
-    (``overlap=False``; see :func:`tiles_overlap`) the aggregation is skipped
-    and the stitch is a broadcast join plus a projection.
+    partial aggregate. When tiles do not overlap — given as ``overlap=False``
+    or, with the tile size, found by :func:`tiles_overlap` on the small FOV
+    table — the aggregation (a shuffle of every pixel) is skipped and the stitch
+    is a broadcast join plus a projection.
     """
     keys, ch = list(keys), list(channel_cols)
+    if overlap is None and tile_height and tile_width:
+        overlap = tiles_overlap(origins, tile_height, tile_width, keys)
     o = bounded_broadcast(origins.select(*keys, "fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w"))
     j = tiles.join(o, keys + ["fov"])
     j = j.select(*keys, *ch, (F.col("row") + F.col("y0")).alias("row"), (F.col("col") + F.col("x0")).alias("col"),
@@ -127,7 +131,7 @@ def stitch_encoded(tiles: DataFrame, origins: DataFrame, barcodes: DataFrame | N
     m = stitch_mosaic(t, origins, keys)
     if barcodes is not None:
         b = barcodes.select(F.col("id").alias("channel"), F.regexp_replace("Protein", "/", "_").alias("_p"))
-        m = m.join(F.broadcast(b), "channel", "left").withColumn(
+        m = m.join(bounded_broadcast(b), "channel", "left").withColumn(
             "layer", F.concat(F.col("channel"), F.lit("_"), F.coalesce("_p", F.lit("None")))).drop("_p")
     else:
         m = m.withColumn("layer", F.col("channel"))
@@ -214,7 +218,7 @@ def fov_grid(origins: DataFrame, height: int, width: int, border: int, keys: lis
                        (F.floor(F.col("y0") / H) + F.col("d.a")).alias("by"),
                        (F.floor(F.col("x0") / W) + F.col("d.c")).alias("bx")).distinct()
     c2 = cand.withColumn("by", F.floor(F.col("row") / H)).withColumn("bx", F.floor(F.col("col") / W))
-    j = c2.join(F.broadcast(rect), keys + ["by", "bx"])
+    j = c2.join(bounded_broadcast(rect), keys + ["by", "bx"])
     j = j.where((F.col("row") >= F.col("y0")) & (F.col("row") < F.col("y0") + H)
                 & (F.col("col") >= F.col("x0")) & (F.col("col") < F.col("x0") + W))
     rr, cc = F.col("row") - F.col("y0"), F.col("col") - F.col("x0")

@@ -110,7 +110,7 @@ def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[Dat
     out = out or f"{col}_code"
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
     d = d.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
-    return df.join(F.broadcast(d), col, "left"), d
+    return df.join(bounded_broadcast(d), col, "left"), d
 
 
 def transcript_raster(targets: DataFrame, height: int, width: int, mode: str = "all",

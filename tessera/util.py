@@ -78,7 +78,7 @@ def attach(df: DataFrame, small: DataFrame, keys: list[str] = ()) -> DataFrame:
     """
     keys = list(keys)
     if keys:
-        return df.join(F.broadcast(small), keys)
+        return df.join(bounded_broadcast(small), keys)
     row = small.first()
     for name in small.columns:
         v = None if row is None else row[name]

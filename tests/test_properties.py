@@ -260,3 +260,19 @@ def test_exact_median_bounded(spark):
     for g in ("big", "even", "small", "one"):
         vals = np.array([v for k, v in rows if k == g])
         assert abs(got[g] - float(np.median(vals))) < 1e-12, g
+
+
+def test_stitch_without_overlap_skips_aggregation(spark):
+    o = spark.createDataFrame([(1, 0, 0, 1, 8, 8), (2, 0, 4, 2, 8, 8)],
+                              "fov int, y0 long, x0 long, paste_order long, canvas_h long, canvas_w long")
+    t = spark.createDataFrame([(f, "c", r, c, f * 10 + r) for f in (1, 2) for r in range(4) for c in range(4)],
+                              "fov int, channel string, row int, col int, val long")
+    import contextlib
+    import io
+    m = R.stitch_mosaic(t, o, tile_height=4, tile_width=4)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        m.explain()
+    assert "Aggregate" not in buf.getvalue()
+    agg = R.stitch_mosaic(t, o)
+    assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in agg.collect())
