@@ -144,3 +144,69 @@ def pyramid_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024
 
     return subs.groupBy("channel", "level", "kby", "kbx").applyInPandas(
         assemble, "channel string, level int, by long, bx long, bh int, bw int, pixels array<long>")
+
+
+_NEIGHBOURS = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
+
+
+def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024) -> DataFrame:
+    """R9 in block form: a pixel is a boundary pixel when any of its 8
+    neighbours differs (edges of the canvas replicated; uncovered area = 0).
+
+    Each block sends its one-pixel edges / corners to the neighbour blocks (the
+    halo), so a group holds one block plus 8 thin strips. Groups exist for every
+    block that has pixels or borders one, so boundary pixels in uncovered
+    background next to labels are found too. Output: blocks of 0/1 values
+    (blocks without any boundary pixel are dropped)."""
+    B = int(block)
+
+    def emit(it):
+        for pdf in it:
+            rows = []
+            for ch, by, bx, bh, bw, px in zip(pdf["channel"], pdf["by"], pdf["bx"], pdf["bh"], pdf["bw"],
+                                              pdf["pixels"]):
+                a = np.asarray(px, dtype=np.int64).reshape(int(bh), int(bw))
+                rows.append((ch, by, bx, 0, 0, int(bh), int(bw), a.ravel()))
+                for dy, dx in _NEIGHBOURS:
+                    ty, tx = by + dy, bx + dx
+                    if ty < 0 or tx < 0 or ty * B >= height or tx * B >= width:
+                        continue
+                    rs = slice(None) if dy == 0 else (slice(0, 1) if dy < 0 else slice(a.shape[0] - 1, None))
+                    cs = slice(None) if dx == 0 else (slice(0, 1) if dx < 0 else slice(a.shape[1] - 1, None))
+                    piece = a[rs, cs]
+                    # the piece sits on the side of the target facing this block: -dy, -dx
+                    rows.append((ch, ty, tx, -dy, -dx, int(piece.shape[0]), int(piece.shape[1]), piece.ravel()))
+            yield pd.DataFrame(rows, columns=["channel", "by", "bx", "sy", "sx", "ph", "pw", "piece"])
+
+    parts = blocks.mapInPandas(emit, "channel string, by long, bx long, sy int, sx int, ph int, pw int, "
+                                     "piece array<long>")
+
+    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        ch, by, bx = str(first["channel"]), int(first["by"]), int(first["bx"])
+        bh, bw = int(min(B, height - by * B)), int(min(B, width - bx * B))
+        pad = np.zeros((bh + 2, bw + 2), dtype=np.int64)
+        for sy, sx, ph, pw, pc in zip(pdf["sy"], pdf["sx"], pdf["ph"], pdf["pw"], pdf["piece"]):
+            v = np.asarray(pc, dtype=np.int64).reshape(int(ph), int(pw))
+            r = slice(1, bh + 1) if sy == 0 else (slice(0, 1) if sy < 0 else slice(bh + 1, bh + 2))
+            c = slice(1, bw + 1) if sx == 0 else (slice(0, 1) if sx < 0 else slice(bw + 1, bw + 2))
+            pad[r, c] = v
+        # canvas edges: replicate (a pixel never differs from the outside)
+        if by == 0:
+            pad[0, :] = pad[1, :]
+        if (by + 1) * B >= height:
+            pad[-1, :] = pad[-2, :]
+        if bx == 0:
+            pad[:, 0] = pad[:, 1]
+        if (bx + 1) * B >= width:
+            pad[:, -1] = pad[:, -2]
+        centre = pad[1:-1, 1:-1]
+        out = np.zeros_like(centre)
+        for dy, dx in _NEIGHBOURS:
+            out |= (pad[1 + dy:1 + dy + bh, 1 + dx:1 + dx + bw] != centre)
+        if not out.any():
+            return pd.DataFrame({"channel": [], "by": [], "bx": [], "bh": [], "bw": [], "pixels": []})
+        return pd.DataFrame({"channel": [ch], "by": [by], "bx": [bx], "bh": [bh], "bw": [bw],
+                             "pixels": [out.astype(np.int64).ravel()]})
+
+    return parts.groupBy("channel", "by", "bx").applyInPandas(compute, BLOCK_SCHEMA)

@@ -198,8 +198,12 @@ def _block_mosaic(spark, d, block=16):
 
 
 def _nonzero(name):
+    return f"SELECT * FROM ({oracle_of(name)}) WHERE val <> 0"
+
+
+def oracle_of(name):
     from .registry import ORACLES
-    return f"SELECT * FROM ({ORACLES[name]}) WHERE val <> 0"
+    return ORACLES[name]
 
 
 @query("stitch_blocks", _nonzero("stitch_mosaic"))
@@ -217,3 +221,17 @@ def q_pyramid_blocks(spark, d):
     p = BL.pyramid_blocks(_block_mosaic(spark, d), h, w, 16, min_size=4)
     return BL.blocks_to_long(p, 16).select(F.col("channel").cast("int").alias("channel"),
                                            "level", "row", "col", "val")
+
+
+@query("label_boundaries_blocks", oracle_of("label_boundaries"))
+def q_label_boundaries_blocks(spark, d):
+    """R2 + R9 in block form: keyed label tiles -> stitched blocks -> boundaries."""
+    from ..functions.keys import key_label_pixels
+    from ..operators import blocks as BL
+    from .q_raster import _canvas, _ctx
+    b = Bindings(spark, d)
+    h, w = _canvas(b)
+    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
+    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
+    out = BL.blocks_to_long(BL.boundaries_blocks(blocks, h, w, 16), 16)
+    return out.select("row", "col", F.col("val").cast("int").alias("val"))

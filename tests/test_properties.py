@@ -276,3 +276,32 @@ def test_stitch_without_overlap_skips_aggregation(spark):
     assert "Aggregate" not in buf.getvalue()
     agg = R.stitch_mosaic(t, o)
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in agg.collect())
+
+
+def test_boundaries_block_form_matches_long_form(spark):
+    from tessera.operators import blocks as BL
+    rng = np.random.default_rng(21)
+    H, W, B = 27, 22, 8
+    # sparse labels: some 3x3 cells, large empty background, one region missing entirely
+    px = {}
+    for _ in range(25):
+        r, c, v = int(rng.integers(0, H - 2)), int(rng.integers(0, W - 2)), int(rng.integers(1, 6))
+        for dr in range(3):
+            for dc in range(3):
+                px[(r + dr, c + dc)] = v
+    rows = [("labels", r, c, v) for (r, c), v in px.items() if not (r < 8 and c >= 16)]
+    long = spark.createDataFrame(rows, "channel string, row long, col long, val long")
+    ref = R.label_boundaries(long.drop("channel"), H, W).select("row", "col")
+    # block table of the same image
+    img = np.zeros((H, W), dtype=np.int64)
+    for _, r, c, v in rows:
+        img[r, c] = v
+    blocks = []
+    for by in range((H + B - 1) // B):
+        for bx in range((W + B - 1) // B):
+            a = img[by * B:(by + 1) * B, bx * B:(bx + 1) * B]
+            if a.any():
+                blocks.append(("labels", by, bx, a.shape[0], a.shape[1], [int(x) for x in a.ravel()]))
+    bdf = spark.createDataFrame(blocks, BL.BLOCK_SCHEMA)
+    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
