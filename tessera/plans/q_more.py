@@ -235,3 +235,15 @@ def q_label_boundaries_blocks(spark, d):
     blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
     out = BL.blocks_to_long(BL.boundaries_blocks(blocks, h, w, 16), 16)
     return out.select("row", "col", F.col("val").cast("int").alias("val"))
+
+
+@query("cells_in_shapes_blocks", oracle_of("cells_in_shapes"))
+def q_cells_in_shapes_blocks(spark, d):
+    from ..functions.keys import key_label_pixels
+    from ..operators import blocks as BL
+    from .q_raster import _canvas, _ctx, _shapes
+    b = Bindings(spark, d)
+    h, w = _canvas(b)
+    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
+    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
+    return BL.cells_in_shapes_blocks(_shapes(spark), blocks, MMPP, (0.0, 0.0), h, w, 16)

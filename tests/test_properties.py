@@ -189,6 +189,13 @@ def test_cells_in_shapes_vs_brute_force(spark):
     ldf = spark.createDataFrame([(r, c, int(lab[r, c])) for r in range(H) for c in range(W)],
                                 "row int, col int, val long")
     got = {(r["shape_id"], r["UID"]) for r in R.cells_in_shapes(sdf, ldf, 1.0, (0.0, 0.0), H, W, bucket=8).collect()}
+    from tessera.operators import blocks as BL
+    bl = spark.createDataFrame([("labels", by, bx, 16 if by < 2 else H - 32, 16 if bx < 2 else W - 32,
+                                 [int(x) for x in lab[by * 16:(by + 1) * 16, bx * 16:(bx + 1) * 16].ravel()])
+                                for by in range(3) for bx in range(3)], BL.BLOCK_SCHEMA)
+    got_b = {(r["shape_id"], r["UID"]) for r in
+             BL.cells_in_shapes_blocks(sdf, bl, 1.0, (0.0, 0.0), H, W, 16).collect()}
+    assert got_b == got
     expect = set()
     for sid, kind, v in shapes:
         if kind not in ("polygon", "rectangle", "ellipse"):
