@@ -149,16 +149,14 @@ def pyramid_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024
 _NEIGHBOURS = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
 
 
-def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024) -> DataFrame:
-    """R9 in block form: a pixel is a boundary pixel when any of its 8
-    neighbours differs (edges of the canvas replicated; uncovered area = 0).
-
-    Each block sends its one-pixel edges / corners to the neighbour blocks (the
-    halo), so a group holds one block plus 8 thin strips. Groups exist for every
-    block that has pixels or borders one, so boundary pixels in uncovered
-    background next to labels are found too. Output: blocks of 0/1 values
-    (blocks without any boundary pixel are dropped)."""
-    B = int(block)
+def _with_halo(blocks: DataFrame, k: int, height: int, width: int, block: int, fn, out_schema: str):
+    """Give every block a halo of ``k`` pixels from its 8 neighbours and apply
+    ``fn(padded, bh, bw) -> array | None`` per block. Each block sends k-wide
+    edge strips / corners to its neighbours, so a group holds one block plus 8
+    thin strips. Groups exist for every block that has pixels or borders one
+    (uncovered area = 0); halo parts outside the canvas replicate the edge."""
+    B, k = int(block), int(k)
+    assert 1 <= k <= B
 
     def emit(it):
         for pdf in it:
@@ -171,10 +169,9 @@ def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1
                     ty, tx = by + dy, bx + dx
                     if ty < 0 or tx < 0 or ty * B >= height or tx * B >= width:
                         continue
-                    rs = slice(None) if dy == 0 else (slice(0, 1) if dy < 0 else slice(a.shape[0] - 1, None))
-                    cs = slice(None) if dx == 0 else (slice(0, 1) if dx < 0 else slice(a.shape[1] - 1, None))
+                    rs = slice(None) if dy == 0 else (slice(0, k) if dy < 0 else slice(max(0, a.shape[0] - k), None))
+                    cs = slice(None) if dx == 0 else (slice(0, k) if dx < 0 else slice(max(0, a.shape[1] - k), None))
                     piece = a[rs, cs]
-                    # the piece sits on the side of the target facing this block: -dy, -dx
                     rows.append((ch, ty, tx, -dy, -dx, int(piece.shape[0]), int(piece.shape[1]), piece.ravel()))
             yield pd.DataFrame(rows, columns=["channel", "by", "bx", "sy", "sx", "ph", "pw", "piece"])
 
@@ -185,31 +182,54 @@ def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1
         first = pdf.iloc[0]
         ch, by, bx = str(first["channel"]), int(first["by"]), int(first["bx"])
         bh, bw = int(min(B, height - by * B)), int(min(B, width - bx * B))
-        pad = np.zeros((bh + 2, bw + 2), dtype=np.int64)
+        pad = np.zeros((bh + 2 * k, bw + 2 * k), dtype=np.int64)
         for sy, sx, ph, pw, pc in zip(pdf["sy"], pdf["sx"], pdf["ph"], pdf["pw"], pdf["piece"]):
             v = np.asarray(pc, dtype=np.int64).reshape(int(ph), int(pw))
-            r = slice(1, bh + 1) if sy == 0 else (slice(0, 1) if sy < 0 else slice(bh + 1, bh + 2))
-            c = slice(1, bw + 1) if sx == 0 else (slice(0, 1) if sx < 0 else slice(bw + 1, bw + 2))
-            pad[r, c] = v
-        # canvas edges: replicate (a pixel never differs from the outside)
-        if by == 0:
-            pad[0, :] = pad[1, :]
-        if (by + 1) * B >= height:
-            pad[-1, :] = pad[-2, :]
-        if bx == 0:
-            pad[:, 0] = pad[:, 1]
-        if (bx + 1) * B >= width:
-            pad[:, -1] = pad[:, -2]
-        centre = pad[1:-1, 1:-1]
-        out = np.zeros_like(centre)
-        for dy, dx in _NEIGHBOURS:
-            out |= (pad[1 + dy:1 + dy + bh, 1 + dx:1 + dx + bw] != centre)
-        if not out.any():
-            return pd.DataFrame({"channel": [], "by": [], "bx": [], "bh": [], "bw": [], "pixels": []})
+            r0 = k if sy == 0 else (k - ph if sy < 0 else k + bh)
+            c0 = k if sx == 0 else (k - pw if sx < 0 else k + bw)
+            pad[r0:r0 + ph, c0:c0 + pw] = v
+        top, left = by == 0, bx == 0
+        bottom, right = (by + 1) * B >= height, (bx + 1) * B >= width
+        inner = pad[k if top else 0:(k + bh) if bottom else None, k if left else 0:(k + bw) if right else None]
+        pad = np.pad(inner, ((k if top else 0, k if bottom else 0), (k if left else 0, k if right else 0)), mode="edge")
+        res = fn(pad, bh, bw)
+        if res is None or not res.any():
+            return pd.DataFrame(columns=["channel", "by", "bx", "bh", "bw", "pixels"])
         return pd.DataFrame({"channel": [ch], "by": [by], "bx": [bx], "bh": [bh], "bw": [bw],
-                             "pixels": [out.astype(np.int64).ravel()]})
+                             "pixels": [res.astype(np.int64).ravel()]})
+
+    return parts.groupBy("channel", "by", "bx").applyInPandas(compute, out_schema)
 
-    return parts.groupBy("channel", "by", "bx").applyInPandas(compute, BLOCK_SCHEMA)
+
+def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024) -> DataFrame:
+    """R9 in block form: 1 where any of the 8 neighbours differs (canvas edges
+    replicated; uncovered area = 0). Blocks without boundary pixels are dropped."""
+    def fn(pad, bh, bw):
+        centre = pad[1:1 + bh, 1:1 + bw]
+        out = np.zeros(centre.shape, dtype=bool)
+        for dy, dx in _NEIGHBOURS:
+            out |= pad[1 + dy:1 + dy + bh, 1 + dx:1 + dx + bw] != centre
+        return out
+    return _with_halo(blocks, 1, height, width, block, fn, BLOCK_SCHEMA)
+
+
+def contour_blocks(blocks: DataFrame, k: int, height: int, width: int, block: int = 1024) -> DataFrame:
+    """R10 in block form: keep a label where grey dilation over the 1-px cross
+    differs from grey erosion over the radius-k diamond (halo of k pixels)."""
+    k = max(1, int(k))
+
+    def fn(pad, bh, bw):
+        c = pad[k:k + bh, k:k + bw]
+        dil = c.copy()
+        for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)):
+            dil = np.maximum(dil, pad[k + dy:k + dy + bh, k + dx:k + dx + bw])
+        ero = c.copy()
+        for dy in range(-k, k + 1):
+            for dx in range(-k, k + 1):
+                if 0 < abs(dy) + abs(dx) <= k:
+                    ero = np.minimum(ero, pad[k + dy:k + dy + bh, k + dx:k + dx + bw])
+        return np.where(dil != ero, c, 0)
+    return _with_halo(blocks, k, height, width, block, fn, BLOCK_SCHEMA)
 
 
 def cells_in_shapes_blocks(shapes: DataFrame, label_blocks: DataFrame, mm_per_px: float, top_left_mm,

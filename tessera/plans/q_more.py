@@ -247,3 +247,15 @@ def q_cells_in_shapes_blocks(spark, d):
     keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
     blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
     return BL.cells_in_shapes_blocks(_shapes(spark), blocks, MMPP, (0.0, 0.0), h, w, 16)
+
+
+@query("label_contour_blocks", oracle_of("label_contour"))
+def q_label_contour_blocks(spark, d):
+    from ..functions.keys import key_label_pixels
+    from ..operators import blocks as BL
+    from .q_raster import _canvas, _ctx
+    b = Bindings(spark, d)
+    h, w = _canvas(b)
+    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
+    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
+    return BL.blocks_to_long(BL.contour_blocks(blocks, 2, h, w, 16), 16).select("row", "col", "val")

@@ -312,3 +312,30 @@ def test_boundaries_block_form_matches_long_form(spark):
     bdf = spark.createDataFrame(blocks, BL.BLOCK_SCHEMA)
     got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_contour_block_form_matches_long_form(spark):
+    from tessera.operators import blocks as BL
+    rng = np.random.default_rng(5)
+    H, W, B = 23, 30, 8
+    img = np.zeros((H, W), dtype=np.int64)
+    for _ in range(30):
+        r, c, v = int(rng.integers(0, H - 3)), int(rng.integers(0, W - 3)), int(rng.integers(1, 7))
+        img[r:r + 4, c:c + 4] = v
+    img[0:8, 8:16] = 0   # an uncovered block inside the canvas
+    rows = [(int(r), int(c), int(img[r, c])) for r in range(H) for c in range(W) if img[r, c] != 0]
+    long = spark.createDataFrame(rows, "row long, col long, val long")
+    blocks = []
+    for by in range((H + B - 1) // B):
+        for bx in range((W + B - 1) // B):
+            a = img[by * B:(by + 1) * B, bx * B:(bx + 1) * B]
+            if a.any():
+                blocks.append(("labels", by, bx, a.shape[0], a.shape[1], [int(x) for x in a.ravel()]))
+    bdf = spark.createDataFrame(blocks, BL.BLOCK_SCHEMA)
+    for k in (1, 2, 3):
+        ref = R.label_contour(long, k, H, W).select("row", "col", "val")
+        got = BL.blocks_to_long(BL.contour_blocks(bdf, k, H, W, B), B).select("row", "col", "val")
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, k
+    ref = R.label_boundaries(long, H, W).select("row", "col")
+    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
