@@ -14,7 +14,7 @@ never a window over an unbounded group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import SEG_PREFIX, segmentation_uuid, segmentation_version
@@ -87,7 +87,6 @@ def select_segmentations(seg: DataFrame, primary: DataFrame, keys: list[str] = (
     folders = s.select(*keys, "dir", "version").distinct()
     folders = folders.join(bounded_broadcast(p), keys) if keys else _attach_one(folders, p)
     elig = folders.where((F.col("dir") == F.col("primary_dir")) | (F.col("version") < F.col("pversion")))
-    from pyspark.sql import Window
     # Ranking runs over the folder catalogue only (a handful of versions per slide).
     w = Window.partitionBy(*keys).orderBy(F.when(F.col("dir") == F.col("primary_dir"), 0).otherwise(1),
                                           F.desc("version"), "dir")
@@ -103,7 +102,7 @@ def select_segmentations(seg: DataFrame, primary: DataFrame, keys: list[str] = (
               .groupBy(*keys, "fov").agg(F.min("rank").alias("win")))
     cov = ref.join(winner, keys + ["fov"], "left")
     cut = cov.groupBy(*keys).agg(F.max(F.coalesce("win", F.lit(BIG_RANK))).alias("cut"))
-    wins = winner.groupBy(*keys, F.col("win").alias("rank")).agg(F.lit(1).alias("_w")).drop("_w")
+    wins = winner.select(*keys, F.col("win").alias("rank")).distinct()
     sel = elig.join(wins, keys + ["rank"], "left_semi")
     sel = sel.unionByName(elig.where(F.col("rank") == 0)).distinct()
     sel = (sel.join(cut, keys, "left") if keys else _attach_one(sel, cut))
