@@ -47,8 +47,9 @@ def _colored(b: Bindings):
                             .alias("hex_color"))
     m = m.withColumn("cell_type", F.when(F.col("row_idx") % 23 == 0, F.lit(None)).otherwise(F.col("cell_type")))
     spark = b.spark
-    supplied = spark.range(1).select(F.lit("BUILDING").alias("v"), F.lit("#111111").alias("c"))
-    cat = spark.range(1).select(F.lit("MACHINERY").alias("v"), F.lit("#222222").alias("c"))
+    # user-supplied colour maps (parameters); a local relation keeps the join an equi-join
+    supplied = spark.createDataFrame([("BUILDING", "#111111")], "v string, c string")
+    cat = spark.createDataFrame([("MACHINERY", "#222222")], "v string, c string")
     return assign_category_color(m, "cell_type", supplied=supplied, category_colors=cat, order_col="row_idx")
 
 
