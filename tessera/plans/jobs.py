@@ -74,7 +74,8 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
     slides = I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix)
     from ..functions.keys import parse_slide_path
     slides = parse_slide_path(slides, "slide_base_path")
-    outputs = inv.where(F.col("rel").startswith("napari-stitched/")).select(F.col("rel").alias("key"))
+    from ..functions.keys import OUTPUT_ROOT
+    outputs = inv.where(F.col("rel").startswith(OUTPUT_ROOT + "/")).select(F.col("rel").alias("key"))
     todo = V.skip_processed(slides, outputs, depth=5)
     # Segmentation folders (dir, fov) per slide from the inventory.
     seg = inv.select("rel", F.regexp_extract("rel", r"^(.*)/CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", 1).alias("slide_base_path"),

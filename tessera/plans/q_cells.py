@@ -250,11 +250,11 @@ def q_subset_cells(spark, d):
 # ---------------------------------------------------------------- P14
 query("probe_label", with_ctes("""
 SELECT p.probe, CASE WHEN p.probe LIKE '%CPRO%' THEN coalesce(d.name, p.probe) ELSE p.probe END AS label
-FROM (SELECT ProbeID AS probe FROM dictionary WHERE ord % 7 < 3) p
+FROM (SELECT ProbeID AS probe FROM dictionary) p
 LEFT JOIN (SELECT ProbeID, arg_max(DisplayName, ord) AS name FROM dictionary GROUP BY 1) d ON p.probe = d.ProbeID""",
                                "dictionary"))(
-    lambda spark, d: C.probe_label(Bindings(spark, d).dictionary.where(F.col("ord") % 7 < 3)
-                                   .select(F.col("ProbeID").alias("probe")), Bindings(spark, d).dictionary))
+    lambda spark, d: C.probe_label(Bindings(spark, d).dictionary.select(F.col("ProbeID").alias("probe")),
+                                   Bindings(spark, d).dictionary))
 
 query("probe_label_reverse", with_ctes("""
 SELECT p.probe, coalesce(d.id, p.probe) AS label

@@ -70,9 +70,9 @@ SELECT run, slide, scan_id, 'study/exp1/' || run || '/DecodedFiles/' || slide ||
 FROM disc""", extra=_TREE_SQL))(
     lambda spark, d: I.discover_slides(_slide_tree(Bindings(spark, d)), "study/exp1"))
 
-query("parse_slide_path", with_ctes("""
+query("parse_slide_path", with_ctes(f"""
 SELECT slide_base_path, slide, scan_id, run, 'exp1' AS experiment, 'study' AS study,
-       'study/exp1' AS experiment_prefix, 'napari-stitched/study/exp1/' || run || '/' || slide AS output_prefix
+       'study/exp1' AS experiment_prefix, '{K.OUTPUT_ROOT}/study/exp1/' || run || '/' || slide AS output_prefix
 FROM (SELECT run, slide, scan_id, 'study/exp1/' || run || '/DecodedFiles/' || slide || '/' || scan_id AS slide_base_path
       FROM disc)""", extra=_TREE_SQL))(
     lambda spark, d: K.parse_slide_path(

@@ -3,6 +3,7 @@
 import gzip
 import os
 
+from tessera.functions.keys import OUTPUT_ROOT
 from tessera.plans.jobs import slide_processing_job
 
 
@@ -36,7 +37,7 @@ def test_slide_processing_job(spark, scratch):
     _touch(f"{base1}/AnalysisResults/abc/R{suffix}", hdr + "9,9,9,9,9,Wrong,Nuclear\n")
     # slide 2 was processed already (its output prefix holds an object)
     _touch(f"{base2}/CellStatsDir/Segmentation_zz_001/FOV001/CellLabels_F001.TIF")
-    _touch(f"{root}/napari-stitched/St/Exp/RunA/Slide2/images/done")
+    _touch(f"{root}/{OUTPUT_ROOT}/St/Exp/RunA/Slide2/images/done")
     # Logs folders are not slides
     _touch(f"{root}/{exp}/RunA/DecodedFiles/Logs/Scan9/log.txt")
 
