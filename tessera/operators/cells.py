@@ -135,6 +135,8 @@ def type_flows(matched: DataFrame, keys: list[str] = (), fraction: float = MIN_F
     summ = flows.groupBy(*keys).agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("type_a") != F.col("type_b"), F.col("n")).otherwise(0)).alias("changed"))
+    # no shared cells -> no summary row (the original divided by zero there)
+    summ = summ.where(F.col("total") > 0)
     summ = summ.withColumn("changed_pct", F.round(F.col("changed") * 100.0 / F.col("total"), 6))
     thr = summ.select(*keys, F.floor(F.col("total") * F.lit(fraction)).alias("min_flow"))
     kept = attach(flows, thr, keys)
