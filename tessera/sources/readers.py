@@ -73,41 +73,79 @@ def _header(spark: SparkSession, files: list[str]) -> list[str]:
 
 
 # S1 -------------------------------------------------------------------------
-def read_cell_metadata(spark: SparkSession, experiment_root: str, slide: str,
-                       cell_type_column: str | None = None) -> DataFrame:
-    """All runs' metadata files of one slide as one frame.
-
-    Columns: run, source_idx (run listing order), row_idx (file order), fov INT,
-    cell_ID INT, cell_name (the string ``cell_id``; renamed because Spark
-    column names are case-insensitive), cellSegmentationSetId, cell_type (P15
-    per source). Sources are read one by one because each run names its typing
-    column differently; they are combined by name.
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """First line of every file in ONE job (not one job per file): the first row
+    of each file's first split, by increasing row id."""
+    t = (spark.read.text(files)
+         .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                 "value", F.monotonically_increasing_id().alias("i"))
+         .where(F.col("b") == 0).groupBy("f").agg(F.min_by("value", "i").alias("h")))
+    return {r["f"]: r["h"] for r in t.collect()}
+
+
+def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list[str] | None = None,
+                         cell_type_column: str | None = None) -> DataFrame:
+    """Cell metadata of every slide and run under an experiment, as one frame.
+
+    Files ``<run>/flatFiles/<slide>/<slide>_metadata_file.csv.gz`` are listed
+    once; their headers are read in one job; files with the same header are read
+    by one CSV scan (runs name their typing column differently, so there is one
+    scan per distinct header, not per file) and combined by name.
+
+    Columns: slide, run, source_idx (run listing order within the slide),
+    row_idx (file order), fov INT, cell_ID INT, cell_name (the string
+    ``cell_id``; renamed because Spark column names are case-insensitive),
+    cellSegmentationSetId, cell_type (P15 per header).
     """
     import re
     root = experiment_root.rstrip("/")
-    fname = re.escape(METADATA_FILE.format(slide=slide))
-    files = {k: v for k, v in logical_files(spark, root, fname).items()
-             if re.fullmatch(r"[^/]+/flatFiles/" + re.escape(slide) + "/" + fname, k)}
+    pat = re.compile(r"([^/]+)/flatFiles/([^/]+)/\2_metadata_file\.csv\.gz")
+    logical = {}
+    for k, v in logical_files(spark, root, r".+_metadata_file\.csv\.gz").items():
+        m = pat.fullmatch(k)
+        if m and (slides is None or m.group(2) in slides):
+            logical[k] = (m.group(1), m.group(2), v)
+    if not logical:
+        raise FileNotFoundError(f"no metadata files under {root}")
+    # source order: runs in listing order within each slide (file-name metadata only)
+    by_slide: dict[str, list[str]] = {}
+    for k in sorted(logical):
+        run, slide, _ = logical[k]
+        by_slide.setdefault(slide, []).append(run)
+    order = [(slide, run, i) for slide, runs in by_slide.items() for i, run in enumerate(runs)]
+    phys = [p for _, _, ps in logical.values() for p in ps]
+    heads = _headers(spark, phys)
+    groups: dict[str, list[str]] = {}
+    for p in phys:
+        groups.setdefault(heads.get(p, heads.get("file:" + p, "")), []).append(p)
     frames = []
-    for i, (logical, phys) in enumerate(files.items()):
-        names = _header(spark, phys)
+    for header, files in groups.items():
+        names = [h.strip().strip('"') for h in header.split(",")]
         names = ["cell_name" if n == "cell_id" else n for n in names]
-        df = with_file_order(spark.read.option("header", True).csv(phys)).toDF(*names, "row_idx")
+        df = with_file_order(spark.read.option("header", True).csv(files)).toDF(*names, "row_idx")
         c = detect_cell_type_column(df.columns, cell_type_column)
         df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
-        df = df.withColumn("run", F.lit(logical.split("/")[0])).withColumn("source_idx", F.lit(i))
-        frames.append(df)
-    if not frames:
-        raise FileNotFoundError(f"no metadata files for slide {slide} under {root}")
+        loc = F.regexp_extract(F.col("row_idx.file"), r"/([^/]+)/flatFiles/([^/]+)/", 1)
+        slide = F.regexp_extract(F.col("row_idx.file"), r"/flatFiles/([^/]+)/", 1)
+        frames.append(df.withColumn("run", loc).withColumn("slide", slide))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
+    src = spark.createDataFrame(order, "slide string, run string, source_idx int")
+    from ..util import bounded_broadcast
+    out = out.join(bounded_broadcast(src), ["slide", "run"])
     for col, t in (("fov", "int"), ("cell_ID", "int")):
         if col in out.columns:
             out = out.withColumn(col, F.col(col).try_cast(t))
     return out
 
 
+def read_cell_metadata(spark: SparkSession, experiment_root: str, slide: str,
+                       cell_type_column: str | None = None) -> DataFrame:
+    """All runs' metadata files of one slide (see :func:`read_cohort_metadata`)."""
+    return read_cohort_metadata(spark, experiment_root, [slide], cell_type_column)
+
+
 # S2 -------------------------------------------------------------------------
 def read_expression(spark: SparkSession, path: str, genes: list[str] | None = None,
                     long: bool = False) -> DataFrame:

@@ -120,3 +120,20 @@ def test_streaming_ingest_once(spark, scratch):
     assert ingest_target_calls(spark, land, out, ck) == 1
     t = spark.read.parquet(out)
     assert sorted((r["slide"], r["target"]) for r in t.collect()) == [("slideA", "G1"), ("slideA", "G2"), ("slideB", "G1")]
+
+
+def test_cohort_metadata_many_slides(spark, scratch):
+    exp = f"{scratch}/cohort"
+    t1 = "RNA_RNA_Cell.Typing.InSituType.a_clusters"
+    t2 = "RNA_RNA_Cell.Typing.InSituType.b_clusters"
+    for slide in ("S1", "S2"):
+        _write(f"{exp}/r1/flatFiles/{slide}/{slide}_metadata_file.csv.gz",
+               f"fov,cell_ID,cell_id,cellSegmentationSetId,{t1}\n1,1,c_1_1_1,segA,T\n", gz=True)
+        _write(f"{exp}/r2/flatFiles/{slide}/{slide}_metadata_file.csv.gz",
+               f"fov,cell_ID,cell_id,cellSegmentationSetId,{t2}\n2,1,c_1_2_1,segB,B\n", gz=True)
+    _write(f"{exp}/r0/flatFiles/S2/S2_metadata_file.csv.gz",
+           f"fov,cell_ID,cell_id,cellSegmentationSetId,{t2}\n3,1,c_1_3_1,segC,C\n", gz=True)
+    m = RD.read_cohort_metadata(spark, exp)
+    got = sorted((r["slide"], r["run"], r["source_idx"], r["cell_type"]) for r in m.collect())
+    assert got == [("S1", "r1", 0, "T"), ("S1", "r2", 1, "B"),
+                   ("S2", "r0", 0, "C"), ("S2", "r1", 1, "T"), ("S2", "r2", 2, "B")]
