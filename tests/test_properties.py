@@ -339,3 +339,30 @@ def test_contour_block_form_matches_long_form(spark):
     ref = R.label_boundaries(long, H, W).select("row", "col")
     got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+# ----------------------------------------------------------------- many slides in one job
+def test_multi_slide_equals_per_slide(spark):
+    from tessera.operators import transcripts as T
+    fovs = spark.createDataFrame(
+        [(s, f, float(f % 3) * 0.5 + (0.25 if s == "B" else 0.0), float(f // 3) * 0.5, f) for s in ("A", "B")
+         for f in range(1, 7)], "slide string, FOV int, X_mm double, Y_mm double, ord long")
+    calls = spark.createDataFrame([(s, f, float(i), float(2 * i), "g") for s in ("A", "B") for f in range(1, 7)
+                                   for i in range(3)], "slide string, fov int, x double, y double, target string")
+    both = T.global_coordinates(calls, fovs, 8, 8, 12.0, keys=["slide"])
+    for s in ("A", "B"):
+        one = T.global_coordinates(calls.where(F.col("slide") == s).drop("slide"),
+                                   fovs.where(F.col("slide") == s).drop("slide"), 8, 8, 12.0)
+        a = both.where(F.col("slide") == s).drop("slide").select(sorted(one.columns))
+        assert a.exceptAll(one.select(sorted(one.columns))).count() == 0
+        assert one.select(sorted(one.columns)).exceptAll(a).count() == 0
+    o2 = R.fov_origins(fovs, 8, 8, 12.0, keys=["slide"])
+    tiles = spark.createDataFrame([(s, f, "c", r, c, f * 100 + r * 8 + c) for s in ("A", "B") for f in range(1, 7)
+                                   for r in range(8) for c in range(8)],
+                                  "slide string, fov int, channel string, row int, col int, val long")
+    m2 = R.stitch_mosaic(tiles, o2, keys=["slide"])
+    for s in ("A", "B"):
+        o1 = R.fov_origins(fovs.where(F.col("slide") == s).drop("slide"), 8, 8, 12.0)
+        m1 = R.stitch_mosaic(tiles.where(F.col("slide") == s).drop("slide"), o1)
+        a = m2.where(F.col("slide") == s).drop("slide")
+        assert a.exceptAll(m1).count() == 0 and m1.exceptAll(a).count() == 0
