@@ -22,18 +22,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
-def materialized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Like :func:`bounded_broadcast` for a side that is expensive to compute
-    (joins / aggregates upstream): it is materialised once with a reliable
-    ``checkpoint()`` (session checkpoint dir, shared on a cluster), so the size
-    check and the join read the same stored rows instead of recomputing."""
-    from .session import ensure_checkpoint_dir
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        ensure_checkpoint_dir(df.sparkSession)
-    m = df.checkpoint(eager=True)
-    return bounded_broadcast(m, max_rows)
-
-
 def with_file_order(df: DataFrame, name: str = "row_idx") -> DataFrame:
     """Attach a sortable row index that follows file order.
 
