@@ -169,3 +169,15 @@ def q_transcripts_by_gene_color(spark, d):
     g = T.global_coordinates(b.target_calls, b.fovs, FOV_H, FOV_W, PPM)
     r = T.transcripts_for_display(g)
     return r.withColumn("y", rnd("y")).withColumn("x", rnd("x")).withColumn("color_idx", F.col("color_idx").cast("int"))
+
+
+# A14 with the genes mode: the last listed gene within the disk wins (max index).
+query("spread_raster_genes", with_ctes(f"""
+SELECT fov, row + o.dy AS row, col + o.dx AS col, CAST(max(val) AS BIGINT) AS val
+FROM (SELECT fov, row, col, CAST(max(list_position(['red widget', 'small ring', 'blue gear'], target)) AS BIGINT) AS val
+      FROM pts WHERE target IN ('red widget', 'small ring', 'blue gear') GROUP BY 1, 2, 3) r,
+     (VALUES {_disk_sql(3)}) o(dy, dx)
+WHERE row + o.dy >= 0 AND row + o.dy < {FOV_H} AND col + o.dx >= 0 AND col + o.dx < {FOV_W}
+GROUP BY 1, 2, 3""", "target_calls", extra=_RASTER_PTS))(
+    lambda spark, d: T.spread_raster(
+        T.transcript_raster(Bindings(spark, d).target_calls, FOV_H, FOV_W, "genes", _GENES), 3, FOV_H, FOV_W, how="max"))
