@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from . import licenses, mixing, quality
 from .bpe import encode_digests
+from .jaccard_join import jaccard_groups
+from .neighbours import nearest
 from .tables import read
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -17,6 +20,10 @@ def op2_license_scan(spark, sf_dir):
     return licenses.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_groups(read(spark, sf_dir, "documents")).drop("rid")
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -26,6 +33,10 @@ def op6_byte_bpe(spark, sf_dir):
     return encode_digests(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality.quality(read(spark, sf_dir, "documents"))
 
@@ -34,5 +45,10 @@ def op9_mix_sources(spark, sf_dir):
     return mixing.mix_plan(read(spark, sf_dir, "documents")).drop("rid", "reps")
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op4_token_counts, op6_byte_bpe, op8_quality_rules, op9_mix_sources)}
+def op10_nearest(spark, sf_dir):
+    return nearest(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_jaccard_join, op4_token_counts, op6_byte_bpe,
+                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest)}
 ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL}
