@@ -6,6 +6,7 @@ from . import licenses, mixing, quality
 from .bpe import encode_digests
 from .jaccard_join import jaccard_groups
 from .neighbours import nearest
+from .suffix_dedup import repeat_digests
 from .tables import read
 from .token_counts import token_counts
 from .toxicity import toxicity
@@ -16,6 +17,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return repeat_digests(read(spark, sf_dir, "documents"))
+
+
 def op2_license_scan(spark, sf_dir):
     return licenses.license_scan(read(spark, sf_dir, "documents"))
 
@@ -49,6 +54,6 @@ def op10_nearest(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_jaccard_join, op4_token_counts, op6_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op6_byte_bpe,
                                       op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest)}
 ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL}

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,6 +197,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, cutoff: float = 0.5, **option
         for batch in by_bytes(batches):
             keyed = pa.RecordBatch.from_arrays([batch.column("text"), pa.array(np.arange(batch.num_rows))], names=["text", "__n"])
             verdict = pa.Table.from_batches(list(score([keyed])))["toxic"]
-            yield batch.filter(pa.compute.invert(verdict.combine_chunks()))
-    import pyarrow.compute  # noqa: F401
+            yield batch.filter(pc.invert(verdict.combine_chunks()))
     return docs.mapInArrow(keep, schema)
