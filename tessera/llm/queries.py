@@ -6,6 +6,7 @@ from . import licenses, mixing, quality
 from .bpe import encode_digests
 from .jaccard_join import jaccard_groups
 from .neighbours import nearest
+from .pitman_yor import scores
 from .suffix_dedup import repeat_digests
 from .tables import read
 from .token_counts import token_counts
@@ -33,6 +34,10 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op5_pitman_yor(spark, sf_dir):
+    return scores(read(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     import public_tokenizers
     return encode_digests(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -54,6 +59,6 @@ def op10_nearest(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op6_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op5_pitman_yor, op6_byte_bpe,
                                       op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest)}
 ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL}

@@ -386,12 +386,12 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     rows = numbered(docs, "__rid")
     texts = rows.select(F.col("__rid").alias("rid"), F.col("text").cast("string").alias("text"))
     marks = repeat_marks(texts, length, text_bytes(texts))
+    names = docs.columns
 
     def finish(batches):
         for batch in by_bytes(batches, limit=4 << 20):
             null = batch.column("text").is_null().to_pylist()
             kept = [None if z else k[0].decode("utf-8", "ignore") for z, k in zip(null, _kept(batch, length))]
-            columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
-    schema = docs.schema
-    return rows.join(marks.withColumnRenamed("rid", "__rid"), "__rid", "left").select(*[F.col(f"`{c}`") for c in docs.columns], "marks").mapInArrow(finish, schema)
+            columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    return rows.join(marks.withColumnRenamed("rid", "__rid"), "__rid", "left").select(*[F.col(f"`{c}`") for c in names], "marks").mapInArrow(finish, docs.schema)
