@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import numbered, saved, with_text
+from .tables import numbered, saved, set_aside, with_text
 from .text import U64, by_bytes, mix, run_lengths, shingle_hashes, text_buffer, word_hashes, words
 
 BUCKET_BYTES = 24 << 20
@@ -325,6 +325,7 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     without words all stay; columns as given."""
     groups = jaccard_groups(docs, **options)
     key = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
-    kept = groups.filter("n_shingles > 0 AND component_id IS NOT NULL").groupBy("component_id").agg(F.min(key)["rid"].alias("__rid")).select("__rid")
-    kept = kept.union(groups.filter("n_shingles = 0 OR component_id IS NULL").select(F.col("rid").alias("__rid")))
-    return numbered(docs, "__rid").join(kept, "__rid").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = groups.filter("n_shingles > 0 AND component_id IS NOT NULL").groupBy("component_id").agg(F.min(key)["rid"].alias("rid")).select("rid")
+    kept = kept.union(groups.filter("n_shingles = 0 OR component_id IS NULL").select("rid"))
+    rows, _, restored = set_aside(docs)
+    return restored(rows.join(kept, "rid"))

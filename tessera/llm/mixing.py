@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import numbered, saved
+from .tables import numbered, saved, set_aside
 
 WORD = r"[^\x20\x09-\x0D]+"
 RANGE_DIGITS = 4  # hex digits of the digest that name a range
@@ -93,10 +93,10 @@ def mix_plan(docs: DataFrame, weights=(5, 2, 1), max_epochs: int = 3, seed: int
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents with every row repeated as often as the mix takes it (0 to
     ``max_epochs`` times); columns as given."""
-    plan = mix_plan(docs, **options).select(F.col("rid").alias("__rid"), F.col("reps").alias("__reps"))
-    rows = numbered(docs, "__rid").join(plan, "__rid").filter(F.col("__reps") > 0)
-    copies = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__reps").cast("int"))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = mix_plan(docs, **options).select("rid", "reps").filter("reps > 0")
+    rows, _, restored = set_aside(docs)
+    copies = rows.join(plan, "rid").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int"))))
+    return restored(copies)
 
 
 SQL = """

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import numbered
+from .tables import numbered, set_aside
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -129,9 +129,9 @@ def clean_documents(docs: DataFrame, host_col: str = "source", min_docs: int = 2
             .agg(F.sum("words").alias("all"), F.sum(F.when(F.col("gone").isNull(), F.col("words")).otherwise(0)).alias("left"),
                  F.array_sort(F.collect_list(F.when(F.col("gone").isNull(), F.struct("pos", "line")))).alias("parts"))
             .filter((F.col("left") > 0) & (F.col("left") >= F.lit(min_left) * F.col("all")))
-            .select(F.col("rid").alias("__rid"), F.array_join(F.transform("parts", lambda x: x["line"]), "\n").alias("__text")))
-    out = numbered(docs, "__rid").join(kept, "__rid").withColumn("text", F.col("__text"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+            .select("rid", F.array_join(F.transform("parts", lambda x: x["line"]), "\n").alias("left_text")))
+    out, text, restored = set_aside(docs)
+    return restored(out.join(kept, "rid").withColumn(text, F.col("left_text")))
 
 
 SQL = r"""

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import numbered, saved, text_bytes
+from .tables import numbered, saved, set_aside, text_bytes
 from .text import EXACT, U64, by_bytes, mix, run_lengths, spread, text_buffer, word_hashes
 
 GRAM = 16
@@ -352,9 +352,9 @@ def covered(n: int, marks, length: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def _kept(batch: pa.RecordBatch, length: int):
+def _kept(batch: pa.RecordBatch, length: int, column: str = "text"):
     """(kept bytes, removed bytes, removed runs, bytes) of every row."""
-    buf, offsets = text_buffer(batch.column("text"))
+    buf, offsets = text_buffer(batch.column(column))
     for low, high, marks in zip(offsets[:-1], offsets[1:], batch.column("marks").to_pylist()):
         own = buf[low:high]
         if not marks:
@@ -383,15 +383,16 @@ def repeat_digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id") -
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """The documents without their repeated bytes; columns as given."""
-    rows = numbered(docs, "__rid")
-    texts = rows.select(F.col("__rid").alias("rid"), F.col("text").cast("string").alias("text"))
+    rows, text, restored = set_aside(docs)
+    texts = rows.select("rid", F.col(text).cast("string").alias("text"))
     marks = repeat_marks(texts, length, text_bytes(texts))
-    names = docs.columns
+    names = [c for c in rows.columns if c != "rid"]
 
     def finish(batches):
-        for batch in by_bytes(batches, limit=4 << 20):
-            null = batch.column("text").is_null().to_pylist()
-            kept = [None if z else k[0].decode("utf-8", "ignore") for z, k in zip(null, _kept(batch, length))]
-            columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in names]
+        for batch in by_bytes(batches, text, limit=4 << 20):
+            null = batch.column(text).is_null().to_pylist()
+            kept = [None if z else k[0].decode("utf-8", "ignore") for z, k in zip(null, _kept(batch, length, text))]
+            columns = [pa.array(kept, pa.string()) if c == text else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    return rows.join(marks.withColumnRenamed("rid", "__rid"), "__rid", "left").select(*[F.col(f"`{c}`") for c in names], "marks").mapInArrow(finish, docs.schema)
+    joined = rows.join(marks, "rid", "left").select(*names, "marks")
+    return restored(joined.mapInArrow(finish, joined.drop("marks").schema))

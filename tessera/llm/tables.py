@@ -31,6 +31,15 @@ def numbered(df: DataFrame, name: str = "rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def set_aside(docs: DataFrame, key: str = "rid"):
+    """(numbered rows under plain column names c0, c1, ...; name of the text column;
+    function that takes the original columns back out): whatever the columns of
+    ``docs`` are called, they cannot clash with those an operator adds."""
+    plain = [f"c{k}" for k in range(len(docs.columns))]
+    text = plain[docs.columns.index("text")] if "text" in docs.columns else None
+    return numbered(docs.toDF(*plain), key), text, lambda df: df.select(*plain).toDF(*docs.columns)
+
+
 def with_text(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` and text as a string; other columns, whatever their names, are left."""
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("text"))

@@ -5,11 +5,11 @@ of hashed words and word beginnings) is shared by all thresholds: P(grade <= k)
 w . x). The result is the expected severity, the chance of any toxicity, and a verdict.
 
 Labels say only toxic or not. Toxic labelled rows are split into a mild and a severe
-grade at the median density of words typical of toxic rows, so K = 3.
+grade at the median number of distinct features typical of toxic rows, so K = 3.
 
 The model is fitted on a bounded sample, at most ``max_labelled`` labelled rows, the
 smallest by a digest of their id. Word statistics come from the sample in one
-aggregation; the ``n_features`` most telling words (by z-score) are the features, and
+aggregation; the ``n_features`` most telling (by likelihood ratio) are used, and
 only their hits are gathered for the fit. The chosen rows' ids are broadcast (bounded
 by the parameter), so the texts are not shuffled. Scoring runs over whole texts.
 
@@ -35,10 +35,11 @@ from .text import by_bytes, run_lengths, text_buffer, word_hashes, words
 
 BITS = 22
 PREFIXES = (4, 5, 6, 7, 8, 10)  # bytes
+LEAST_GAIN = 24.0  # likelihood ratio a feature must reach, about 5 standard deviations
 
 
-def hashed_words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document index, hashed feature, words per document). A word here is a run of
+def hashed_words(column) -> tuple[np.ndarray, np.ndarray]:
+    """(document index, hashed feature). A word here is a run of
     letters and digits (all bytes from 0x80 count as letters), A-Z lower-cased; its
     features are itself and its beginnings of ``PREFIXES`` bytes."""
     buf, offsets = text_buffer(column)
@@ -51,7 +52,7 @@ def hashed_words(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found.append(word_hashes(buf, starts[longer], starts[longer] + n) ^ np.uint64(n << 60))
         owners.append(docs[longer])
     hashes = (np.concatenate(found) >> np.uint64(64 - BITS)).astype(np.int64)
-    return np.concatenate(owners), hashes, np.bincount(docs, minlength=len(column))
+    return np.concatenate(owners), hashes
 
 
 @dataclass
@@ -70,7 +71,7 @@ class Ordinal:
     def scores(self, column) -> np.ndarray:
         table = np.zeros(1 << BITS, np.float32)
         table[self.features] = self.weights
-        docs, hashes, _ = hashed_words(column)
+        docs, hashes = hashed_words(column)
         hit = table[hashes] != 0
         pairs = np.unique(docs[hit] << BITS | hashes[hit])
         return np.bincount(pairs >> BITS, weights=table[pairs & ((1 << BITS) - 1)], minlength=len(column))
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, n_featur
     def count(batches):
         for batch in by_bytes(batches):
             toxic = batch.column("__toxic").to_numpy()
-            at, hashes, _ = hashed_words(batch.column("text"))
+            at, hashes = hashed_words(batch.column("text"))
             pairs = np.unique(at << BITS | hashes)
             key = np.sort((pairs & ((1 << BITS) - 1)) << 1 | (toxic[pairs >> BITS] > 0))
             start, n = run_lengths(key)
@@ -128,13 +129,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, n_featur
     n = {r["toxic"]: r["n"] for r in totals}
     if not n.get(True) or not n.get(False):
         return None
-    rate_toxic, rate_clean = (F.col("toxic") + 0.5) / (n[True] + 1.0), (F.col("clean") + 0.5) / (n[False] + 1.0)
-    odds = F.log(rate_toxic / (1 - rate_toxic)) - F.log(rate_clean / (1 - rate_clean))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    share = n[True] / (n[True] + n[False])
+    seen = F.col("toxic") + F.col("clean")
+    odds = F.log((F.col("toxic") + 0.5) / (n[True] + 1.0)) - F.log((F.col("clean") + 0.5) / (n[False] + 1.0))
+    part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (seen * p))).otherwise(0.0)
+    gain = 2 * (part("toxic", share) + part("clean", 1 - share))
     telling = (sample.mapInArrow(count, "word long, clean long, toxic long").groupBy("word")
                .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-               .select("word", odds.alias("odds"), (odds / error).alias("z")).filter("abs(z) > 3")
-               .orderBy(F.desc(F.abs("z")), "word").limit(n_features).collect())
+               .select("word", odds.alias("odds"), gain.alias("gain")).filter(F.col("gain") > LEAST_GAIN)
+               .orderBy(F.desc("gain"), "word").limit(n_features).collect())
     if not telling:
         return None
     features = np.array([r["word"] for r in telling])
@@ -144,22 +147,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, n_featur
         place = np.full(1 << BITS, -1, np.int32)
         place[features] = np.arange(len(features))
         for batch in by_bytes(batches):
-            at, hashes, size = hashed_words(batch.column("text"))
+            at, hashes = hashed_words(batch.column("text"))
             found = place[hashes]
             at, found = at[found >= 0], found[found >= 0]
-            density = np.bincount(at, weights=typical[found], minlength=batch.num_rows) / np.maximum(size, 1)
             pairs = np.unique(at << 32 | found)
+            telling = np.bincount(pairs >> 32, weights=typical[pairs & 0xFFFFFFFF], minlength=batch.num_rows)
             edges = np.searchsorted(pairs >> 32, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("__toxic"), pa.array(density), lists], names=["toxic", "density", "at"])
+            yield pa.RecordBatch.from_arrays([batch.column("__toxic"), pa.array(telling), lists], names=["toxic", "telling", "at"])
 
-    got = sample.mapInArrow(hits, "toxic int, density double, at array<int>").toArrow()
-    toxic, density = got["toxic"].to_numpy() > 0, got["density"].to_numpy()
-    severe = density > np.median(density[toxic])
+    got = sample.mapInArrow(hits, "toxic int, telling double, at array<int>").toArrow()
+    toxic, hits_of = got["toxic"].to_numpy() > 0, got["telling"].to_numpy()
+    severe = hits_of > np.median(hits_of[toxic])
     grades = np.where(toxic, 1 + severe, 0)
     lists = got["at"].combine_chunks()
     rows = np.repeat(np.arange(len(grades)), np.diff(lists.offsets.to_numpy()))
-    order = np.lexsort((density, grades))  # the sample's row order must not matter
+    order = np.lexsort((hits_of, grades))  # the sample's row order must not matter
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     weights, thresholds = fit_ordinal(back[rows], lists.flatten().to_numpy(), grades[order], len(features), 3)
