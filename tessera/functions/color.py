@@ -3,10 +3,11 @@ P18 assign_category_color."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..util import bounded_broadcast
+from ..util import dense_index
+
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -44,15 +45,13 @@ def palette_color(df: DataFrame, col: str, palette: list[str] = PALETTE,
     """colour = palette[rank(sorted distinct value) mod len(palette)].
 
     The value dictionary (distinct values, optionally shared across slides via
-    ``dictionary``) is tiny; ``row_number`` runs over it alone and it is
-    broadcast back to the data.
+    ``dictionary``) is numbered without a global window and joined back.
     """
     values = (dictionary if dictionary is not None else df).select(col).where(F.col(col).isNotNull()).distinct()
     pal = F.array(*[F.lit(p) for p in palette])
-    d = (values.withColumn("_i", F.row_number().over(Window.orderBy(col)) - 1)
-               .withColumn(out, F.element_at(pal, (F.col("_i") % len(palette) + 1).cast("int")))
-               .drop("_i"))
-    return df.join(bounded_broadcast(d), col, "left")
+    d = (dense_index(values, col, "_i").withColumn(out, F.element_at(pal, (F.col("_i") % len(palette) + 1).cast("int")))
+         .drop("_i"))
+    return df.join(d, col, "left")
 
 
 # P9 -------------------------------------------------------------------------
@@ -80,11 +79,11 @@ def assign_category_color(df: DataFrame, col: str, supplied: DataFrame | None =
     base = df
     if supplied is not None:
         s = supplied.toDF(col, "_c_sup")
-        base = base.join(bounded_broadcast(s), col, "left")
+        base = base.join(s, col, "left")
         cand.append(F.col("_c_sup"))
     if category_colors is not None:
         t = category_colors.toDF(col, "_c_cat")
-        base = base.join(bounded_broadcast(t), col, "left")
+        base = base.join(t, col, "left")
         cand.append(F.col("_c_cat"))
     if hex_col and hex_col in df.columns:
         order = F.col(order_col) if order_col else F.monotonically_increasing_id()

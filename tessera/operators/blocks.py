@@ -23,26 +23,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..util import bounded_broadcast
 
 BLOCK_SCHEMA = ("channel string, by long, bx long, bh int, bw int, pixels array<long>")
 
 
 def tiles_from_long(pixels: DataFrame, height: int, width: int, keys=("fov", "channel")) -> DataFrame:
     """Long tile pixels -> one row per tile with a row-major array (missing = 0).
-    A tile is bounded by height x width values."""
+    A tile is bounded by height x width values; its pixels are gathered as
+    (index, value) arrays and scattered into one dense array."""
     keys = list(keys)
     idx = (F.col("row") * width + F.col("col")).cast("int")
-    g = pixels.groupBy(*keys).agg(F.map_from_arrays(F.collect_list(idx), F.collect_list("val")).alias("m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)),
-                      lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long")))
-    return g.select(*keys, F.lit(height).alias("height"), F.lit(width).alias("width"), arr.alias("pixels"))
+    g = pixels.groupBy(*keys).agg(F.collect_list(F.struct(idx.alias("i"), F.col("val").cast("long").alias("v"))).alias("px"))
+    g = g.select(*keys, F.col("px.i").alias("i"), F.col("px.v").alias("v"))
+
+    def fill(it):
+        for pdf in it:
+            dense = []
+            for i, v in zip(pdf["i"], pdf["v"]):
+                a = np.zeros(height * width, dtype=np.int64)
+                a[np.asarray(i)] = np.asarray(v)
+                dense.append(a)
+            yield pdf[keys].assign(height=np.int32(height), width=np.int32(width), pixels=dense)
+
+    types = dict(g.dtypes)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", height int, width int, pixels array<long>"
+    return g.mapInPandas(fill, schema)
 
 
 def stitch_blocks(tiles: DataFrame, origins: DataFrame, block: int = 1024) -> DataFrame:
     """R1 in block form. ``tiles`` = (fov, channel, height, width, pixels);
     ``origins`` = (fov, y0, x0, paste_order, canvas_h, canvas_w)."""
-    o = bounded_broadcast(origins.select("fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w"))
+    o = origins.select("fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w")
     t = tiles.join(o, "fov")
     B = int(block)
     # rows / cols of the tile inside the canvas
@@ -103,7 +114,7 @@ def pyramid_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024
     assert B & (B - 1) == 0, "block must be a power of two"
     L = max(1, int(np.floor(np.log2(max(height, width) / min_size))))
     mh, mw = int(np.floor(np.log2(height))), int(np.floor(np.log2(width)))
-    levels = [k for k in range(L) if (1 << min(k, mh)) <= B and (1 << min(k, mw)) <= B]
+    levels = range(L)  # a block without a sampled pixel of a level emits nothing for it
 
     def emit(it):
         for pdf in it:
@@ -150,32 +161,39 @@ _NEIGHBOURS = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) !=
 
 
 def _with_halo(blocks: DataFrame, k: int, height: int, width: int, block: int, fn, out_schema: str):
-    """Give every block a halo of ``k`` pixels from its 8 neighbours and apply
-    ``fn(padded, bh, bw) -> array | None`` per block. Each block sends k-wide
-    edge strips / corners to its neighbours, so a group holds one block plus 8
-    thin strips. Groups exist for every block that has pixels or borders one
-    (uncovered area = 0); halo parts outside the canvas replicate the edge."""
+    """Give every block a halo of ``k`` pixels and apply ``fn(padded, bh, bw) ->
+    array | None`` per block. A block sends each block within ``k`` pixels the part
+    of its own pixels that lies in that block's halo: strips and corners for the 8
+    neighbours, further rings when ``k`` exceeds the block edge. Groups exist for
+    every block that has pixels or lies near one (uncovered area = 0); halo parts
+    beyond the canvas replicate its edge, by true distance from the canvas."""
     B, k = int(block), int(k)
-    assert 1 <= k <= B
+    reach = -(-k // B)  # how many blocks away a halo can end
+    ring = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1) if (dy, dx) != (0, 0)]
 
     def emit(it):
         for pdf in it:
             rows = []
             for ch, by, bx, bh, bw, px in zip(pdf["channel"], pdf["by"], pdf["bx"], pdf["bh"], pdf["bw"],
                                               pdf["pixels"]):
-                a = np.asarray(px, dtype=np.int64).reshape(int(bh), int(bw))
-                rows.append((ch, by, bx, 0, 0, int(bh), int(bw), a.ravel()))
-                for dy, dx in _NEIGHBOURS:
+                bh, bw = int(bh), int(bw)
+                a = np.asarray(px, dtype=np.int64).reshape(bh, bw)
+                rows.append((ch, by, bx, 0, 0, bh, bw, a.ravel()))
+                for dy, dx in ring:
                     ty, tx = by + dy, bx + dx
                     if ty < 0 or tx < 0 or ty * B >= height or tx * B >= width:
                         continue
-                    rs = slice(None) if dy == 0 else (slice(0, k) if dy < 0 else slice(max(0, a.shape[0] - k), None))
-                    cs = slice(None) if dx == 0 else (slice(0, k) if dx < 0 else slice(max(0, a.shape[1] - k), None))
-                    piece = a[rs, cs]
-                    rows.append((ch, ty, tx, -dy, -dx, int(piece.shape[0]), int(piece.shape[1]), piece.ravel()))
-            yield pd.DataFrame(rows, columns=["channel", "by", "bx", "sy", "sx", "ph", "pw", "piece"])
+                    # rows / columns of this block inside the target's halo, in block coordinates
+                    r0, r1 = max(0, ty * B - k - by * B), min(bh, min(height, (ty + 1) * B) + k - by * B)
+                    c0, c1 = max(0, tx * B - k - bx * B), min(bw, min(width, (tx + 1) * B) + k - bx * B)
+                    if r0 >= r1 or c0 >= c1:
+                        continue
+                    # offset of the piece from the target block's first pixel
+                    rows.append((ch, ty, tx, int(by * B + r0 - ty * B), int(bx * B + c0 - tx * B),
+                                 r1 - r0, c1 - c0, a[r0:r1, c0:c1].ravel()))
+            yield pd.DataFrame(rows, columns=["channel", "by", "bx", "oy", "ox", "ph", "pw", "piece"])
 
-    parts = blocks.mapInPandas(emit, "channel string, by long, bx long, sy int, sx int, ph int, pw int, "
+    parts = blocks.mapInPandas(emit, "channel string, by long, bx long, oy int, ox int, ph int, pw int, "
                                      "piece array<long>")
 
     def compute(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -183,15 +201,13 @@ def _with_halo(blocks: DataFrame, k: int, height: int, width: int, block: int, f
         ch, by, bx = str(first["channel"]), int(first["by"]), int(first["bx"])
         bh, bw = int(min(B, height - by * B)), int(min(B, width - bx * B))
         pad = np.zeros((bh + 2 * k, bw + 2 * k), dtype=np.int64)
-        for sy, sx, ph, pw, pc in zip(pdf["sy"], pdf["sx"], pdf["ph"], pdf["pw"], pdf["piece"]):
-            v = np.asarray(pc, dtype=np.int64).reshape(int(ph), int(pw))
-            r0 = k if sy == 0 else (k - ph if sy < 0 else k + bh)
-            c0 = k if sx == 0 else (k - pw if sx < 0 else k + bw)
-            pad[r0:r0 + ph, c0:c0 + pw] = v
-        top, left = by == 0, bx == 0
-        bottom, right = (by + 1) * B >= height, (bx + 1) * B >= width
-        inner = pad[k if top else 0:(k + bh) if bottom else None, k if left else 0:(k + bw) if right else None]
-        pad = np.pad(inner, ((k if top else 0, k if bottom else 0), (k if left else 0, k if right else 0)), mode="edge")
+        for oy, ox, ph, pw, pc in zip(pdf["oy"], pdf["ox"], pdf["ph"], pdf["pw"], pdf["piece"]):
+            pad[k + oy:k + oy + ph, k + ox:k + ox + pw] = np.asarray(pc, dtype=np.int64).reshape(int(ph), int(pw))
+        # parts of the halo beyond the canvas, by distance
+        top, left = max(0, k - by * B), max(0, k - bx * B)
+        bottom, right = max(0, by * B + bh + k - height), max(0, bx * B + bw + k - width)
+        inner = pad[top:pad.shape[0] - bottom, left:pad.shape[1] - right]
+        pad = np.pad(inner, ((top, bottom), (left, right)), mode="edge")
         res = fn(pad, bh, bw)
         if res is None or not res.any():
             return pd.DataFrame(columns=["channel", "by", "bx", "bh", "bw", "pixels"])
@@ -235,7 +251,7 @@ def contour_blocks(blocks: DataFrame, k: int, height: int, width: int, block: in
 def cells_in_shapes_blocks(shapes: DataFrame, label_blocks: DataFrame, mm_per_px: float, top_left_mm,
                            height: int, width: int, block: int = 1024) -> DataFrame:
     """J9 in block form: shapes are routed to the label blocks their bounding
-    box overlaps (size-checked broadcast of the few shape x block pairs); per
+    box overlaps (equi-join on the block; the pairs carry no pixels); per
     (shape, block) a vectorised even-odd / ellipse mask over the block grid
     picks the labels. Same geometry as :func:`tessera.operators.raster.cells_in_shapes`.
     Returns distinct (shape_id, UID)."""
@@ -246,7 +262,7 @@ def cells_in_shapes_blocks(shapes: DataFrame, label_blocks: DataFrame, mm_per_px
     s = s.select("shape_id", "kind", "pv", "ymin", "ymax", "xmin", "xmax", "er", "ec", "ey", "ex",
                  F.explode(F.sequence(F.floor(F.col("ymin") / B), F.floor(F.col("ymax") / B))).alias("by"))
     s = s.select("*", F.explode(F.sequence(F.floor(F.col("xmin") / B), F.floor(F.col("xmax") / B))).alias("bx"))
-    j = label_blocks.select("by", "bx", "bh", "bw", "pixels").join(bounded_broadcast(s), ["by", "bx"])
+    j = label_blocks.select("by", "bx", "bh", "bw", "pixels").join(s, ["by", "bx"])
 
     def run(it):
         for pdf in it:

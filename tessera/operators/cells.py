@@ -20,15 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.color import HISTOGRAM_DEFAULT_COLOR
-from ..util import attach
-from ..util import bounded_broadcast
+from ..util import attach, dense_index
 
 # ---------------------------------------------------------------------------
 # Fixed values.
 CELL_TYPE_COLUMN_PATTERN = r"^RNA_RNA_Cell\.Typing\.InSituType\..*_clusters$"
 MIN_FLOW_FRACTION = 0.005
-NEURONAL_TYPES = ["Glutamatergic", "GABAergic", "Cholinergic", "Dopaminergic",
-                  "Serotonergic", "Noradrenergic"]
+NEURONAL_TYPES = ["Inhibitory.neuron.A", "Inhibitory.neuron.B", "Inhibitory.neuron.C",
+                  "L2.3.neuron", "L4.neuron", "L6.neuron"]
 DOT_SIZE_SCALE = 200
 CATEGORICAL_MAX_DISTINCT = 30
 # ---------------------------------------------------------------------------
@@ -76,7 +75,7 @@ def subset_cells(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
     column type first; the value list is broadcast into a semi join."""
     typ = dict(df.dtypes)[col]
     v = values.select(F.col(values.columns[0]).cast(typ).alias(col)).distinct()
-    return df.join(bounded_broadcast(v), col, "left_semi")
+    return df.join(v, col, "left_semi")
 
 
 # J1 -------------------------------------------------------------------------
@@ -211,37 +210,38 @@ def density_compare(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 # A4 -------------------------------------------------------------------------
-def exact_median(df: DataFrame, keys: list[str], col: str, out: str, accuracy: int = 1_000_000,
-                 small_group: int = 50_000) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], col: str, out: str, accuracy: int = 1_000_000) -> DataFrame:
     """Exact interpolating median per group with bounded memory per group.
 
-    Pass 1 (one aggregation): n, and for large groups a rank window around the
-    middle from ``percentile_approx`` (its rank error is at most n/accuracy, so
-    the window [p(0.5 - 2/acc), p(0.5 + 2/acc)] contains both middle ranks).
-    Pass 2: per group the count of values below the window and the sorted
-    values inside it (about 4n/accuracy values, or the whole group when it has
-    at most ``small_group`` rows) — never the whole of a large group.
+    One aggregation gives n and a rank window around the middle from
+    ``percentile_approx`` (its rank error is at most n/accuracy, so the window
+    [p(0.5 - 2/acc), p(0.5 + 2/acc)] contains both middle ranks). Values are
+    compacted to (value, count) rows first, so ties are one row; per group the
+    counts below the window are summed and the distinct values inside it (about
+    4n/accuracy) are walked by running count.
     """
     keys = list(keys)
     eps = 2.0 / accuracy
     b = df.groupBy(*keys).agg(F.count(F.col(col)).alias("_n"),
                               F.percentile_approx(col, [0.5 - eps, 0.5 + eps], accuracy).alias("_q"))
-    b = b.select(*keys, "_n",
-                 F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[0]).alias("_lo"),
-                 F.when(F.col("_n") <= small_group, F.lit(None)).otherwise(F.col("_q")[1]).alias("_hi"))
-    j = df.select(*keys, col).where(F.col(col).isNotNull()).join(bounded_broadcast(b), keys)
-    inside = F.col("_lo").isNull() | ((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi")))
+    v = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
+    j = v.join(b.select(*keys, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), keys)
+    inside = (F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))
     g = j.groupBy(*keys).agg(
         F.first("_n").alias("_n"),
-        F.sum((F.col("_lo").isNotNull() & (F.col(col) < F.col("_lo"))).cast("long")).alias("_below"),
-        F.sort_array(F.collect_list(F.when(inside, F.col(col)))).alias("_w"))
+        F.coalesce(F.sum(F.when(F.col(col) < F.col("_lo"), F.col("_c"))), F.lit(0)).alias("_below"),
+        F.sort_array(F.collect_list(F.when(inside, F.struct(F.col(col).cast("double").alias("v"), F.col("_c").alias("c"))))).alias("_w"))
     pos = (F.col("_n") - 1) / 2.0
-    lo_r = F.floor(pos).cast("long") - F.col("_below")
-    hi_r = F.ceil(pos).cast("long") - F.col("_below")
-    v_lo = F.element_at("_w", (lo_r + 1).cast("int"))
-    v_hi = F.element_at("_w", (hi_r + 1).cast("int"))
+
+    def at(rank):
+        start = F.struct(F.col("_below").alias("s"), F.lit(None).cast("double").alias("v"))
+        return F.aggregate("_w", start, lambda a, x: F.struct(
+            (a["s"] + x["c"]).alias("s"), F.when(a["v"].isNull() & (a["s"] + x["c"] > rank), x["v"]).otherwise(a["v"]).alias("v")),
+            lambda a: a["v"])
+
+    lo_r, hi_r = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
     frac = pos - F.floor(pos)
-    med = F.when(lo_r == hi_r, v_lo).otherwise((1 - frac) * v_lo + frac * v_hi)
+    med = F.when(lo_r == hi_r, at(lo_r)).otherwise((1 - frac) * at(lo_r) + frac * at(hi_r))
     return g.select(*keys, med.alias(out))
 
 
@@ -274,16 +274,20 @@ def cluster_labels(df: DataFrame, keys: list[str] = (), exact: bool = True,
 
 # A7 -------------------------------------------------------------------------
 def metadata_stats(raw: DataFrame, kept: DataFrame, seg_col: str = "seg_id",
-                   type_col: str = "cell_type") -> DataFrame:
-    """rows read, rows written, rows filtered, number of types, segmentation ids
-    seen (sorted set), in one aggregation per frame."""
-    r = raw.agg(F.count(F.lit(1)).alias("rows_read"),
-                F.sort_array(F.collect_set(F.trim(F.col(seg_col)))).alias("seg_ids_seen"))
-    k = kept.agg(F.count(F.lit(1)).alias("rows_written"),
-                 F.count_distinct(F.col(type_col)).alias("n_types"))
-    return attach(r, k).select("rows_read", "rows_written",
-                            (F.col("rows_read") - F.col("rows_written")).alias("rows_filtered"),
-                            "n_types", "seg_ids_seen")
+                   type_col: str = "cell_type", keys: list[str] = ()) -> DataFrame:
+    """Per ``keys``: rows read (``raw``: the rows of every source that was read), rows
+    written (all of ``kept``, typed or not), rows filtered, number of non-empty
+    types, segmentation ids seen (sorted set), in one aggregation per frame."""
+    keys = list(keys)
+    r = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_read"),
+                               F.sort_array(F.collect_set(F.trim(F.col(seg_col)))).alias("seg_ids_seen"))
+    typed = F.when(F.col(type_col) != "", F.col(type_col))
+    k = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_written"), F.count_distinct(typed).alias("n_types"))
+    j = r.join(k, keys, "left") if keys else attach(r, k)
+    written = F.coalesce("rows_written", F.lit(0))
+    return j.select(*keys, "rows_read", written.alias("rows_written"),
+                    (F.col("rows_read") - written).alias("rows_filtered"),
+                    F.coalesce("n_types", F.lit(0)).alias("n_types"), "seg_ids_seen")
 
 
 # O3 / O4 --------------------------------------------------------------------
@@ -301,7 +305,7 @@ def dotplot_matrix(stats_a: DataFrame, stats_b: DataFrame, label_a: str = "A", l
     st = shared_types(stats_a, stats_b, only)
     u = (stats_a.withColumn("slide", F.lit(label_a))
          .unionByName(stats_b.withColumn("slide", F.lit(label_b))))
-    u = u.join(bounded_broadcast(st), "cell_type", "left_semi")
+    u = u.join(st, "cell_type", "left_semi")
     mx = u.agg(F.max("mean_expression").alias("_vmax"))
     j = attach(u, mx)
     return j.select("slide", "cell_type", "gene", "pct_expressed", "mean_expression",
@@ -318,11 +322,11 @@ def probe_label(df: DataFrame, dictionary: DataFrame, col: str = "probe", to_nam
     lookup happens before an optional tag is appended."""
     if to_name:
         d = dictionary.groupBy("ProbeID").agg(F.max_by("DisplayName", "ord").alias("_name"))
-        j = df.join(bounded_broadcast(d), df[col] == d["ProbeID"], "left").drop("ProbeID")
+        j = df.join(d, df[col] == d["ProbeID"], "left").drop("ProbeID")
         res = F.when(F.col(col).contains("CPRO"), F.coalesce("_name", F.col(col))).otherwise(F.col(col))
     else:
         d = dictionary.groupBy("DisplayName").agg(F.min_by("ProbeID", "ord").alias("_name"))
-        j = df.join(bounded_broadcast(d), df[col] == d["DisplayName"], "left").drop("DisplayName")
+        j = df.join(d, df[col] == d["DisplayName"], "left").drop("DisplayName")
         res = F.coalesce("_name", F.col(col))
     if tag:
         res = F.concat(res, F.lit(f"_{tag}"))
@@ -380,11 +384,13 @@ def minmax_scale(df: DataFrame, col: str, out: str | None = None, subset: Column
 
 # J10 ------------------------------------------------------------------------
 def flag_cells(meta: DataFrame, cells_by_layer: DataFrame, layers: list[str],
-               uid_col: str = "UID") -> DataFrame:
-    """One boolean column per annotation layer: is the cell in that layer."""
-    p = (cells_by_layer.select(uid_col, "layer").distinct()
-         .groupBy(uid_col).pivot("layer", list(layers)).agg(F.lit(True)))
-    j = meta.join(p, uid_col, "left")
+               uid_col: str = "UID", keys: list[str] = ()) -> DataFrame:
+    """One boolean column per annotation layer: is the cell (of this slide, with
+    ``keys``) in that layer."""
+    on = [*keys, uid_col]
+    p = (cells_by_layer.select(*on, "layer").distinct()
+         .groupBy(*on).pivot("layer", list(layers)).agg(F.lit(True)))
+    j = meta.join(p, on, "left")
     for l in layers:
         j = j.withColumn(l, F.coalesce(F.col(f"`{l}`"), F.lit(False)))
     return j
@@ -398,9 +404,23 @@ def assemble_counts(counts: DataFrame, obs: DataFrame, var: DataFrame,
     Returns the long table (cell, gene, count, obs/coords/umap columns)."""
     o = obs.withColumnRenamed("idx", "cell_idx")
     v = var.withColumnRenamed("idx", "gene_idx")
-    j = counts.join(o, "cell_idx").join(bounded_broadcast(v), "gene_idx")
+    j = counts.join(o, "cell_idx").join(v, "gene_idx")
     if coords is not None:
         j = j.join(coords.withColumnRenamed("idx", "cell_idx"), "cell_idx", "left")
     if umap is not None:
         j = j.join(umap.withColumnRenamed("idx", "cell_idx"), "cell_idx", "left")
     return j
+
+
+def category_colors(obs: DataFrame, column: str, colors: DataFrame) -> DataFrame:
+    """The colours of a categorical obs column, one row per category in category
+    order (position, category, color). ``colors`` = (value, color[, ord]); the last
+    entry of a value wins. A category without a colour fails the job when the rows
+    are produced."""
+    d = colors.groupBy("value").agg(F.max_by("color", "ord").alias("color") if "ord" in colors.columns
+                                    else F.max("color").alias("color"))
+    c = dense_index(obs.select(F.col(column).cast("string").alias("category")).where("category IS NOT NULL").distinct(),
+                    "category", "position")
+    j = c.join(d, c["category"] == d["value"], "left")
+    missing = F.raise_error(F.concat(F.lit(f"no color for {column} "), F.col("category")))
+    return j.select("position", "category", F.coalesce(F.col("color"), missing).alias("color"))

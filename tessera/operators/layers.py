@@ -10,15 +10,13 @@ many slides are handled in one job (``keys`` = slide columns).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..util import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values.
 RESERVED_LAYERS = ["labels", "protein", "composite", "targets", "fovgrid"]
-EXPORT_EXCLUDED = ["labels", "protein"]
 DEFAULT_COLORMAPS = {"DAPI": "blue", "DNA": "blue", "PanCK": "green", "U": "blue", "G": "green"}
 DEFAULT_COLOR = "gray"
 DEFAULT_WINDOW = (0, 65535)
@@ -56,7 +54,7 @@ def layer_catalog(channels: DataFrame, proteins: DataFrame | None = None,
     if windows is not None:
         w = windows.select(*keys, "name", "type", F.col("start").alias("_s"), F.col("end").alias("_e"),
                            F.col("color").alias("_c") if "color" in windows.columns else F.lit(None).cast("string").alias("_c"))
-        cat = cat.join(bounded_broadcast(w), keys + ["name", "type"], "left")
+        cat = cat.join(w, keys + ["name", "type"], "left")
     else:
         cat = (cat.withColumn("_s", F.lit(None).cast("long")).withColumn("_e", F.lit(None).cast("long"))
                   .withColumn("_c", F.lit(None).cast("string")))
@@ -114,8 +112,8 @@ def resolve_requested_layers(spark: SparkSession, request: str | None, catalog:
     if request is None or request.strip(" ,") == "":
         kept = names.withColumn("pos", F.row_number().over(Window.orderBy("name")) - 1).select("pos", "name")
         return kept, req.limit(0)
-    kept = req.join(bounded_broadcast(names), "name", "left_semi").select("pos", "name")
-    bad = req.join(bounded_broadcast(names), "name", "left_anti").select("pos", "name")
+    kept = req.join(names, "name", "left_semi").select("pos", "name")
+    bad = req.join(names, "name", "left_anti").select("pos", "name")
     return kept, bad
 
 
@@ -135,7 +133,14 @@ def batch_layers(items: DataFrame, n: int, labels: str | None = None) -> DataFra
     return g.select("batch", arr.alias("items"))
 
 
+def digest_group(n: int, seed: int, *columns: Column) -> Column:
+    """1..n from the first 8 hex digits of md5("seed|value|value...") (null = empty)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % n + 1
+
+
 # W7 -------------------------------------------------------------------------
 def random_groups(df: DataFrame, n: int, seed: int = 0, out: str = "grp") -> DataFrame:
-    """Uniform integer 1..n per row."""
-    return df.withColumn(out, (F.floor(F.rand(seed) * n) + 1).cast("int"))
+    """Integer 1..n per row, uniform over rows, from a digest of the seed and the
+    row's values: the same whatever the partitioning, and after a retry."""
+    return df.withColumn(out, digest_group(n, seed, *[F.col(f"`{c}`") for c in df.columns]).cast("int"))

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location, with_extent
 from ..functions.keys import key_label_pixels
-from ..util import bounded_broadcast
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -70,7 +69,7 @@ def stitch_mosaic(tiles: DataFrame, origins: DataFrame, keys: list[str] = (),
     keys, ch = list(keys), list(channel_cols)
     if overlap is None and tile_height and tile_width:
         overlap = tiles_overlap(origins, tile_height, tile_width, keys)
-    o = bounded_broadcast(origins.select(*keys, "fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w"))
+    o = origins.select(*keys, "fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w")
     j = tiles.join(o, keys + ["fov"])
     j = j.select(*keys, *ch, (F.col("row") + F.col("y0")).alias("row"), (F.col("col") + F.col("x0")).alias("col"),
                  "val", "paste_order", "canvas_h", "canvas_w")
@@ -131,7 +130,7 @@ def stitch_encoded(tiles: DataFrame, origins: DataFrame, barcodes: DataFrame | N
     m = stitch_mosaic(t, origins, keys)
     if barcodes is not None:
         b = barcodes.select(F.col("id").alias("channel"), F.regexp_replace("Protein", "/", "_").alias("_p"))
-        m = m.join(bounded_broadcast(b), "channel", "left").withColumn(
+        m = m.join(b, "channel", "left").withColumn(
             "layer", F.concat(F.col("channel"), F.lit("_"), F.coalesce("_p", F.lit("None")))).drop("_p")
     else:
         m = m.withColumn("layer", F.col("channel"))
@@ -218,7 +217,7 @@ def fov_grid(origins: DataFrame, height: int, width: int, border: int, keys: lis
                        (F.floor(F.col("y0") / H) + F.col("d.a")).alias("by"),
                        (F.floor(F.col("x0") / W) + F.col("d.c")).alias("bx")).distinct()
     c2 = cand.withColumn("by", F.floor(F.col("row") / H)).withColumn("bx", F.floor(F.col("col") / W))
-    j = c2.join(bounded_broadcast(rect), keys + ["by", "bx"])
+    j = c2.join(rect, keys + ["by", "bx"])
     j = j.where((F.col("row") >= F.col("y0")) & (F.col("row") < F.col("y0") + H)
                 & (F.col("col") >= F.col("x0")) & (F.col("col") < F.col("x0") + W))
     rr, cc = F.col("row") - F.col("y0"), F.col("col") - F.col("x0")
@@ -474,7 +473,7 @@ def cells_in_shapes(shapes: DataFrame, labels: DataFrame, mm_per_px: float, top_
     lab = labels.where(F.col("val") != 0).select(
         "row", "col", F.col("val").alias("UID"),
         F.floor(F.col("row") / bucket).alias("by"), F.floor(F.col("col") / bucket).alias("bx"))
-    j = lab.join(bounded_broadcast(cells), ["by", "bx"])
+    j = lab.join(cells, ["by", "bx"])
     j = j.where((F.col("row") >= F.col("ymin")) & (F.col("row") <= F.col("ymax"))
                 & (F.col("col") >= F.col("xmin")) & (F.col("col") <= F.col("xmax")))
     r, c = F.col("row").cast("double"), F.col("col").cast("double")

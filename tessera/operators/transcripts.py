@@ -11,13 +11,13 @@ partial (map-side) aggregation before any shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location, global_xy, with_extent
 from ..functions.keys import unpair_key
-from ..session import ensure_checkpoint_dir
-from ..util import bounded_broadcast
+from ..util import dense_index
+from .layers import digest_group
 
 # ---------------------------------------------------------------------------
 # Prefixes of control probes (not genes).
@@ -53,7 +53,7 @@ def global_coordinates(targets: DataFrame, fovs: DataFrame, height: int, width:
     keys = list(keys)
     f = with_extent(first_location(fovs, keys), height, width, px_per_mm, keys)
     f = f.select(*keys, F.col("FOV").alias("fov"), "X_mm", "Y_mm", "minX", "maxX", "minY", "maxY")
-    j = targets.join(bounded_broadcast(f), keys + ["fov"], "left")
+    j = targets.join(f, keys + ["fov"], "left")
     gx, gy = global_xy(F.col("x"), F.col("y"), height, width, px_per_mm)
     return (j.withColumn("global_x", gx).withColumn("global_y", gy)
              .drop("minX", "maxX", "minY", "maxY"))
@@ -66,77 +66,70 @@ def filter_gene(targets_global: DataFrame, gene: str) -> DataFrame:
 
 
 def target_counts_for_cells(cells: DataFrame, targets: DataFrame, uid_col: str = "UID",
-                            max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Frequency of each target among calls that fall in the given cells.
+                            keys: list[str] = ()) -> DataFrame:
+    """Frequency of each target among calls that fall in the given cells, per
+    ``keys`` (slide, run) when both frames carry them.
 
     ``cells`` holds cell UIDs (pair(fov, cell)); they are unpaired to
     (fov, CellId). Duplicate UIDs count twice, as in a plain inner join.
 
-    Plan: if the cell list is provably small it is broadcast and the calls are
-    joined without a shuffle, then aggregated partially by target. Otherwise the
-    calls are first pre-aggregated to (fov, CellId, target) counts, which bounds
-    the hot "no cell" key (CellId 0) to one row per target before the shuffle
-    join, and AQE splits any remaining skewed partition.
+    One lazy plan: calls are pre-aggregated to (keys, fov, CellId, target) counts
+    before anything is shuffled, which bounds the hot "no cell" key (CellId 0) to
+    one row per target and task; cells are reduced to their multiplicity; adaptive
+    execution broadcasts or splits the join by its measured size.
     """
+    keys = list(keys)
     # Keys are made non-nullable (NULL UIDs never match anyway): otherwise the
     # optimizer infers IS NOT NULL over the whole unpair expression and pushes
     # it into the UID producer, which bloats generated code.
-    c = unpair_key(cells.select(uid_col).where(F.col(uid_col).isNotNull()), uid_col).select(
-        F.coalesce(F.col("fov").cast("int"), F.lit(-1)).alias("fov"),
+    c = unpair_key(cells.select(*keys, uid_col).where(F.col(uid_col).isNotNull()), uid_col).select(
+        *keys, F.coalesce(F.col("fov").cast("int"), F.lit(-1)).alias("fov"),
         F.coalesce(F.col("CellId").cast("int"), F.lit(-1)).alias("CellId"))
-    # The cell list usually comes out of joins / aggregations (shapes, labels):
-    # materialise it once (reliable checkpoint in the shared checkpoint dir) so
-    # the size check and the join read the stored rows instead of recomputing.
-    ensure_checkpoint_dir(cells.sparkSession)
-    c = c.checkpoint(eager=True)
-    n = c.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        j = targets.select("fov", "CellId", "target").join(F.broadcast(c), ["fov", "CellId"])
-        out = j.groupBy("target").agg(F.count(F.lit(1)).alias("count"))
-    else:
-        pre = targets.groupBy("fov", "CellId", "target").agg(F.count(F.lit(1)).alias("n"))
-        j = pre.join(c, ["fov", "CellId"])
-        out = j.groupBy("target").agg(F.sum("n").alias("count"))
-    return out.orderBy(F.desc("count"), "target")
+    c = c.groupBy(*keys, "fov", "CellId").agg(F.count(F.lit(1)).alias("m"))
+    pre = targets.groupBy(*keys, "fov", "CellId", "target").agg(F.count(F.lit(1)).alias("n"))
+    j = pre.join(c, keys + ["fov", "CellId"])
+    out = j.groupBy(*keys, "target").agg(F.sum(F.col("n") * F.col("m")).alias("count"))
+    return out.orderBy(*keys, F.desc("count"), "target")
 
 
 def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Replace strings by 0-based codes in alphabetical order.
 
-    Returns (encoded frame, dictionary). The dictionary is the distinct values
-    (small: genes, compartments); ``row_number`` runs over it only and it is
-    broadcast back.
+    Returns (encoded frame, dictionary). The dictionary is the distinct values;
+    they are range-partitioned and numbered inside a partition, with the counts of
+    the partitions before it added, so no single task sees all of them.
     """
     out = out or f"{col}_code"
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    d = d.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
-    return df.join(bounded_broadcast(d), col, "left"), d
+    d = dense_index(d, col, out)
+    return df.join(d, col, "left"), d
 
 
 def transcript_raster(targets: DataFrame, height: int, width: int, mode: str = "all",
                       genes: list[str] | None = None, groups: int | None = None,
-                      seed: int = 0) -> DataFrame:
-    """Points per pixel of each FOV canvas (fov, row, col, val).
+                      seed: int = 0, keys: list[str] = ()) -> DataFrame:
+    """Points per pixel of each FOV canvas (keys, fov, row, col, val).
 
     Points outside [0, W] x [0, H] are dropped; the upper edge belongs to the
     last pixel. Modes: ``all`` -> count; ``genes`` -> 1-based index of the last
-    listed gene with a point there; ``random`` -> random group 1..n per call,
-    highest group wins. Counts are not wrapped to 8 bits.
+    listed gene with a point there; ``random`` -> group 1..n per call, from a
+    digest of the seed and the call's values (the same on every run), highest wins. Counts are not wrapped to 8 bits.
     """
-    H, W = int(height), int(width)
+    H, W, pixel = int(height), int(width), [*keys, "fov", "row", "col"]
     t = targets.where((F.col("x") >= 0) & (F.col("x") <= W) & (F.col("y") >= 0) & (F.col("y") <= H))
     t = (t.withColumn("row", F.least(F.floor("y"), F.lit(H - 1)).cast("int"))
           .withColumn("col", F.least(F.floor("x"), F.lit(W - 1)).cast("int")))
     if mode == "all":
-        return t.groupBy("fov", "row", "col").agg(F.count(F.lit(1)).alias("val"))
+        return t.groupBy(*pixel).agg(F.count(F.lit(1)).alias("val"))
     if mode == "genes":
         gl = F.array(*[F.lit(g) for g in genes])
         t = t.where(F.col("target").isin(list(genes))).withColumn(
             "gi", F.array_position(gl, F.col("target")).cast("int"))
-        return t.groupBy("fov", "row", "col").agg(F.max("gi").cast("long").alias("val"))
+        return t.groupBy(*pixel).agg(F.max("gi").cast("long").alias("val"))
     if mode == "random":
-        t = t.withColumn("gi", (F.floor(F.rand(seed) * groups) + 1).cast("long"))
-        return t.groupBy("fov", "row", "col").agg(F.max("gi").alias("val"))
+        values = [F.col(c) for c in [*keys, "fov", "CellId", "x", "y", "z", "target"]]
+        t = t.withColumn("gi", digest_group(groups, seed, *values))
+        return t.groupBy(*pixel).agg(F.max("gi").alias("val"))
     raise ValueError(mode)
 
 
@@ -144,17 +137,18 @@ def disk_offsets(r: int) -> list[tuple[int, int]]:
     return [(dy, dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1) if dy * dy + dx * dx <= r * r]
 
 
-def spread_raster(raster: DataFrame, r: int, height: int, width: int, how: str = "sum") -> DataFrame:
+def spread_raster(raster: DataFrame, r: int, height: int, width: int, how: str = "sum",
+                  keys: list[str] = ()) -> DataFrame:
     """Dilate every point by a disk of radius r (sum of counts, or max of
     an index), clipped to the FOV canvas. The offset list is a literal of
     (2r+1)^2 entries at most, exploded per point; the re-aggregation is partial."""
     offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in disk_offsets(r)])
-    e = raster.select("fov", "row", "col", "val", F.explode(offs).alias("o"))
-    e = e.select("fov", (F.col("row") + F.col("o.dy")).alias("row"),
+    e = raster.select(*keys, "fov", "row", "col", "val", F.explode(offs).alias("o"))
+    e = e.select(*keys, "fov", (F.col("row") + F.col("o.dy")).alias("row"),
                  (F.col("col") + F.col("o.dx")).alias("col"), "val")
     e = e.where((F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width))
     agg = F.sum("val") if how == "sum" else F.max("val")
-    return e.groupBy("fov", "row", "col").agg(agg.cast("long").alias("val"))
+    return e.groupBy(*keys, "fov", "row", "col").agg(agg.cast("long").alias("val"))
 
 
 def transcripts_for_display(targets_global: DataFrame, fovs: list[int] | None = None,

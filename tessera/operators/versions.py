@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import SEG_PREFIX, segmentation_uuid, segmentation_version
-from ..util import bounded_broadcast
 
 BIG_RANK = 1 << 30  # "never covered" cut
 
@@ -85,7 +84,7 @@ def select_segmentations(seg: DataFrame, primary: DataFrame, keys: list[str] = (
     p = primary.select(*keys, F.col("primary_dir")).withColumn("pversion", segmentation_version("primary_dir"))
     # Folder catalogue (one row per folder) with its rank; dimension-sized.
     folders = s.select(*keys, "dir", "version").distinct()
-    folders = folders.join(bounded_broadcast(p), keys) if keys else _attach_one(folders, p)
+    folders = folders.join(p, keys) if keys else _attach_one(folders, p)
     elig = folders.where((F.col("dir") == F.col("primary_dir")) | (F.col("version") < F.col("pversion")))
     # Ranking runs over the folder catalogue only (a handful of versions per slide).
     w = Window.partitionBy(*keys).orderBy(F.when(F.col("dir") == F.col("primary_dir"), 0).otherwise(1),
@@ -95,10 +94,10 @@ def select_segmentations(seg: DataFrame, primary: DataFrame, keys: list[str] = (
     low = folders.groupBy(*keys).agg(F.min(F.struct("version", "dir")).alias("m")).select(
         *keys, F.col("m.dir").alias("ref_dir"))
     ref = (s.select(*keys, "dir", "fov")
-           .join(bounded_broadcast(low.withColumnRenamed("ref_dir", "dir")), keys + ["dir"])
+           .join(low.withColumnRenamed("ref_dir", "dir"), keys + ["dir"])
            .select(*keys, "fov").distinct())
     winner = (s.select(*keys, "dir", "fov")
-              .join(bounded_broadcast(elig.select(*keys, "dir", "rank")), keys + ["dir"])
+              .join(elig.select(*keys, "dir", "rank"), keys + ["dir"])
               .groupBy(*keys, "fov").agg(F.min("rank").alias("win")))
     cov = ref.join(winner, keys + ["fov"], "left")
     cut = cov.groupBy(*keys).agg(F.max(F.coalesce("win", F.lit(BIG_RANK))).alias("cut"))
@@ -119,12 +118,14 @@ def _attach_one(df: DataFrame, one: DataFrame) -> DataFrame:
 
 # W3 -------------------------------------------------------------------------
 def merge_metadata_sources(rows: DataFrame, ids: str | None, seg_col: str = "cellSegmentationSetId",
-                           source_col: str = "source_idx", keys: list[str] = ()) -> DataFrame:
+                           source_col: str = "source_idx", keys: list[str] = (),
+                           matching: bool = True) -> DataFrame:
     """Concatenate matching rows of the sources in order until every requested
     segmentation id has been seen; later sources are ignored.
 
     first(id) = min source index holding the id; cut = max over requested ids
-    (all sources if one is never seen); keep matching rows with source <= cut.
+    (all sources if one is never seen); keep matching rows with source <= cut
+    (``matching=False``: all rows of the sources that are read, up to the cut).
     Only the tiny (id -> first source) table is aggregated; rows are filtered.
     """
     keys = list(keys)
@@ -137,10 +138,10 @@ def merge_metadata_sources(rows: DataFrame, ids: str | None, seg_col: str = "cel
     found = found.select(*keys, F.when(F.col("_n") < len(wanted), F.lit(BIG_RANK))
                          .otherwise(F.col("_cut")).alias("_cut"))
     if keys:
-        j = m.join(bounded_broadcast(found), keys)
+        j = (m if matching else rows).join(found, keys)
     else:
         from ..util import attach
-        j = attach(m, found)
+        j = attach(m if matching else rows, found)
     return j.where(F.col(source_col) <= F.col("_cut")).drop("_cut")
 
 
@@ -154,7 +155,7 @@ def pick_label_tiles(files: DataFrame, ordered_dirs: DataFrame, keys: list[str]
     plain aggregate with partial aggregation.
     """
     keys = list(keys)
-    f = files.join(bounded_broadcast(ordered_dirs.select(*keys, "dir", "priority")), keys + ["dir"], "left")
+    f = files.join(ordered_dirs.select(*keys, "dir", "priority"), keys + ["dir"], "left")
     base = ~F.col("dir").startswith(SEG_PREFIX)
     pr = F.when(F.col("priority").isNotNull(), F.col("priority")).when(base, F.lit(BIG_RANK))
     f = f.withColumn("_p", pr).where(F.col("_p").isNotNull())
@@ -179,7 +180,7 @@ def first_nonempty_source(rows: DataFrame, keys: list[str] = (), priority_col: s
     keys = list(keys)
     best = rows.groupBy(*keys).agg(F.min(priority_col).alias(priority_col))
     if keys:
-        return rows.join(bounded_broadcast(best), keys + [priority_col], "left_semi")
+        return rows.join(best, keys + [priority_col], "left_semi")
     from ..util import attach
     b = best.withColumnRenamed(priority_col, "_best")
     return attach(rows, b).where(F.col(priority_col) == F.col("_best")).drop("_best")

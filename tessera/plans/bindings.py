@@ -131,9 +131,10 @@ class Bindings:
 
     # E10 raster tiles (long pixel form) ---------------------------------------
     def _tile_cells(self) -> DataFrame:
-        e = self.t("embeddings").join(self.fovs.select((F.col("FOV") - 1).alias("vec_id")), "vec_id", "left_semi")
-        return e.select(
-            (F.col("vec_id") + 1).cast("int").alias("fov"),
+        # Every vector is a tile; vectors of the same FOV are repeated exposures of it.
+        n = max(1, self.t("supplier").count())
+        return self.t("embeddings").select(
+            (F.col("vec_id") % n + 1).cast("int").alias("fov"),
             (F.col("label") % 3).cast("int").alias("channel"),
             F.posexplode("embedding").alias("pos", "v"),
         )
@@ -145,7 +146,7 @@ class Bindings:
             F.floor(F.col("pos") / FOV_TILE).cast("int").alias("row"),
             (F.col("pos") % FOV_TILE).cast("int").alias("col"),
             F.floor((F.col("v").cast("double") + 1) * 100).cast("long").alias("val"),
-        )
+        ).groupBy("fov", "channel", "row", "col").agg(F.max("val").alias("val"))
 
     @cached_property
     def label_pixels(self) -> DataFrame:
@@ -155,7 +156,7 @@ class Bindings:
             (F.col("pos") % FOV_TILE).cast("int").alias("col"),
             F.when(F.col("v").cast("double") > F.lit(0.1).cast("double"), F.col("pos") % 5 + 1)
              .otherwise(0).cast("long").alias("val"),
-        )
+        ).groupBy("fov", "row", "col").agg(F.max("val").alias("val"))
 
     # E3 segmentation folders ---------------------------------------------------
     @cached_property
@@ -283,20 +284,19 @@ umap AS (
   FROM embeddings)""",
     "tile_cells": """
 tile_cells AS (
-  SELECT CAST(vec_id + 1 AS INTEGER) AS fov, CAST(label % 3 AS INTEGER) AS channel,
+  SELECT CAST(vec_id % (SELECT greatest(count(*), 1) FROM supplier) + 1 AS INTEGER) AS fov, CAST(label % 3 AS INTEGER) AS channel,
          CAST(u.i - 1 AS INTEGER) AS pos, CAST(embedding[u.i] AS DOUBLE) AS v
-  FROM embeddings, (SELECT unnest(range(1, 65)) AS i) u
-  WHERE vec_id IN (SELECT s_suppkey FROM supplier))""",
+  FROM embeddings, (SELECT unnest(range(1, 65)) AS i) u)""",
     "pixels": """
 pixels AS (
   SELECT fov, channel, CAST(floor(pos / 8) AS INTEGER) AS row, CAST(pos % 8 AS INTEGER) AS col,
-         CAST(floor((v + 1) * 100) AS BIGINT) AS val
-  FROM tile_cells)""",
+         max(CAST(floor((v + 1) * 100) AS BIGINT)) AS val
+  FROM tile_cells GROUP BY 1, 2, 3, 4)""",
     "label_pixels": """
 label_pixels AS (
   SELECT fov, CAST(floor(pos / 8) AS INTEGER) AS row, CAST(pos % 8 AS INTEGER) AS col,
-         CAST(CASE WHEN v > CAST(0.1 AS DOUBLE) THEN pos % 5 + 1 ELSE 0 END AS BIGINT) AS val
-  FROM tile_cells)""",
+         max(CAST(CASE WHEN v > CAST(0.1 AS DOUBLE) THEN pos % 5 + 1 ELSE 0 END AS BIGINT)) AS val
+  FROM tile_cells GROUP BY 1, 2, 3)""",
     "seg": """
 seg AS (
   SELECT DISTINCT dir, fov FROM (

@@ -23,7 +23,6 @@ from ..operators import versions as V
 from ..sources import inventory as I
 from ..sources import readers as RD
 from ..sources import sinks as S
-from ..util import bounded_broadcast
 
 
 # X1 -------------------------------------------------------------------------
@@ -39,12 +38,12 @@ def slide_metadata(meta: DataFrame, seg_ids: str | None, seg_col: str = "cellSeg
         raw = kept
     else:
         kept = V.merge_metadata_sources(meta, seg_ids, seg_col=seg_col, keys=keys)
-        raw = meta
+        raw = V.merge_metadata_sources(meta, seg_ids, seg_col=seg_col, keys=keys, matching=False)
     ct = F.coalesce(F.col("cell_type"), F.lit(""))
     out = kept.select(*keys, F.coalesce(F.col(id_col), F.lit("")).alias("cell_ID"), ct.alias("cell_type"),
                       deterministic_color(ct).alias("hex_color"), "source_idx", "row_idx")
     stats = C.metadata_stats(raw.withColumn(seg_col, F.coalesce(F.trim(F.col(seg_col)), F.lit(""))),
-                             out.where(F.col("cell_type") != ""), seg_col=seg_col)
+                             out, seg_col=seg_col, keys=keys)
     return out, stats
 
 
@@ -125,7 +124,7 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
         calls = calls.select(*[F.col(c).cast(t).alias(c) for c, t in RD.TARGET_COLUMNS],
                              F.regexp_extract(F.col("_metadata.file_path"),
                                               r"^(?:file:)?" + re.escape(root) + r"/(.*)/AnalysisResults/", 1).alias("slide_base_path"))
-        calls = calls.join(bounded_broadcast(todo.select(*keys, "slide")), keys).drop(*keys)
+        calls = calls.join(todo.select(*keys, "slide"), keys).drop(*keys)
         S.write_targets(calls, f"{out_root.rstrip('/')}/targets", ["slide", "fov"])
         result["targets_path"] = f"{out_root.rstrip('/')}/targets"
     if run_log_path:
@@ -148,8 +147,8 @@ def reclassification_job(meta_a: DataFrame, meta_b: DataFrame, slide_col: str =
     """Flows for every slide present in both experiments; node colours from
     the type name (P7), link colours = source colour at 30 % alpha (P9)."""
     both = C.shared_and_exclusive_slides(meta_a, meta_b, slide_col).where(F.col("status") == "both").select(slide_col)
-    a = meta_a.join(bounded_broadcast(both), slide_col, "left_semi")
-    b = meta_b.join(bounded_broadcast(both), slide_col, "left_semi")
+    a = meta_a.join(both, slide_col, "left_semi")
+    b = meta_b.join(both, slide_col, "left_semi")
     la = a.select(slide_col, "cell_name", F.coalesce("cell_type", F.lit("")).alias("type_a"), "row_idx")
     lb = b.select(slide_col, "cell_name", F.coalesce("cell_type", F.lit("")).alias("type_b"), "row_idx")
     la = la.groupBy(slide_col, "cell_name").agg(F.max_by("type_a", "row_idx").alias("type_a"))

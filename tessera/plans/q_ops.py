@@ -485,7 +485,13 @@ def q_batch_layers(spark, d):
 
 
 # Random assignment cannot be matched value-by-value by another engine: rows-only.
-query("random_groups")(
+query("random_groups", with_ctes("""
+SELECT fov, CellId, target,
+       CAST(CAST('0x' || substr(md5('7|' || fov || '|' || CellId || '|' || target), 1, 8) AS BIGINT) % 4 + 1 AS INTEGER) AS grp
+FROM target_calls""", "target_calls"))(
     lambda spark, d: L.random_groups(Bindings(spark, d).target_calls.select("fov", "CellId", "target"), 4, seed=7))
-query("transcript_raster_random")(
+query("transcript_raster_random", with_ctes("""
+SELECT fov, CAST(least(floor(y), 511) AS INTEGER) AS row, CAST(least(floor(x), 511) AS INTEGER) AS col,
+       max(CAST('0x' || substr(md5('7|' || fov || '|' || CellId || '|' || x || '|' || y || '|' || z || '|' || target), 1, 8) AS BIGINT) % 3 + 1) AS val
+FROM target_calls WHERE x BETWEEN 0 AND 512 AND y BETWEEN 0 AND 512 GROUP BY 1, 2, 3""", "target_calls"))(
     lambda spark, d: TR.transcript_raster(Bindings(spark, d).target_calls, 512, 512, "random", groups=3, seed=7))

@@ -7,12 +7,16 @@ S4 read_fov_offsets, S5 read_manifests, S7 read_mtx, S8 read_dictionary
 Readers declare types and keep file order where a rule needs "first"/"last"
 (``row_idx`` from :func:`tessera.util.with_file_order`). Only file *names* are
 ever listed on the driver (the same metadata Spark's file index holds); row
-data always stays in the executors. gzip CSV is not splittable, so such reads
-are repartitioned after the scan when a later step needs parallelism.
+data always stays in the executors. gzip CSV is not splittable: one task reads one
+file, and later shuffles spread its rows.
 """
 
 from __future__ import annotations
 
+import csv
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,12 +41,15 @@ EXPR_KEYS = ["fov", "cell_ID"]
 
 
 def _list(spark: SparkSession, root: str, glob: str | None = None) -> list[str]:
-    """File names under ``root`` (sorted); names only, no content."""
+    """File names under ``root`` (sorted); names only, no content. A folder that is
+    missing has no files; any other failure is raised."""
     try:
         inv = file_inventory(spark, root, glob)
-        return sorted(r["path"] for r in inv.select("path").collect())
-    except Exception:  # noqa: BLE001  (missing folder -> no files)
-        return []
+        return sorted(r["path"] for r in inv.select("path").toLocalIterator())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def logical_files(spark: SparkSession, root: str, name_regex: str) -> dict[str, list[str]]:
@@ -50,16 +57,16 @@ def logical_files(spark: SparkSession, root: str, name_regex: str) -> dict[str,
 
     A logical file is a path whose last segment matches ``name_regex``; it is
     either a plain file or a folder of that name written by a Spark job (its
-    part files). Keys are relative to ``root``, sorted (listing order)."""
-    import re
-    base = root.rstrip("/")
+    part files). Keys are relative to ``root``, sorted (listing order). Hidden
+    names (``_x``, ``.x``) are skipped below the root only."""
+    base = re.sub(r"^file:(?=/)", "", root.rstrip("/"))
     pat = re.compile(name_regex)
     out: dict[str, list[str]] = {}
-    for p in _list(spark, base):
-        if "/_" in p or "/." in p.split(base, 1)[-1]:
-            continue
+    for p in _list(spark, root.rstrip("/")):
         rel = p.split(base + "/", 1)[-1]
         segs = rel.split("/")
+        if any(x.startswith(("_", ".")) for x in segs):
+            continue
         for i, seg in enumerate(segs):
             if pat.fullmatch(seg):
                 out.setdefault("/".join(segs[:i + 1]), []).append(p)
@@ -67,28 +74,53 @@ def logical_files(spark: SparkSession, root: str, name_regex: str) -> dict[str,
     return dict(sorted(out.items()))
 
 
-def _header(spark: SparkSession, files: list[str]) -> list[str]:
-    line = spark.read.text(files[0]).first()["value"]
-    return [h.strip().strip('"') for h in line.split(",")]
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file through Hadoop's file system and codecs: a bounded read,
+    also of compressed files."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def files_by_header(spark: SparkSession, files: list[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """{column names: files}: CSV files are read by name, one scan per distinct
+    header, whatever order their columns have. Headers are read in parallel, one
+    line each; only distinct ones are kept."""
+    from concurrent.futures import ThreadPoolExecutor
+    out: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(threads) as pool:
+        for path, line in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            if line:
+                names = next(csv.reader([line.lstrip("\ufeff")]))
+                out.setdefault(tuple(n.strip() for n in names), []).append(path)
+    return out
 
 
-# S1 -------------------------------------------------------------------------
-def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
-    """First line of every file in ONE job (not one job per file): the first row
-    of each file's first split, by increasing row id."""
-    t = (spark.read.text(files)
-         .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                 "value", F.monotonically_increasing_id().alias("i"))
-         .where(F.col("b") == 0).groupBy("f").agg(F.min_by("value", "i").alias("h")))
-    return {r["f"]: r["h"] for r in t.collect()}
+def read_csv_by_name(spark: SparkSession, files: list[str]) -> DataFrame:
+    """All columns of CSV files with differing headers, matched by name; strings."""
+    frames = []
+    for names, same in files_by_header(spark, files).items():
+        df = spark.read.option("header", True).csv(same)
+        frames.append(df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
+# S1 -------------------------------------------------------------------------
 def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list[str] | None = None,
                          cell_type_column: str | None = None) -> DataFrame:
     """Cell metadata of every slide and run under an experiment, as one frame.
 
     Files ``<run>/flatFiles/<slide>/<slide>_metadata_file.csv.gz`` are listed
-    once; their headers are read in one job; files with the same header are read
+    once; one line of each gives its header; files with the same header are read
     by one CSV scan (runs name their typing column differently, so there is one
     scan per distinct header, not per file) and combined by name.
 
@@ -97,7 +129,6 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
     ``cell_id``; renamed because Spark column names are case-insensitive),
     cellSegmentationSetId, cell_type (P15 per header).
     """
-    import re
     root = experiment_root.rstrip("/")
     pat = re.compile(r"([^/]+)/flatFiles/([^/]+)/\2_metadata_file\.csv\.gz")
     logical = {}
@@ -114,14 +145,9 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
         by_slide.setdefault(slide, []).append(run)
     order = [(slide, run, i) for slide, runs in by_slide.items() for i, run in enumerate(runs)]
     phys = [p for _, _, ps in logical.values() for p in ps]
-    heads = _headers(spark, phys)
-    groups: dict[str, list[str]] = {}
-    for p in phys:
-        groups.setdefault(heads.get(p, heads.get("file:" + p, "")), []).append(p)
     frames = []
-    for header, files in groups.items():
-        names = [h.strip().strip('"') for h in header.split(",")]
-        names = ["cell_name" if n == "cell_id" else n for n in names]
+    for header, files in files_by_header(spark, phys).items():
+        names = ["cell_name" if n == "cell_id" else n for n in header]
         df = with_file_order(spark.read.option("header", True).csv(files)).toDF(*names, "row_idx")
         c = detect_cell_type_column(df.columns, cell_type_column)
         df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
@@ -132,8 +158,7 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     src = spark.createDataFrame(order, "slide string, run string, source_idx int")
-    from ..util import bounded_broadcast
-    out = out.join(bounded_broadcast(src), ["slide", "run"])
+    out = out.join(src, ["slide", "run"])
     for col, t in (("fov", "int"), ("cell_ID", "int")):
         if col in out.columns:
             out = out.withColumn(col, F.col(col).try_cast(t))
@@ -164,8 +189,7 @@ def read_expression(spark: SparkSession, path: str, genes: list[str] | None = No
 def read_target_calls(spark: SparkSession, root: str) -> DataFrame:
     """Transcript calls of a slide folder, 7 typed columns. Three layouts are
     tried in order (FOV*/FOV_Analysis_Summary/, FOV*/, the folder itself); the
-    first with any file wins."""
-    import re
+    first with any file wins. Columns are taken by name, file by file."""
     files = logical_files(spark, root, r"[a-zA-Z0-9_][^/]*" + re.escape(TARGET_FILE_SUFFIX))
     chosen: list[str] = []
     for layout in TARGET_LAYOUTS:
@@ -174,7 +198,7 @@ def read_target_calls(spark: SparkSession, root: str) -> DataFrame:
             break
     if not chosen:
         raise FileNotFoundError(f"no target call files under {root}")
-    df = spark.read.option("header", True).csv(chosen)
+    df = read_csv_by_name(spark, chosen)
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in TARGET_COLUMNS])
 
 

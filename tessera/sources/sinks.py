@@ -20,11 +20,17 @@ MOSAIC_BLOCK = 1024  # block edge of the packed mosaic table (1M pixels per row
 # ---------------------------------------------------------------------------
 
 
+def _replacing(df: DataFrame):
+    """Writer that replaces the partitions it writes and leaves all others: a run
+    over one slide does not erase the slides of earlier runs."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 # K1 -------------------------------------------------------------------------
 def write_cell_metadata(df: DataFrame, path: str, partition_by: list[str] = ("slide",)) -> None:
     """``cell_ID, cell_type, hex_color`` CSV with header, one folder per slide."""
     parts = [c for c in partition_by if c in df.columns]
-    (df.select(*parts, *METADATA_COLUMNS).write.mode("overwrite").option("header", True)
+    (_replacing(df.select(*parts, *METADATA_COLUMNS)).option("header", True)
        .partitionBy(*parts).csv(path))
 
 
@@ -35,8 +41,8 @@ def write_targets(df: DataFrame, path: str, partition_by: list[str] = ("slide",
     for gene filters). Range partitioning on (slide, fov, target) splits a
     heavy FOV over several tasks / files instead of one task per FOV."""
     parts = [c for c in partition_by if c in df.columns]
-    (df.repartitionByRange(*parts, "target").sortWithinPartitions(*parts, "target")
-       .write.mode("overwrite").partitionBy(*parts).parquet(path))
+    ranged = df.repartitionByRange(*parts, "target").sortWithinPartitions(*parts, "target")
+    _replacing(ranged).partitionBy(*parts).parquet(path)
 
 
 # K3 -------------------------------------------------------------------------
@@ -52,10 +58,10 @@ def pack_blocks(pixels: DataFrame, block: int = MOSAIC_BLOCK, keys: list[str] =
         F.sort_array(F.collect_list(F.struct("r", "c", "val"))).alias("px"))
 
 
-def write_mosaic(pixels: DataFrame, path: str, block: int = MOSAIC_BLOCK) -> None:
-    b = pack_blocks(pixels, block)
-    parts = [c for c in ("channel", "level") if c in b.columns]
-    b.write.mode("overwrite").partitionBy(*parts).parquet(path)
+def write_mosaic(pixels: DataFrame, path: str, block: int = MOSAIC_BLOCK, keys: list[str] = ()) -> None:
+    b = pack_blocks(pixels, block, [*keys, "channel", "level"])
+    parts = [c for c in (*keys, "channel", "level") if c in b.columns]
+    _replacing(b).partitionBy(*parts).parquet(path)
 
 
 def unpack_blocks(blocks: DataFrame, block: int = MOSAIC_BLOCK) -> DataFrame:
@@ -83,5 +89,6 @@ def write_slide_geometry(fovs: DataFrame, path: str, height: int, width: int, um
                    F.lit(float(um_per_px)).alias("scale_um"), F.lit(version).alias("version"),
                    F.transform("o", lambda s: F.struct(s["FOV"].alias("FOV"), s["X_mm"].alias("X_mm"),
                                                        s["Y_mm"].alias("Y_mm"))).alias("fov_offsets"))
-    out.write.mode("overwrite").parquet(path)
+    w = _replacing(out)
+    (w.partitionBy(*keys) if keys else w).parquet(path)
     return out

@@ -2,26 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension side is shipped to every executor. A FOV
-# table of a whole cohort (thousands of slides x hundreds of FOVs) is well below
-# this; a transcript table never is.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The check is one cheap bounded job (``limit(max_rows + 1).count()``). Above the
-    bound the frame is returned unhinted, so Catalyst/AQE plan a shuffle join (and
-    AQE can still switch to broadcast from runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def with_file_order(df: DataFrame, name: str = "row_idx") -> DataFrame:
     """Attach a sortable row index that follows file order.
 
@@ -44,29 +27,34 @@ def rnd(c: Column | str, places: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, places)
 
 
-def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as parquet under the session checkpoint dir
-    (a shared folder on a cluster) and reading it back."""
-    spark = df.sparkSession
-    base = spark.sparkContext.getCheckpointDir()
-    if base is None:
-        from .session import ensure_checkpoint_dir
-        base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def dense_index(distinct: DataFrame, col: str, out: str) -> DataFrame:
+    """0-based position of each value in sorted order, without one global window:
+    values are dealt to buckets by their first two characters' code points (numbers:
+    by their multiples of 4096), numbered inside a bucket, and shifted by the sizes of lower buckets."""
+    text = F.col(col).cast("string")
+    place = F.when(F.length(text) > 0, F.ascii(text)).otherwise(F.lit(-1)) * F.lit(1 << 21)
+    bucket = place + F.when(F.length(text) > 1, F.ascii(F.substring(text, 2, 1))).otherwise(F.lit(-1))
+    if dict(distinct.dtypes)[col] != "string":
+        bucket = F.floor(F.col(col).cast("double") / 4096)
+    d = distinct.withColumn("_b", bucket.cast("long"))
+    sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    lower = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("_b", lower.alias("_lower"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(col)) - 1
+    return (d.withColumn("_within", inside).join(sizes, "_b")
+             .withColumn(out, (F.col("_lower") + F.col("_within")).cast("int")).drop("_b", "_within", "_lower"))
 
 
 def attach(df: DataFrame, small: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Attach the columns of a per-group aggregate ``small`` to ``df``.
 
-    With keys: broadcast equi-join (``small`` has one row per group, e.g. per
-    slide). Without keys ``small`` is a single row of scalars: it is fetched once
+    With keys: equi-join (``small`` has one row per group, e.g. per slide;
+    adaptive execution broadcasts it when its bytes turn out small). Without keys ``small`` is a single row of scalars: it is fetched once
     to the driver and added as literals, so no cross join is planned.
     """
     keys = list(keys)
     if keys:
-        return df.join(bounded_broadcast(small), keys)
+        return df.join(small, keys)
     row = small.first()
     for name in small.columns:
         v = None if row is None else row[name]
