@@ -27,9 +27,8 @@ CELL_ID_PATTERN = r"c_.*_(.*)_(.*)"
 # Segmentation folders: Segmentation_<uuid>[_<NNN>]
 SEG_PREFIX = "Segmentation_"
 SEG_VERSION_PATTERN = r"_(\d+)$"
-# Output prefix of a processed slide.
-OUTPUT_ROOT = "napari-stitched"
 # ---------------------------------------------------------------------------
+OUTPUT_ROOT = "processed"  # default first folder of a processed slide's output prefix
 
 
 def _c(c: Column | str) -> Column:
@@ -37,7 +36,7 @@ def _c(c: Column | str) -> Column:
 
 
 # P1 -------------------------------------------------------------------------
-def parse_slide_path(df: DataFrame, col: str = "slide_base_path") -> DataFrame:
+def parse_slide_path(df: DataFrame, col: str = "slide_base_path", output_root: str = OUTPUT_ROOT) -> DataFrame:
     """Split ``Study/Experiment/Run/DecodedFiles/Slide/ScanId`` from the right."""
     parts = F.split(F.regexp_replace(F.col(col), "/+$", ""), "/")
     out = (df.withColumn("slide", F.element_at(parts, -2))
@@ -47,7 +46,7 @@ def parse_slide_path(df: DataFrame, col: str = "slide_base_path") -> DataFrame:
              .withColumn("study", F.element_at(parts, -6)))
     return (out.withColumn("experiment_prefix", F.concat_ws("/", "study", "experiment"))
                .withColumn("output_prefix",
-                           F.concat_ws("/", F.lit(OUTPUT_ROOT), "study", "experiment", "run", "slide")))
+                           F.concat_ws("/", F.lit(output_root), "study", "experiment", "run", "slide")))
 
 
 def split_s3_uri(c: Column | str) -> tuple[Column, Column]:

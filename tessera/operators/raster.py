@@ -442,46 +442,37 @@ def shape_pixels_mask(shapes: DataFrame, mm_per_px: float, top_left_mm, height,
     return s
 
 
-def shape_bucket_size(masks: DataFrame, max_cells_per_shape: int = 4096, minimum: int = 64) -> int:
-    """Grid bucket edge so that the largest shape's bounding box spans at most
-    ~``max_cells_per_shape`` buckets (one scalar from the small shape table)."""
-    a = masks.agg(F.max((F.col("ymax") - F.col("ymin") + 1) * (F.col("xmax") - F.col("xmin") + 1)).alias("a")).first()["a"]
-    b = minimum
-    while a and (a / (b * b)) > max_cells_per_shape:
-        b *= 2
-    return b
+SHAPE_BUCKET = 256  # grid cell edge in pixels of the shape join
 
 
 def cells_in_shapes(shapes: DataFrame, labels: DataFrame, mm_per_px: float, top_left_mm,
-                    height, width, bucket: int | None = None) -> DataFrame:
+                    height, width, bucket: int = SHAPE_BUCKET, keys: list[str] = ()) -> DataFrame:
     """Distinct non-zero labels with a pixel inside a polygon / rectangle
     (even-odd rule on the pixel index) or ellipse (((r-r0)/a)^2 + ((c-c0)/b)^2 < 1).
 
     Range join as an equi-join: shapes (few, user drawn) are exploded to the
-    ``bucket`` x ``bucket`` grid cells of their bounding box (bucket sized from
-    the largest shape, so a slide-wide shape stays a few thousand cells) and
-    broadcast after a size check; every
-    label pixel looks up its own cell, then the bbox and the exact test run as
-    filters. No nested-loop join. Returns (shape_id, UID)."""
+    ``bucket`` x ``bucket`` grid cells of their bounding box; every label pixel
+    looks up its own cell (of its own slide, with ``keys`` on both frames), and the
+    exact test runs as a filter. Cells carry ids and boxes only; vertices join by
+    shape. No nested-loop join. Returns (keys, shape_id, UID)."""
+    keys = list(keys)
     s = shape_pixels_mask(shapes, mm_per_px, top_left_mm, height, width)
     s = s.where((F.col("ymax") >= F.col("ymin")) & (F.col("xmax") >= F.col("xmin")))
-    if bucket is None:
-        bucket = shape_bucket_size(s)
-    cells = s.select("*", F.explode(F.sequence(F.floor(F.col("ymin") / bucket), F.floor(F.col("ymax") / bucket))).alias("by"))
+    cells = s.select(*keys, "shape_id", "ymin", "ymax", "xmin", "xmax", F.explode(F.sequence(F.floor(F.col("ymin") / bucket), F.floor(F.col("ymax") / bucket))).alias("by"))
     cells = cells.select("*", F.explode(F.sequence(F.floor(F.col("xmin") / bucket), F.floor(F.col("xmax") / bucket))).alias("bx"))
-    cells = cells.select("shape_id", "kind", "pv", "ymin", "ymax", "xmin", "xmax", "er", "ec", "ey", "ex", "by", "bx")
     lab = labels.where(F.col("val") != 0).select(
-        "row", "col", F.col("val").alias("UID"),
+        *keys, "row", "col", F.col("val").alias("UID"),
         F.floor(F.col("row") / bucket).alias("by"), F.floor(F.col("col") / bucket).alias("bx"))
-    j = lab.join(cells, ["by", "bx"])
+    j = lab.join(cells, [*keys, "by", "bx"])
     j = j.where((F.col("row") >= F.col("ymin")) & (F.col("row") <= F.col("ymax"))
                 & (F.col("col") >= F.col("xmin")) & (F.col("col") <= F.col("xmax")))
+    j = j.select(*keys, "shape_id", "row", "col", "UID").join(s.select(*keys, "shape_id", "kind", "pv", "er", "ec", "ey", "ex"), [*keys, "shape_id"])
     r, c = F.col("row").cast("double"), F.col("col").cast("double")
     inside_poly = (_pnpoly(r, c, "pv") % 2) == 1
     inside_ell = (F.pow((r - F.col("ey")) / F.nullif(F.col("er"), F.lit(0.0)), 2)
                   + F.pow((c - F.col("ex")) / F.nullif(F.col("ec"), F.lit(0.0)), 2)) < 1
     j = j.where(F.when(F.col("kind") == "ellipse", F.coalesce(inside_ell, F.lit(False))).otherwise(inside_poly))
-    return j.select("shape_id", "UID").distinct()
+    return j.select(*keys, "shape_id", "UID").distinct()
 
 
 # --------------------------------------------------------------------- J11

@@ -11,18 +11,23 @@ results are written through the sinks, so any step can be re-run alone.
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.color import deterministic_color, rgba_from_hex
+from ..functions.keys import OUTPUT_ROOT, acquisition_field, parse_slide_path, segmentation_version
 from ..operators import cells as C
 from ..operators import raster as R
+from ..operators import runlog as L
 from ..operators import transcripts as T
 from ..operators import versions as V
 from ..sources import inventory as I
 from ..sources import readers as RD
 from ..sources import sinks as S
+from ..util import saved_table
 
 
 # X1 -------------------------------------------------------------------------
@@ -57,82 +62,219 @@ def slide_metadata_job(spark: SparkSession, experiment_root: str, slide: str, se
 
 
 # X2 -------------------------------------------------------------------------
+KEYS = ["study", "experiment", "run", "slide"]
+SOURCE_KEYS = ["run", "slide"]
+
+
+def _below(inv: DataFrame, pattern: str, *names: str) -> DataFrame:
+    """slide_base_path, path and the groups of ``pattern`` (below the slide folder)."""
+    full = r"^(.*/DecodedFiles/[^/]+/[^/]+)/" + pattern
+    cols = [F.regexp_extract("rel", full, i + 2).alias(n) for i, n in enumerate(names)]
+    return inv.where(F.col("rel").rlike(full)).select(F.regexp_extract("rel", full, 1).alias("slide_base_path"), "path", "length", "rel", *cols)
+
+
+def _paths(df: DataFrame) -> list[str]:
+    """File names of one kind; Spark's readers need them on the driver, row by row."""
+    return [r["path"] for r in df.select("path").distinct().toLocalIterator()]
+
+
+def highest_version(spark: SparkSession, inv: DataFrame, seg: DataFrame) -> DataFrame:
+    """(slide_base_path, fallback_dir): the folder with the highest manifest Version
+    (W2); slides without a readable manifest use the folders' own version numbers."""
+    files = _below(inv, r"CellStatsDir/(Segmentation_[^/]+)/[^/]*\.json$", "dir")
+    named = V.latest_manifest(seg.select("slide_base_path", "dir", segmentation_version("dir").alias("Version")).distinct(), ["slide_base_path"])
+    out = named.select("slide_base_path", F.col("dir").alias("_named"))
+    paths = _paths(files)
+    if paths:
+        m = RD.read_manifests(spark, paths)
+        if "Version" in m.columns:
+            tail = r"([^/]+/DecodedFiles/[^/]+/[^/]+)"  # run, slide and scan name a slide of one experiment
+            base = F.regexp_extract(F.col("_metadata.file_path"), tail + "/CellStatsDir/", 1)
+            m = V.latest_manifest(m.select(base.alias("_base"), "dir", "Version"), ["_base"])
+            out = out.join(m.select("_base", F.col("dir").alias("_manifest")),
+                           F.regexp_extract("slide_base_path", tail + "$", 1) == F.col("_base"), "left")
+            return out.select("slide_base_path", F.coalesce("_manifest", "_named").alias("fallback_dir"))
+    return out.select("slide_base_path", F.col("_named").alias("fallback_dir"))
+
+
+def cohort_metadata(meta: DataFrame, todo: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """X1 for all slides at once. ``wanted`` = (KEYS, uuid): the segmentation ids of
+    each slide; sources are the metadata files of the same slide name in all runs, the
+    slide's own run first. Returns (kept rows, stats) by KEYS."""
+    m = meta.withColumn("_id", F.trim(F.coalesce(F.col("cellSegmentationSetId"), F.lit(""))))
+    own = todo.select(*KEYS).withColumnRenamed("run", "_run")
+    rows = m.withColumnRenamed("run", "source_run").join(own, "slide").withColumnRenamed("_run", "run")
+    rows = rows.withColumn("source_idx", F.when(F.col("source_run") == F.col("run"), F.lit(-1)).otherwise(F.col("source_idx")))
+    ids = wanted.select(*KEYS, F.col("uuid").alias("_id")).distinct()
+    match = rows.join(ids, KEYS + ["_id"], "left_semi")
+    first = match.groupBy(*KEYS, "_id").agg(F.min("source_idx").alias("_first"))
+    cut = (ids.join(first, KEYS + ["_id"], "left").groupBy(*KEYS)
+           .agg(F.max(F.coalesce("_first", F.lit(V.BIG_RANK))).alias("_cut")))
+    seen = rows.join(cut, KEYS).where(F.col("source_idx") <= F.col("_cut"))
+    kept = seen.join(ids, KEYS + ["_id"], "left_semi")
+    ct = F.coalesce(F.col("cell_type"), F.lit(""))
+    name = F.col("cell_name") if "cell_name" in kept.columns else F.lit(None).cast("string")
+    out = kept.select(*KEYS, F.coalesce(name, F.lit("")).alias("cell_ID"), ct.alias("cell_type"),
+                      deterministic_color(ct).alias("hex_color"), "source_idx", "row_idx")
+    return out, C.metadata_stats(seen, out, seg_col="_id", keys=KEYS)
+
+
 def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefix: str, out_root: str,
-                         run_log_path: str | None = None) -> dict:
-    """Discover slides, skip processed ones, choose segmentation folders and
-    label tiles, and write the transcript calls of every new slide — all slides
-    in one application, slide being a column. Transcript files of all slides
-    are read in one scan (layout chosen per slide) and written partitioned by
-    slide / FOV under ``out_root/targets``. Cell metadata is X1
-    (:func:`slide_metadata_job`). Image decoding (TIFF) is out of scope: label
-    tiles are reported as the chosen file per FOV (W4), ready for a tile
-    reader."""
-    root = bucket_root.rstrip("/")
+                         run_log_path: str | None = None, tiles: DataFrame | None = None,
+                         fov_size: tuple[int, int] = (4256, 4256), um_per_px: float = 0.1203,
+                         resources: tuple[int, int] = (0, 0), processed_root: str = OUTPUT_ROOT) -> dict:
+    """All slides of an experiment in one application; slide and run are columns.
+
+    Steps: find slides whose output is not there yet (J6 over ``out_root`` and
+    ``processed_root``), choose segmentation folders (W1; without an id, or without a
+    folder for it, the highest manifest version, W2) and label files (W4), select the
+    files to read (F5), stitch labels (R2, from ``tiles``: decoded label pixels
+    slide_base_path, dir, fov, row, col, val), write slide geometry (K5), transcript
+    calls (K2), cell metadata (X1, K1) and the run log (A11, K4).
+
+    A slide without a label file or FOV locations fails at ``stitch``, one without
+    transcript files at ``read_targets``, one without matching metadata rows at
+    ``metadata``; it is logged as failed with that step and writes no data, and the
+    other slides go on. Every slide gets one ``status`` row, which replaces an earlier
+    one, so success and failure never stand together. Outputs are partitioned by
+    study / experiment / run / slide and replace only their own partitions. A slide
+    with any output, its status included, is not processed again."""
+    root, out_root = bucket_root.rstrip("/"), out_root.rstrip("/")
+    times: list[tuple] = []
+
+    def timed(step, fn):
+        start = datetime.now()
+        value = fn()
+        times.append((step, start, datetime.now()))
+        return value
+
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:", ""))
     inv = inv.withColumn("rel", I.relative_path("path", root))
-    slides = I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix)
-    from ..functions.keys import parse_slide_path
-    slides = parse_slide_path(slides, "slide_base_path")
-    from ..functions.keys import OUTPUT_ROOT
-    outputs = inv.where(F.col("rel").startswith(OUTPUT_ROOT + "/")).select(F.col("rel").alias("key"))
-    todo = V.skip_processed(slides, outputs, depth=5)
-    # Segmentation folders (dir, fov) per slide from the inventory.
-    seg = inv.select("rel", F.regexp_extract("rel", r"^(.*)/CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", 1).alias("slide_base_path"),
-                     F.regexp_extract("rel", r"/CellStatsDir/(Segmentation_[^/]+)/FOV\d+/", 1).alias("dir"),
-                     F.regexp_extract("rel", r"/CellStatsDir/Segmentation_[^/]+/FOV(\d+)/", 1).cast("int").alias("fov"))
-    seg = seg.where(F.col("dir") != "").select("slide_base_path", "dir", "fov").distinct()
-    seg = seg.join(todo.select("slide_base_path"), "slide_base_path", "left_semi")
-    # Primary segmentation id: first row of the run's metadata file (W8), matched to a folder.
-    meta_paths = inv.where(F.col("rel").rlike(r"/flatFiles/[^/]+/[^/]+_metadata_file\.csv\.gz$")).select("path").collect()
-    keys = ["slide_base_path"]
-    if meta_paths:
-        m = spark.read.option("header", True).csv([r["path"] for r in meta_paths])
-        from ..util import with_file_order
-        m = with_file_order(m)
-        m = m.withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/flatFiles/", 1)) \
-             .withColumn("slide", F.regexp_extract(F.col("_metadata.file_path"), r"/flatFiles/([^/]+)/", 1))
-        prim = V.primary_segmentation(m, ["run", "slide"], order="row_idx")
-        runs = todo.join(prim, ["run", "slide"], "left").withColumn(
-            "primary_seg_id", F.coalesce("primary_seg_id", F.lit("")))
-    else:
-        runs = todo.withColumn("primary_seg_id", F.lit(""))
-    matched = V.match_segmentation_dir(runs.select(*keys, "primary_seg_id"), seg.select(*keys, "dir"), keys)
-    selected, uncovered = V.select_segmentations(seg, matched.where(F.col("primary_dir").isNotNull()), keys)
-    # Label files per FOV: selected folders first (by rank), base folders as fallback.
-    lab = inv.where(F.upper(F.regexp_extract("rel", r"([^/]*)$", 1)).rlike("^" + I.LABEL_FILE)).select(
-        F.regexp_extract("rel", r"^(.*)/CellStatsDir/", 1).alias("slide_base_path"),
-        F.regexp_extract("rel", r"/CellStatsDir/(Segmentation_[^/]+)/", 1).alias("dir"),
-        F.col("rel").alias("path"))
-    lab = lab.withColumn("dir", F.when(F.col("dir") == "", F.lit("CellStatsDir")).otherwise(F.col("dir")))
-    from ..functions.keys import acquisition_field
-    lab = lab.withColumn("fov", acquisition_field("path", "fov"))
-    tiles = V.pick_label_tiles(lab, selected.select(*keys, "dir", F.col("rank").alias("priority")), keys)
-    result = {"slides": todo, "selected": selected, "uncovered": uncovered, "label_tiles": tiles}
-    # Transcript calls: AnalysisResults/<sub>/ with the three layouts; per slide
-    # the first layout with files wins (O2 with the slide as key).
-    tf = inv.where(F.col("rel").endswith(RD.TARGET_FILE_SUFFIX)).select(
-        "path", F.regexp_extract("rel", r"^(.*)/AnalysisResults/[^/]+/", 1).alias("slide_base_path"),
-        F.regexp_extract("rel", r"/AnalysisResults/[^/]+/(.*)$", 1).alias("inner"))
-    tf = tf.where(F.col("slide_base_path") != "").join(todo.select(*keys), keys, "left_semi")
-    layout = F.lit(None)
-    for i, pat in reversed(list(enumerate(RD.TARGET_LAYOUTS, start=1))):
-        layout = F.when(F.col("inner").rlike("^" + pat + "$"), F.lit(i)).otherwise(layout)
-    tf = tf.withColumn("priority", layout).where(F.col("priority").isNotNull())
-    chosen = [r["path"] for r in V.first_nonempty_source(tf, keys).select("path").collect()]
-    if chosen:
-        calls = spark.read.option("header", True).csv(chosen)
-        calls = calls.select(*[F.col(c).cast(t).alias(c) for c, t in RD.TARGET_COLUMNS],
-                             F.regexp_extract(F.col("_metadata.file_path"),
-                                              r"^(?:file:)?" + re.escape(root) + r"/(.*)/AnalysisResults/", 1).alias("slide_base_path"))
-        calls = calls.join(todo.select(*keys, "slide"), keys).drop(*keys)
-        S.write_targets(calls, f"{out_root.rstrip('/')}/targets", ["slide", "fov"])
-        result["targets_path"] = f"{out_root.rstrip('/')}/targets"
+    slides = parse_slide_path(I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix), "slide_base_path", processed_root)
+    outputs = inv.where(F.col("rel").startswith(processed_root + "/")).select(F.col("rel").alias("key"))
+    try:
+        mine = I.file_inventory(spark, out_root).select(F.concat_ws("/", F.lit(processed_root), *[
+            F.regexp_extract("path", rf"/{k}=([^/]+)/", 1) for k in KEYS], F.lit("x")).alias("key"))
+        outputs = outputs.union(mine)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    todo = V.skip_processed(slides, outputs, depth=5).select("slide_base_path", *KEYS).distinct()
+    # The list of work is needed by every step and must not change while outputs appear.
+    todo = saved_table(todo)
+    base = ["slide_base_path"]
+
+    def choose():
+        seg = _below(inv, r"CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", "dir", "fov").select(
+            *base, "dir", F.col("fov").cast("int").alias("fov")).distinct().join(todo.select(*base), base, "left_semi")
+        meta_files = inv.where(F.col("rel").rlike(r"/flatFiles/[^/]+/[^/]+_metadata_file\.csv\.gz$"))
+        meta = None
+        if not meta_files.isEmpty():
+            meta = RD.read_cohort_metadata(spark, f"{root}/{experiment_prefix.strip('/')}")
+            # first row of the run's own metadata file (W8), matched to a folder
+            prim = V.primary_segmentation(meta, SOURCE_KEYS, order="row_idx")
+            runs = todo.join(prim, SOURCE_KEYS, "left").withColumn("primary_seg_id", F.coalesce("primary_seg_id", F.lit("")))
+        else:
+            runs = todo.withColumn("primary_seg_id", F.lit(""))
+        matched = V.match_segmentation_dir(runs.select(*base, "primary_seg_id"), seg.select(*base, "dir"), base)
+        primary = (matched.join(highest_version(spark, inv, seg), base, "left")
+                   .select(*base, F.coalesce("primary_dir", "fallback_dir").alias("primary_dir")).where("primary_dir IS NOT NULL"))
+        selected, uncovered = V.select_segmentations(seg, primary, base)
+        lab = inv.where(F.upper(F.regexp_extract("rel", r"([^/]*)$", 1)).rlike("^" + I.LABEL_FILE)).select(
+            F.regexp_extract("rel", r"^(.*)/CellStatsDir/", 1).alias("slide_base_path"),
+            F.regexp_extract("rel", r"/CellStatsDir/(Segmentation_[^/]+)/", 1).alias("dir"), F.col("rel").alias("path"))
+        lab = lab.withColumn("dir", F.when(F.col("dir") == "", F.lit("CellStatsDir")).otherwise(F.col("dir")))
+        lab = lab.withColumn("fov", acquisition_field("path", "fov")).join(todo.select(*base), base, "left_semi")
+        label_tiles = V.pick_label_tiles(lab, selected.select(*base, "dir", F.col("rank").alias("priority")), base)
+        return saved_table(selected), saved_table(uncovered), saved_table(label_tiles), meta
+
+    def download():
+        """Files of the slides to do, and FOV locations and calls by slide."""
+        selected, uncovered, label_tiles, meta = choose()
+        own = inv.join(todo.select(*base), F.regexp_extract("rel", r"^(.*/DecodedFiles/[^/]+/[^/]+)/", 1) == F.col("slide_base_path"))
+        flagged = I.select_inventory(own.withColumn("rel", I.relative_path("rel", F.col("slide_base_path"))),
+                                     I.slide_selection_includes(["Segmentation_*"], "*"))
+        summary = I.selection_summary(flagged, base)
+        loc = _below(inv, r"RunSummary/([^/]*" + RD.FOV_LOCATIONS_SUFFIX.replace(".", r"\.") + ")$", "name").join(todo.select(*base), base, "left_semi")
+        loc = loc.groupBy(*base).agg(F.max("path").alias("path"))
+        tf = _below(inv, r"AnalysisResults/[^/]+/(.*" + re.escape(RD.TARGET_FILE_SUFFIX) + ")$", "inner").join(todo.select(*base), base, "left_semi")
+        layout = F.lit(None)
+        for i, pat in reversed(list(enumerate(RD.TARGET_LAYOUTS, start=1))):
+            layout = F.when(F.col("inner").rlike("^" + pat + "$"), F.lit(i)).otherwise(layout)
+        tf = tf.withColumn("priority", layout).where(F.col("priority").isNotNull())
+        return selected, uncovered, label_tiles, meta, summary, saved_table(loc), saved_table(V.first_nonempty_source(tf, base))
+
+    selected, uncovered, label_tiles, meta, summary, loc, tf = timed("download", download)
+    result = {"slides": todo, "selected": selected, "uncovered": uncovered, "label_tiles": label_tiles, "selection": summary}
+    path_key = F.regexp_extract(F.col("_path"), r"^(?:file:)?/*" + re.escape(root.lstrip("/")) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
+    wanted = selected.join(todo, base).select(*KEYS, "uuid")
+    rows = stats = None
+    if meta is not None:
+        rows, stats = cohort_metadata(meta, todo, wanted)
+    has = lambda df, name: df.select(*base).distinct().withColumn(name, F.lit(True))
+    kept = (rows.select(*KEYS).distinct().withColumn("has_metadata", F.lit(True)) if rows is not None
+            else todo.select(*KEYS).withColumn("has_metadata", F.lit(None).cast("boolean")))
+    state = (todo.join(has(label_tiles, "has_labels"), base, "left").join(has(loc, "has_locations"), base, "left")
+             .join(has(tf, "has_calls"), base, "left").join(kept, KEYS, "left"))
+    failed = (F.when(F.col("has_labels").isNull() | F.col("has_locations").isNull(), "stitch")
+              .when(F.col("has_calls").isNull(), "read_targets").when(F.col("has_metadata").isNull(), "metadata").otherwise(""))
+    state = saved_table(state.withColumn("failed_step", failed).withColumn("status", F.when(F.col("failed_step") == "", "success").otherwise("failed"))
+                        .select(*base, *KEYS, "status", "failed_step"))
+    good = state.where("status = 'success'").select(*base, *KEYS)
+
+    def stitch():
+        paths = _paths(loc.join(good, base, "left_semi"))
+        if not paths:
+            return
+        f = RD.read_csv_by_name(spark, paths)
+        f = f.select(path_key.alias("slide_base_path"), F.col("FOV").cast("int").alias("FOV"), F.col("X_mm").cast("double").alias("X_mm"),
+                     F.col("Y_mm").cast("double").alias("Y_mm"), F.monotonically_increasing_id().alias("ord"))
+        f = saved_table(f.join(good, base).drop(*base))
+        S.write_slide_geometry(f, f"{out_root}/geometry", *fov_size, um_per_px, "1", KEYS)
+        if tiles is not None:
+            px = tiles.join(label_tiles.select(*base, "dir", "fov"), base + ["dir", "fov"], "left_semi").join(good, base).drop(*base, "dir")
+            mosaic = R.stitch_labels(px, R.fov_origins(f, *fov_size, 1000 / um_per_px, KEYS), KEYS)
+            S.write_mosaic(mosaic, f"{out_root}/labels", keys=KEYS)
+
+    def targets():
+        paths = _paths(tf.join(good, base, "left_semi"))
+        if paths:
+            calls = RD.read_csv_by_name(spark, paths)
+            calls = calls.select(path_key.alias("slide_base_path"), *[F.col(c).cast(t).alias(c) for c, t in RD.TARGET_COLUMNS])
+            S.write_targets(calls.join(good, base).drop(*base), f"{out_root}/targets", [*KEYS, "fov"])
+            result["targets_path"] = f"{out_root}/targets"
+
+    def metadata():
+        if rows is not None:
+            S.write_cell_metadata(rows.join(good.select(*KEYS), KEYS, "left_semi"), f"{out_root}/metadata", KEYS)
+            result["metadata_stats"] = stats
+
+    timed("stitch", stitch)
+    timed("read_targets", targets)
+    timed("metadata", metadata)
+    timed("upload", lambda: S.write_status(state.select(*KEYS, "status", "failed_step"), f"{out_root}/status", KEYS))
+    fovs = _below(inv, r"CellStatsDir/(?:Segmentation_[^/]+/)?(FOV[0-9]+)/", "fov_dir")
+    sizes = I.inventory_stats(fovs.join(todo.select(*base), base, "left_semi"), base)
+    log = run_log(spark, times, state.join(sizes, base, "left"), resources)
+    result.update(status=state, log=log)
     if run_log_path:
-        S.write_run_log(todo.select("slide", "study", "experiment", "run", F.current_timestamp().alias("start_time"),
-                                    F.lit("success").alias("status"), F.lit("").alias("failed_step")), run_log_path)
+        S.write_run_log(log, run_log_path)
     return result
 
 
+def run_log(spark: SparkSession, times: list[tuple], state: DataFrame, resources: tuple[int, int]) -> DataFrame:
+    """One row per slide, 17 columns: the steps ran once for all slides, so their
+    durations (A11) are the application's; status and failed step are the slide's."""
+    steps = spark.createDataFrame([("all", *t) for t in times], "app string, step string, start timestamp, end timestamp")
+    d = L.run_durations(steps, keys=["app"]).drop("app", "status", "failed_step").first()
+    text = lambda v: F.lit("" if v is None else str(v))
+    return state.select(F.col("slide").alias("slide_name"), "study", "experiment", "run", F.lit(resources[0]).alias("vcpus"),
+                        F.lit(resources[1]).alias("memory_mb"), F.coalesce("fov_count", F.lit(0)).alias("fov_count"),
+                        F.coalesce("total_bytes", F.lit(0)).alias("fov_bytes"), F.lit(times[0][1]).alias("start_time"),
+                        *[text(d[f"duration_{s}_s"]).alias(f"duration_{s}_s") for s in (*L.STEPS, "total")],
+                        "status", "failed_step")
+
+
 # X3 -------------------------------------------------------------------------
 def dotplot_job(expr_a: DataFrame, meta_a: DataFrame, expr_b: DataFrame, meta_b: DataFrame,
                 genes: list[str], fovs_b=None, only: list[str] | None = None) -> DataFrame:

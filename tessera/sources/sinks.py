@@ -77,6 +77,11 @@ def write_run_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_status(df: DataFrame, path: str, keys: list[str] = ("slide",)) -> None:
+    """One status row per slide, replacing the slide's earlier one."""
+    _replacing(df).partitionBy(*keys).parquet(path)
+
+
 # K5 -------------------------------------------------------------------------
 def write_slide_geometry(fovs: DataFrame, path: str, height: int, width: int, um_per_px: float,
                          version: str, keys: list[str] = ("slide",)) -> DataFrame:

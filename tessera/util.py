@@ -45,6 +45,16 @@ def dense_index(distinct: DataFrame, col: str, out: str) -> DataFrame:
              .withColumn(out, (F.col("_lower") + F.col("_within")).cast("int")).drop("_b", "_within", "_lower"))
 
 
+def saved_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back."""
+    import uuid
+    from .session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def attach(df: DataFrame, small: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Attach the columns of a per-group aggregate ``small`` to ``df``.
 

@@ -3,9 +3,12 @@
 import gzip
 import os
 
-from tessera.functions.keys import OUTPUT_ROOT
+from tessera.functions.keys import OUTPUT_ROOT, pair_key
 from tessera.plans.jobs import slide_processing_job
 
+SUFFIX = "__complete_code_cell_target_call_coord.csv"
+HEADER = "fov,CellId,x,y,z,target,CellComp\n"
+
 
 def _touch(path, text="x", gz=False):
     os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -17,40 +20,83 @@ def _touch(path, text="x", gz=False):
             f.write(text)
 
 
-def test_slide_processing_job(spark, scratch):
-    root = f"{scratch}/bucket"
-    exp = "St/Exp"
-    base1 = f"{root}/{exp}/RunA/DecodedFiles/Slide1/Scan1"
-    base2 = f"{root}/{exp}/RunA/DecodedFiles/Slide2/Scan2"
-    # slide 1: three segmentation versions; primary (from flat files) is version 2
-    for v, fovs in ((1, [1, 2, 3, 4]), (2, [1, 2]), (3, [1, 2, 3, 4])):
+def _slide(root, exp, run, slide, scan, versions, calls=True, locations=True, meta=None):
+    base = f"{root}/{exp}/{run}/DecodedFiles/{slide}/{scan}"
+    for name, fovs in versions.items():
         for f in fovs:
-            _touch(f"{base1}/CellStatsDir/Segmentation_uu{v}_{v:03d}/FOV{f:03d}/CellLabels_F{f:03d}.TIF")
-    _touch(f"{base1}/CellStatsDir/FOV005/CellLabels_F005.TIF")
-    _touch(f"{base1}/RunSummary/x_FOV_Locations.csv")
-    _touch(f"{root}/{exp}/RunA/flatFiles/Slide1/Slide1_metadata_file.csv.gz",
-           "fov,cell_ID,cellSegmentationSetId\n1,1, uu2 \n1,2,uu1\n", gz=True)
-    suffix = "__complete_code_cell_target_call_coord.csv"
-    hdr = "fov,CellId,x,y,z,target,CellComp\n"
-    _touch(f"{base1}/AnalysisResults/abc/FOV001/R{suffix}", hdr + "1,1,0.5,0.5,1,G1,Nuclear\n")
-    _touch(f"{base1}/AnalysisResults/abc/FOV002/R{suffix}", hdr + "2,0,1.5,0.5,1,G2,Nuclear\n")
-    _touch(f"{base1}/AnalysisResults/abc/R{suffix}", hdr + "9,9,9,9,9,Wrong,Nuclear\n")
-    # slide 2 was processed already (its output prefix holds an object)
-    _touch(f"{base2}/CellStatsDir/Segmentation_zz_001/FOV001/CellLabels_F001.TIF")
-    _touch(f"{root}/{OUTPUT_ROOT}/St/Exp/RunA/Slide2/images/done")
-    # Logs folders are not slides
+            _touch(f"{base}/CellStatsDir/{name}/FOV{f:03d}/CellLabels_F{f:03d}.TIF")
+    if locations:
+        _touch(f"{base}/RunSummary/x_FOV_Locations.csv", "FOV,X_mm,Y_mm,Z_um\n1,0,0,1\n2,0.5,0,1\n")
+    if calls:
+        _touch(f"{base}/AnalysisResults/abc/FOV001/R{SUFFIX}", HEADER + f"1,1,0.5,0.5,1,{run}{slide},Nuclear\n")
+        # another column order
+        _touch(f"{base}/AnalysisResults/abc/FOV002/R{SUFFIX}", "target,CellComp,z,y,x,CellId,fov\n" + f"{run}{slide},Nuclear,1,0.25,1.5,0,2\n")
+        _touch(f"{base}/AnalysisResults/abc/R{SUFFIX}", HEADER + "9,9,9,9,9,Wrong,Nuclear\n")
+    if meta:
+        _touch(f"{root}/{exp}/{run}/flatFiles/{slide}/{slide}_metadata_file.csv.gz", meta, gz=True)
+    return base
+
+
+def _tree(root, exp):
+    typing = "RNA_RNA_Cell.Typing.InSituType.X_clusters"
+    base = _slide(root, exp, "RunA", "Slide1", "Scan1", {"Segmentation_uu1_001": [1, 2, 3, 4], "Segmentation_uu2_002": [1, 2], "Segmentation_uu3_003": [1, 2, 3, 4]},
+                  meta=f"fov,cell_ID,cell_id,cellSegmentationSetId,{typing}\n1,1,c_1_1_1, uu2 ,T\n1,2,c_1_1_2,uu1,\n1,3,c_1_1_3,uu9,B\n")
+    _touch(f"{base}/CellStatsDir/FOV005/CellLabels_F005.TIF")
+    # the same slide name in another run; its id matches no folder: highest manifest version
+    other = _slide(root, exp, "RunB", "Slide1", "Scan7", {"Segmentation_uu1_001": [1, 2], "Segmentation_uu5_002": [1, 2]},
+                   meta=f"cell_id,{typing},cellSegmentationSetId,cell_ID,fov\nc_1_1_1,Z,gone,1,1\nc_1_1_2,Z,uu5,2,1\n")
+    _touch(f"{other}/CellStatsDir/Segmentation_uu5_002/manifest.json", '{"Version": "7"}')
+    _touch(f"{other}/CellStatsDir/Segmentation_uu1_001/manifest.json", '{"Version": "3"}')
+    _slide(root, exp, "RunA", "Slide3", "Scan3", {"Segmentation_zz_001": [1]}, calls=False, meta="fov,cell_ID,cell_id,cellSegmentationSetId\n1,1,c,zz\n")
+    _slide(root, exp, "RunA", "Slide4", "Scan4", {"Segmentation_zz_001": [1]}, locations=False)
+    # processed already elsewhere; Logs folders are not slides
+    _slide(root, exp, "RunA", "Slide2", "Scan2", {"Segmentation_zz_001": [1]})
+    _touch(f"{root}/{OUTPUT_ROOT}/{exp}/RunA/Slide2/images/done")
     _touch(f"{root}/{exp}/RunA/DecodedFiles/Logs/Scan9/log.txt")
 
-    res = slide_processing_job(spark, root, exp, f"{scratch}/out", run_log_path=f"{scratch}/runlog")
-    slides = [r["slide"] for r in res["slides"].collect()]
-    assert slides == ["Slide1"]
-    sel = sorted((r["dir"], r["rank"]) for r in res["selected"].collect())
-    # primary v2 covers FOV 1, 2; older v1 adds 3, 4; newer v3 is never used
-    assert sel == [("Segmentation_uu1_001", 1), ("Segmentation_uu2_002", 0)]
-    assert res["uncovered"].count() == 0
-    tiles = {r["fov"]: r["dir"] for r in res["label_tiles"].collect()}
-    assert tiles == {1: "Segmentation_uu2_002", 2: "Segmentation_uu2_002", 3: "Segmentation_uu1_001",
-                     4: "Segmentation_uu1_001", 5: "CellStatsDir"}
-    assert spark.read.parquet(f"{scratch}/runlog").count() == 1
-    t = spark.read.parquet(res["targets_path"])
-    assert sorted((r["slide"], r["fov"], r["target"]) for r in t.collect()) == [("Slide1", 1, "G1"), ("Slide1", 2, "G2")]
+
+def test_slide_processing_job(spark, scratch):
+    root, exp, out, log = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out", f"{scratch}/runlog"
+    _tree(root, exp)
+    base = f"{exp}/RunA/DecodedFiles/Slide1/Scan1"
+    tiles = spark.createDataFrame([(base, "Segmentation_uu2_002", 1, 0, 0, 4), (base, "Segmentation_uu2_002", 2, 1, 1, 5), (base, "Segmentation_uu3_003", 1, 0, 1, 9)],
+                                  "slide_base_path string, dir string, fov int, row int, col int, val long")
+    res = slide_processing_job(spark, root, exp, out, log, tiles=tiles, fov_size=(2, 2), um_per_px=250.0, resources=(4, 16))
+    assert sorted((r["run"], r["slide"]) for r in res["slides"].collect()) == [("RunA", "Slide1"), ("RunA", "Slide3"), ("RunA", "Slide4"), ("RunB", "Slide1")]
+    sel = {(r["slide_base_path"].split("/")[2], r["dir"], r["rank"]) for r in res["selected"].collect() if "/Slide1/" in r["slide_base_path"]}
+    # RunA: primary v2 covers FOV 1, 2; older v1 adds 3, 4; newer v3 is never used. RunB: fallback.
+    assert sel == {("RunA", "Segmentation_uu2_002", 0), ("RunA", "Segmentation_uu1_001", 1), ("RunB", "Segmentation_uu5_002", 0)}
+    label = {r["fov"]: r["dir"] for r in res["label_tiles"].collect() if r["slide_base_path"] == base}
+    assert label == {1: "Segmentation_uu2_002", 2: "Segmentation_uu2_002", 3: "Segmentation_uu1_001", 4: "Segmentation_uu1_001", 5: "CellStatsDir"}
+    rows = {(r["run"], r["slide_name"]): r for r in spark.read.parquet(log).collect()}
+    assert {k: (r["status"], r["failed_step"]) for k, r in rows.items()} == {
+        ("RunA", "Slide1"): ("success", ""), ("RunB", "Slide1"): ("success", ""),
+        ("RunA", "Slide3"): ("failed", "read_targets"), ("RunA", "Slide4"): ("failed", "stitch")}
+    one = rows["RunA", "Slide1"].asDict()
+    assert len(one) == 17 and one["vcpus"] == 4 and one["fov_count"] == 5 and one["duration_total_s"].isdigit()
+    t = spark.read.parquet(f"{out}/targets").collect()
+    assert sorted((r["run"], r["slide"], r["fov"], r["CellId"], r["x"], r["y"], r["target"]) for r in t) == [
+        ("RunA", "Slide1", 1, 1, 0.5, 0.5, "RunASlide1"), ("RunA", "Slide1", 2, 0, 1.5, 0.25, "RunASlide1"),
+        ("RunB", "Slide1", 1, 1, 0.5, 0.5, "RunBSlide1"), ("RunB", "Slide1", 2, 0, 1.5, 0.25, "RunBSlide1")]
+    m = spark.read.option("header", True).csv(f"{out}/metadata").collect()
+    assert sorted((r["run"], r["cell_ID"], r["cell_type"] or "") for r in m) == [("RunA", "c_1_1_1", "T"), ("RunA", "c_1_1_2", ""), ("RunB", "c_1_1_2", "Z")]
+    stats = {r["run"]: (r["rows_read"], r["rows_written"], r["n_types"]) for r in res["metadata_stats"].where("slide = 'Slide1'").collect()}
+    assert stats["RunA"] == (3, 2, 1)
+    g = {(r["run"], r["slide"]): len(r["fov_offsets"]) for r in spark.read.parquet(f"{out}/geometry").collect()}
+    assert g == {("RunA", "Slide1"): 2, ("RunB", "Slide1"): 2}
+    from pyspark.sql import functions as F
+    want = {r[0] for r in spark.createDataFrame([(1, 4), (2, 5)], "f int, c int").select(pair_key(F.col("f"), F.col("c"))).collect()}
+    px = spark.read.parquet(f"{out}/labels").where("run = 'RunA'").select(F.explode("px.val").alias("v"))
+    assert {r["v"] for r in px.collect()} == want
+    status = lambda: sorted((r["run"], r["slide"], r["status"]) for r in spark.read.parquet(f"{out}/status").collect())
+    before = status()
+    assert len(before) == 4
+    # nothing to do: nothing is written, read or logged
+    again = slide_processing_job(spark, root, exp, out, log, fov_size=(2, 2), um_per_px=250.0)
+    assert again["slides"].count() == 0 and spark.read.parquet(log).count() == 4 and status() == before
+    # a later slide does not erase the earlier ones
+    _slide(root, exp, "RunC", "Slide1", "Scan8", {"Segmentation_uu8_001": [1]}, meta="fov,cell_ID,cell_id,cellSegmentationSetId\n1,1,c_1_1_1,uu8\n")
+    third = slide_processing_job(spark, root, exp, out, log, fov_size=(2, 2), um_per_px=250.0)
+    assert [(r["run"], r["slide"]) for r in third["slides"].collect()] == [("RunC", "Slide1")]
+    assert sorted({r["run"] for r in spark.read.parquet(f"{out}/targets").collect()}) == ["RunA", "RunB", "RunC"]
+    assert len(status()) == 5 and spark.read.parquet(log).count() == 5
