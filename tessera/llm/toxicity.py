@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, n_featur
             found = place[hashes]
             at, found = at[found >= 0], found[found >= 0]
             pairs = np.unique(at << 32 | found)
-            telling = np.bincount(pairs >> 32, weights=typical[pairs & 0xFFFFFFFF], minlength=batch.num_rows)
+            telling = np.bincount(pairs >> 32, weights=typical[pairs & 0xFFFFFFFF], minlength=batch.num_rows).astype(np.float64)
             edges = np.searchsorted(pairs >> 32, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("__toxic"), pa.array(telling), lists], names=["toxic", "telling", "at"])
