@@ -479,10 +479,13 @@ def cells_in_shapes(shapes: DataFrame, labels: DataFrame, mm_per_px: float, top_
 def color_labels(labels: DataFrame, colors: DataFrame, default_idx: int, keys: list[str] = ()) -> DataFrame:
     """Colour index per label pixel: mapped labels -> their index, unmapped ->
     ``default_idx``, background 0 -> index 0 (the added background entry).
-    ``colors`` = (UID, color_idx), one row per annotated cell."""
+    ``colors`` = (UID, color_idx), one row per annotated cell. Background pixels, most
+    of an image, get negative join keys spread by position, so they match nothing and
+    never meet in one task."""
     keys = list(keys)
-    c = colors.select(F.col("UID").alias("val"), "color_idx")
-    j = labels.join(c, "val", "left")
+    c = colors.select(F.col("UID").cast("long").alias("_k"), "color_idx").where("_k > 0")
+    spread = -1 - F.pmod(F.xxhash64("row", "col"), F.lit(1 << 20))
+    j = labels.withColumn("_k", F.when(F.col("val") == 0, spread).otherwise(F.col("val").cast("long"))).join(c, "_k", "left")
     idx = F.when(F.col("val") == 0, F.lit(0)).otherwise(F.coalesce("color_idx", F.lit(default_idx)))
     return j.select(*keys, "row", "col", idx.cast("int").alias("color_idx"))
 

@@ -7,3 +7,4 @@ from . import q_raster  # noqa: F401
 from . import q_ops  # noqa: F401
 from . import q_files  # noqa: F401
 from . import q_more  # noqa: F401
+from . import q_slides  # noqa: F401
