@@ -79,6 +79,14 @@ def main(argv=None):
     for k in ("expr-a", "meta-a", "expr-b", "meta-b", "genes", "out"):
         p.add_argument(f"--{k}", required=True)
     p.add_argument("--fovs-b")
+    p.add_argument("--neurons-only", action="store_true")
+    p = sub.add_parser("roi")
+    for k in ("shapes", "labels", "metadata", "targets", "out"):
+        p.add_argument(f"--{k}", required=True)
+    for k in ("mm-per-px", "top", "left"):
+        p.add_argument(f"--{k}", type=float, required=True)
+    for k in ("height", "width"):
+        p.add_argument(f"--{k}", type=int, required=True)
     args = ap.parse_args(argv)
 
     spark = get_spark(args.master)
@@ -104,8 +112,8 @@ def main(argv=None):
         for name, df in (("links", links), ("nodes", nodes), ("summary", summary)):
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
     elif args.cmd in ("proportions", "umap"):
-        a = spark.read.option("header", True).option("inferSchema", True).csv(args.a)
-        b = spark.read.option("header", True).option("inferSchema", True).csv(args.b)
+        from .sources.readers import read_raw_metadata
+        a, b = read_raw_metadata(spark, args.a), read_raw_metadata(spark, args.b)
         if args.cmd == "proportions":
             J.density_job(a, b, _fovs(args.fovs_b)).write.mode("overwrite").parquet(args.out)
         else:
@@ -113,12 +121,25 @@ def main(argv=None):
             la.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/a")
             lb.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/b")
     elif args.cmd == "dotplot":
-        from .sources.readers import read_expression
+        from .operators.cells import NEURONAL_TYPES
+        from .sources.readers import read_expression, read_raw_metadata
         genes = [g.strip() for g in args.genes.split(",") if g.strip()]
         ea, eb = read_expression(spark, args.expr_a, genes), read_expression(spark, args.expr_b, genes)
-        ma = spark.read.option("header", True).option("inferSchema", True).csv(args.meta_a)
-        mb = spark.read.option("header", True).option("inferSchema", True).csv(args.meta_b)
-        J.dotplot_job(ea, ma, eb, mb, genes, _fovs(args.fovs_b)).write.mode("overwrite").parquet(args.out)
+        ma, mb = read_raw_metadata(spark, [args.meta_a]), read_raw_metadata(spark, [args.meta_b])
+        only = NEURONAL_TYPES if args.neurons_only else None
+        J.dotplot_job(ea, ma, eb, mb, genes, _fovs(args.fovs_b), only=only).write.mode("overwrite").parquet(args.out)
+    elif args.cmd == "roi":
+        # shapes: JSON lines (shape_id, kind, vertices [{y, x}]); labels: (row, col, val) of
+        # one slide; metadata: cell metadata CSVs; targets: a written transcript table
+        from .functions.keys import cell_uid
+        from .sources.readers import read_raw_metadata
+        shapes = spark.read.schema("shape_id int, kind string, vertices array<struct<y:double,x:double>>").json(args.shapes)
+        meta = read_raw_metadata(spark, [args.metadata])
+        meta = cell_uid(meta, "cell_name" if "cell_name" in meta.columns else "cell_ID")
+        flags, counts = J.roi_annotation_job(shapes, spark.read.parquet(args.labels), meta, spark.read.parquet(args.targets),
+                                             args.mm_per_px, (args.top, args.left), args.height, args.width)
+        flags.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/cells")
+        counts.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/counts")
     return 0
 
 

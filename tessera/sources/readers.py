@@ -114,6 +114,39 @@ def read_csv_by_name(spark: SparkSession, files: list[str]) -> DataFrame:
     return out
 
 
+def named_cell_columns(names) -> list[str]:
+    """Column names that Spark can tell apart: the string ``cell_id`` becomes
+    ``cell_name`` beside the number ``cell_ID``."""
+    return ["cell_name" if n == "cell_id" else n for n in names]
+
+
+def read_raw_metadata(spark: SparkSession, paths: list[str], cell_type_column: str | None = None) -> DataFrame:
+    """Cell metadata files as the instrument writes them, or as the metadata job does:
+    columns by name, a ``cell_type`` column (P15 per header unless it is there
+    already), fov and cell_ID as INT, coordinates as DOUBLE."""
+    files = [f for p in paths for f in _list(spark, p) if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+    if not files:
+        raise FileNotFoundError(f"no metadata files under {paths}")
+    frames = []
+    for header, same in files_by_header(spark, files).items():
+        df = spark.read.option("header", True).csv(same).toDF(*named_cell_columns(header))
+        if "cell_type" not in df.columns or cell_type_column:
+            c = detect_cell_type_column(df.columns, cell_type_column)
+            df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
+        frames.append(df)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    if "cell_name" in out.columns:
+        types = {"fov": "int", "cell_ID": "int"}
+    else:
+        types = {"fov": "int"}
+    for c, t in {**types, "UMAP_1": "double", "UMAP_2": "double"}.items():
+        if c in out.columns:
+            out = out.withColumn(c, F.col(c).try_cast(t))
+    return out
+
+
 # S1 -------------------------------------------------------------------------
 def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list[str] | None = None,
                          cell_type_column: str | None = None) -> DataFrame:
@@ -147,7 +180,7 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
     phys = [p for _, _, ps in logical.values() for p in ps]
     frames = []
     for header, files in files_by_header(spark, phys).items():
-        names = ["cell_name" if n == "cell_id" else n for n in header]
+        names = named_cell_columns(header)
         df = with_file_order(spark.read.option("header", True).csv(files)).toDF(*names, "row_idx")
         c = detect_cell_type_column(df.columns, cell_type_column)
         df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
