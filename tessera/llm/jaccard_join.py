@@ -22,10 +22,15 @@ as edges to that class, so a signature common to a third of all documents costs
 bucket one entry a task. The edges' components bound where links can be: linked
 classes always fall into one component (candidate cluster).
 
+A passage that many documents share chains clusters. Clusters of more than ``BLOCK``
+classes are therefore formed anew from fixed-size subsets of four neighbours among the
+first ``floor(0.8 n) + 4`` elements (a foreign element spoils four or three of them),
+for sets of 20 elements and more; smaller ones, and those up to 25, stay where they were.
+
 Verification. Clusters are cut into blocks of about ``BLOCK`` classes of like size;
 each pair of blocks that can hold links is one unit of work, in which common elements
-of all pairs of sets are counted exactly by products of incidence matrices. A unit returns links counts
-per class and a spanning forest of its links; components of all forests are the result.
+of all pairs of sets are counted exactly by products of incidence matrices. A unit
+returns link counts per class and a spanning forest of its links; components of all forests are the result.
 No pair of documents is ever a row.
 
 Cases: documents without words have an empty set and link with nothing; fewer than five
@@ -48,6 +53,7 @@ from .text import U64, by_bytes, mix, run_lengths, shingle_hashes, text_buffer,
 BUCKET_BYTES = 24 << 20
 HELD = 1 << 22           # signatures a task holds before it sends them
 BLOCK = 256              # classes in a block
+FINE = 20                # sets from this size can use subsets of four
 UNIT_BYTES = 16 << 20    # set bytes of the units that share a group
 COMMON = 0.01            # assumed share of large sets in an inverted list
 
@@ -126,13 +132,11 @@ def least_and_edges(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.n
     return sig[start], node[start], pairs
 
 
-def candidate_edges(docs: DataFrame, size: int, edge: int, n_signatures: float) -> DataFrame:
-    """Edges (a, b) between set digests that share a signature."""
-    buckets = max(1, int(n_signatures * 16 // BUCKET_BYTES) + 1)
-
+def shared_edges(rows: DataFrame, read, buckets: int) -> DataFrame:
+    """Edges (a, b) between nodes that share a signature. ``read`` turns Arrow batches
+    into (signatures, node of each) arrays."""
     def flush(sig, node):
-        sig, node = np.concatenate(sig), np.concatenate(node)
-        sig, node, pairs = least_and_edges(sig, node)
+        sig, node, pairs = least_and_edges(np.concatenate(sig), np.concatenate(node))
         bucket = (sig >> U64(32)) % U64(buckets)
         order = np.argsort(bucket, kind="stable")
         start, length = run_lengths(bucket[order])
@@ -151,12 +155,9 @@ def candidate_edges(docs: DataFrame, size: int, edge: int, n_signatures: float)
 
     def send(batches):
         sig, node, held = [], [], 0
-        for batch in by_bytes(batches):
-            owner, hashes = doc_sets(batch.column("text"), size)
-            n, h1, _ = set_keys(owner, hashes, batch.num_rows)
-            s, d = signatures(owner, hashes, n, edge)
+        for s, n in read(batches):
             sig.append(s)
-            node.append(h1[d])
+            node.append(n)
             held += len(s)
             if held >= HELD:
                 yield from flush(sig, node)
@@ -164,18 +165,51 @@ def candidate_edges(docs: DataFrame, size: int, edge: int, n_signatures: float)
         if held:
             yield from flush(sig, node)
 
-    def meet(key, rows):
-        entry = [k for k, s in enumerate(rows["sig"].to_pylist()) if s]
-        known = [np.frombuffer(v, np.int64).reshape(-1, 2) for s, v in zip(rows["sig"].to_pylist(), rows["node"].to_pylist()) if not s]
-        sig = [np.frombuffer(rows["sig"][k].as_py(), U64) for k in entry]
-        node = [np.frombuffer(rows["node"][k].as_py(), np.int64) for k in entry]
+    def meet(key, table):
+        sigs, nodes = table["sig"].to_pylist(), table["node"].to_pylist()
+        known = [np.frombuffer(v, np.int64).reshape(-1, 2) for s, v in zip(sigs, nodes) if not s]
+        sig = [np.frombuffer(s, U64) for s in sigs if s]
         if sig:
-            known.append(least_and_edges(np.concatenate(sig), np.concatenate(node))[2])
+            known.append(least_and_edges(np.concatenate(sig), np.concatenate([np.frombuffer(v, np.int64) for s, v in zip(sigs, nodes) if s]))[2])
         pairs = np.unique(np.concatenate(known), axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    sent = with_text(docs).mapInArrow(send, "bucket int, sig binary, node binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "a long, b long")
+    return rows.mapInArrow(send, "bucket int, sig binary, node binary").groupBy("bucket").applyInArrow(meet, "a long, b long")
+
+
+def buckets_for(n_signatures: float) -> int:
+    return max(1, int(n_signatures * 16 // BUCKET_BYTES) + 1)
+
+
+def candidate_edges(docs: DataFrame, size: int, edge: int, n_signatures: float) -> DataFrame:
+    """Edges between set digests that share a subset or a list entry."""
+    def read(batches):
+        for batch in by_bytes(batches):
+            owner, hashes = doc_sets(batch.column("text"), size)
+            n, h1, _ = set_keys(owner, hashes, batch.num_rows)
+            sig, doc = signatures(owner, hashes, n, edge)
+            yield sig, h1[doc]
+    return shared_edges(with_text(docs), read, buckets_for(n_signatures))
+
+
+def runs_of_four(hashes: np.ndarray) -> np.ndarray:
+    """Subsets of four neighbours among the first ``floor(0.8 n) + 4`` elements of a
+    sorted set of at least ``FINE`` elements."""
+    first = hashes[:4 * len(hashes) // 5 + 4]
+    return mix(mix(mix(mix(first[:-3]) + first[1:-2]) + first[2:-1]) + first[3:])
+
+
+def finer_clusters(members: DataFrame) -> DataFrame:
+    """class_id, finer: components of the members that share a subset of four."""
+    def read(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, U64) for x in batch.column("set").to_pylist()]
+            found = [runs_of_four(x) for x in sets]
+            if found:
+                yield np.concatenate(found), np.repeat(batch.column("class_id").to_numpy(), [len(x) for x in found])
+    total = members.agg(F.sum("n").alias("n")).first()["n"] or 0
+    edges = shared_edges(members.select("class_id", "set"), read, buckets_for(0.8 * total))
+    return components(edges).select(F.col("node").alias("class_id"), F.col("root").alias("finer"))
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -220,15 +254,16 @@ def common_counts(sets_a: list[np.ndarray], sets_b: list[np.ndarray], step: int
 
 def verify(members: DataFrame, percent: int) -> DataFrame:
     """Rows (a, b, links): ``a`` has ``links`` links in this unit and is connected to
-    ``b`` in it. ``members``: cluster, class_id, n, set."""
+    ``b`` in it. ``members``: cluster, class_id, n, set, rest (pairs of sets that are both
+    of ``FINE`` elements or more are another unit's)."""
     by_size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent))) + F.lit(1e-9)).cast("int")
     members = members.withColumn("band", by_size)
-    sizes = members.groupBy("cluster", "band").agg(F.count("*").alias("k")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    sizes = members.groupBy("cluster", "rest", "band").agg(F.count("*").alias("k")).withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
     # A linked pair's sizes differ by a factor of at most 100 / percent: same band or next.
-    above = sizes.select("cluster", (F.col("band") - 1).alias("band"), F.col("blocks").alias("blocks_above"))
-    below = sizes.select("cluster", (F.col("band") + 1).alias("band"), F.col("blocks").alias("blocks_below"))
-    shape = sizes.join(above, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left").drop("k")
-    rows = members.join(shape, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("class_id"), "blocks").cast("int"))
+    above = sizes.select("cluster", "rest", (F.col("band") - 1).alias("band"), F.col("blocks").alias("blocks_above"))
+    below = sizes.select("cluster", "rest", (F.col("band") + 1).alias("band"), F.col("blocks").alias("blocks_below"))
+    shape = sizes.join(above, ["cluster", "rest", "band"], "left").join(below, ["cluster", "rest", "band"], "left").drop("k")
+    rows = members.join(shape, ["cluster", "rest", "band"]).withColumn("block", F.pmod(F.xxhash64("class_id"), "blocks").cast("int"))
     none = F.array().cast("array<struct<lo:int,i:int,j:int,side:int>>")
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     unit = lambda lo, i, j, side: F.struct(lo.alias("lo"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
@@ -236,19 +271,19 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
     inside = F.transform(upto(F.col("blocks")), lambda x: unit(F.col("band") * 2, F.least(x, block), F.greatest(x, block), 0))
     up = F.when(F.col("blocks_above").isNull(), none).otherwise(F.transform(upto(F.col("blocks_above")), lambda x: unit(F.col("band") * 2 + 1, block, x, 0)))
     down = F.when(F.col("blocks_below").isNull(), none).otherwise(F.transform(upto(F.col("blocks_below")), lambda x: unit(F.col("band") * 2 - 1, x, block, 1)))
-    rows = rows.select("cluster", "class_id", "n", "set", "block", F.explode(F.concat(inside, up, down)).alias("u"))
-    rows = rows.select("cluster", "class_id", "n", "set", "block", "u.*")
+    rows = rows.select("cluster", "class_id", "n", "set", "rest", "block", F.explode(F.concat(inside, up, down)).alias("u"))
+    rows = rows.select("cluster", "class_id", "n", "set", "rest", "block", "u.*")
     total = members.agg(F.sum("n").alias("n")).first()["n"] or 0
     groups = max(members.sparkSession.sparkContext.defaultParallelism, int(total * 8 // UNIT_BYTES) + 1)
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("cluster", "lo", "i", "j"), F.lit(groups)).cast("int"))
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("cluster", "rest", "lo", "i", "j"), F.lit(groups)).cast("int"))
 
     def work(key, table):
-        table = table.sort_by([(c, "ascending") for c in ("cluster", "lo", "i", "j", "class_id")]).combine_chunks()
+        table = table.sort_by([(c, "ascending") for c in ("cluster", "rest", "lo", "i", "j", "class_id")]).combine_chunks()
         ids, n, lo, i, j, block, side = (table[c].to_numpy() for c in ("class_id", "n", "lo", "i", "j", "block", "side"))
-        cluster = table["cluster"].to_numpy()
+        cluster, rest = table["cluster"].to_numpy(), table["rest"].to_numpy(zero_copy_only=False)
         sets = table["set"]
         out = []
-        change = (cluster[1:] != cluster[:-1]) | (lo[1:] != lo[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        change = (cluster[1:] != cluster[:-1]) | (rest[1:] != rest[:-1]) | (lo[1:] != lo[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         starts = np.concatenate([[0], np.flatnonzero(change) + 1, [len(ids)]])
         for low, high in zip(starts[:-1], starts[1:]):
             at = np.arange(low, high)
@@ -269,6 +304,8 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
             linked = 100 * common.astype(np.float64) >= percent * union.astype(np.float64)
             if same:
                 np.fill_diagonal(linked, False)
+            if rest[low]:
+                linked &= (n[left][:, None] < FINE) | (n[right][None, :] < FINE)
             x, y = np.nonzero(linked)
             if not len(x):
                 continue
@@ -298,16 +335,23 @@ def jaccard_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: st
     classes = saved(sets.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("rid").alias("class_id"), F.min("doc_id").alias("least")))
     met = clusters.select(F.col("node").alias("h1"), F.col("root").alias("cluster"))
     chosen = classes.join(met, "h1").select("cluster", "class_id", "n")
+    sizes = chosen.groupBy("cluster").agg((F.count("*") > BLOCK).alias("large"))
+    chosen = chosen.join(sizes, "cluster")
 
     def to_sets(batches):
         for batch in by_bytes(batches):
             owner, hashes = doc_sets(batch.column("text"), size)
             parts = np.split(hashes, np.cumsum(np.bincount(owner, minlength=batch.num_rows))[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("cluster", "class_id", "n")] + [pa.array([p.tobytes() for p in parts], pa.binary())],
-                                             names=["cluster", "class_id", "n", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("cluster", "class_id", "n", "large")] + [pa.array([p.tobytes() for p in parts], pa.binary())],
+                                             names=["cluster", "class_id", "n", "large", "set"])
     texts = numbered(docs).select(F.col("rid").alias("class_id"), F.col("text").cast("string").alias("text"))
-    members = saved(texts.join(chosen, "class_id").mapInArrow(to_sets, "cluster long, class_id long, n long, set binary"))
-    found = saved(verify(members, percent))
+    members = saved(texts.join(chosen, "class_id").mapInArrow(to_sets, "cluster long, class_id long, n long, large boolean, set binary"))
+    large = members.filter("large")
+    fine = large.filter(F.col("n") >= FINE)
+    fine = fine.join(finer_clusters(fine), "class_id").withColumn("cluster", F.col("finer"))
+    unit = lambda rows, rest: rows.select("cluster", "class_id", "n", "set", F.lit(rest).alias("rest"))
+    rest = large.filter(F.col("n") < 1.25 * FINE)
+    found = saved(verify(unit(members.filter("NOT large"), False).union(unit(fine, False)).union(unit(rest, True)), percent))
     roots = components(found.select("a", "b"))
     links = found.groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("n_links"))
     grouped = (classes.join(roots.select(F.col("node").alias("class_id"), "root"), "class_id", "left")

@@ -40,6 +40,8 @@ def make_texts():
             words[rng.randrange(len(words))] = "zz%d" % rng.randrange(99)
         out.append(" ".join(words))
     out += ["boiler plate line here\n" + prose(rng, rng.randint(3, 80)) + ("\n" + passage if k % 3 == 0 else "") for k in range(60)]
+    short = [w for w in prose(rng, 26).split(" ")]
+    out += [" ".join(short[rng.randrange(4):len(short) - rng.randrange(5)]) for _ in range(12)]
     out += ["w%d x y z q r" % (k % 3) for k in range(9)] + ["p q r s t u v", "p q r s t u v w", "a b c d e f g h i", "b c d e f g h i"]
     return out
 
@@ -176,14 +178,21 @@ def linked_brute(rows):
     return collections.Counter((i, len(sets[k]), least[find(k)]) for k, (i, _) in enumerate(rows))
 
 
+def links_brute(rows):
+    sets = {shingles(t) for _, t in rows}
+    n = {x: sum(x != y and 100 * len(x & y) >= 80 * len(x | y) for y in sets) for x in sets}
+    return collections.Counter((i, n[shingles(t)]) for i, t in rows)
+
+
 @pytest.mark.parametrize("edge,block", [(None, 256), (60, 3), (1, 5), (10 ** 9, 2)])
 def test_jaccard_groups_match_brute_force(docs, monkeypatch, edge, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "BUCKET_BYTES", 20_000)
     if edge is not None:
         monkeypatch.setattr(jaccard_join, "boundary", lambda sizes: edge)
-    got = as_counter(jaccard_join.jaccard_groups(docs).select("doc_id", "n_shingles", "component_id").collect())
-    assert got == linked_brute(texts_of(docs))
+    out = saved(jaccard_join.jaccard_groups(docs))
+    assert as_counter(out.select("doc_id", "n_shingles", "component_id").collect()) == linked_brute(texts_of(docs))
+    assert as_counter(out.select("doc_id", "n_links").collect()) == links_brute(texts_of(docs))
 
 
 def test_jaccard_edges(spark, docs, empty):
@@ -215,6 +224,8 @@ def test_signatures_lose_no_pair():
         for edge in (1, n, 10 ** 6):
             sig, doc = jaccard_join.signatures(owner, np.concatenate(sets), np.array([len(x) for x in sets]), edge)
             assert np.intersect1d(sig[doc == 0], sig[doc == 1]).size, (n, edge)
+        if min(map(len, sets)) >= jaccard_join.FINE:
+            assert np.intersect1d(*map(jaccard_join.runs_of_four, sets)).size, n
 
 
 # ---- 4 token counts
