@@ -48,8 +48,9 @@ def make_texts():
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(k if k != 20 else 19, t, "en", [None, "a", "b", "B", "é"][k % 5] if k % 3 else "hot", len(t or ""), "x", k, k, k, "m")
-            for k, t in enumerate(make_texts())]
+    source = lambda k: [None, "a", "b", "B", "é"][k % 5] if k % 3 else "hot"
+    ids = [19 if k == 20 else k for k in range(len(make_texts()))]  # one id twice
+    rows = [(i, t, "en", source(i), len(t or ""), "x", i, i, i, "m") for i, t in zip(ids, make_texts())]
     return saved(spark.createDataFrame(rows, SCHEMA).repartition(5))
 
 
