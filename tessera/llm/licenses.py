@@ -39,25 +39,33 @@ KNOWN = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
 ]
 
-#: Equivalent spellings, canonical word first (fixed values).
-SPELLINGS = [("license", "licen[cs]e"), ("licensed", "licen[cs]ed"), ("http", "https"), ("noncommercial", "non commercial"),
-             ("merchantability", "merchantibility"), ("organization", "organisation"), ("version", "ver|v(?= ?[0-9])")]
+#: Equivalent spellings (fixed values): text that must occur, pattern, canonical form.
+SPELLINGS = [("licence", "licence", "license"), ("https", "https", "http"), ("organisation", "organisation", "organization"),
+             ("merchantib", "merchantibility", "merchantability"), ("v", "v(?<![a-z0-9]v)(?:er)?(?=[ \n]?[0-9])", "version")]
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form; empty when nothing is left."""
-    text = F.regexp_replace(F.lower(text), r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$", " ")
-    text = F.regexp_replace(text, r"[^a-z0-9\x{80}-\x{10FFFF}]+", " ")
-    for word, forms in SPELLINGS:
-        text = F.regexp_replace(text, rf"(?<![a-z0-9])(?:{forms})(?![a-z])", word)
-    return F.trim(F.regexp_replace(text, " +", " "))
+def canonical_lines(text: Column) -> Column:
+    """Canonical form with its line breaks; a spelling is only searched for in texts
+    that hold its fixed part."""
+    text = F.lower(text)
+    owned = text.contains("copyright") | text.contains("(c)") | text.contains("©")
+    text = F.when(owned, F.regexp_replace(text, r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$", " ")).otherwise(text)
+    text = F.regexp_replace(text, r"[^a-z0-9\n\x{80}-\x{10FFFF}]+", " ")
+    for part, form, word in SPELLINGS:
+        text = F.when(text.contains(part), F.regexp_replace(text, form, word)).otherwise(text) if part != "v" else F.regexp_replace(text, form, word)
+    return text
+
+
+def lines_of(form: Column) -> Column:
+    """Canonical lines that are not empty; joined by spaces they are the whole form."""
+    return F.filter(F.transform(F.split(form, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def known_digests(spark, known=None) -> DataFrame:
     """license, digest: one row per distinct canonical text (first license wins)."""
     known = KNOWN if known is None else known
     rows = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(known)], "k int, license string, text string")
-    rows = rows.withColumn("form", canonical(F.col("text"))).filter("form <> ''")
+    rows = rows.withColumn("form", F.array_join(lines_of(canonical_lines(F.col("text"))), " ")).filter("form <> ''")
     return rows.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min_by("license", "k").alias("license"))
 
 
@@ -66,11 +74,15 @@ def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id") -> DataFra
     licenses of single lines, in order), n_license_lines, of every row."""
     digests = F.broadcast(known_digests(docs.sparkSession, known))
     rows = numbered(docs).select("rid", F.col(id_col), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    whole = rows.select("rid", id_col, F.sha2(canonical(F.col("text")), 256).alias("digest")).join(digests, "digest", "left")
-    lines = (rows.select("rid", F.explode(F.split("text", "\n", -1)).alias("line"))
-             .select("rid", F.sha2(canonical(F.col("line")), 256).alias("digest")).join(digests, "digest")
-             .groupBy("rid").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"),
-                                 F.count("*").alias("n_license_lines")))
-    return whole.join(lines, "rid", "left").select(
+    # The generator computes the canonical lines once, for the whole and for each.
+    forms = rows.select("rid", F.explode(F.array(lines_of(canonical_lines(F.col("text"))))).alias("lines"))
+    whole = F.array(F.struct(F.lit(True).alias("whole"), F.array_join("lines", " ").alias("unit")))
+    each = F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit")))
+    units = forms.select("rid", F.explode(F.concat(whole, each)).alias("u")).filter("u.unit <> ''")
+    found = (units.select("rid", "u.whole", F.sha2("u.unit", 256).alias("digest")).join(digests, "digest").groupBy("rid")
+             .agg(F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
+                  F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ",").alias("line_licenses"),
+                  F.sum((~F.col("whole")).cast("long")).alias("n_license_lines")))
+    return rows.select("rid", id_col).join(found, "rid", "left").select(
         id_col, "license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"),
         F.coalesce("n_license_lines", F.lit(0)).cast("long").alias("n_license_lines"))
