@@ -1,26 +1,28 @@
 """Operator 5: language-model scores from a hierarchical Pitman-Yor model.
 
-Restaurants: a token is seated in the restaurant of its context, one of ``CONTEXTS``
-classes of the word before it (by its first two bytes; the text's start is one of
-them), whose new tables are customers of one parent restaurant shared by all contexts.
-The parent's base gives ``UNKNOWN`` of its mass to the one outcome "a word outside the
-training vocabulary" and the rest to the vocabulary, uniformly: probabilities sum to 1
-over the vocabulary and that outcome. Discounts come from the counts of counts of each
-level.
-
-Training. A task turns about ``CHUNK_BYTES`` of text into the chunk's distinct cells
-(word, context) with counts and sends each once to the word's bucket, so a frequent
-word is one entry a chunk. A bucket holds all restaurants' state for its words. Gibbs
-sweeps reseat all customers of a cell given everything else: their tables are drawn by
-the Chinese-restaurant rule, customer by customer up to 64 and then in blocks that
-double. Buckets run side by side against the totals (customers and tables of each
-restaurant) of the sweep before; only those few sums return to the driver. A sweep
-replays the earlier ones from the totals and seeds, so no sampler state is stored and a
-lost executor costs nothing but its buckets' time.
-
-Scoring. Chunks ask the buckets for their distinct cells; the answer is the predictive
-probability averaged over the sweeps after burn-in and the word's count. Answers meet
-the chunk's texts, which are scored whole.
+Restaurants: a token is seated in the restaurant of its context, the whole word before
+it (or the text's start), whose new tables are customers of one parent restaurant
+shared by all contexts. The parent's base gives ``UNKNOWN`` of its mass to the one
+outcome "a word outside the training vocabulary" and the rest to the vocabulary,
+uniformly: probabilities sum to 1 over the vocabulary and that outcome. Discounts come
+from the counts of counts of each level.
+
+Cells. A task turns about ``CHUNK_BYTES`` of text into the chunk's distinct cells
+(word, context) with training counts and sends each once to the word's bucket, so a
+frequent word pair is one entry a chunk. A bucket merges them and keeps, for each
+chunk, the places of its cells; words and contexts are numbers from there on.
+
+Training. Gibbs sweeps reseat all customers of a cell given everything else: their
+tables are drawn by the Chinese-restaurant rule, customer by customer up to 64 and then
+in blocks that double. A word's parent state is in its bucket; a context's totals
+(customers, tables) are sums over buckets, kept by hash range of the context: a bucket
+sends its tables by context to the ranges and gets the sums back, in the order of its
+own contexts, so no hash travels after the first round. Buckets run side by side
+against the totals of the sweep before; only the parent's two sums return to the driver.
+
+Scoring. The predictive probability of every cell, averaged over the sweeps after
+burn-in, and the word's count go to the chunks that hold the cell and meet their texts,
+which are scored whole. Logarithms of single cells travel as 32-bit floats.
 
 Words are told apart by 60-bit hashes (about one collision expected at 10**9 words).
 
@@ -31,6 +33,8 @@ the base's; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -40,17 +44,17 @@ from pyspark.sql import functions as F
 from .tables import saved, text_bytes
 from .text import LOWER, U64, by_bytes, mix, run_lengths, text_buffer, word_hashes, words
 
-CONTEXTS = 8             # at most 16
-CHUNK_BYTES = 24 << 20
+CONTEXTS = 16            # contexts the low bits of a key can name, for a Sampler without its own
+CHUNK_BYTES = 16 << 20
 _WORD = U64(0xFFFFFFFFFFFFFFF0)
 _END = mix(np.array([0x5DEECE66D], U64))[0] & _WORD
+_START = _WORD           # context of a text's first token; above every word
 STRENGTH = 1.0
 UNKNOWN = 0.5
 
 
 def doc_tokens(column) -> tuple[np.ndarray, np.ndarray]:
-    """(cell key of every token, document index): word hash with the context in its
-    low bits; each document's words and then its end."""
+    """(word hash of every token, document index): each document's words, then its end."""
     buf, offsets = text_buffer(column)
     starts, ends, docs = words(buf, offsets)
     n = len(column)
@@ -59,13 +63,20 @@ def doc_tokens(column) -> tuple[np.ndarray, np.ndarray]:
     key = np.empty(len(docs) + n, U64)
     key[at] = word_hashes(buf, starts, ends) & _WORD
     key[last] = _END
-    owner = np.repeat(np.arange(n), np.diff(np.concatenate([[-1], last])))
-    klass = np.zeros(len(key) + 1, U64)
-    if len(starts):
-        klass[at + 1] = mix(LOWER[buf[starts]] + LOWER[buf[np.minimum(starts + 1, ends - 1)]] * U64(3)) % U64(CONTEXTS)
-    context = klass[:-1]
-    context[last[:-1] + 1] = 0
-    return key | context, owner
+    return key, np.repeat(np.arange(n), np.diff(np.concatenate([[-1], last])))
+
+
+def token_cells(columns) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
+    """(vocabulary, cell number of every token, document index by column, distinct
+    cells). A cell is word * (vocabulary + 1) + context, both as places in the sorted
+    vocabulary; the text's start comes after it."""
+    parts = [doc_tokens(c) for c in columns]
+    vocabulary, word = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    context = np.empty(len(word), np.int64)
+    context[1:] = word[:-1]
+    context[np.concatenate([np.diff(o, prepend=-1) > 0 for _, o in parts])] = len(vocabulary)
+    cells, number = np.unique(word * (len(vocabulary) + 1) + context, return_inverse=True)
+    return vocabulary, number, [o for _, o in parts], cells
 
 
 def chunked(batches, *columns):
@@ -82,25 +93,17 @@ def chunked(batches, *columns):
         yield part << 32 | k, held
 
 
-def cells_of(held) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct cell keys, training counts) of a chunk."""
-    train, test = [], []
-    for batch in held:
-        key, owner = doc_tokens(batch.column("text"))
-        out = batch.column("held_out").to_numpy(zero_copy_only=False)[owner]
-        train.append(key[~out])
-        test.append(key[out])
-    train = np.sort(np.concatenate(train))
-    first, count = run_lengths(train)
-    train = train[first]
-    keys = np.union1d(train, np.concatenate(test))
-    counts = np.zeros(len(keys), np.uint32)
-    counts[np.searchsorted(keys, train)] = count
-    return keys, counts
+def cells_of(held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, training count) of a chunk's distinct cells, in order."""
+    vocabulary, number, owners, cells = token_cells([b.column("text") for b in held])
+    train = np.concatenate([~b.column("held_out").to_numpy(zero_copy_only=False)[o] for b, o in zip(held, owners)])
+    counts = np.bincount(number[train], minlength=len(cells))
+    names = np.append(vocabulary, _START)
+    return vocabulary[cells // len(names)], names[cells % len(names)], counts
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets are ranges of keys, so a sorted array falls into them in order."""
+    """Buckets are ranges of hashes, so a sorted array falls into them in order."""
     return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
@@ -136,21 +139,27 @@ def known_mass(base: dict) -> float:
 
 
 class Sampler:
-    """State of one bucket's words and its sweeps. ``totals``: for each sweep so far the
-    sums the next one needs."""
-
-    def __init__(self, keys, counts, bucket: int, base: dict):
-        self.keys, self.counts, self.bucket, self.base = keys, counts.astype(np.int64), bucket, base
-        self.context = (keys & ~_WORD).astype(np.int64)
-        first, size = run_lengths(keys & _WORD)
-        self.words, self.first = (keys & _WORD)[first], first
-        self.word = np.repeat(np.arange(len(first)), size)
-        self.tables = np.minimum(self.counts, 1)
-        self._count_parent()
+    """State of one bucket's cells, sorted by word, and its sweeps. ``keys`` tell words
+    apart by their high 60 bits; ``context`` numbers each cell's context among
+    ``contexts`` (without it, the low bits of the key do)."""
+
+    def __init__(self, keys, counts, bucket: int, base: dict, context=None, contexts: int = CONTEXTS):
+        self.counts, self.bucket, self.base, self.contexts = counts.astype(np.int64), bucket, base, contexts
+        self.context = (keys & ~_WORD).astype(np.int64) if context is None else context
+        self.first, size = run_lengths(keys & _WORD)
+        self.word = np.repeat(np.arange(len(self.first)), size)
+        self.resume(np.minimum(self.counts, 1))
         self.parent_tables = np.minimum(self.parent, 1)
 
-    def _count_parent(self):
-        self.parent = np.add.reduceat(self.tables, self.first) if len(self.first) else np.zeros(0, np.int64)
+    def resume(self, tables, parent_tables=None) -> None:
+        self.tables, self.parent_tables = tables, parent_tables
+        self.parent = self.by_word(tables)
+
+    def by_word(self, values) -> np.ndarray:
+        return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0, np.int64)
+
+    def by_context(self, values) -> np.ndarray:
+        return np.bincount(self.context, weights=values, minlength=self.contexts)
 
     def parent_chance(self, total) -> np.ndarray:
         b = self.base
@@ -160,145 +169,266 @@ class Sampler:
     def sweep(self, number: int, total) -> None:
         b, rng = self.base, np.random.default_rng([b"hpy"[0], number, self.bucket])
         fresh = (STRENGTH + b["d"] * total["t"][self.context]) * self.parent_chance(total)[self.word]
-        self.tables = seat(self.counts, fresh, b["d"], rng)
-        self._count_parent()
+        self.resume(seat(self.counts, fresh, b["d"], rng))
         self.parent_tables = seat(self.parent, np.full(len(self.parent), (STRENGTH + b["d0"] * total["t0"]) * known_mass(b)), b["d0"], rng)
 
+    def chances(self, total, customers) -> np.ndarray:
+        """Predictive probability of every cell; a word never trained on is the unknown one."""
+        b = self.base
+        unknown = (STRENGTH + b["d0"] * total["t0"]) * unknown_mass(b) / (STRENGTH + total["c0"])
+        parent = np.where(self.parent > 0, self.parent_chance(total), unknown)[self.word]
+        own = self.counts - b["d"] * self.tables
+        return (own + (STRENGTH + b["d"] * total["t"][self.context]) * parent) / (STRENGTH + customers[self.context])
+
     def sums(self) -> dict:
-        return {"t": np.bincount(self.context, weights=self.tables, minlength=CONTEXTS), "c0": int(self.parent.sum()), "t0": int(self.parent_tables.sum())}
+        return {"t": self.by_context(self.tables), "c0": int(self.parent.sum()), "t0": int(self.parent_tables.sum())}
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Compressed byte planes, after their length."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def loose(data: bytes, kind) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed(values) -> bytes:
+    return squeezed(np.ascontiguousarray(values).astype(np.uint32))
+
+
+def unpacked(data) -> np.ndarray:
+    return loose(data, np.uint32).astype(np.int64)
+
+
+def packed_sums(values) -> bytes:
+    return squeezed(values.astype(np.int64))
 
 
-def unpack(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row["keys"], U64), np.frombuffer(row["counts"], np.uint32)
+def packed_hashes(values) -> bytes:
+    """Hashes in order as differences."""
+    return squeezed(np.diff(values, prepend=U64(0)))
+
+
+def unpacked_hashes(data) -> np.ndarray:
+    return np.cumsum(loose(data, U64), dtype=U64)
+
+
+def one_row(batch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def rows_of(schema: pa.Schema, rows) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=schema)
+
+
+def _schema(text: str) -> pa.Schema:
+    kind = {"long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(n, kind[t]) for n, t in (x.split() for x in text.split(", "))])
+
+
+def tidy(spark) -> None:
+    """Let Spark delete the shuffle files of steps whose result is saved: its cleaner
+    waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+_FIGURES = ("tokens", "vocabulary", "once", "twice", "words_once", "words_twice", "cells")
+_SENT = "bucket long, chunk long, words binary, sizes binary, contexts binary, counts binary"
+_BUILT = "bucket long, sizes binary, context binary, counts binary, names binary, chunks binary, lengths binary, asks binary, " + ", ".join(f"{n} long" for n in _FIGURES)
+_NAMES = "owner long, bucket long, names binary, customers binary, tables binary"
+_OWNED = "owner long, bucket long, place binary, customers binary, tables binary"
+_SWEPT = "kind long, bucket long, owner long, a binary, b binary, c0 long, t0 long"
+_TOTAL = "bucket long, owner long, tables binary"
+_NOTES = "bucket long, round long, owner long, a binary, b binary"
+_ANSWERS = "bucket long, chunk long, logs binary, counts binary"
+_KINDS = {n: _schema(n) for n in (_SENT, _BUILT, _NAMES, _OWNED, _SWEPT, _TOTAL, _NOTES, _ANSWERS)}
+
+
+def merged(key, table):
+    """One bucket's cells over all chunks: (words' numbers of cells, context number and
+    count of each cell, hashes of the contexts) and each chunk's places among them."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+    join = lambda c, of: np.concatenate([of(r[c]) for r in rows])
+    sent = [unpacked(r["counts"]) for r in rows]
+    names, context = np.unique(join("contexts", lambda x: np.frombuffer(x, U64)), return_inverse=True)
+    word = np.repeat(np.unique(join("words", unpacked_hashes), return_inverse=True)[1], join("sizes", unpacked))
+    cells, place = np.unique(word * len(names) + context, return_inverse=True)
+    counts = np.bincount(place, weights=np.concatenate(sent), minlength=len(cells)).astype(np.int64)
+    sizes = np.bincount(cells // len(names))
+    per_word = np.add.reduceat(counts, np.cumsum(sizes) - sizes)
+    lengths = np.array([len(x) for x in sent])
+    ends = np.cumsum(lengths)
+    asks = np.diff(place, prepend=0)
+    asks[(ends - lengths)[1:]] = place[(ends - lengths)[1:]]
+    figures = [counts.sum(), (per_word > 0).sum(), (counts == 1).sum(), (counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum(), (counts > 0).sum()]
+    return rows_of(_KINDS[_BUILT], [{
+        "bucket": key[0].as_py(), "sizes": packed(sizes), "context": packed(cells % len(names)), "counts": packed(counts), "names": packed_hashes(names),
+        "chunks": np.array([r["chunk"] for r in rows], np.int64).tobytes(), "lengths": packed(lengths), "asks": packed(asks),
+        **{n: int(x) for n, x in zip(_FIGURES, figures)}}])
+
+
+def sampler_of(r, base) -> Sampler:
+    sizes, context = unpacked(r["sizes"]), unpacked(r["context"])
+    keys = np.repeat(np.arange(len(sizes), dtype=U64) << U64(4), sizes)
+    return Sampler(keys, unpacked(r["counts"]), r["bucket"], base, context, int(context.max()) + 1)
+
+
+def owned(key, table):
+    """Totals of a range's contexts: customers and first tables, and the place of each
+    bucket's contexts among the range's."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
+    found = [unpacked_hashes(r["names"]) for r in rows]
+    names, place = np.unique(np.concatenate(found), return_inverse=True)
+    cut = np.cumsum([len(x) for x in found])[:-1]
+    total = [np.bincount(place, weights=np.concatenate([unpacked(r[c]) for r in rows]), minlength=len(names)) for c in ("customers", "tables")]
+    return rows_of(_KINDS[_OWNED], [{"owner": r["owner"], "bucket": r["bucket"], "place": packed(p), "customers": packed_sums(total[0][p]), "tables": packed_sums(total[1][p])}
+                                    for r, p in zip(rows, np.split(place, cut))])
+
+
+def summed(key, sent, owners):
+    """New totals of a range's contexts, to each bucket in the order of its own."""
+    tables = {r["bucket"]: unpacked(r["a"]) for r in sent.to_pylist()}
+    places = {r["bucket"]: unpacked(r["place"]) for r in owners.to_pylist()}
+    total = np.zeros(max((int(p.max()) + 1 for p in places.values()), default=0))
+    for b, p in places.items():
+        total[p] += tables[b]
+    return rows_of(_KINDS[_TOTAL], [{"bucket": b, "owner": key[0].as_py(), "tables": packed_sums(total[p])} for b, p in places.items()])
 
 
 def scores(docs: DataFrame, sweeps: int = 4, burn_in: int = 2, id_col: str = "doc_id") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    kind = dict(docs.dtypes)[id_col]
+    spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 1).alias("held_out"))
-    buckets = max(docs.sparkSession.sparkContext.defaultParallelism, text_bytes(rows) // CHUNK_BYTES + 1)
+    buckets = max(spark.sparkContext.defaultParallelism, text_bytes(rows) // CHUNK_BYTES + 1)
 
     def send(batches):
         for chunk, held in chunked(batches):
-            keys, counts = cells_of(held)
-            bucket = bucket_of(keys, buckets)
-            first, size = run_lengths(bucket)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[first], pa.int64()), pa.array([chunk] * len(first), pa.int64()),
-                 pa.array([keys[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary()),
-                 pa.array([counts[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
-
-    def add(key, table):
-        parts = [unpack(r) for r in table.select(["keys", "counts"]).to_pylist()]
-        keys = np.concatenate([k[c > 0] for k, c in parts])
-        counts = np.concatenate([c[c > 0] for _, c in parts]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first, _ = run_lengths(keys)
-        counts = np.add.reduceat(counts, first) if len(first) else counts
-        keys = keys[first]
-        word = run_lengths(keys & _WORD)[0]
-        per_word = np.add.reduceat(counts, word) if len(word) else np.zeros(0, np.int64)
-        figures = [counts.sum(), len(per_word), (counts == 1).sum(), (counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum(), len(counts)]
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "keys": [keys.tobytes()], "counts": [counts.astype(np.uint32).tobytes()],
-                         **{n: pa.array([int(x)], pa.int64()) for n, x in zip(_FIGURES, figures)},
-                         "customers": pa.array([np.bincount((keys & ~_WORD).astype(np.int64), weights=counts, minlength=CONTEXTS).tolist()], pa.list_(pa.float64())),
-                         "cells_in": pa.array([np.bincount((keys & ~_WORD).astype(np.int64), minlength=CONTEXTS).astype(float).tolist()], pa.list_(pa.float64()))})
-
-    sent = rows.mapInArrow(send, "bucket long, chunk long, keys binary, counts binary")
-    state = saved(sent.groupBy("bucket").applyInArrow(add, "bucket long, keys binary, counts binary, " + ", ".join(f"{n} long" for n in _FIGURES)
-                                                      + ", customers array<double>, cells_in array<double>"))
-    spread = [F.sum(F.col(c)[k]).alias(f"{c}{k}") for c in ("customers", "cells_in") for k in range(CONTEXTS)]
-    f = state.agg(*[F.sum(n).alias(n) for n in _FIGURES], *spread).first().asDict()
+            word, context, counts = cells_of(held)
+            first, size = run_lengths(word)
+            bucket, n = run_lengths(bucket_of(word[first], buckets))
+            for b, k in zip(bucket, n):
+                low, high = first[b], first[b + k - 1] + size[b + k - 1]
+                yield rows_of(_KINDS[_SENT], [{"bucket": int(bucket_of(word[low:low + 1], buckets)[0]), "chunk": chunk, "words": packed_hashes(word[first[b:b + k]]), "sizes": packed(size[b:b + k]),
+                                               "contexts": context[low:high].tobytes(), "counts": packed(counts[low:high])}]).to_batches()[0]
+
+    def send_names(batches):
+        for r in (r for batch in batches for r in batch.to_pylist()):
+            s, names = sampler_of(r, None), unpacked_hashes(r["names"])
+            customers, tables = s.by_context(s.counts), s.by_context(s.tables)
+            first, size = run_lengths(bucket_of(names, buckets))
+            for a, n in zip(first, size):
+                yield rows_of(_KINDS[_NAMES], [{"owner": int(bucket_of(names[a:a + 1], buckets)[0]), "bucket": r["bucket"], "names": packed_hashes(names[a:a + n]),
+                                                "customers": packed(customers[a:a + n]), "tables": packed(tables[a:a + n])}]).to_batches()[0]
+
+    built = saved(rows.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(merged, _BUILT))
+    tidy(spark)
+    owners = saved(built.select("bucket", "sizes", "context", "counts", "names").mapInArrow(send_names, _NAMES).groupBy("owner").applyInArrow(owned, _OWNED))
+    tidy(spark)
+    f = built.agg(*[F.sum(n).alias(n) for n in _FIGURES]).first().asDict()
     f = {k: v or 0 for k, v in f.items()}
     discount = lambda one, two: min(max(one / (one + 2 * two), 0.05), 0.95) if one else 0.5
     base = {"v": f["vocabulary"], "n": f["tokens"], "d": discount(f["once"], f["twice"]), "d0": discount(f["words_once"], f["words_twice"])}
-    customers = np.array([f[f"customers{k}"] for k in range(CONTEXTS)])
-    totals = [{"t": np.array([f[f"cells_in{k}"] for k in range(CONTEXTS)]), "c0": f["cells"], "t0": f["vocabulary"]}]
-
-    def sweep_sums(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                s = Sampler(*unpack(r), r["bucket"], base)
-                for k, total in enumerate(totals):
-                    s.sweep(k, total)
-                x = s.sums()
-                yield pa.RecordBatch.from_arrays([pa.array([x["t"].tolist()], pa.list_(pa.float64())), pa.array([x["c0"]], pa.int64()), pa.array([x["t0"]], pa.int64())],
-                                                 names=["t", "c0", "t0"])
-
-    cells = state.select("bucket", "keys", "counts")
-    for _ in range(sweeps):
-        got = cells.mapInArrow(sweep_sums, "t array<double>, c0 long, t0 long").agg(
-            *[F.sum(F.col("t")[k]).alias(f"t{k}") for k in range(CONTEXTS)], F.sum("c0").alias("c0"), F.sum("t0").alias("t0")).first()
-        totals.append({"t": np.array([got[f"t{k}"] or 0.0 for k in range(CONTEXTS)]), "c0": got["c0"] or 0, "t0": got["t0"] or 0})
-
-    def answer(key, asked, known):
-        k, c = (unpack(known.select(["keys", "counts"]).to_pylist()[0]) if known.num_rows else (np.zeros(0, U64), np.zeros(0, np.uint32)))
-        s = Sampler(k, c, key[0].as_py(), base)
-        per_word = np.add.reduceat(s.counts, s.first) if len(s.first) else np.zeros(0, np.int64)
-        queries = [np.frombuffer(x, U64) for x in asked["keys"].to_pylist()]
-        asks = np.concatenate(queries)
-        context = (asks & ~_WORD).astype(np.int64)
-        at = np.minimum(np.searchsorted(s.words, asks & _WORD), max(len(s.words) - 1, 0))
-        has = s.words[at] == (asks & _WORD) if len(s.words) else np.zeros(len(asks), bool)
-        cell = np.minimum(np.searchsorted(s.keys, asks), max(len(s.keys) - 1, 0))
-        in_cell = s.keys[cell] == asks if len(s.keys) else has
-        chance = np.zeros(len(asks))
-        for number in range(sweeps):
-            s.sweep(number, totals[number])
-            if number < burn_in:
-                continue
-            total = totals[number + 1]
-            parent = np.full(len(asks), (STRENGTH + base["d0"] * total["t0"]) * unknown_mass(base) / (STRENGTH + total["c0"]))
-            own = np.zeros(len(asks))
-            if len(s.words):
-                parent[has] = s.parent_chance(total)[at[has]]
-                own[in_cell] = (s.counts - base["d"] * s.tables)[cell[in_cell]]
-            chance += (own + (STRENGTH + base["d"] * total["t"][context]) * parent) / (STRENGTH + customers[context])
-        logs = np.log10(chance / (sweeps - burn_in))
-        counts = np.zeros(len(asks), np.uint32)
-        if len(s.words):
-            counts[has] = per_word[at[has]]
-        ends = np.cumsum([len(q) for q in queries])[:-1]
-        return pa.table({"bucket": pa.array([key[0].as_py()] * len(queries), pa.int64()), "chunk": asked["chunk"],
-                         "logs": pa.array([x.tobytes() for x in np.split(logs, ends)], pa.binary()),
-                         "counts": pa.array([x.tobytes() for x in np.split(counts, ends)], pa.binary())})
+    heads = [{"c0": f["cells"], "t0": f["vocabulary"]}]
+
+    # Notes of a bucket: totals of its contexts by round (owner >= 0: a tables, b
+    # customers, these in round 0 only) and its own tables after each sweep (owner -1:
+    # a of cells, b of words).
+    def totals(notes, number):
+        rows = sorted((r for r in notes if r["round"] == number and r["owner"] >= 0), key=lambda r: r["owner"])
+        return {"t": np.concatenate([loose(r["a"], np.int64) for r in rows]), **heads[number]}
+
+    def resumed(s, notes, number):
+        for r in notes:
+            if r["round"] == number and r["owner"] < 0:
+                s.resume(unpacked(r["a"]), unpacked(r["b"]))
+
+    def swept(number):
+        def one(key, cells, notes):
+            notes = notes.to_pylist()
+            s = sampler_of(cells.to_pylist()[0], base)
+            resumed(s, notes, number - 1)
+            s.sweep(number, totals(notes, number))
+            x, out = s.sums(), []
+            at = 0
+            for r in sorted((r for r in notes if r["round"] == number and r["owner"] >= 0), key=lambda r: r["owner"]):
+                n = len(loose(r["a"], np.int64))
+                out.append({"kind": 1, "bucket": s.bucket, "owner": r["owner"], "a": packed(x["t"][at:at + n])})
+                at += n
+            out.append({"kind": 0, "bucket": s.bucket, "owner": -1, "a": packed(s.tables), "b": packed(s.parent_tables), "c0": x["c0"], "t0": x["t0"]})
+            return rows_of(_KINDS[_SWEPT], out)
+        return one
+
+    def note(frame, number, a, b):
+        return frame.select("bucket", F.lit(number).cast("long").alias("round"), "owner", F.expr(a).cast("binary").alias("a"), F.expr(b).cast("binary").alias("b"))
+
+    sums, own = [note(owners, 0, "tables", "customers")], []
+    cells = built.select("bucket", "sizes", "context", "counts")
+    places = owners.select("owner", "bucket", "place")
+    for k in range(sweeps):
+        notes = sums[k].union(own[k - 1]) if k else sums[0]
+        out = saved(cells.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(swept(k), _SWEPT))
+        got = out.filter("kind = 0").agg(F.sum("c0").alias("c0"), F.sum("t0").alias("t0")).first()
+        heads.append({"c0": got["c0"] or 0, "t0": got["t0"] or 0})
+        tidy(spark)
+        back = out.filter("kind = 1").select("owner", "bucket", "a").groupBy("owner").cogroup(places.groupBy("owner"))
+        sums.append(note(saved(back.applyInArrow(summed, _TOTAL)), k + 1, "tables", "null"))
+        own.append(note(out.filter("kind = 0"), k, "a", "b"))
+        tidy(spark)
+
+    def answer(key, state, notes):
+        r, notes = state.to_pylist()[0], notes.to_pylist()
+        s = sampler_of(r, base)
+        customers = np.concatenate([loose(x["b"], np.int64) for x in sorted((x for x in notes if x["round"] == 0 and x["owner"] >= 0), key=lambda x: x["owner"])])
+        chance = np.zeros(len(s.counts))
+        for number in range(burn_in, sweeps):
+            resumed(s, notes, number)
+            chance += s.chances(totals(notes, number + 1), customers)
+        logs = np.log10(chance / (sweeps - burn_in)).astype(np.float32)
+        counts = s.by_word(s.counts)[s.word]
+        ends = np.cumsum(unpacked(r["lengths"]))[:-1]
+        places = [np.cumsum(x) for x in np.split(unpacked(r["asks"]), ends)]
+        return rows_of(_KINDS[_ANSWERS], [{"bucket": s.bucket, "chunk": int(c), "logs": squeezed(logs[p]), "counts": packed(counts[p])}
+                                          for c, p in zip(np.frombuffer(r["chunks"], np.int64), places)])
 
     def with_chunk(batches):
         for chunk, held in chunked(batches):
-            for b in held:
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * b.num_rows, pa.int64()), *b.columns], names=["chunk", *b.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(held), pa.int64()), pa.array([one_row(b) for b in held], pa.binary())], names=["chunk", "rows"])
 
     def score(texts, answers):
         answers = answers.sort_by("bucket")
-        logs = np.concatenate([np.frombuffer(x) for x in answers["logs"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in answers["counts"].to_pylist()])
-        slices = list(by_bytes(texts.to_batches()))
-        keys = np.unique(np.concatenate([np.unique(doc_tokens(b.column("text"))[0]) for b in slices]))
+        logs = np.concatenate([loose(x, np.float32) for x in answers["logs"].to_pylist()]).astype(np.float64)
+        counts = np.concatenate([unpacked(x) for x in answers["counts"].to_pylist()])
+        slices = [pa.ipc.open_stream(x).read_next_batch() for x in texts["rows"].to_pylist()]
+        _, number, owners, _ = token_cells([b.column("text") for b in slices])
         plain = np.log10((counts + 0.5) / (base["n"] + 0.5 * (base["v"] + 1)))
-        out = []
-        for b in slices:
-            key, owner = doc_tokens(b.column("text"))
-            at = np.searchsorted(keys, key)
-            n = b.num_rows
+        out, end = [], 0
+        for b, owner in zip(slices, owners):
+            at = number[end:end + len(owner)]
+            n, end = b.num_rows, end + len(owner)
             out.append(pa.table([b.column("doc_id"), b.column("held_out"), pa.array(np.bincount(owner, minlength=n), pa.int64()),
                                  pa.array(np.bincount(owner, weights=counts[at] > 0, minlength=n).astype(np.int64)), pa.array([base["n"]] * n, pa.int64()),
                                  pa.array(np.bincount(owner, weights=plain[at], minlength=n)), pa.array(np.bincount(owner, weights=logs[at], minlength=n))],
                                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.concat_tables(out)
 
-    answers = sent.groupBy("bucket").cogroup(cells.groupBy("bucket"))
-    answers = answers.applyInArrow(lambda key, a, b: answer(key, a, b) if a.num_rows else _NO_ANSWER, "bucket long, chunk long, logs binary, counts binary")
-    texts = rows.mapInArrow(with_chunk, f"chunk long, doc_id {kind}, text string, held_out boolean")
+    notes = sums[0]
+    for number in range(burn_in, sweeps):
+        notes = notes.union(own[number]).union(sums[number + 1])
+    asked = built.select("bucket", "sizes", "context", "counts", "chunks", "lengths", "asks")
+    answers = asked.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(answer, _ANSWERS)
+    texts = rows.mapInArrow(with_chunk, "chunk long, rows binary")
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-_FIGURES = ("tokens", "vocabulary", "once", "twice", "words_once", "words_twice", "cells")
-_NO_ANSWER = pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()), "logs": pa.array([], pa.binary()), "counts": pa.array([], pa.binary())})
-
-
 def perplexity(scored: DataFrame) -> DataFrame:
     """held_out, tokens, perplexity of the model and of the base."""
     power = lambda c: F.pow(F.lit(10.0), -F.sum(c) / F.sum("n_tokens"))

@@ -288,6 +288,25 @@ def test_pitman_yor_is_a_distribution(monkeypatch):
         assert abs((own + (1 + base["d"] * total["t"][u])) / (1 + customers[u]) - 1) < 1e-9
 
 
+def test_pitman_yor_context_is_the_whole_word_before(spark):
+    """Which word follows is certain given the whole word before it, and not given its
+    first two bytes or a class of them."""
+    rng = random.Random(6)
+    pairs = [("stem%03d" % k, "next%03d" % rng.randrange(1000)) for k in range(120)]
+    rows = [(k, " ".join(w for _ in range(150) for w in rng.choice(pairs))) for k in range(60)]
+    got = {r.held_out: r for r in pitman_yor.perplexity(pitman_yor.scores(saved(spark.createDataFrame(rows, "doc_id int, text string")))).collect()}
+    # Half of the tokens are one of 120 at random, the others are certain.
+    assert got[True].base_perplexity > 150 and got[True].perplexity < 20
+
+
+def test_pitman_yor_packing():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 1000):
+        x = rng.integers(0, 2 ** 32, n)
+        h = np.sort(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        assert (pitman_yor.unpacked(pitman_yor.packed(x)) == x).all() and (pitman_yor.unpacked_hashes(pitman_yor.packed_hashes(h)) == h).all()
+
+
 # ---- 6 BPE
 
 def test_bpe_matches_the_library(docs, empty):
