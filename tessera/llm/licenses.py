@@ -3,8 +3,10 @@
 A text is brought to a canonical form: lower case, copyright lines dropped,
 equivalent spellings unified, punctuation and white space collapsed. Its SHA-256
 digest is looked up among the digests of known license texts, brought to the same form
-by the same functions. Whole documents and their single paragraphs (lines with words)
-are looked up: a license that fills the document, and a notice that stands in it.
+by the same functions. Whole documents, their single lines and their paragraphs (lines
+between blank ones, joined) are looked up: a license that fills the document, and a
+notice that stands in it, wrapped or not. Only units as long as some known form are
+hashed.
 
 Only DataFrame functions run here. The known texts are a parameter of fixed size (the
 default list below), so their digests are broadcast; documents are not shuffled but
@@ -16,12 +18,14 @@ row by row; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import numbered
 
-#: Known texts (fixed values): short public licenses and the usual notices.
+#: Known texts (fixed values): the usual notices; ``entire_texts`` adds whole licenses.
 KNOWN = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
@@ -37,19 +41,57 @@ KNOWN = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
+for _code, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+                     ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    KNOWN += [(f"CC-{_code}-4.0", t) for t in (f"Licensed under CC {_code} 4.0.", f"This work is licensed under a Creative Commons {_name} 4.0 International License.")]
+
+TEXTS = Path(__file__).parent / "license_texts"
+#: Lines that stand before the short licenses, or not.
+TITLES = {"MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"], "ISC": ["ISC License", "The ISC License"],
+          "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"], "BSD-2-Clause": ["BSD License", "BSD 2-Clause License"], "BSD-3-Clause": ["BSD License", "BSD 3-Clause License"]}
+
+
+def entire_texts() -> list[tuple[str, str]]:
+    """Whole licenses with their usual titles, and the conditions of the BSD licenses,
+    which often are one paragraph."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        name, text = path.stem, path.read_text()
+        bodies = [text]
+        if name == "Apache-2.0":
+            bodies.append(text[:text.index("APPENDIX:")])
+        if name == "Unlicense":
+            bodies += [text.replace("http://unlicense.org", "https://unlicense.org"), text[:text.index("For more information")]]
+        if name.startswith("BSD"):
+            count = iter("123")
+            numbered_items = "".join(f" {next(count)}." + x[2:] if x.startswith(" * ") else x for x in text.splitlines(True))
+            bodies = [b.replace("copyright holder nor", owner) for b in (text, numbered_items) for owner in ("copyright holder nor", "University nor", "author nor")]
+            bodies += [b.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for b in bodies]
+            out += [("BSD", b[:b.index("THIS SOFTWARE")]) for b in bodies]
+            name = "BSD"
+        titles = ["", *TITLES.get(path.stem, [])]
+        rights = ["", "All rights reserved."] if path.stem in TITLES else [""]
+        out += [(name, f"{t}\n{r}\n{b}") for b in bodies for t in titles for r in rights]
+    return out
 
 #: Equivalent spellings (fixed values): text that must occur, pattern, canonical form.
 SPELLINGS = [("licence", "licence", "license"), ("https", "https", "http"), ("organisation", "organisation", "organization"),
              ("merchantib", "merchantibility", "merchantability"), ("v", "v(?<![a-z0-9]v)(?:er)?(?=[ \n]?[0-9])", "version")]
 
+#: A copyright line, not a line of running text that was wrapped before the word.
+OWNED = (r"(?m)^[ \t]*(copyright(?![ \t]+(?:notices?|holders?|owners?|licen[sc]es?|statements?|laws?|interests?|and|or|in|to|for|treaty)\b)"
+         r"|\(c\)(?![ \t]+(?:you|under|to|in|for|if|any|a)\b)|©)[^\n]*$")
+
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form with its line breaks; a spelling is only searched for in texts
     that hold its fixed part."""
     text = F.lower(text)
     owned = text.contains("copyright") | text.contains("(c)") | text.contains("©")
-    text = F.when(owned, F.regexp_replace(text, r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$", " ")).otherwise(text)
+    text = F.when(owned, F.regexp_replace(text, OWNED, " ")).otherwise(text)
     text = F.regexp_replace(text, r"[^a-z0-9\n\x{80}-\x{10FFFF}]+", " ")
     for part, form, word in SPELLINGS:
         text = F.when(text.contains(part), F.regexp_replace(text, form, word)).otherwise(text) if part != "v" else F.regexp_replace(text, form, word)
@@ -57,29 +99,46 @@ def canonical_lines(text: Column) -> Column:
 
 
 def lines_of(form: Column) -> Column:
-    """Canonical lines that are not empty; joined by spaces they are the whole form."""
-    return F.filter(F.transform(F.split(form, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    """Canonical lines; those that are not empty, joined by spaces, are the whole form."""
+    return F.transform(F.split(form, "\n", -1), lambda x: F.trim(x))
+
+
+def whole_of(lines: Column) -> Column:
+    return F.array_join(F.filter(lines, lambda x: x != ""), " ")
+
+
+def paragraphs_of(lines: Column) -> Column:
+    """Runs of two and more lines without an empty one, joined by spaces."""
+    runs = F.transform(F.split(F.array_join(lines, "\n"), "\n\n+"), lambda x: F.btrim(x, F.lit("\n")))
+    return F.transform(F.filter(runs, lambda x: x.contains("\n")), lambda x: F.translate(x, "\n", " "))
 
 
-def known_digests(spark, known=None) -> DataFrame:
-    """license, digest: one row per distinct canonical text (first license wins)."""
-    known = KNOWN if known is None else known
+def known_digests(spark, known=None) -> tuple[DataFrame, list[int]]:
+    """(license, digest: one row per distinct canonical text (first license wins);
+    lengths of the texts)."""
+    known = KNOWN + entire_texts() if known is None else known
     rows = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(known)], "k int, license string, text string")
-    rows = rows.withColumn("form", F.array_join(lines_of(canonical_lines(F.col("text"))), " ")).filter("form <> ''")
-    return rows.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min_by("license", "k").alias("license"))
+    rows = rows.withColumn("form", whole_of(lines_of(canonical_lines(F.col("text"))))).filter("form <> ''")
+    found = (rows.groupBy(F.sha2("form", 256).alias("digest"), F.length("form").alias("n"))
+             .agg(F.min_by("license", "k").alias("license")).collect())
+    digests = spark.createDataFrame([(r["digest"], r["license"]) for r in found], "digest string, license string")
+    return digests, sorted({r["n"] for r in found})
 
 
 def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id") -> DataFrame:
     """doc_id, license (of the whole text, null if none), line_licenses (distinct
-    licenses of single lines, in order), n_license_lines, of every row."""
-    digests = F.broadcast(known_digests(docs.sparkSession, known))
+    licenses of single lines and paragraphs, in order), n_license_lines (those lines
+    and paragraphs), of every row."""
+    digests, lengths = known_digests(docs.sparkSession, known)
     rows = numbered(docs).select("rid", F.col(id_col), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # The generator computes the canonical lines once, for the whole and for each.
+    # The generator computes the canonical lines once, for the whole and for each part.
     forms = rows.select("rid", F.explode(F.array(lines_of(canonical_lines(F.col("text"))))).alias("lines"))
-    whole = F.array(F.struct(F.lit(True).alias("whole"), F.array_join("lines", " ").alias("unit")))
-    each = F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit")))
-    units = forms.select("rid", F.explode(F.concat(whole, each)).alias("u")).filter("u.unit <> ''")
-    found = (units.select("rid", "u.whole", F.sha2("u.unit", 256).alias("digest")).join(digests, "digest").groupBy("rid")
+    fits = lambda x: F.length(x).isin(lengths)
+    unit = lambda whole: lambda x: F.struct(F.lit(whole).alias("whole"), x.alias("unit"))
+    parts = F.concat(F.col("lines"), paragraphs_of(F.col("lines")))
+    units = forms.select("rid", F.explode(F.concat(F.transform(F.filter(F.array(whole_of(F.col("lines"))), fits), unit(True)),
+                                                   F.transform(F.filter(parts, fits), unit(False)))).alias("u"))
+    found = (units.select("rid", "u.whole", F.sha2("u.unit", 256).alias("digest")).join(F.broadcast(digests), "digest").groupBy("rid")
              .agg(F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
                   F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ",").alias("line_licenses"),
                   F.sum((~F.col("whole")).cast("long")).alias("n_license_lines")))

@@ -152,6 +152,28 @@ def test_license_scan(spark, empty):
     assert licenses.license_scan(spark.createDataFrame([(1, "a, B! c")], "doc_id int, text string"), known).first()["license"] == "own"
 
 
+def test_license_scan_of_entire_and_wrapped_texts(spark):
+    import textwrap
+    entire = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    fill = lambda x, width: "\n\n".join(textwrap.fill(" ".join(b.split()), width) for b in x.split("\n\n"))
+    rows = [("whole " + k, t) for k, t in entire.items()]
+    rows += [(f"wrapped{w} {k}", fill("Copyright (c) 2001 Somebody\n\n" + entire[k], w)) for k in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense") for w in (50, 61, 75, 90)]
+    rows += [("part " + k, "intro\n\n" + "\n".join("# " + x for x in entire[k].splitlines()) + "\n\nimport os\n") for k in ("MIT", "ISC")]
+    rows += [("part Apache-2.0", "/*\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License.\n"
+              " * You may obtain a copy of the License at\n *\n * http://www.apache.org/licenses/LICENSE-2.0\n */\ncode"),
+             ("part CC-BY-NC-4.0", "text\nLicensed under CC BY-NC 4.0.\nmore"), ("none", "some\nwrapped lines\n\nof text")]
+    got = {r[0]: (r[1] or "", r[2]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for key, (license, parts) in got.items():
+        want = key.split(" ")[-1]
+        want = "BSD" if want.startswith("BSD") else want
+        if key == "none":
+            assert (license, parts) == ("", "")
+        elif key.startswith("part"):
+            assert parts == want and not license, key
+        else:
+            assert license == want, key
+
+
 # ---- 3 Jaccard join
 
 def shingles(t):
