@@ -323,6 +323,11 @@ def verify(members: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """rid, doc_id, n_shingles, component_id, n_links (linked other classes) of every row."""
+    return rooted_groups(docs, size, percent, id_col).drop("root")
+
+
+def rooted_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
+    """The same and ``root``, the component itself whatever its ids are (null without words)."""
     if percent != 80:
         raise ValueError("the candidate bounds hold for 80 percent")
     sets = saved(set_table(docs, size, id_col))
@@ -357,19 +362,19 @@ def jaccard_groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: st
     grouped = (classes.join(roots.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
                .join(links, "class_id", "left").withColumn("root", F.coalesce("root", "class_id")))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(least, "root").select("h1", "h2", "n", "component_id", "n_links")
+    named = grouped.join(least, "root").select("h1", "h2", "n", "component_id", "n_links", "root")
     return (sets.join(named, ["h1", "h2", "n"], "left")
             .select("rid", "doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "root"))
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """One document of each component (its first row with the least id); documents
     without words all stay; columns as given."""
-    groups = jaccard_groups(docs, **options)
+    groups = rooted_groups(docs, **options)
     key = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
-    kept = groups.filter("n_shingles > 0 AND component_id IS NOT NULL").groupBy("component_id").agg(F.min(key)["rid"].alias("rid")).select("rid")
-    kept = kept.union(groups.filter("n_shingles = 0 OR component_id IS NULL").select("rid"))
+    kept = groups.filter("n_shingles > 0").groupBy("root").agg(F.min(key)["rid"].alias("rid")).select("rid")
+    kept = kept.union(groups.filter("n_shingles = 0").select("rid"))
     rows, _, restored = set_aside(docs)
     return restored(rows.join(kept, "rid"))

@@ -233,6 +233,13 @@ def test_jaccard_edges(spark, docs, empty):
     assert {(99 if i is None else i, c) for i, c in got.items()} == {(i, c) for i, _, c in want}
 
 
+def test_near_copies_are_grouped_by_component_not_id(spark):
+    w = lambda x: " ".join(x + str(k) for k in range(30))
+    rows = [(1, w("a")), (1, w("b")), (2, w("b")), (None, w("c")), (None, w("c")), (None, w("c") + " end"), (None, w("d")), (None, ""), (None, None)]
+    kept = jaccard_join.drop_near_copies(saved(spark.createDataFrame(rows, "doc_id int, text string"))).collect()
+    assert sorted((r.text or "").split(" ")[0] for r in kept) == ["", "", "a0", "b0", "c0", "d0"]
+
+
 def test_signatures_lose_no_pair():
     rng = np.random.default_rng(3)
     for _ in range(300):
