@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, quality
+from . import licenses, merkle, mixing, quality
 from .bpe import encode_digests
 from .jaccard_join import jaccard_groups
+from .merkle import op11_merkle_manifest
 from .neighbours import nearest
 from .pitman_yor import scores
 from .suffix_dedup import repeat_digests
@@ -60,5 +61,5 @@ def op10_nearest(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op5_pitman_yor, op6_byte_bpe,
-                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest)}
-ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL}
+                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest, op11_merkle_manifest)}
+ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
