@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import licenses, merkle, mixing, quality
+from . import importance, licenses, merkle, mixing, quality
 from .bpe import encode_digests
+from .importance import op12_importance
 from .jaccard_join import jaccard_groups
 from .merkle import op11_merkle_manifest
 from .neighbours import nearest
@@ -61,5 +62,6 @@ def op10_nearest(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op5_pitman_yor, op6_byte_bpe,
-                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest, op11_merkle_manifest)}
-ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL, "op11_merkle_manifest": merkle.SQL}
+                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest, op11_merkle_manifest, op12_importance)}
+ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL, "op11_merkle_manifest": merkle.SQL,
+           "op12_importance": importance.SQL}

@@ -138,3 +138,17 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def pack(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document index) of every maximal run of marked bytes; runs never
+    cross documents."""
+    if not len(inside):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[offsets] = True
+    same = inside[:-1] & inside[1:] & ~edge[1:-1]
+    starts = np.flatnonzero(inside & np.concatenate([[True], ~same]))
+    ends = np.flatnonzero(inside & np.concatenate([~same, [True]])) + 1
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
