@@ -8,6 +8,7 @@ from .importance import op12_importance
 from .jaccard_join import jaccard_groups
 from .merkle import op11_merkle_manifest
 from .neighbours import nearest
+from .personal_data import op13_personal_data
 from .pitman_yor import scores
 from .suffix_dedup import repeat_digests
 from .tables import read
@@ -62,6 +63,6 @@ def op10_nearest(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_jaccard_join, op4_token_counts, op5_pitman_yor, op6_byte_bpe,
-                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest, op11_merkle_manifest, op12_importance)}
+                                      op7_toxicity, op8_quality_rules, op9_mix_sources, op10_nearest, op11_merkle_manifest, op12_importance, op13_personal_data)}
 ORACLES = {"op8_quality_rules": quality.SQL, "op9_mix_sources": mixing.SQL, "op11_merkle_manifest": merkle.SQL,
            "op12_importance": importance.SQL}

@@ -508,8 +508,8 @@ def test_nearest_small_tables(spark):
 def test_every_operator_is_registered():
     import __spark_entry__
     names = list(__spark_entry__.queries())
-    assert [n for k in range(1, 11) for n in names if n.startswith(f"op{k}_")] == list(queries.QUERIES)
-    assert len(queries.QUERIES) == 10 and "pipeline" in names
+    assert [n for k in range(1, 14) for n in names if n.startswith(f"op{k}_")] == list(queries.QUERIES)
+    assert len(queries.QUERIES) == 13 and "pipeline" in names
 
 
 def test_pipeline_stages(spark, docs, tmp_path):
