@@ -1,300 +1,481 @@
-"""Dense (block) form of the raster operators: R1 stitch and R6 pyramid.
-
-The long pixel form is exact and pure Catalyst but carries one row per pixel; for
-dense morphology / protein images a slide has billions of pixels. The block form
-keeps images as fixed-size blocks (``block`` x ``block`` arrays, row-major) and
-uses numpy inside Arrow-batched pandas functions, with Spark doing the routing:
-
-* stitch: every tile is cut (with array higher-order functions, before any
-  shuffle) into the pieces that fall into each output block; pieces are
-  shuffled by block key and pasted in paste order — one group = one output
-  block, so a group holds at most a few block-sized pieces.
-* pyramid: every level-0 block emits its down-sampled sub-block for each level
-  (odd-pixel sampling, as in the long form); sub-blocks are grouped by the
-  level-k block they belong to and assembled.
-
-Semantics equal the long form (cross-tested), with "missing pixel = 0".
+"""Dense (block) form of the raster operators: R1, R6, R9, R10, J9 and A14.
+
+The long pixel form is exact and pure Catalyst but carries one row per pixel. Here an
+image is a table of packed rectangles: bytes of the narrowest integer that holds the
+rectangle's values (0 bytes where all are zero), so a 16-bit pixel costs two bytes in a
+shuffle and numpy reads it in place. Spark routes the rectangles; slide keys and the
+canvas size travel with each of them, so one job does all slides.
+
+* piece: (keys, channel, fov, top, left, ph, pw, depth, pixels), a part of a tile of at
+  most ``PIECE`` x ``PIECE`` pixels. Tiles are cut before anything gathers them:
+  :func:`pack_tiles` from long pixels, :func:`cut_tiles` from images held as bytes.
+* block: (keys, channel, by, bx, bh, bw, canvas_h, canvas_w, depth, pixels), a part of a
+  mosaic. :func:`stitch_blocks` sends every piece to the blocks it covers and pastes in
+  paste order; a group is one block and the few pieces over it.
+* pyramid: level 0 is the blocks themselves; a block sends its sampled pixels of each
+  higher level (a third of its size in all) to the block of that level.
+* halos: a block sends each block within reach the strip that lies in its halo.
+
+Missing pixels and absent blocks are 0; results equal the long form.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-
-BLOCK_SCHEMA = ("channel string, by long, bx long, bh int, bw int, pixels array<long>")
-
-
-def tiles_from_long(pixels: DataFrame, height: int, width: int, keys=("fov", "channel")) -> DataFrame:
-    """Long tile pixels -> one row per tile with a row-major array (missing = 0).
-    A tile is bounded by height x width values; its pixels are gathered as
-    (index, value) arrays and scattered into one dense array."""
-    keys = list(keys)
-    idx = (F.col("row") * width + F.col("col")).cast("int")
-    g = pixels.groupBy(*keys).agg(F.collect_list(F.struct(idx.alias("i"), F.col("val").cast("long").alias("v"))).alias("px"))
-    g = g.select(*keys, F.col("px.i").alias("i"), F.col("px.v").alias("v"))
-
-    def fill(it):
-        for pdf in it:
-            dense = []
-            for i, v in zip(pdf["i"], pdf["v"]):
-                a = np.zeros(height * width, dtype=np.int64)
-                a[np.asarray(i)] = np.asarray(v)
-                dense.append(a)
-            yield pdf[keys].assign(height=np.int32(height), width=np.int32(width), pixels=dense)
-
-    types = dict(g.dtypes)
-    schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", height int, width int, pixels array<long>"
-    return g.mapInPandas(fill, schema)
-
-
-def stitch_blocks(tiles: DataFrame, origins: DataFrame, block: int = 1024) -> DataFrame:
-    """R1 in block form. ``tiles`` = (fov, channel, height, width, pixels);
-    ``origins`` = (fov, y0, x0, paste_order, canvas_h, canvas_w)."""
-    o = origins.select("fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w")
-    t = tiles.join(o, "fov")
-    B = int(block)
-    # rows / cols of the tile inside the canvas
-    r0 = F.greatest(F.lit(0), -F.col("y0"))
-    r1 = F.least(F.col("height"), F.col("canvas_h") - F.col("y0")) - 1
-    c0 = F.greatest(F.lit(0), -F.col("x0"))
-    c1 = F.least(F.col("width"), F.col("canvas_w") - F.col("x0")) - 1
-    t = t.withColumn("r0", r0).withColumn("r1", r1).withColumn("c0", c0).withColumn("c1", c1)
-    t = t.where((F.col("r1") >= F.col("r0")) & (F.col("c1") >= F.col("c0")))
-    t = t.withColumn("by", F.explode(F.sequence(F.floor((F.col("y0") + F.col("r0")) / B),
-                                                F.floor((F.col("y0") + F.col("r1")) / B))))
-    t = t.withColumn("bx", F.explode(F.sequence(F.floor((F.col("x0") + F.col("c0")) / B),
-                                                F.floor((F.col("x0") + F.col("c1")) / B))))
-    # piece of the tile inside block (by, bx), in tile coordinates
-    pr0 = F.greatest(F.col("r0"), F.col("by") * B - F.col("y0"))
-    pr1 = F.least(F.col("r1"), (F.col("by") + 1) * B - 1 - F.col("y0"))
-    pc0 = F.greatest(F.col("c0"), F.col("bx") * B - F.col("x0"))
-    pc1 = F.least(F.col("c1"), (F.col("bx") + 1) * B - 1 - F.col("x0"))
-    t = (t.withColumn("pr0", pr0.cast("int")).withColumn("pr1", pr1.cast("int"))
-          .withColumn("pc0", pc0.cast("int")).withColumn("pc1", pc1.cast("int")))
-    piece = F.flatten(F.transform(F.sequence("pr0", "pr1"), lambda r: F.slice(
-        "pixels", r * F.col("width") + F.col("pc0") + 1, F.col("pc1") - F.col("pc0") + 1)))
-    p = t.select("channel", "by", "bx", "paste_order", "canvas_h", "canvas_w",
-                 (F.col("y0") + F.col("pr0") - F.col("by") * B).cast("int").alias("oy"),
-                 (F.col("x0") + F.col("pc0") - F.col("bx") * B).cast("int").alias("ox"),
-                 (F.col("pr1") - F.col("pr0") + 1).alias("ph"), (F.col("pc1") - F.col("pc0") + 1).alias("pw"),
-                 piece.alias("piece"))
-
-    def paste(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("paste_order", kind="stable")
-        first = pdf.iloc[0]
-        by, bx = int(first["by"]), int(first["bx"])
-        bh = int(min(B, first["canvas_h"] - by * B))
-        bw = int(min(B, first["canvas_w"] - bx * B))
-        out = np.zeros((bh, bw), dtype=np.int64)
-        for oy, ox, ph, pw, pc in zip(pdf["oy"], pdf["ox"], pdf["ph"], pdf["pw"], pdf["piece"]):
-            out[oy:oy + ph, ox:ox + pw] = np.asarray(pc, dtype=np.int64).reshape(ph, pw)
-        return pd.DataFrame({"channel": [str(first["channel"])], "by": [by], "bx": [bx], "bh": [bh],
-                             "bw": [bw], "pixels": [out.ravel()]})
-
-    return p.withColumn("channel", F.col("channel").cast("string")).groupBy("channel", "by", "bx") \
-            .applyInPandas(paste, BLOCK_SCHEMA)
-
-
-def blocks_to_long(blocks: DataFrame, block: int = 1024, nonzero: bool = True) -> DataFrame:
-    e = blocks.select("*", F.posexplode("pixels").alias("i", "val"))
-    out = e.select("channel", *[c for c in ("level",) if c in blocks.columns],
-                   (F.col("by") * block + F.floor(F.col("i") / F.col("bw"))).cast("long").alias("row"),
-                   (F.col("bx") * block + F.col("i") % F.col("bw")).cast("long").alias("col"), "val")
-    return out.where(F.col("val") != 0) if nonzero else out
-
-
-def pyramid_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024,
-                   min_size: int = 256) -> DataFrame:
-    """R6 in block form; ``block`` must be a power of two. Levels and sampling
-    as in :func:`tessera.operators.raster.build_pyramid`."""
-    B = int(block)
-    assert B & (B - 1) == 0, "block must be a power of two"
-    L = max(1, int(np.floor(np.log2(max(height, width) / min_size))))
-    mh, mw = int(np.floor(np.log2(height))), int(np.floor(np.log2(width)))
-    levels = range(L)  # a block without a sampled pixel of a level emits nothing for it
-
-    def emit(it):
-        for pdf in it:
-            rows = []
-            for ch, by, bx, bh, bw, px in zip(pdf["channel"], pdf["by"], pdf["bx"], pdf["bh"], pdf["bw"],
-                                              pdf["pixels"]):
-                a = np.asarray(px, dtype=np.int64).reshape(int(bh), int(bw))
-                gr = by * B + np.arange(bh)
-                gc = bx * B + np.arange(bw)
-                for k in levels:
-                    pr, pc = 1 << min(k, mh), 1 << min(k, mw)
-                    nkh, nkw = max(1, height >> k), max(1, width >> k)
-                    rsel = ((gr + 1) % pr == 0) & ((gr + 1) // pr - 1 < nkh)
-                    csel = ((gc + 1) % pc == 0) & ((gc + 1) // pc - 1 < nkw)
-                    if not rsel.any() or not csel.any():
-                        continue
-                    lr = (gr[rsel] + 1) // pr - 1
-                    lc = (gc[csel] + 1) // pc - 1
-                    sub = a[np.ix_(rsel, csel)]
-                    rows.append((ch, k, int(lr[0] // B), int(lc[0] // B), int(lr[0] % B), int(lc[0] % B),
-                                 int(sub.shape[0]), int(sub.shape[1]), sub.ravel()))
-            yield pd.DataFrame(rows, columns=["channel", "level", "kby", "kbx", "oy", "ox", "sh", "sw", "sub"])
-
-    sub_schema = ("channel string, level int, kby long, kbx long, oy int, ox int, sh int, sw int, "
-                  "sub array<long>")
-    subs = blocks.mapInPandas(emit, sub_schema)
-
-    def assemble(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        k, kby, kbx = int(first["level"]), int(first["kby"]), int(first["kbx"])
-        nkh, nkw = max(1, height >> k), max(1, width >> k)
-        bh, bw = int(min(B, nkh - kby * B)), int(min(B, nkw - kbx * B))
-        out = np.zeros((bh, bw), dtype=np.int64)
-        for oy, ox, sh, sw, sub in zip(pdf["oy"], pdf["ox"], pdf["sh"], pdf["sw"], pdf["sub"]):
-            out[oy:oy + sh, ox:ox + sw] = np.asarray(sub, dtype=np.int64).reshape(sh, sw)
-        return pd.DataFrame({"channel": [str(first["channel"])], "level": [k], "by": [kby], "bx": [kbx],
-                             "bh": [bh], "bw": [bw], "pixels": [out.ravel()]})
-
-    return subs.groupBy("channel", "level", "kby", "kbx").applyInPandas(
-        assemble, "channel string, level int, by long, bx long, bh int, bw int, pixels array<long>")
-
-
-_NEIGHBOURS = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
-
-
-def _with_halo(blocks: DataFrame, k: int, height: int, width: int, block: int, fn, out_schema: str):
-    """Give every block a halo of ``k`` pixels and apply ``fn(padded, bh, bw) ->
-    array | None`` per block. A block sends each block within ``k`` pixels the part
-    of its own pixels that lies in that block's halo: strips and corners for the 8
-    neighbours, further rings when ``k`` exceeds the block edge. Groups exist for
-    every block that has pixels or lies near one (uncovered area = 0); halo parts
-    beyond the canvas replicate its edge, by true distance from the canvas."""
-    B, k = int(block), int(k)
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+PIECE = 512
+BLOCK = 1024
+SPREAD_BLOCK = 256
+OUT_BYTES = 16 << 20
+OUT_ROWS = 65_536
+_DTYPES = {1: "u1", 2: "<u2", 4: "<u4", 8: "<i8"}
+
+PIECE_FIELDS = "top int, left int, ph int, pw int, depth int, pixels binary"
+BLOCK_FIELDS = "by long, bx long, bh int, bw int, canvas_h long, canvas_w long, depth int, pixels binary"
+
+
+# --------------------------------------------------------------------- packed pixels
+def pack(a: np.ndarray) -> tuple[int, bytes]:
+    """(bytes a pixel, row-major bytes) in the narrowest width; all zero packs to nothing."""
+    if not a.size or not a.any():
+        return 0, b""
+    if a.dtype.kind == "b":
+        return 1, a.astype("u1").tobytes()
+    high, low = int(a.max()), int(a.min())
+    depth = 8 if low < 0 else next(d for d in (1, 2, 4, 8) if high < 1 << 8 * d or d == 8)
+    return depth, np.ascontiguousarray(a, dtype=_DTYPES[depth]).tobytes()
+
+
+def unpack(pixels: bytes, depth: int, h: int, w: int) -> np.ndarray:
+    return np.zeros((h, w), "u1") if depth == 0 else np.frombuffer(pixels, _DTYPES[depth]).reshape(h, w)
+
+
+# --------------------------------------------------------------------- rows in, rows out
+def _schema(df: DataFrame, keys: list[str], fields: str) -> StructType:
+    plain = StructType.fromDDL(fields)
+    return StructType([df.schema[k] for k in keys] + plain.fields)
+
+
+def _records(rows: Iterator[tuple], schema: StructType) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded size."""
+    arrow = to_arrow_schema(schema)
+    held, size = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow)], schema=arrow)
+
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) if isinstance(row[-1], bytes) else 8
+        if size >= OUT_BYTES or len(held) >= OUT_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _pixel_records(chunks: Iterator[tuple], schema: StructType) -> Iterator[pa.RecordBatch]:
+    """(key values, arrays of one length...) as Arrow batches of bounded size, keys repeated."""
+    arrow = to_arrow_schema(schema)
+    held, size = [], 0
+
+    def batch():
+        own = np.repeat(np.arange(len(held)), [len(c[1]) for c in held])
+        n_keys = len(held[0][0])
+        columns = [pa.array([c[0][k] for c in held], arrow[k].type).take(pa.array(own)) for k in range(n_keys)]
+        columns += [pa.array(np.concatenate([c[k] for c in held])).cast(arrow[n_keys + k - 1].type) for k in range(1, len(held[0]))]
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    for chunk in chunks:
+        held.append(chunk)
+        size += len(chunk[1])
+        if size >= 8 * OUT_ROWS:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _each_row(df: DataFrame, schema: StructType, fn: Callable[[dict], Iterator[tuple]], write=_records) -> DataFrame:
+    """``fn`` on every row; binary columns arrive as buffers, not copied."""
+    def run(batches):
+        def rows():
+            for b in batches:
+                columns = [c if pa.types.is_binary(c.type) else c.to_pylist() for c in b.columns]
+                names = b.schema.names
+                for k in range(b.num_rows):
+                    yield from fn({n: c[k].as_buffer() if isinstance(c, pa.Array) else c[k] for n, c in zip(names, columns)})
+        yield from write(rows(), schema)
+    return df.mapInArrow(run, schema)
+
+
+def _each_group(df: DataFrame, keys: list[str], schema: StructType, fn, order: list[str] = (), write=_records) -> DataFrame:
+    """``fn(key values, batches)`` on the rows of every key, in ``order``: one shuffle by the
+    key, then each partition is read in key order, holding one group at a time."""
+    def run(batches):
+        def changes(b):
+            out = np.zeros(b.num_rows, bool)
+            for k in keys:
+                code = b.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                out[1:] |= code[1:] != code[:-1]
+            return np.flatnonzero(out)
+
+        def rows():
+            key, held = None, []
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                edges = [0, *changes(b).tolist(), b.num_rows]
+                starts = b.select(keys).take(pa.array(edges[:-1])).to_pylist()
+                for low, high, start in zip(edges[:-1], edges[1:], starts):
+                    value = tuple(start.values())
+                    if held and value != key:
+                        yield from fn(key, held)
+                        held = []
+                    key = value
+                    held.append(b.slice(low, high - low))
+            if held:
+                yield from fn(key, held)
+        yield from write(rows(), schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def _values(parts: list[pa.RecordBatch], *names: str) -> list[np.ndarray]:
+    return [np.concatenate([p.column(n).to_numpy(zero_copy_only=False) for p in parts]) for n in names]
+
+
+def _rectangles(parts: list[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """(named values..., pixels as an array of ph x pw) of every row."""
+    for p in parts:
+        columns = [p.column(n).to_pylist() for n in (*names, "ph", "pw", "depth")]
+        pixels = p.column("pixels")
+        for k in range(p.num_rows):
+            *own, h, w, depth = [c[k] for c in columns]
+            yield (*own, unpack(pixels[k].as_buffer(), depth, h, w))
+
+
+# --------------------------------------------------------------------- tiles to pieces
+def _pieces(h: int, w: int, size: int):
+    for top in range(0, h, size):
+        for left in range(0, w, size):
+            yield top, left, min(size, h - top), min(size, w - left)
+
+
+def pack_tiles(pixels: DataFrame, height: int, width: int, keys=("fov", "channel"), piece: int = PIECE) -> DataFrame:
+    """Long tile pixels (keys, row, col, val) -> pieces of every tile, zero where no pixel is
+    given. Pixels go straight to their piece, so a group holds at most ``piece``^2 of them;
+    each tile adds one mark a piece, so pieces without pixels are there too."""
+    keys, n = list(keys), int(piece)
+    own = pixels.where((F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width)).select(
+        *keys, (F.floor(F.col("row") / n) * n).cast("int").alias("top"), (F.floor(F.col("col") / n) * n).cast("int").alias("left"),
+        (F.col("row") % n * n + F.col("col") % n).cast("int").alias("at"), F.col("val").cast("long").alias("v"))
+    corners = F.array(*[F.struct(F.lit(t).alias("top"), F.lit(x).alias("left")) for t, x, _, _ in _pieces(height, width, n)])
+    marks = pixels.select(*keys).distinct().withColumn("c", F.explode(corners)).select(
+        *keys, "c.top", "c.left", F.lit(-1).alias("at"), F.lit(0).cast("long").alias("v"))
+    schema = _schema(pixels, keys, PIECE_FIELDS)
+
+    def fill(key, parts):
+        *own, top, left = key
+        h, w = min(n, height - top), min(n, width - left)
+        at, v = _values(parts, "at", "v")
+        image = np.zeros((h, w), np.int64)
+        at, v = at[at >= 0], v[at >= 0]
+        image[at // n, at % n] = v
+        yield (*own, top, left, h, w, *pack(image))
+
+    return _each_group(own.unionByName(marks), [*keys, "top", "left"], schema, fill)
+
+
+def cut_tiles(tiles: DataFrame, keys=("fov", "channel"), piece: int = PIECE) -> DataFrame:
+    """Images held as bytes (keys, height, width, depth, pixels) -> pieces, without a shuffle."""
+    keys, n = list(keys), int(piece)
+
+    def cut(row):
+        image = unpack(row["pixels"], row["depth"], row["height"], row["width"])
+        for top, left, h, w in _pieces(row["height"], row["width"], n):
+            yield (*[row[k] for k in keys], top, left, h, w, *pack(image[top:top + h, left:left + w]))
+
+    return _each_row(tiles.select(*keys, "height", "width", "depth", "pixels"), _schema(tiles, keys, PIECE_FIELDS), cut)
+
+
+# --------------------------------------------------------------------- R1
+def stitch_blocks(pieces: DataFrame, origins: DataFrame, block: int = BLOCK, keys: list[str] = ()) -> DataFrame:
+    """``pieces`` placed by ``origins`` = (keys, fov, y0, x0, paste_order, canvas_h,
+    canvas_w); later tiles overwrite whole, zeros included. Pieces are clipped and cut at
+    block edges where they are; what is shuffled is each pixel once, packed."""
+    keys, B = list(keys), int(block)
+    o = origins.select(*keys, "fov", "y0", "x0", "paste_order", "canvas_h", "canvas_w")
+    placed = pieces.withColumn("channel", F.col("channel").cast("string")).join(o, [*keys, "fov"])
+    by = [*keys, "channel", "by", "bx"]
+
+    def cut(row):
+        image = unpack(row["pixels"], row["depth"], row["ph"], row["pw"])
+        y, x = row["y0"] + row["top"], row["x0"] + row["left"]
+        r0, r1 = max(0, y), min(y + row["ph"], row["canvas_h"])
+        c0, c1 = max(0, x), min(x + row["pw"], row["canvas_w"])
+        if r0 >= r1 or c0 >= c1:
+            return
+        own = [row[k] for k in keys]
+        for ty in range(r0 // B, (r1 - 1) // B + 1):
+            a, b = max(r0, ty * B), min(r1, (ty + 1) * B)
+            for tx in range(c0 // B, (c1 - 1) // B + 1):
+                c, d = max(c0, tx * B), min(c1, (tx + 1) * B)
+                yield (*own, row["channel"], ty, tx, row["paste_order"], row["canvas_h"], row["canvas_w"], a - ty * B, c - tx * B,
+                       b - a, d - c, *pack(image[a - y:b - y, c - x:d - x]))
+
+    cuts = _each_row(placed, _schema(placed, [*keys, "channel"], "by long, bx long, paste_order long, canvas_h long, canvas_w long, "
+                                     "oy int, ox int, ph int, pw int, depth int, pixels binary"), cut)
+
+    def paste(key, parts):
+        *own, ty, tx = key
+        H, W = parts[0].column("canvas_h")[0].as_py(), parts[0].column("canvas_w")[0].as_py()
+        out = np.zeros((min(B, H - ty * B), min(B, W - tx * B)), np.int64)
+        for oy, ox, image in _rectangles(parts, "oy", "ox"):
+            out[oy:oy + image.shape[0], ox:ox + image.shape[1]] = image
+        yield (*own, ty, tx, *out.shape, H, W, *pack(out))
+
+    return _each_group(cuts, by, _schema(placed, [*keys, "channel"], BLOCK_FIELDS), paste, ["paste_order"])
+
+
+def block_keys(blocks: DataFrame) -> list[str]:
+    """The columns before ``by``: slide keys, channel, and level where there is one."""
+    return blocks.columns[:blocks.columns.index("by")]
+
+
+def blocks_to_long(blocks: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Blocks -> long pixels (keys, channel, row, col, val) that are not 0."""
+    B, keys = int(block), block_keys(blocks)
+
+    def pixels(row):
+        if row["depth"]:
+            image = unpack(row["pixels"], row["depth"], row["bh"], row["bw"])
+            r, c = np.nonzero(image)
+            yield [row[k] for k in keys], row["by"] * B + r, row["bx"] * B + c, image[r, c].astype(np.int64)
+
+    return _each_row(blocks, _schema(blocks, keys, "row long, col long, val long"), pixels, _pixel_records)
+
+
+# --------------------------------------------------------------------- R6
+def pyramid_blocks(blocks: DataFrame, block: int = BLOCK, min_size: int = 256) -> DataFrame:
+    """R6 for every canvas of the table: blocks with a ``level`` (after the other keys).
+    Levels and sampling as in :func:`tessera.operators.raster.build_pyramid`."""
+    B, keys = int(block), block_keys(blocks)
+
+    def emit(row):
+        if not row["depth"]:
+            return
+        H, W = row["canvas_h"], row["canvas_w"]
+        image = unpack(row["pixels"], row["depth"], row["bh"], row["bw"])
+        for k in range(1, int(math.floor(math.log2(max(H, W) / min_size)))):
+            part = []
+            for n, at, size in ((H, row["by"] * B, row["bh"]), (W, row["bx"] * B, row["bw"])):
+                step = 1 << min(k, n.bit_length() - 1)
+                first = -(at + 1) % step  # the first pixel at or after ``at`` that a step ends on
+                low = (at + first + 1) // step - 1
+                count = min(len(range(first, size, step)), max(1, n >> k) - low)
+                part.append((first, step, low, count))
+            (fy, sy, ly, ny), (fx, sx, lx, nx) = part
+            if ny <= 0 or nx <= 0:
+                continue
+            sub = image[fy::sy, fx::sx][:ny, :nx]
+            for ty in range(ly // B, (ly + ny - 1) // B + 1):
+                a, b = max(ly, ty * B), min(ly + ny, (ty + 1) * B)
+                for tx in range(lx // B, (lx + nx - 1) // B + 1):
+                    c, d = max(lx, tx * B), min(lx + nx, (tx + 1) * B)
+                    yield (*[row[x] for x in keys], k, ty, tx, H, W, a - ty * B, c - tx * B, b - a, d - c,
+                           *pack(sub[a - ly:b - ly, c - lx:d - lx]))
+
+    subs = _each_row(blocks, _schema(blocks, keys, "level int, by long, bx long, canvas_h long, canvas_w long, oy int, ox int, "
+                                     "ph int, pw int, depth int, pixels binary"), emit)
+
+    def assemble(key, parts):
+        *own, level, ty, tx = key
+        H, W = parts[0].column("canvas_h")[0].as_py(), parts[0].column("canvas_w")[0].as_py()
+        out = np.zeros((min(B, max(1, H >> level) - ty * B), min(B, max(1, W >> level) - tx * B)), np.int64)
+        for oy, ox, image in _rectangles(parts, "oy", "ox"):
+            out[oy:oy + image.shape[0], ox:ox + image.shape[1]] = image
+        yield (*own, level, ty, tx, *out.shape, H, W, *pack(out))
+
+    upper = _each_group(subs, [*keys, "level", "by", "bx"], _schema(blocks, keys, "level int, " + BLOCK_FIELDS), assemble)
+    rest = [c for c in blocks.columns if c not in keys]
+    return blocks.select(*keys, F.lit(0).alias("level"), *rest).union(upper)
+
+
+# --------------------------------------------------------------------- halos
+def _with_halo(blocks: DataFrame, k: int, block: int, fn: Callable[[np.ndarray, int, int], np.ndarray]) -> DataFrame:
+    """Give every block a halo of ``k`` pixels and apply ``fn(padded, bh, bw)``. A block sends
+    each block within ``k`` pixels the part of its own pixels that lies in that block's
+    halo: strips and corners for the 8 neighbours, further rings when ``k`` exceeds the
+    block edge. Groups exist for every block that has pixels or lies near one; halo parts
+    beyond the canvas replicate its edge, by true distance from it. Results that are all 0
+    are left out."""
+    B, k, keys = int(block), int(k), block_keys(blocks)
     reach = -(-k // B)  # how many blocks away a halo can end
     ring = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1) if (dy, dx) != (0, 0)]
 
-    def emit(it):
-        for pdf in it:
-            rows = []
-            for ch, by, bx, bh, bw, px in zip(pdf["channel"], pdf["by"], pdf["bx"], pdf["bh"], pdf["bw"],
-                                              pdf["pixels"]):
-                bh, bw = int(bh), int(bw)
-                a = np.asarray(px, dtype=np.int64).reshape(bh, bw)
-                rows.append((ch, by, bx, 0, 0, bh, bw, a.ravel()))
-                for dy, dx in ring:
-                    ty, tx = by + dy, bx + dx
-                    if ty < 0 or tx < 0 or ty * B >= height or tx * B >= width:
-                        continue
-                    # rows / columns of this block inside the target's halo, in block coordinates
-                    r0, r1 = max(0, ty * B - k - by * B), min(bh, min(height, (ty + 1) * B) + k - by * B)
-                    c0, c1 = max(0, tx * B - k - bx * B), min(bw, min(width, (tx + 1) * B) + k - bx * B)
-                    if r0 >= r1 or c0 >= c1:
-                        continue
-                    # offset of the piece from the target block's first pixel
-                    rows.append((ch, ty, tx, int(by * B + r0 - ty * B), int(bx * B + c0 - tx * B),
-                                 r1 - r0, c1 - c0, a[r0:r1, c0:c1].ravel()))
-            yield pd.DataFrame(rows, columns=["channel", "by", "bx", "oy", "ox", "ph", "pw", "piece"])
-
-    parts = blocks.mapInPandas(emit, "channel string, by long, bx long, oy int, ox int, ph int, pw int, "
-                                     "piece array<long>")
-
-    def compute(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        ch, by, bx = str(first["channel"]), int(first["by"]), int(first["bx"])
-        bh, bw = int(min(B, height - by * B)), int(min(B, width - bx * B))
-        pad = np.zeros((bh + 2 * k, bw + 2 * k), dtype=np.int64)
-        for oy, ox, ph, pw, pc in zip(pdf["oy"], pdf["ox"], pdf["ph"], pdf["pw"], pdf["piece"]):
-            pad[k + oy:k + oy + ph, k + ox:k + ox + pw] = np.asarray(pc, dtype=np.int64).reshape(int(ph), int(pw))
+    def emit(row):
+        if not row["depth"]:
+            return
+        by, bx, bh, bw, H, W = [row[c] for c in ("by", "bx", "bh", "bw", "canvas_h", "canvas_w")]
+        own = [row[x] for x in keys]
+        yield (*own, by, bx, H, W, 0, 0, bh, bw, row["depth"], row["pixels"].to_pybytes())
+        image = unpack(row["pixels"], row["depth"], bh, bw)
+        for dy, dx in ring:
+            ty, tx = by + dy, bx + dx
+            if ty < 0 or tx < 0 or ty * B >= H or tx * B >= W:
+                continue
+            # rows / columns of this block inside the target's halo, in block coordinates
+            r0, r1 = max(0, ty * B - k - by * B), min(bh, min(H, (ty + 1) * B) + k - by * B)
+            c0, c1 = max(0, tx * B - k - bx * B), min(bw, min(W, (tx + 1) * B) + k - bx * B)
+            if r0 < r1 and c0 < c1:
+                depth, strip = pack(image[r0:r1, c0:c1])
+                # a strip of zeros is sent too: its block may have no row of its own
+                yield (*own, ty, tx, H, W, by * B + r0 - ty * B, bx * B + c0 - tx * B, r1 - r0, c1 - c0, depth, strip)
+
+    parts = _each_row(blocks, _schema(blocks, keys, "by long, bx long, canvas_h long, canvas_w long, oy int, ox int, "
+                                      "ph int, pw int, depth int, pixels binary"), emit)
+
+    def compute(key, parts):
+        *own, by, bx = key
+        H, W = parts[0].column("canvas_h")[0].as_py(), parts[0].column("canvas_w")[0].as_py()
+        bh, bw = min(B, H - by * B), min(B, W - bx * B)
+        images = [r for r in _rectangles(parts, "oy", "ox") if r[2].any()]
+        if not images:
+            return
+        pad = np.zeros((bh + 2 * k, bw + 2 * k), np.result_type(*[a.dtype for _, _, a in images]))
+        for oy, ox, a in images:
+            pad[k + oy:k + oy + a.shape[0], k + ox:k + ox + a.shape[1]] = a
         # parts of the halo beyond the canvas, by distance
         top, left = max(0, k - by * B), max(0, k - bx * B)
-        bottom, right = max(0, by * B + bh + k - height), max(0, bx * B + bw + k - width)
+        bottom, right = max(0, by * B + bh + k - H), max(0, bx * B + bw + k - W)
         inner = pad[top:pad.shape[0] - bottom, left:pad.shape[1] - right]
-        pad = np.pad(inner, ((top, bottom), (left, right)), mode="edge")
-        res = fn(pad, bh, bw)
-        if res is None or not res.any():
-            return pd.DataFrame(columns=["channel", "by", "bx", "bh", "bw", "pixels"])
-        return pd.DataFrame({"channel": [ch], "by": [by], "bx": [bx], "bh": [bh], "bw": [bw],
-                             "pixels": [res.astype(np.int64).ravel()]})
+        depth, pixels = pack(fn(np.pad(inner, ((top, bottom), (left, right)), mode="edge"), bh, bw))
+        if depth:
+            yield (*own, by, bx, bh, bw, H, W, depth, pixels)
 
-    return parts.groupBy("channel", "by", "bx").applyInPandas(compute, out_schema)
+    return _each_group(parts, [*keys, "by", "bx"], _schema(blocks, keys, BLOCK_FIELDS), compute)
 
 
-def boundaries_blocks(blocks: DataFrame, height: int, width: int, block: int = 1024) -> DataFrame:
-    """R9 in block form: 1 where any of the 8 neighbours differs (canvas edges
-    replicated; uncovered area = 0). Blocks without boundary pixels are dropped."""
+def boundaries_blocks(blocks: DataFrame, block: int = BLOCK) -> DataFrame:
+    """1 where any of the 8 neighbours differs (canvas edges replicated)."""
     def fn(pad, bh, bw):
         centre = pad[1:1 + bh, 1:1 + bw]
-        out = np.zeros(centre.shape, dtype=bool)
-        for dy, dx in _NEIGHBOURS:
-            out |= pad[1 + dy:1 + dy + bh, 1 + dx:1 + dx + bw] != centre
+        out = np.zeros(centre.shape, bool)
+        for dy in (0, 1, 2):
+            for dx in (0, 1, 2):
+                out |= pad[dy:dy + bh, dx:dx + bw] != centre
         return out
-    return _with_halo(blocks, 1, height, width, block, fn, BLOCK_SCHEMA)
+    return _with_halo(blocks, 1, block, fn)
 
 
-def contour_blocks(blocks: DataFrame, k: int, height: int, width: int, block: int = 1024) -> DataFrame:
-    """R10 in block form: keep a label where grey dilation over the 1-px cross
-    differs from grey erosion over the radius-k diamond (halo of k pixels)."""
+def _cross(a: np.ndarray, best) -> np.ndarray:
+    """``best`` of every inner pixel and its 4 neighbours."""
+    out = best(a[1:-1, 1:-1], a[:-2, 1:-1])
+    for other in (a[2:, 1:-1], a[1:-1, :-2], a[1:-1, 2:]):
+        out = best(out, other)
+    return out
+
+
+def contour_blocks(blocks: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """Keep a label where grey dilation over the 1-px cross differs from grey erosion
+    over the radius-k diamond: the cross taken k times."""
     k = max(1, int(k))
 
     def fn(pad, bh, bw):
-        c = pad[k:k + bh, k:k + bw]
-        dil = c.copy()
-        for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1)):
-            dil = np.maximum(dil, pad[k + dy:k + dy + bh, k + dx:k + dx + bw])
-        ero = c.copy()
-        for dy in range(-k, k + 1):
-            for dx in range(-k, k + 1):
-                if 0 < abs(dy) + abs(dx) <= k:
-                    ero = np.minimum(ero, pad[k + dy:k + dy + bh, k + dx:k + dx + bw])
-        return np.where(dil != ero, c, 0)
-    return _with_halo(blocks, k, height, width, block, fn, BLOCK_SCHEMA)
-
-
-def cells_in_shapes_blocks(shapes: DataFrame, label_blocks: DataFrame, mm_per_px: float, top_left_mm,
-                           height: int, width: int, block: int = 1024) -> DataFrame:
-    """J9 in block form: shapes are routed to the label blocks their bounding
-    box overlaps (equi-join on the block; the pairs carry no pixels); per
-    (shape, block) a vectorised even-odd / ellipse mask over the block grid
-    picks the labels. Same geometry as :func:`tessera.operators.raster.cells_in_shapes`.
-    Returns distinct (shape_id, UID)."""
-    from .raster import shape_pixels_mask
-    B = int(block)
-    s = shape_pixels_mask(shapes, mm_per_px, top_left_mm, height, width)
-    s = s.where((F.col("ymax") >= F.col("ymin")) & (F.col("xmax") >= F.col("xmin")))
-    s = s.select("shape_id", "kind", "pv", "ymin", "ymax", "xmin", "xmax", "er", "ec", "ey", "ex",
-                 F.explode(F.sequence(F.floor(F.col("ymin") / B), F.floor(F.col("ymax") / B))).alias("by"))
-    s = s.select("*", F.explode(F.sequence(F.floor(F.col("xmin") / B), F.floor(F.col("xmax") / B))).alias("bx"))
-    j = label_blocks.select("by", "bx", "bh", "bw", "pixels").join(s, ["by", "bx"])
-
-    def run(it):
-        for pdf in it:
-            out_s, out_u = [], []
-            for rec in pdf.itertuples(index=False):
-                a = np.asarray(rec.pixels, dtype=np.int64).reshape(int(rec.bh), int(rec.bw))
-                r0, c0 = int(rec.by) * B, int(rec.bx) * B
-                ys = np.arange(max(r0, int(rec.ymin)), min(r0 + int(rec.bh) - 1, int(rec.ymax)) + 1)
-                xs = np.arange(max(c0, int(rec.xmin)), min(c0 + int(rec.bw) - 1, int(rec.xmax)) + 1)
-                if ys.size == 0 or xs.size == 0:
-                    continue
-                R, C = np.meshgrid(ys.astype(np.float64), xs.astype(np.float64), indexing="ij")
-                if rec.kind == "ellipse":
-                    if rec.er == 0 or rec.ec == 0:
-                        m = np.zeros(R.shape, dtype=bool)
-                    else:
-                        m = ((R - rec.ey) / rec.er) ** 2 + ((C - rec.ex) / rec.ec) ** 2 < 1
-                else:
-                    v = [(float(p["y"]), float(p["x"])) for p in rec.pv]
-                    cnt = np.zeros(R.shape, dtype=np.int64)
-                    for i in range(len(v)):
-                        y1, x1 = v[i]
-                        y2, x2 = v[i - 1]
-                        if y1 == y2:
-                            continue
-                        cross = ((y1 > R) != (y2 > R)) & (C < (x2 - x1) * (R - y1) / (y2 - y1) + x1)
-                        cnt += cross
-                    m = (cnt % 2) == 1
-                labs = a[np.ix_(ys - r0, xs - c0)][m]
-                for u in np.unique(labs[labs != 0]):
-                    out_s.append(int(rec.shape_id))
-                    out_u.append(int(u))
-            yield pd.DataFrame({"shape_id": out_s, "UID": out_u})
-
-    return j.mapInPandas(run, "shape_id int, UID long").distinct()
+        near = _cross(pad[k - 1:k + bh + 1, k - 1:k + bw + 1], np.maximum)
+        least = pad
+        for _ in range(k):
+            least = _cross(least, np.minimum)
+        return np.where(near != least, pad[k:k + bh, k:k + bw], 0)
+    return _with_halo(blocks, k, block, fn)
+
+
+# --------------------------------------------------------------------- A14
+def _run_best(a: np.ndarray, widths: list[int], how: str) -> dict[int, np.ndarray]:
+    """For each half-width, the sum or maximum over the row window around every pixel that
+    has one within ``a``; columns keep their place (edges beyond the window are cut)."""
+    out, r, n = {}, max(widths), a.shape[1]
+    if how == "sum":
+        total = np.concatenate([np.zeros((a.shape[0], 1), a.dtype), np.cumsum(a, axis=1)], axis=1)
+        return {w: total[:, r + w + 1:n - r + w + 1] - total[:, r - w:n - r - w] for w in set(widths)}
+    best = a[:, r:n - r]
+    for w in range(r + 1):
+        if w:
+            best = np.maximum(best, np.maximum(a[:, r - w:n - r - w], a[:, r + w:n - r + w]))
+        if w in widths:
+            out[w] = best
+    return out
+
+
+def disk(a: np.ndarray, r: int, how: str) -> np.ndarray:
+    """Sum or maximum over a disk of radius r around every pixel of ``a`` without its
+    outermost r: one row window a line of the disk, windows by running sums or by
+    widening step by step, so the work per pixel grows with r, not with its square."""
+    widths = [math.isqrt(r * r - dy * dy) for dy in range(-r, r + 1)]
+    rows = _run_best(a, widths, how)
+    h = a.shape[0] - 2 * r
+    out = rows[widths[0]][:h].copy()
+    for dy in range(1, 2 * r + 1):
+        line = rows[widths[dy]][dy:dy + h]
+        out = out + line if how == "sum" else np.maximum(out, line)
+    return out
+
+
+def spread_blocks(raster: DataFrame, r: int, height: int, width: int, how: str = "sum", keys: list[str] = (),
+                  block: int = SPREAD_BLOCK) -> DataFrame:
+    """A14 over sparse FOV rasters (keys, fov, row, col, val): every point goes to its block
+    and to the blocks in whose halo of r pixels it lies (most points to one), and each
+    block dilates what it got. Returns the covered pixels, clipped to the canvas."""
+    r, B, own = int(r), int(block), [*keys, "fov"]
+    if r == 0:
+        agg = F.sum("val") if how == "sum" else F.max("val")
+        return raster.groupBy(*own, "row", "col").agg(agg.cast("long").alias("val"))
+    inside = raster.where((F.col("row") >= -r) & (F.col("row") < height + r) & (F.col("col") >= -r) & (F.col("col") < width + r))
+    places = {}
+    for name, size in (("row", height), ("col", width)):
+        low = F.greatest(F.floor((F.col(name) - r) / B), F.lit(0))
+        places[name] = F.sequence(low, F.least(F.floor((F.col(name) + r) / B), F.lit((size - 1) // B)))
+    sent = inside.select(*own, "row", "col", F.col("val").cast("long").alias("val"), F.explode(places["row"]).alias("by"))
+    sent = sent.select("*", F.explode(places["col"]).alias("bx"))
+
+    def dilate(key, parts):
+        *mine, by, bx = key
+        bh, bw = min(B, height - by * B), min(B, width - bx * B)
+        row, col, val = _values(parts, "row", "col", "val")
+        a = np.full((bh + 2 * r, bw + 2 * r), 0 if how == "sum" else np.iinfo(np.int64).min)
+        seen = np.zeros(a.shape, np.int32)
+        at = (row - by * B + r, col - bx * B + r)
+        (np.add if how == "sum" else np.maximum).at(a, at, val)
+        np.add.at(seen, at, 1)
+        y, x = np.nonzero(disk(seen, r, "sum"))
+        yield mine, by * B + y, bx * B + x, disk(a, r, how)[y, x]
+
+    return _each_group(sent, [*own, "by", "bx"], _schema(raster, own, "row int, col int, val long"), dilate, write=_pixel_records)
+
+
+# --------------------------------------------------------------------- J9
+def cells_in_shapes_blocks(shapes: DataFrame, label_blocks: DataFrame, mm_per_px: float, top_left_mm, height, width,
+                           block: int = BLOCK, keys: list[str] = ()) -> DataFrame:
+    """The cover of every shape by blocks (:func:`tessera.operators.shapes.cover`) meets the
+    label blocks in an equi-join; blocks inside a shape give all their labels, blocks on
+    its outline test their pixels against the edges that pass through them. Returns
+    distinct (keys, shape_id, UID)."""
+    from .shapes import cover, inside_mask
+    B, keys = int(block), list(keys)
+    c = cover(shapes, mm_per_px, top_left_mm, height, width, B, keys)
+    j = label_blocks.select(*keys, "by", "bx", "bh", "bw", "depth", "pixels").where("depth > 0").join(c, [*keys, "by", "bx"])
+
+    def labels(row):
+        image = unpack(row["pixels"], row["depth"], row["bh"], row["bw"])
+        found = np.unique(image if row["inside"] else image[inside_mask(row, row["by"] * B, row["bx"] * B, *image.shape)]).astype(np.int64)
+        yield [*[row[k] for k in keys], row["shape_id"]], found[found != 0]
+
+    return _each_row(j, _schema(j, [*keys, "shape_id"], "UID long"), labels, _pixel_records).distinct()

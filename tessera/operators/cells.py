@@ -16,11 +16,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.color import HISTOGRAM_DEFAULT_COLOR
 from ..util import attach, dense_index
+from .quantiles import ACCURACY, exact_quantiles
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -177,17 +180,66 @@ def dotplot_stats(df_long: DataFrame, keys: list[str] = ()) -> DataFrame:
         F.avg(F.col("count").cast("double")).alias("mean_expression"))
 
 
+GENE_CHUNK = 1024  # genes of one row of partial sums
+ARROW_CELLS = 4096 * 1024  # values of one Arrow batch of the wide matrix
+
+
+def gene_sums(df_wide: DataFrame, genes: list[str], group: list[str]) -> DataFrame:
+    """(group, chunk, n, total, positive, present) from the wide matrix: per group and chunk of
+    ``GENE_CHUNK`` genes, arrays with each gene's sum, count of values above 0 and count
+    of values. Every task adds its rows up in numpy, so what leaves it is one row a group
+    and chunk, however many cells or genes there are."""
+    chunks = [genes[k:k + GENE_CHUNK] for k in range(0, len(genes), GENE_CHUNK)]
+    types = dict(df_wide.dtypes)
+    fields = ", ".join(f"`{g}` {types[g]}" for g in group) + ", chunk int, total array<double>, positive array<long>, present array<long>"
+    # one array column a chunk: rows of few wide columns instead of thousands of narrow ones
+    rows = df_wide.select(*group, *[F.array(*[F.col(f"`{g}`").cast("double") for g in c]).alias(f"c{k}") for k, c in enumerate(chunks)])
+
+    def add(batches):
+        sums: dict = {}
+        schema = None
+        for b in batches:
+            schema = schema or pa.schema([b.schema.field(g) for g in group])
+            keys = list(zip(*[b.column(g).to_pylist() for g in group]))
+            place = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+            owner = np.array([place[k] for k in keys])
+            order = np.argsort(owner, kind="stable")
+            first = np.flatnonzero(np.diff(owner[order], prepend=-1))
+            for k, c in enumerate(chunks):
+                values = b.column(f"c{k}").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(c))[order]
+                seen = ~np.isnan(values)
+                parts = [np.add.reduceat(np.where(seen, values, 0), first), np.add.reduceat((values > 0).astype(np.int64), first), np.add.reduceat(seen.astype(np.int64), first)]
+                for i, key in enumerate(place):
+                    had = sums.get((key, k))
+                    sums[key, k] = [p[i] if had is None else had[n] + p[i] for n, p in enumerate(parts)]
+            if len(sums) * GENE_CHUNK > ARROW_CELLS:  # many groups: what is added up so far goes on
+                yield from write(sums, schema)
+                sums = {}
+        if sums:
+            yield from write(sums, schema)
+
+    def write(sums, schema):
+        for low in range(0, len(sums), 64):
+            part = list(sums.items())[low:low + 64]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*[key for (key, _), _ in part]), schema)]
+            columns += [pa.array([k for (_, k), _ in part], pa.int32())]
+            columns += [pa.array([v[n].tolist() for _, v in part], pa.list_(t)) for n, t in enumerate((pa.float64(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*group, "chunk", "total", "positive", "present"])
+
+    return rows.mapInArrow(add, fields)
+
+
 def dotplot_stats_wide(df_wide: DataFrame, genes: list[str], keys: list[str] = ()) -> DataFrame:
-    """Same statistics from the wide matrix: one aggregation with two aggregates
-    per gene (no row blow-up), then the small result is unpivoted."""
-    aggs = []
-    for i, g in enumerate(genes):
-        c = F.col(f"`{g}`")
-        aggs += [F.avg((c > 0).cast("double")).alias(f"p{i}"), F.avg(c.cast("double")).alias(f"m{i}")]
-    r = df_wide.groupBy(*keys, "cell_type").agg(*aggs)
-    st = F.explode(F.array(*[F.struct(F.lit(g).alias("gene"), F.col(f"p{i}").alias("pct_expressed"),
-                                      F.col(f"m{i}").alias("mean_expression")) for i, g in enumerate(genes)]))
-    return r.select(*keys, "cell_type", st.alias("s")).select(*keys, "cell_type", "s.*")
+    """Same statistics from the wide matrix, for any number of genes: tasks add their rows up
+    as arrays (:func:`gene_sums`); the sums, one a task, group and gene, are then added by
+    (group, gene)."""
+    group = [*keys, "cell_type"]
+    names = F.array(*[F.array(*[F.lit(g) for g in genes[k:k + GENE_CHUNK]]) for k in range(0, len(genes), GENE_CHUNK)])
+    each = (gene_sums(df_wide, genes, group)
+            .select(*group, F.explode(F.arrays_zip(names[F.col("chunk")].alias("gene"), "total", "positive", "present")).alias("s"))
+            .groupBy(*group, "s.gene").agg(F.sum("s.total").alias("t"), F.sum("s.positive").alias("p"), F.sum("s.present").alias("n")))
+    share = lambda c: F.try_divide(F.col(c).cast("double"), F.col("n").cast("double"))
+    return each.select(*group, "gene", share("p").alias("pct_expressed"), share("t").alias("mean_expression"))
 
 
 # A3 / J14 -------------------------------------------------------------------
@@ -210,66 +262,27 @@ def density_compare(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 # A4 -------------------------------------------------------------------------
-def exact_median(df: DataFrame, keys: list[str], col: str, out: str, accuracy: int = 1_000_000) -> DataFrame:
-    """Exact interpolating median per group with bounded memory per group.
-
-    One aggregation gives n and a rank window around the middle from
-    ``percentile_approx`` (its rank error is at most n/accuracy, so the window
-    [p(0.5 - 2/acc), p(0.5 + 2/acc)] contains both middle ranks). Values are
-    compacted to (value, count) rows first, so ties are one row; per group the
-    counts below the window are summed and the distinct values inside it (about
-    4n/accuracy) are walked by running count.
-    """
-    keys = list(keys)
-    eps = 2.0 / accuracy
-    b = df.groupBy(*keys).agg(F.count(F.col(col)).alias("_n"),
-                              F.percentile_approx(col, [0.5 - eps, 0.5 + eps], accuracy).alias("_q"))
-    v = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
-    j = v.join(b.select(*keys, "_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi")), keys)
-    inside = (F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))
-    g = j.groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
-        F.coalesce(F.sum(F.when(F.col(col) < F.col("_lo"), F.col("_c"))), F.lit(0)).alias("_below"),
-        F.sort_array(F.collect_list(F.when(inside, F.struct(F.col(col).cast("double").alias("v"), F.col("_c").alias("c"))))).alias("_w"))
-    pos = (F.col("_n") - 1) / 2.0
-
-    def at(rank):
-        start = F.struct(F.col("_below").alias("s"), F.lit(None).cast("double").alias("v"))
-        return F.aggregate("_w", start, lambda a, x: F.struct(
-            (a["s"] + x["c"]).alias("s"), F.when(a["v"].isNull() & (a["s"] + x["c"] > rank), x["v"]).otherwise(a["v"]).alias("v")),
-            lambda a: a["v"])
-
-    lo_r, hi_r = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
-    frac = pos - F.floor(pos)
-    med = F.when(lo_r == hi_r, at(lo_r)).otherwise((1 - frac) * at(lo_r) + frac * at(hi_r))
-    return g.select(*keys, med.alias(out))
-
-
-def cluster_labels(df: DataFrame, keys: list[str] = (), exact: bool = True,
-                   accuracy: int = 1_000_000) -> DataFrame:
+def cluster_labels(df: DataFrame, keys: list[str] = (), exact: bool = True, accuracy: int = ACCURACY) -> DataFrame:
     """Per type: median UMAP_1/UMAP_2, n, percent of all cells, ``"type (p%)"``.
 
-    ``exact`` gives the exact interpolating median with bounded memory per type
-    (:func:`exact_median`); ``exact=False`` is the one-pass sketch
-    (``percentile_approx``).
+    ``exact`` gives the exact interpolating medians of both columns in two scans
+    (:func:`tessera.operators.quantiles.exact_quantiles`); ``exact=False`` is the one-pass
+    sketch (``percentile_approx``).
     """
     keys = list(keys)
     gk = keys + ["cell_type"]
-    n = df.groupBy(*gk).agg(F.count(F.lit(1)).alias("n"))
+    count = F.count(F.lit(1))
     if exact:
-        g = (n.join(exact_median(df, gk, "UMAP_1", "median_1", accuracy), gk)
-              .join(exact_median(df, gk, "UMAP_2", "median_2", accuracy), gk))
+        g = exact_quantiles(df, gk, {"median_1": F.col("UMAP_1"), "median_2": F.col("UMAP_2")}, [0.5], {"n": count}, accuracy)
+        g = g.select(*gk, F.col("median_1")[0].alias("median_1"), F.col("median_2")[0].alias("median_2"), "n")
     else:
-        g = n.join(df.groupBy(*gk).agg(F.percentile_approx("UMAP_1", 0.5, accuracy).alias("median_1"),
-                                       F.percentile_approx("UMAP_2", 0.5, accuracy).alias("median_2")), gk)
-    g = g.select(*gk, "median_1", "median_2", "n")
-    tot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-    j = attach(g, tot, keys)
-    pct = F.col("n") / F.col("_total") * 100
-    return (j.withColumn("pct", pct)
+        g = df.groupBy(*gk).agg(F.percentile_approx("UMAP_1", 0.5, accuracy).alias("median_1"),
+                                F.percentile_approx("UMAP_2", 0.5, accuracy).alias("median_2"), count.alias("n"))
+    # types of a slide: a handful of rows, so the total is a window over them
+    pct = F.col("n") / F.sum("n").over(Window.partitionBy(*keys)) * 100
+    return (g.withColumn("pct", pct)
              .withColumn("label", F.concat(F.col("cell_type"), F.lit(" ("),
-                                           F.regexp_replace(F.format_number(pct, 1), ",", ""), F.lit("%)")))
-             .drop("_total"))
+                                           F.regexp_replace(F.format_number(F.col("pct"), 1), ",", ""), F.lit("%)"))))
 
 
 # A7 -------------------------------------------------------------------------

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location, with_extent
 from ..functions.keys import key_label_pixels
+from .quantiles import exact_quantiles
+from .shapes import cover, inside_test
 
 # ---------------------------------------------------------------------------
 # Fixed values.
@@ -368,13 +370,15 @@ def contrast_window(pixels: DataFrame, keys: list[str] = ("channel",), exact: bo
     """min, max over all pixels; 0.1 / 99.9 percentiles over non-zero pixels,
     truncated to int; degenerate window: end 0 -> end 1000, else start 0.
 
-    Pixel values are 16-bit, so the exact percentile's value->count buffer per
-    channel holds at most 65,536 entries however large the image is."""
+    Exact percentiles take two scans and bounded memory, whatever the pixels' type
+    (:func:`tessera.operators.quantiles.exact_quantiles`)."""
     keys = list(keys)
     nz = F.when(F.col("val") != 0, F.col("val"))
-    pct = (F.percentile(nz, list(WINDOW_PERCENTILES)) if exact
-           else F.percentile_approx(nz, list(WINDOW_PERCENTILES), accuracy))
-    g = pixels.groupBy(*keys).agg(F.min("val").alias("min"), F.max("val").alias("max"), pct.alias("p"))
+    ends = {"min": F.min("val"), "max": F.max("val")}
+    if exact:
+        g = exact_quantiles(pixels, keys, {"p": nz}, list(WINDOW_PERCENTILES), ends)
+    else:
+        g = pixels.groupBy(*keys).agg(F.percentile_approx(nz, list(WINDOW_PERCENTILES), accuracy).alias("p"), *[c.alias(n) for n, c in ends.items()])
     start = F.floor(F.col("p")[0]).cast("long")
     end = F.floor(F.col("p")[1]).cast("long")
     g = g.select(*keys, F.col("min").cast("long").alias("min"), F.col("max").cast("long").alias("max"),
@@ -401,47 +405,6 @@ def cells_at_points(points: DataFrame, labels: DataFrame, mm_per_px: float, top_
 
 
 # --------------------------------------------------------------------- J9
-def _pnpoly(r: Column, c: Column, verts: str) -> Column:
-    """Even-odd crossing count of (r, c) against a closed polygon, computed with
-    a higher-order ``aggregate`` over the vertex array (no explode)."""
-    n = F.size(verts)
-
-    def step(acc, i):
-        a = F.element_at(verts, i + 1)
-        b = F.element_at(verts, F.when(i == 0, n).otherwise(i))
-        ry1, cx1, ry2, cx2 = a["y"], a["x"], b["y"], b["x"]
-        cross = ((ry1 > r) != (ry2 > r)) & (
-            c < (cx2 - cx1) * (r - ry1) / F.nullif(ry2 - ry1, F.lit(0.0)) + cx1)
-        return acc + F.coalesce(cross.cast("int"), F.lit(0))
-
-    return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), step)
-
-
-def shape_pixels_mask(shapes: DataFrame, mm_per_px: float, top_left_mm, height, width) -> DataFrame:
-    """Shapes -> integer pixel vertices (``astype(int)``), bbox clipped to the
-    canvas; kinds other than polygon / rectangle / ellipse are dropped."""
-    ppm = 1 / mm_per_px
-    tly, tlx = top_left_mm
-    s = shapes.where(F.col("kind").isin("polygon", "rectangle", "ellipse"))
-    pv = F.transform("vertices", lambda v: F.struct(
-        ((v["y"] * F.lit(mm_per_px) - _lit(tly)) * F.lit(ppm)).cast("long").cast("double").alias("y"),
-        ((v["x"] * F.lit(mm_per_px) - _lit(tlx)) * F.lit(ppm)).cast("long").cast("double").alias("x")))
-    s = s.withColumn("pv", pv)
-    ys = F.transform("pv", lambda v: v["y"])
-    xs = F.transform("pv", lambda v: v["x"])
-    H, W = _lit(height), _lit(width)
-    s = (s.withColumn("ymin", F.greatest(F.array_min(ys), F.lit(0.0)).cast("long"))
-          .withColumn("ymax", F.least(F.array_max(ys), H - 1).cast("long"))
-          .withColumn("xmin", F.greatest(F.array_min(xs), F.lit(0.0)).cast("long"))
-          .withColumn("xmax", F.least(F.array_max(xs), W - 1).cast("long")))
-    # Ellipse from its bounding-box vertices: first, second and last corners.
-    s = (s.withColumn("er", (F.element_at("pv", -1)["y"] - F.element_at("pv", 1)["y"]) / 2)
-          .withColumn("ec", (F.element_at("pv", 2)["x"] - F.element_at("pv", 1)["x"]) / 2)
-          .withColumn("ey", F.element_at("pv", 1)["y"] + F.col("er"))
-          .withColumn("ex", F.element_at("pv", 1)["x"] + F.col("ec")))
-    return s
-
-
 SHAPE_BUCKET = 256  # grid cell edge in pixels of the shape join
 
 
@@ -450,28 +413,17 @@ def cells_in_shapes(shapes: DataFrame, labels: DataFrame, mm_per_px: float, top_
     """Distinct non-zero labels with a pixel inside a polygon / rectangle
     (even-odd rule on the pixel index) or ellipse (((r-r0)/a)^2 + ((c-c0)/b)^2 < 1).
 
-    Range join as an equi-join: shapes (few, user drawn) are exploded to the
-    ``bucket`` x ``bucket`` grid cells of their bounding box; every label pixel
-    looks up its own cell (of its own slide, with ``keys`` on both frames), and the
-    exact test runs as a filter. Cells carry ids and boxes only; vertices join by
-    shape. No nested-loop join. Returns (keys, shape_id, UID)."""
+    Range join as an equi-join: every label pixel looks up its grid cell (of its own
+    slide, with ``keys`` on both frames) among the cells that shapes cover
+    (:func:`tessera.operators.shapes.cover`). Cells inside a shape need no test; cells
+    on its outline carry the few edges in them, so no vertex list is joined.
+    Returns (keys, shape_id, UID)."""
     keys = list(keys)
-    s = shape_pixels_mask(shapes, mm_per_px, top_left_mm, height, width)
-    s = s.where((F.col("ymax") >= F.col("ymin")) & (F.col("xmax") >= F.col("xmin")))
-    cells = s.select(*keys, "shape_id", "ymin", "ymax", "xmin", "xmax", F.explode(F.sequence(F.floor(F.col("ymin") / bucket), F.floor(F.col("ymax") / bucket))).alias("by"))
-    cells = cells.select("*", F.explode(F.sequence(F.floor(F.col("xmin") / bucket), F.floor(F.col("xmax") / bucket))).alias("bx"))
+    cells = cover(shapes, mm_per_px, top_left_mm, height, width, bucket, keys)
     lab = labels.where(F.col("val") != 0).select(
         *keys, "row", "col", F.col("val").alias("UID"),
         F.floor(F.col("row") / bucket).alias("by"), F.floor(F.col("col") / bucket).alias("bx"))
-    j = lab.join(cells, [*keys, "by", "bx"])
-    j = j.where((F.col("row") >= F.col("ymin")) & (F.col("row") <= F.col("ymax"))
-                & (F.col("col") >= F.col("xmin")) & (F.col("col") <= F.col("xmax")))
-    j = j.select(*keys, "shape_id", "row", "col", "UID").join(s.select(*keys, "shape_id", "kind", "pv", "er", "ec", "ey", "ex"), [*keys, "shape_id"])
-    r, c = F.col("row").cast("double"), F.col("col").cast("double")
-    inside_poly = (_pnpoly(r, c, "pv") % 2) == 1
-    inside_ell = (F.pow((r - F.col("ey")) / F.nullif(F.col("er"), F.lit(0.0)), 2)
-                  + F.pow((c - F.col("ex")) / F.nullif(F.col("ec"), F.lit(0.0)), 2)) < 1
-    j = j.where(F.when(F.col("kind") == "ellipse", F.coalesce(inside_ell, F.lit(False))).otherwise(inside_poly))
+    j = lab.join(cells, [*keys, "by", "bx"]).where(inside_test(F.col("row"), F.col("col")))
     return j.select(*keys, "shape_id", "UID").distinct()
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import first_location, global_xy, with_extent
 from ..functions.keys import unpair_key
 from ..util import dense_index
+from .blocks import spread_blocks
 from .layers import digest_group
 
 # ---------------------------------------------------------------------------
@@ -95,9 +96,9 @@ def target_counts_for_cells(cells: DataFrame, targets: DataFrame, uid_col: str =
 def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Replace strings by 0-based codes in alphabetical order.
 
-    Returns (encoded frame, dictionary). The dictionary is the distinct values;
-    they are range-partitioned and numbered inside a partition, with the counts of
-    the partitions before it added, so no single task sees all of them.
+    Returns (encoded frame, dictionary). The dictionary is the distinct values, sorted
+    once in range partitions that are numbered on from each other
+    (:func:`tessera.util.dense_index`), so no single task sees all of them.
     """
     out = out or f"{col}_code"
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
@@ -133,22 +134,12 @@ def transcript_raster(targets: DataFrame, height: int, width: int, mode: str = "
     raise ValueError(mode)
 
 
-def disk_offsets(r: int) -> list[tuple[int, int]]:
-    return [(dy, dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1) if dy * dy + dx * dx <= r * r]
-
-
 def spread_raster(raster: DataFrame, r: int, height: int, width: int, how: str = "sum",
                   keys: list[str] = ()) -> DataFrame:
-    """Dilate every point by a disk of radius r (sum of counts, or max of
-    an index), clipped to the FOV canvas. The offset list is a literal of
-    (2r+1)^2 entries at most, exploded per point; the re-aggregation is partial."""
-    offs = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in disk_offsets(r)])
-    e = raster.select(*keys, "fov", "row", "col", "val", F.explode(offs).alias("o"))
-    e = e.select(*keys, "fov", (F.col("row") + F.col("o.dy")).alias("row"),
-                 (F.col("col") + F.col("o.dx")).alias("col"), "val")
-    e = e.where((F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width))
-    agg = F.sum("val") if how == "sum" else F.max("val")
-    return e.groupBy(*keys, "fov", "row", "col").agg(agg.cast("long").alias("val"))
+    """Dilate every point by a disk of radius r (sum of counts, or max of an index),
+    clipped to the FOV canvas, block by block (:func:`tessera.operators.blocks.spread_blocks`):
+    a point is sent to its block and the blocks within r, whatever the size of the disk."""
+    return spread_blocks(raster, r, height, width, how, keys)
 
 
 def transcripts_for_display(targets_global: DataFrame, fovs: list[int] | None = None,

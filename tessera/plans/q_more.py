@@ -187,76 +187,3 @@ def q_cluster_label_job(spark, d):
     for c in ("median_1", "median_2", "pct"):
         b = b.withColumn(c, F.round(c, 6))
     return b
-
-
-# ---------------------------------------------------------------- R1 / R6 block form
-def _block_mosaic(spark, d, block=16):
-    from ..operators import blocks as BL
-    from .q_raster import _ctx
-    b = Bindings(spark, d)
-    tiles = BL.tiles_from_long(b.pixels, 8, 8)
-    return BL.stitch_blocks(tiles, _ctx(b), block)
-
-
-def _nonzero(name):
-    return f"SELECT * FROM ({oracle_of(name)}) WHERE val <> 0"
-
-
-def oracle_of(name):
-    from .registry import ORACLES
-    return ORACLES[name]
-
-
-@query("stitch_blocks", _nonzero("stitch_mosaic"))
-def q_stitch_blocks(spark, d):
-    from ..operators import blocks as BL
-    return BL.blocks_to_long(_block_mosaic(spark, d), 16).select(
-        F.col("channel").cast("int").alias("channel"), "row", "col", "val")
-
-
-@query("pyramid_blocks", _nonzero("build_pyramid"))
-def q_pyramid_blocks(spark, d):
-    from ..operators import blocks as BL
-    from .q_raster import _canvas
-    h, w = _canvas(Bindings(spark, d))
-    p = BL.pyramid_blocks(_block_mosaic(spark, d), h, w, 16, min_size=4)
-    return BL.blocks_to_long(p, 16).select(F.col("channel").cast("int").alias("channel"),
-                                           "level", "row", "col", "val")
-
-
-@query("label_boundaries_blocks", oracle_of("label_boundaries"))
-def q_label_boundaries_blocks(spark, d):
-    """R2 + R9 in block form: keyed label tiles -> stitched blocks -> boundaries."""
-    from ..functions.keys import key_label_pixels
-    from ..operators import blocks as BL
-    from .q_raster import _canvas, _ctx
-    b = Bindings(spark, d)
-    h, w = _canvas(b)
-    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
-    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
-    out = BL.blocks_to_long(BL.boundaries_blocks(blocks, h, w, 16), 16)
-    return out.select("row", "col", F.col("val").cast("int").alias("val"))
-
-
-@query("cells_in_shapes_blocks", oracle_of("cells_in_shapes"))
-def q_cells_in_shapes_blocks(spark, d):
-    from ..functions.keys import key_label_pixels
-    from ..operators import blocks as BL
-    from .q_raster import _canvas, _ctx, _shapes
-    b = Bindings(spark, d)
-    h, w = _canvas(b)
-    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
-    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
-    return BL.cells_in_shapes_blocks(_shapes(spark), blocks, MMPP, (0.0, 0.0), h, w, 16)
-
-
-@query("label_contour_blocks", oracle_of("label_contour"))
-def q_label_contour_blocks(spark, d):
-    from ..functions.keys import key_label_pixels
-    from ..operators import blocks as BL
-    from .q_raster import _canvas, _ctx
-    b = Bindings(spark, d)
-    h, w = _canvas(b)
-    keyed = key_label_pixels(b.label_pixels).withColumn("channel", F.lit("labels"))
-    blocks = BL.stitch_blocks(BL.tiles_from_long(keyed, 8, 8), _ctx(b), 16)
-    return BL.blocks_to_long(BL.contour_blocks(blocks, 2, h, w, 16), 16).select("row", "col", "val")

@@ -124,7 +124,7 @@ FROM pts WHERE target IN ('red widget', 'small ring', 'blue gear') GROUP BY 1, 2
 
 # ---------------------------------------------------------------- A14
 def _disk_sql(r):
-    return ", ".join(f"({dy}, {dx})" for dy, dx in T.disk_offsets(r))
+    return ", ".join(f"({dy}, {dx})" for dy in range(-r, r + 1) for dx in range(-r, r + 1) if dy * dy + dx * dx <= r * r)
 
 
 query("spread_raster", with_ctes(f"""

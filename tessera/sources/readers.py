@@ -312,24 +312,17 @@ def read_dictionary(spark: SparkSession, path: str, kind: str) -> DataFrame:
 def read_indexed_csv(spark: SparkSession, path: str, index_first_column: bool = True) -> DataFrame:
     """CSV with a dense 0-based ``idx`` in file order (positional joins).
 
-    Rows are range-sorted by their file-order key; each sorted partition's row
-    count and first row id form a tiny table whose running sum gives the
-    partition's offset, so idx = offset + position inside the partition — gap
-    free, without collecting rows or a single-partition window. The sorted rows
-    are checkpointed (reliable) so both passes read identical partitions."""
+    Two plain scans: the first counts the rows of every file split, the second adds each
+    row's place in its split to the rows of the splits before it. A file scan deals the
+    same splits to the same tasks each time, so a row's place is its running id less the
+    least one of its split. No sort, no shuffle of rows; the join brings one row a split."""
     from pyspark.sql import Window
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    df = with_file_order(spark.read.option("header", True).csv(path), "_o")
-    x = (df.orderBy("_o").withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
-    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = x.join(F.broadcast(offs.select("_pid", "_off", "_m0")), "_pid")
-    out = out.withColumn("idx", (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
-    cols = [c for c in df.columns if c != "_o"]
-    out = out.select(*cols, "idx")
-    if index_first_column:
-        out = out.withColumnRenamed(cols[0], "name")
-    return out
+    df = spark.read.option("header", True).csv(path)
+    cols = df.columns
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_id"))
+    splits = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("_file", "_block", (before - F.col("_first")).alias("_shift"))
+    out = rows.join(splits, ["_file", "_block"]).select(*[F.col(f"`{c}`") for c in cols], (F.col("_id") + F.col("_shift")).cast("long").alias("idx"))
+    return out.withColumnRenamed(cols[0], "name") if index_first_column else out

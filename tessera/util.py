@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def with_file_order(df: DataFrame, name: str = "row_idx") -> DataFrame:
     """Attach a sortable row index that follows file order.
 
@@ -28,21 +29,18 @@ def rnd(c: Column | str, places: int = 6) -> Column:
 
 
 def dense_index(distinct: DataFrame, col: str, out: str) -> DataFrame:
-    """0-based position of each value in sorted order, without one global window:
-    values are dealt to buckets by their first two characters' code points (numbers:
-    by their multiples of 4096), numbered inside a bucket, and shifted by the sizes of lower buckets."""
-    text = F.col(col).cast("string")
-    place = F.when(F.length(text) > 0, F.ascii(text)).otherwise(F.lit(-1)) * F.lit(1 << 21)
-    bucket = place + F.when(F.length(text) > 1, F.ascii(F.substring(text, 2, 1))).otherwise(F.lit(-1))
-    if dict(distinct.dtypes)[col] != "string":
-        bucket = F.floor(F.col(col).cast("double") / 4096)
-    d = distinct.withColumn("_b", bucket.cast("long"))
-    sizes = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    lower = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select("_b", lower.alias("_lower"))
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy(col)) - 1
-    return (d.withColumn("_within", inside).join(sizes, "_b")
-             .withColumn(out, (F.col("_lower") + F.col("_within")).cast("int")).drop("_b", "_within", "_lower"))
+    """0-based position of each value in sorted order (null first): partitions of a
+    distributed sort are numbered on from each other. Their bounds come from a sample of
+    the values, so values spread over tasks whatever they begin with. The sorted values
+    are written once (their sort is a job of its own), so both passes see the same rows."""
+    at = (saved_table(distinct.repartitionByRange(F.col(col).asc_nulls_first()).sortWithinPartitions(F.col(col).asc_nulls_first())
+                      .withColumn("_pos", F.monotonically_increasing_id())).withColumn("_run", F.shiftright("_pos", 33)))
+    runs = at.groupBy("_run").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # one row a sort partition, so the window is over a bounded handful
+    lower = F.coalesce(F.sum("_n").over(Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select("_run", "_first", lower.alias("_lower"))
+    place = (F.col("_lower") + F.col("_pos") - F.col("_first")).cast("int")
+    return at.join(runs, "_run").withColumn(out, place).drop("_run", "_pos", "_first", "_lower")
 
 
 def saved_table(df: DataFrame) -> DataFrame:

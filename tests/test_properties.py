@@ -190,9 +190,9 @@ def test_cells_in_shapes_vs_brute_force(spark):
                                 "row int, col int, val long")
     got = {(r["shape_id"], r["UID"]) for r in R.cells_in_shapes(sdf, ldf, 1.0, (0.0, 0.0), H, W, bucket=8).collect()}
     from tessera.operators import blocks as BL
-    bl = spark.createDataFrame([("labels", by, bx, 16 if by < 2 else H - 32, 16 if bx < 2 else W - 32,
-                                 [int(x) for x in lab[by * 16:(by + 1) * 16, bx * 16:(bx + 1) * 16].ravel()])
-                                for by in range(3) for bx in range(3)], BL.BLOCK_SCHEMA)
+    bl = spark.createDataFrame([("labels", by, bx, 16 if by < 2 else H - 32, 16 if bx < 2 else W - 32, H, W,
+                                 *BL.pack(lab[by * 16:(by + 1) * 16, bx * 16:(bx + 1) * 16]))
+                                for by in range(3) for bx in range(3)], "channel string, " + BL.BLOCK_FIELDS)
     got_b = {(r["shape_id"], r["UID"]) for r in
              BL.cells_in_shapes_blocks(sdf, bl, 1.0, (0.0, 0.0), H, W, 16).collect()}
     assert got_b == got
@@ -225,11 +225,11 @@ def test_block_form_matches_long_form(spark):
     t = spark.createDataFrame([(f, "c", r, c, int(rng.integers(0, 5))) for f in range(n) for r in range(tile)
                                for c in range(tile)], "fov int, channel string, row int, col int, val long")
     long_m = R.stitch_mosaic(t, o).where(F.col("val") != 0).select("channel", "row", "col", "val")
-    blocks = BL.stitch_blocks(BL.tiles_from_long(t, tile, tile), o, block=8)
+    blocks = BL.stitch_blocks(BL.pack_tiles(t, tile, tile, piece=4), o, block=8)
     got = BL.blocks_to_long(blocks, 8).select("channel", "row", "col", "val")
     assert got.exceptAll(long_m).count() == 0 and long_m.exceptAll(got).count() == 0
     lp = R.build_pyramid(R.stitch_mosaic(t, o), canvas, canvas, min_size=2).where(F.col("val") != 0)
-    bp = BL.blocks_to_long(BL.pyramid_blocks(blocks, canvas, canvas, 8, min_size=2), 8)
+    bp = BL.blocks_to_long(BL.pyramid_blocks(blocks, 8, min_size=2), 8)
     cols = ["channel", "level", "row", "col", "val"]
     assert bp.select(cols).exceptAll(lp.select(cols)).count() == 0
     assert lp.select(cols).exceptAll(bp.select(cols)).count() == 0
@@ -264,13 +264,13 @@ def test_tiles_overlap(spark):
 
 # ----------------------------------------------------------------- bounded exact median
 def test_exact_median_bounded(spark):
-    from tessera.operators.cells import exact_median
+    from tessera.operators.quantiles import exact_quantiles
     rng = np.random.default_rng(8)
     rows = [("big", float(v)) for v in rng.normal(size=20001)] + [("even", float(v)) for v in rng.normal(size=4000)]
     rows += [("small", 1.0), ("small", 2.0), ("small", 4.0), ("small", 9.0), ("one", 5.0)]
     rows += [("tied", 3.0)] * 5000 + [("mixed", 1.0)] * 500 + [("mixed", 2.0)] * 500 + [("mixed", float(v)) for v in rng.normal(size=999)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "m", accuracy=10_000).collect()}
+    got = {r["g"]: r["m"][0] for r in exact_quantiles(df, ["g"], {"m": F.col("v")}, [0.5], accuracy=10_000).collect()}
     for g in ("big", "even", "small", "one", "tied", "mixed"):
         vals = np.array([v for k, v in rows if k == g])
         assert abs(got[g] - float(np.median(vals))) < 1e-12, g
@@ -315,9 +315,9 @@ def test_boundaries_block_form_matches_long_form(spark):
         for bx in range((W + B - 1) // B):
             a = img[by * B:(by + 1) * B, bx * B:(bx + 1) * B]
             if a.any():
-                blocks.append(("labels", by, bx, a.shape[0], a.shape[1], [int(x) for x in a.ravel()]))
-    bdf = spark.createDataFrame(blocks, BL.BLOCK_SCHEMA)
-    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
+                blocks.append(("labels", by, bx, *a.shape, H, W, *BL.pack(a)))
+    bdf = spark.createDataFrame(blocks, "channel string, " + BL.BLOCK_FIELDS)
+    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, B), B).select("row", "col")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
 
 
@@ -337,14 +337,14 @@ def test_contour_block_form_matches_long_form(spark):
         for bx in range((W + B - 1) // B):
             a = img[by * B:(by + 1) * B, bx * B:(bx + 1) * B]
             if a.any():
-                blocks.append(("labels", by, bx, a.shape[0], a.shape[1], [int(x) for x in a.ravel()]))
-    bdf = spark.createDataFrame(blocks, BL.BLOCK_SCHEMA)
+                blocks.append(("labels", by, bx, *a.shape, H, W, *BL.pack(a)))
+    bdf = spark.createDataFrame(blocks, "channel string, " + BL.BLOCK_FIELDS)
     for k in (1, 2, 3):
         ref = R.label_contour(long, k, H, W).select("row", "col", "val")
-        got = BL.blocks_to_long(BL.contour_blocks(bdf, k, H, W, B), B).select("row", "col", "val")
+        got = BL.blocks_to_long(BL.contour_blocks(bdf, k, B), B).select("row", "col", "val")
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0, k
     ref = R.label_boundaries(long, H, W).select("row", "col")
-    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, H, W, B), B).select("row", "col")
+    got = BL.blocks_to_long(BL.boundaries_blocks(bdf, B), B).select("row", "col")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
 
 
