@@ -11,14 +11,17 @@ results are written through the sinks, so any step can be re-run alone.
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.color import deterministic_color, rgba_from_hex
 from ..functions.keys import OUTPUT_ROOT, acquisition_field, parse_slide_path, segmentation_version
+from ..operators import blocks as BL
 from ..operators import cells as C
 from ..operators import raster as R
 from ..operators import runlog as L
@@ -63,34 +66,39 @@ def slide_metadata_job(spark: SparkSession, experiment_root: str, slide: str, se
 
 # X2 -------------------------------------------------------------------------
 KEYS = ["study", "experiment", "run", "slide"]
+BASE = ["slide_base_path"]
 SOURCE_KEYS = ["run", "slide"]
+LOCATIONS = r"RunSummary/([^/]*" + re.escape(RD.FOV_LOCATIONS_SUFFIX) + ")"
+CALLS = r"AnalysisResults/[^/]+/((?:[^/]+/)*[^/]*" + re.escape(RD.TARGET_FILE_SUFFIX) + ")"
+
+
+def _calls_layout(inner) -> Column:
+    """Place of a transcript file's folder layout in the order of preference."""
+    out = F.lit(None).cast("int")
+    for i, pattern in reversed(list(enumerate(RD.TARGET_LAYOUTS, start=1))):
+        out = F.when((F.col(inner) if isinstance(inner, str) else inner).rlike("^" + pattern + "$"), F.lit(i)).otherwise(out)
+    return out
 
 
 def _below(inv: DataFrame, pattern: str, *names: str) -> DataFrame:
     """slide_base_path, path and the groups of ``pattern`` (below the slide folder)."""
-    full = r"^(.*/DecodedFiles/[^/]+/[^/]+)/" + pattern
+    full = r"^(.*/DecodedFiles/[^/]+/[^/]+)/" + re.sub(r"\$$", r"(?:/[^/]+)?$", pattern)  # or part files of a folder of that name
     cols = [F.regexp_extract("rel", full, i + 2).alias(n) for i, n in enumerate(names)]
     return inv.where(F.col("rel").rlike(full)).select(F.regexp_extract("rel", full, 1).alias("slide_base_path"), "path", "length", "rel", *cols)
 
 
-def _paths(df: DataFrame) -> list[str]:
-    """File names of one kind; Spark's readers need them on the driver, row by row."""
-    return [r["path"] for r in df.select("path").distinct().toLocalIterator()]
-
-
-def highest_version(spark: SparkSession, inv: DataFrame, seg: DataFrame) -> DataFrame:
+def highest_version(spark: SparkSession, inv: DataFrame, seg: DataFrame, root: str) -> DataFrame:
     """(slide_base_path, fallback_dir): the folder with the highest manifest Version
     (W2); slides without a readable manifest use the folders' own version numbers."""
     files = _below(inv, r"CellStatsDir/(Segmentation_[^/]+)/[^/]*\.json$", "dir")
     named = V.latest_manifest(seg.select("slide_base_path", "dir", segmentation_version("dir").alias("Version")).distinct(), ["slide_base_path"])
     out = named.select("slide_base_path", F.col("dir").alias("_named"))
-    paths = _paths(files)
-    if paths:
-        m = RD.read_manifests(spark, paths)
+    if not files.isEmpty():
+        m = RD.read_manifests(spark, root, below=True)
         if "Version" in m.columns:
             tail = r"([^/]+/DecodedFiles/[^/]+/[^/]+)"  # run, slide and scan name a slide of one experiment
-            base = F.regexp_extract(F.col("_metadata.file_path"), tail + "/CellStatsDir/", 1)
-            m = V.latest_manifest(m.select(base.alias("_base"), "dir", "Version"), ["_base"])
+            base = F.regexp_extract(F.col("_metadata.file_path"), tail + "/CellStatsDir/Segmentation_", 1)
+            m = V.latest_manifest(m.select(base.alias("_base"), "dir", "Version").where("_base <> ''"), ["_base"])
             out = out.join(m.select("_base", F.col("dir").alias("_manifest")),
                            F.regexp_extract("slide_base_path", tail + "$", 1) == F.col("_base"), "left")
             return out.select("slide_base_path", F.coalesce("_manifest", "_named").alias("fallback_dir"))
@@ -119,41 +127,50 @@ def cohort_metadata(meta: DataFrame, todo: DataFrame, wanted: DataFrame) -> tupl
     return out, C.metadata_stats(seen, out, seg_col="_id", keys=KEYS)
 
 
+FINE, WRONG = "success", "failed"
+
+
+def committed(spark: SparkSession, out_root: str, table: str) -> DataFrame:
+    """A table the job wrote, as far as its slides are done: rows of the attempt that the
+    slide's status names. What a broken run left behind is not seen."""
+    status = spark.read.parquet(f"{out_root}/status").where(F.col("status") == FINE).select(*KEYS, "attempt")
+    data = spark.read.option("header", True).csv(f"{out_root}/{table}") if table == "metadata" else spark.read.parquet(f"{out_root}/{table}")
+    return data.join(status, [*KEYS, "attempt"], "left_semi").drop("attempt")
+
+
 def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefix: str, out_root: str,
                          run_log_path: str | None = None, tiles: DataFrame | None = None,
                          fov_size: tuple[int, int] = (4256, 4256), um_per_px: float = 0.1203,
-                         resources: tuple[int, int] = (0, 0), processed_root: str = OUTPUT_ROOT) -> dict:
+                         resources: tuple[int, int] = (0, 0), processed_root: str = OUTPUT_ROOT,
+                         images: DataFrame | None = None, block: int = BL.BLOCK) -> dict:
     """All slides of an experiment in one application; slide and run are columns.
 
-    Steps: find slides whose output is not there yet (J6 over ``out_root`` and
-    ``processed_root``), choose segmentation folders (W1; without an id, or without a
+    Steps: find slides that are not done yet (J6 over the status rows in ``out_root`` and
+    over ``processed_root``), choose segmentation folders (W1; without an id, or without a
     folder for it, the highest manifest version, W2) and label files (W4), select the
     files to read (F5), stitch labels (R2, from ``tiles``: decoded label pixels
-    slide_base_path, dir, fov, row, col, val), write slide geometry (K5), transcript
+    slide_base_path, dir, fov, row, col, val) and morphology (F9, R1, R6, A9, from
+    ``images``: decoded files slide_base_path, path, channel, height, width, depth,
+    pixels as in :mod:`tessera.operators.blocks`), write slide geometry (K5), transcript
     calls (K2), cell metadata (X1, K1) and the run log (A11, K4).
 
-    A slide without a label file or FOV locations fails at ``stitch``, one without
-    transcript files at ``read_targets``, one without matching metadata rows at
-    ``metadata``; it is logged as failed with that step and writes no data, and the
-    other slides go on. Every slide gets one ``status`` row, which replaces an earlier
-    one, so success and failure never stand together. Outputs are partitioned by
-    study / experiment / run / slide and replace only their own partitions. A slide
-    with any output, its status included, is not processed again."""
+    Every slide is committed by itself. Data goes under the run's ``attempt`` and counts
+    (:func:`committed`) once the slide has its ``status`` row, written last; a run that is
+    killed leaves slides without status, which the next run takes up again. A slide
+    without a label file or FOV locations, or with a location that is no number, fails
+    at ``stitch``; one without transcript files, or with a value or a column that cannot
+    be read, at ``read_targets``; one without matching metadata rows at ``metadata``. It
+    is logged as failed with that step while the others go on. If a step raises (a file
+    that cannot be read at all), the slides are split in halves that are processed
+    apart, until only the failing ones fail. A slide with a status, failed or not, is
+    not processed again."""
     root, out_root = bucket_root.rstrip("/"), out_root.rstrip("/")
-    times: list[tuple] = []
-
-    def timed(step, fn):
-        start = datetime.now()
-        value = fn()
-        times.append((step, start, datetime.now()))
-        return value
-
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:", ""))
     inv = inv.withColumn("rel", I.relative_path("path", root))
     slides = parse_slide_path(I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix), "slide_base_path", processed_root)
     outputs = inv.where(F.col("rel").startswith(processed_root + "/")).select(F.col("rel").alias("key"))
     try:
-        mine = I.file_inventory(spark, out_root).select(F.concat_ws("/", F.lit(processed_root), *[
+        mine = I.file_inventory(spark, f"{out_root}/status").select(F.concat_ws("/", F.lit(processed_root), *[
             F.regexp_extract("path", rf"/{k}=([^/]+)/", 1) for k in KEYS], F.lit("x")).alias("key"))
         outputs = outputs.union(mine)
     except AnalysisException as e:
@@ -162,104 +179,195 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
     todo = V.skip_processed(slides, outputs, depth=5).select("slide_base_path", *KEYS).distinct()
     # The list of work is needed by every step and must not change while outputs appear.
     todo = saved_table(todo)
-    base = ["slide_base_path"]
+    place = F.xxhash64("slide_base_path")
+    done, waiting = [], [(0, 0)]  # (bits, value): the slides whose hash ends in these bits
+    while waiting:
+        bits, value = waiting.pop()
+        part = todo.where(place.bitwiseAND((1 << bits) - 1) == value)
+        if part.isEmpty():
+            continue
+        run = SlideRun(spark, inv, root, experiment_prefix, out_root, part, tiles, images, fov_size, um_per_px, block)
+        try:
+            run.steps()
+        except Exception as e:  # whatever a step raises is a failure of the slides at hand
+            if bits < 62 and part.limit(2).count() > 1:
+                waiting += [(bits + 1, value), (bits + 1, value | 1 << bits)]
+                continue
+            run.give_up(e)
+        done.append(run)
+        log = run_log(spark, run.times, run.logged(), resources)
+        run.log = log
+        if run_log_path:
+            S.write_run_log(log, run_log_path)
+    result = {"slides": todo}
+    for name in ("selected", "uncovered", "label_tiles", "selection", "status", "log", "metadata_stats"):
+        frames = [getattr(r, name) for r in done if getattr(r, name, None) is not None]
+        if frames:
+            result[name] = reduce(DataFrame.unionByName, frames)
+    return result
+
 
-    def choose():
+class SlideRun:
+    """The steps of :func:`slide_processing_job` for the slides ``todo``, as one attempt."""
+
+    def __init__(self, spark, inv, root, experiment_prefix, out_root, todo, tiles, images, fov_size, um_per_px, block):
+        self.spark, self.inv, self.root, self.out_root, self.todo = spark, inv, root, out_root, todo
+        self.experiment_root = f"{root}/{experiment_prefix.strip('/')}"
+        self.tiles, self.images, self.fov_size, self.um_per_px, self.block = tiles, images, fov_size, um_per_px, block
+        self.attempt = "a" + uuid.uuid4().hex  # a letter first: a partition value that stays a string
+        self.keys = [*KEYS, "attempt"]
+        self.times: list[tuple] = []
+
+    def steps(self) -> None:
+        for step in (self.download, self.stitch, self.read_targets, self.metadata, self.upload):
+            self.times.append((step.__name__, datetime.now(), None))
+            step()
+            self.times[-1] = (*self.times[-1][:2], datetime.now())
+
+    def give_up(self, error: Exception) -> None:
+        """Status of a slide whose step raised."""
+        step = self.times[-1][0]
+        self.times[-1] = (*self.times[-1][:2], datetime.now())
+        self.status = saved_table(self.todo.withColumn("status", F.lit(WRONG)).withColumn("failed_step", F.lit(step))
+                                  .withColumn("error", F.lit(str(error)[:500])))
+        self.write_status()
+
+    def write_status(self) -> None:
+        rows = self.status.withColumn("attempt", F.lit(self.attempt))
+        S.write_status(rows.select(*KEYS, "status", "failed_step", "error", "attempt"), f"{self.out_root}/status", KEYS)
+
+    def logged(self) -> DataFrame:
+        fovs = _below(self.inv, r"CellStatsDir/(?:Segmentation_[^/]+/)?(FOV[0-9]+)/", "fov_dir")
+        sizes = I.inventory_stats(fovs.join(self.todo.select(*BASE), BASE, "left_semi"), BASE)
+        return self.status.join(sizes, BASE, "left")
+
+    def files(self, pattern: str) -> Column:
+        """Files of the slides at hand; the list of slides is the run's list of work."""
+        own = [r["slide_base_path"] for r in self.todo.select("slide_base_path").collect()]
+        slide = F.regexp_extract("_metadata.file_path", re.escape(re.sub("^file:/*(?=/)", "", self.root)) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
+        return RD.named(self.root, r".*/DecodedFiles/[^/]+/[^/]+/" + pattern) & slide.isin(own)
+
+    def of_slide(self) -> Column:
+        return F.regexp_extract("_path", re.escape(re.sub("^file:/*(?=/)", "", self.root)) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
+
+    def download(self) -> None:
+        """Which segmentations, label files, FOV locations and calls each slide has."""
+        inv, todo = self.inv, self.todo
         seg = _below(inv, r"CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", "dir", "fov").select(
-            *base, "dir", F.col("fov").cast("int").alias("fov")).distinct().join(todo.select(*base), base, "left_semi")
-        meta_files = inv.where(F.col("rel").rlike(r"/flatFiles/[^/]+/[^/]+_metadata_file\.csv\.gz$"))
-        meta = None
-        if not meta_files.isEmpty():
-            meta = RD.read_cohort_metadata(spark, f"{root}/{experiment_prefix.strip('/')}")
+            *BASE, "dir", F.col("fov").cast("int").alias("fov")).distinct().join(todo.select(*BASE), BASE, "left_semi")
+        names = [r["slide"] for r in todo.select("slide").distinct().collect()]
+        try:
+            self.meta = RD.read_cohort_metadata(self.spark, self.experiment_root, names)
             # first row of the run's own metadata file (W8), matched to a folder
-            prim = V.primary_segmentation(meta, SOURCE_KEYS, order="row_idx")
+            prim = V.primary_segmentation(self.meta, SOURCE_KEYS, order="row_idx")
             runs = todo.join(prim, SOURCE_KEYS, "left").withColumn("primary_seg_id", F.coalesce("primary_seg_id", F.lit("")))
-        else:
-            runs = todo.withColumn("primary_seg_id", F.lit(""))
-        matched = V.match_segmentation_dir(runs.select(*base, "primary_seg_id"), seg.select(*base, "dir"), base)
-        primary = (matched.join(highest_version(spark, inv, seg), base, "left")
-                   .select(*base, F.coalesce("primary_dir", "fallback_dir").alias("primary_dir")).where("primary_dir IS NOT NULL"))
-        selected, uncovered = V.select_segmentations(seg, primary, base)
+        except FileNotFoundError:
+            self.meta, runs = None, todo.withColumn("primary_seg_id", F.lit(""))
+        matched = V.match_segmentation_dir(runs.select(*BASE, "primary_seg_id"), seg.select(*BASE, "dir"), BASE)
+        primary = (matched.join(highest_version(self.spark, inv, seg, self.experiment_root), BASE, "left")
+                   .select(*BASE, F.coalesce("primary_dir", "fallback_dir").alias("primary_dir")).where("primary_dir IS NOT NULL"))
+        selected, uncovered = V.select_segmentations(seg, primary, BASE)
         lab = inv.where(F.upper(F.regexp_extract("rel", r"([^/]*)$", 1)).rlike("^" + I.LABEL_FILE)).select(
             F.regexp_extract("rel", r"^(.*)/CellStatsDir/", 1).alias("slide_base_path"),
             F.regexp_extract("rel", r"/CellStatsDir/(Segmentation_[^/]+)/", 1).alias("dir"), F.col("rel").alias("path"))
         lab = lab.withColumn("dir", F.when(F.col("dir") == "", F.lit("CellStatsDir")).otherwise(F.col("dir")))
-        lab = lab.withColumn("fov", acquisition_field("path", "fov")).join(todo.select(*base), base, "left_semi")
-        label_tiles = V.pick_label_tiles(lab, selected.select(*base, "dir", F.col("rank").alias("priority")), base)
-        return saved_table(selected), saved_table(uncovered), saved_table(label_tiles), meta
-
-    def download():
-        """Files of the slides to do, and FOV locations and calls by slide."""
-        selected, uncovered, label_tiles, meta = choose()
-        own = inv.join(todo.select(*base), F.regexp_extract("rel", r"^(.*/DecodedFiles/[^/]+/[^/]+)/", 1) == F.col("slide_base_path"))
+        lab = lab.withColumn("fov", acquisition_field("path", "fov")).join(todo.select(*BASE), BASE, "left_semi")
+        label_tiles = V.pick_label_tiles(lab, selected.select(*BASE, "dir", F.col("rank").alias("priority")), BASE)
+        self.selected, self.uncovered, self.label_tiles = saved_table(selected), saved_table(uncovered), saved_table(label_tiles)
+        own = inv.join(todo.select(*BASE), F.regexp_extract("rel", r"^(.*/DecodedFiles/[^/]+/[^/]+)/", 1) == F.col("slide_base_path"))
         flagged = I.select_inventory(own.withColumn("rel", I.relative_path("rel", F.col("slide_base_path"))),
                                      I.slide_selection_includes(["Segmentation_*"], "*"))
-        summary = I.selection_summary(flagged, base)
-        loc = _below(inv, r"RunSummary/([^/]*" + RD.FOV_LOCATIONS_SUFFIX.replace(".", r"\.") + ")$", "name").join(todo.select(*base), base, "left_semi")
-        loc = loc.groupBy(*base).agg(F.max("path").alias("path"))
-        tf = _below(inv, r"AnalysisResults/[^/]+/(.*" + re.escape(RD.TARGET_FILE_SUFFIX) + ")$", "inner").join(todo.select(*base), base, "left_semi")
-        layout = F.lit(None)
-        for i, pat in reversed(list(enumerate(RD.TARGET_LAYOUTS, start=1))):
-            layout = F.when(F.col("inner").rlike("^" + pat + "$"), F.lit(i)).otherwise(layout)
-        tf = tf.withColumn("priority", layout).where(F.col("priority").isNotNull())
-        return selected, uncovered, label_tiles, meta, summary, saved_table(loc), saved_table(V.first_nonempty_source(tf, base))
-
-    selected, uncovered, label_tiles, meta, summary, loc, tf = timed("download", download)
-    result = {"slides": todo, "selected": selected, "uncovered": uncovered, "label_tiles": label_tiles, "selection": summary}
-    path_key = F.regexp_extract(F.col("_path"), r"^(?:file:)?/*" + re.escape(root.lstrip("/")) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
-    wanted = selected.join(todo, base).select(*KEYS, "uuid")
-    rows = stats = None
-    if meta is not None:
-        rows, stats = cohort_metadata(meta, todo, wanted)
-    has = lambda df, name: df.select(*base).distinct().withColumn(name, F.lit(True))
-    kept = (rows.select(*KEYS).distinct().withColumn("has_metadata", F.lit(True)) if rows is not None
-            else todo.select(*KEYS).withColumn("has_metadata", F.lit(None).cast("boolean")))
-    state = (todo.join(has(label_tiles, "has_labels"), base, "left").join(has(loc, "has_locations"), base, "left")
-             .join(has(tf, "has_calls"), base, "left").join(kept, KEYS, "left"))
-    failed = (F.when(F.col("has_labels").isNull() | F.col("has_locations").isNull(), "stitch")
-              .when(F.col("has_calls").isNull(), "read_targets").when(F.col("has_metadata").isNull(), "metadata").otherwise(""))
-    state = saved_table(state.withColumn("failed_step", failed).withColumn("status", F.when(F.col("failed_step") == "", "success").otherwise("failed"))
-                        .select(*base, *KEYS, "status", "failed_step"))
-    good = state.where("status = 'success'").select(*base, *KEYS)
-
-    def stitch():
-        paths = _paths(loc.join(good, base, "left_semi"))
-        if not paths:
+        self.selection = I.selection_summary(flagged, BASE)
+        loc = _below(inv, LOCATIONS + "$", "name").join(todo.select(*BASE), BASE, "left_semi")
+        self.locations = saved_table(loc.groupBy(*BASE).agg(F.max("name").alias("name")))
+        tf = _below(inv, CALLS + "$", "inner").join(todo.select(*BASE), BASE, "left_semi")
+        tf = tf.withColumn("layout", _calls_layout("inner")).groupBy(*BASE).agg(F.min("layout").alias("layout"))
+        self.layouts = saved_table(tf.where("layout IS NOT NULL"))
+        self.rows = self.metadata_stats = None
+        if self.meta is not None:
+            self.rows, self.metadata_stats = cohort_metadata(self.meta, todo, self.selected.join(todo, BASE).select(*KEYS, "uuid"))
+        has = lambda df, name: df.select(*BASE).distinct().withColumn(name, F.lit(True))
+        kept = (self.rows.select(*KEYS).distinct().withColumn("has_metadata", F.lit(True)) if self.rows is not None
+                else todo.select(*KEYS).withColumn("has_metadata", F.lit(None).cast("boolean")))
+        state = (todo.join(has(self.label_tiles, "has_labels"), BASE, "left").join(has(self.locations, "has_locations"), BASE, "left")
+                 .join(has(self.layouts, "has_calls"), BASE, "left").join(kept, KEYS, "left"))
+        failed = (F.when(F.col("has_labels").isNull() | F.col("has_locations").isNull(), "stitch")
+                  .when(F.col("has_calls").isNull(), "read_targets").when(F.col("has_metadata").isNull(), "metadata").otherwise(""))
+        self.state = saved_table(state.withColumn("failed_step", failed).withColumn("error", F.lit("")).select(*BASE, *KEYS, "failed_step", "error"))
+
+    def good(self) -> DataFrame:
+        return self.state.where("failed_step = ''").select(*BASE, *KEYS).withColumn("attempt", F.lit(self.attempt))
+
+    def fail(self, slides: DataFrame, step: str, error: str) -> None:
+        """The slides (KEYS) fail at ``step`` unless they failed before."""
+        bad = slides.select(*KEYS).distinct().withColumn("_bad", F.lit(True))
+        hit = (F.col("failed_step") == "") & F.col("_bad").isNotNull()
+        self.state = saved_table(self.state.join(bad, KEYS, "left").withColumn("error", F.when(hit, F.lit(error)).otherwise(F.col("error")))
+                                 .withColumn("failed_step", F.when(hit, F.lit(step)).otherwise(F.col("failed_step"))).drop("_bad"))
+
+    def stitch(self) -> None:
+        good = self.good()
+        if good.isEmpty():
             return
-        f = RD.read_csv_by_name(spark, paths)
-        f = f.select(path_key.alias("slide_base_path"), F.col("FOV").cast("int").alias("FOV"), F.col("X_mm").cast("double").alias("X_mm"),
-                     F.col("Y_mm").cast("double").alias("Y_mm"), F.monotonically_increasing_id().alias("ord"))
-        f = saved_table(f.join(good, base).drop(*base))
-        S.write_slide_geometry(f, f"{out_root}/geometry", *fov_size, um_per_px, "1", KEYS)
-        if tiles is not None:
-            px = tiles.join(label_tiles.select(*base, "dir", "fov"), base + ["dir", "fov"], "left_semi").join(good, base).drop(*base, "dir")
-            mosaic = R.stitch_labels(px, R.fov_origins(f, *fov_size, 1000 / um_per_px, KEYS), KEYS)
-            S.write_mosaic(mosaic, f"{out_root}/labels", keys=KEYS)
-
-    def targets():
-        paths = _paths(tf.join(good, base, "left_semi"))
-        if paths:
-            calls = RD.read_csv_by_name(spark, paths)
-            calls = calls.select(path_key.alias("slide_base_path"), *[F.col(c).cast(t).alias(c) for c, t in RD.TARGET_COLUMNS])
-            S.write_targets(calls.join(good, base).drop(*base), f"{out_root}/targets", [*KEYS, "fov"])
-            result["targets_path"] = f"{out_root}/targets"
-
-    def metadata():
-        if rows is not None:
-            S.write_cell_metadata(rows.join(good.select(*KEYS), KEYS, "left_semi"), f"{out_root}/metadata", KEYS)
-            result["metadata_stats"] = stats
-
-    timed("stitch", stitch)
-    timed("read_targets", targets)
-    timed("metadata", metadata)
-    timed("upload", lambda: S.write_status(state.select(*KEYS, "status", "failed_step"), f"{out_root}/status", KEYS))
-    fovs = _below(inv, r"CellStatsDir/(?:Segmentation_[^/]+/)?(FOV[0-9]+)/", "fov_dir")
-    sizes = I.inventory_stats(fovs.join(todo.select(*base), base, "left_semi"), base)
-    log = run_log(spark, times, state.join(sizes, base, "left"), resources)
-    result.update(status=state, log=log)
-    if run_log_path:
-        S.write_run_log(log, run_log_path)
-    return result
+        f = RD.read_csv_by_name(self.spark, self.root, self.files(LOCATIONS))
+        name = F.regexp_extract("_path", "/" + LOCATIONS + r"(?:/[^/]+)?$", 1)
+        number = lambda c, t: (F.col(c).try_cast(t) if c in f.columns else F.lit(None).cast(t)).alias(c)
+        f = f.select(self.of_slide().alias("slide_base_path"), name.alias("name"), number("FOV", "int"), number("X_mm", "double"), number("Y_mm", "double"), "row_idx")
+        f = f.join(self.locations, [*BASE, "name"], "left_semi").join(good, BASE).drop(*BASE, "name")
+        f = saved_table(f.withColumn("ord", F.col("row_idx.mid")).drop("row_idx"))
+        self.fail(f.where("FOV IS NULL OR X_mm IS NULL OR Y_mm IS NULL"), "stitch", "FOV locations that cannot be read")
+        good = self.good()
+        f = f.join(good, self.keys, "left_semi")
+        if f.isEmpty():
+            return
+        S.write_slide_geometry(f, f"{self.out_root}/geometry", *self.fov_size, self.um_per_px, "1", self.keys)
+        origins = R.fov_origins(f, *self.fov_size, 1000 / self.um_per_px, self.keys)
+        if self.tiles is not None:
+            px = self.tiles.join(self.label_tiles.select(*BASE, "dir", "fov"), BASE + ["dir", "fov"], "left_semi").join(good, BASE).drop(*BASE, "dir")
+            S.write_mosaic(R.stitch_labels(px, origins, self.keys), f"{self.out_root}/labels", keys=self.keys)
+        if self.images is not None:
+            self.morphology(good, origins)
+
+    def morphology(self, good: DataFrame, origins: DataFrame) -> None:
+        """Mosaics of the morphology images in blocks, all pyramid levels, and each channel's
+        contrast window from the coarsest level."""
+        kinds = I.classify_image_files(self.inv.select("path", "rel"), col="rel").where("kind = 'morphology'").select(F.col("rel").alias("path"), "fov")
+        own = self.images.join(kinds, "path").join(good, BASE).drop("path", *BASE)
+        pieces = BL.cut_tiles(own, [*self.keys, "fov", "channel"])
+        levels = saved_table(BL.pyramid_blocks(BL.stitch_blocks(pieces, origins, self.block, self.keys), self.block))
+        S.write_blocks(levels, f"{self.out_root}/images", [*self.keys, "channel", "level"])
+        top = R.pyramid_levels(F.col("canvas_h"), F.col("canvas_w")) - 1
+        pixels = BL.blocks_to_long(levels.where(F.col("level") == top), self.block)
+        S.write_windows(R.contrast_window(pixels, [*self.keys, "channel"]), f"{self.out_root}/windows", self.keys)
+
+    def read_targets(self) -> None:
+        """Calls of the chosen layout. A row with a number that cannot be read, or without a
+        target, goes to the null FOV, whose partition marks its slide as failed."""
+        good = self.good()
+        if good.isEmpty():
+            return
+        calls = RD.read_csv_by_name(self.spark, self.root, self.files(CALLS))
+        layout = _calls_layout(F.regexp_extract("_path", "/" + CALLS + r"(?:/[^/]+)?$", 1))
+        calls = calls.select(self.of_slide().alias("slide_base_path"), layout.alias("layout"),
+                             *[(F.col(c).try_cast(t) if c in calls.columns else F.lit(None).cast(t)).alias(c) for c, t in RD.TARGET_COLUMNS])
+        whole = F.lit(True)
+        for c, t in RD.TARGET_COLUMNS:
+            if c == "target" or t != "string":
+                whole = whole & F.col(c).isNotNull()
+        calls = calls.join(self.layouts, [*BASE, "layout"], "left_semi").join(good, BASE).drop(*BASE, "layout")
+        path = f"{self.out_root}/targets"
+        S.write_targets(calls.withColumn("fov", F.when(whole, F.col("fov"))), path, [*self.keys, "fov"])
+        wrong = self.spark.read.parquet(path).where((F.col("attempt") == self.attempt) & F.col("fov").isNull())
+        self.fail(wrong, "read_targets", "values or columns that cannot be read")
+
+    def metadata(self) -> None:
+        if self.rows is not None:
+            S.write_cell_metadata(self.rows.join(self.good().select(*self.keys), KEYS), f"{self.out_root}/metadata", self.keys)
+
+    def upload(self) -> None:
+        status = F.when(F.col("failed_step") == "", FINE).otherwise(WRONG)
+        self.status = saved_table(self.state.withColumn("status", status).select(*BASE, *KEYS, "status", "failed_step", "error"))
+        self.write_status()
 
 
 def run_log(spark: SparkSession, times: list[tuple], state: DataFrame, resources: tuple[int, int]) -> DataFrame:

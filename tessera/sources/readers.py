@@ -5,9 +5,9 @@ S4 read_fov_offsets, S5 read_manifests, S7 read_mtx, S8 read_dictionary
 (S6 file_inventory is in :mod:`tessera.sources.inventory`).
 
 Readers declare types and keep file order where a rule needs "first"/"last"
-(``row_idx`` from :func:`tessera.util.with_file_order`). Only file *names* are
-ever listed on the driver (the same metadata Spark's file index holds); row
-data always stays in the executors. gzip CSV is not splittable: one task reads one
+(``row_idx`` from :func:`tessera.util.with_file_order`). Files are chosen by conditions
+on their paths and headers are read where the files are; nothing that grows with the
+number of files comes to the driver. gzip CSV is not splittable: one task reads one
 file, and later shuffles spread its rows.
 """
 
@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import csv
 import re
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import detect_cell_type_column
@@ -26,9 +26,7 @@ from .inventory import file_inventory
 
 # ---------------------------------------------------------------------------
 # File names and column sets of the instrument exports.
-METADATA_FILE = "{slide}_metadata_file.csv.gz"
 TARGET_FILE_SUFFIX = "__complete_code_cell_target_call_coord.csv"
-TARGET_FILE_GLOB = "[a-zA-Z0-9_]*" + TARGET_FILE_SUFFIX
 TARGET_LAYOUTS = [r"FOV[0-9][^/]*/FOV_Analysis_Summary/[^/]+", r"FOV[0-9][^/]*/[^/]+", r"[^/]+"]
 TARGET_COLUMNS = [("fov", "int"), ("CellId", "int"), ("x", "double"), ("y", "double"), ("z", "int"),
                   ("target", "string"), ("CellComp", "string")]
@@ -40,78 +38,68 @@ EXPR_KEYS = ["fov", "cell_ID"]
 # ---------------------------------------------------------------------------
 
 
-def _list(spark: SparkSession, root: str, glob: str | None = None) -> list[str]:
-    """File names under ``root`` (sorted); names only, no content. A folder that is
-    missing has no files; any other failure is raised."""
-    try:
-        inv = file_inventory(spark, root, glob)
-        return sorted(r["path"] for r in inv.select("path").toLocalIterator())
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-
-
-def logical_files(spark: SparkSession, root: str, name_regex: str) -> dict[str, list[str]]:
-    """{logical file: physical files} under ``root``.
-
-    A logical file is a path whose last segment matches ``name_regex``; it is
-    either a plain file or a folder of that name written by a Spark job (its
-    part files). Keys are relative to ``root``, sorted (listing order). Hidden
-    names (``_x``, ``.x``) are skipped below the root only."""
-    base = re.sub(r"^file:(?=/)", "", root.rstrip("/"))
-    pat = re.compile(name_regex)
-    out: dict[str, list[str]] = {}
-    for p in _list(spark, root.rstrip("/")):
-        rel = p.split(base + "/", 1)[-1]
-        segs = rel.split("/")
-        if any(x.startswith(("_", ".")) for x in segs):
-            continue
-        for i, seg in enumerate(segs):
-            if pat.fullmatch(seg):
-                out.setdefault("/".join(segs[:i + 1]), []).append(p)
-                break
-    return dict(sorted(out.items()))
-
-
-def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a file through Hadoop's file system and codecs: a bounded read,
-    also of compressed files."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-        source = codec.createInputStream(stream) if codec is not None else stream
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine() or ""
-    finally:
-        stream.close()
-
-
-def files_by_header(spark: SparkSession, files: list[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
-    """{column names: files}: CSV files are read by name, one scan per distinct
-    header, whatever order their columns have. Headers are read in parallel, one
-    line each; only distinct ones are kept."""
-    from concurrent.futures import ThreadPoolExecutor
-    out: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(threads) as pool:
-        for path, line in zip(files, pool.map(lambda f: first_line(spark, f), files)):
-            if line:
-                names = next(csv.reader([line.lstrip("\ufeff")]))
-                out.setdefault(tuple(n.strip() for n in names), []).append(path)
-    return out
-
-
-def read_csv_by_name(spark: SparkSession, files: list[str]) -> DataFrame:
-    """All columns of CSV files with differing headers, matched by name; strings."""
-    frames = []
-    for names, same in files_by_header(spark, files).items():
-        df = spark.read.option("header", True).csv(same)
-        frames.append(df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+MAX_LAYOUTS = 1000  # distinct header lines of one kind of file
+
+
+def named(root: str, pattern: str) -> Column:
+    """Files whose path below ``root`` matches ``pattern``, or the part files of a folder of
+    that name written by a Spark job. A condition on the file path alone: Spark leaves
+    other files out when it plans the scan."""
+    base = re.sub(r"^file:/*(?=/)", "", root.rstrip("/"))
+    return F.col("_metadata.file_path").rlike(re.escape(base) + "/" + pattern + r"(/[^/]+)?$")
+
+
+def _recursive(spark: SparkSession):
+    return spark.read.option("recursiveFileLookup", True)
+
+
+def csv_headers(spark: SparkSession, root: str, files: Column) -> DataFrame:
+    """(_path, header, _first): the first line of every file and its row id, found where
+    the files are read. One row a file; it stays in the executors."""
+    lines = _recursive(spark).text(root).where(files & (F.col("_metadata.file_block_start") == 0)).select(
+        F.col("_metadata.file_path").alias("_path"), F.struct(F.monotonically_increasing_id().alias("id"), "value").alias("h"))
+    first = lines.groupBy("_path").agg(F.min("h").alias("h"))
+    return first.select("_path", F.regexp_replace("h.value", "^\ufeff", "").alias("header")).where("header <> ''")
+
+
+def read_csv_by_name(spark: SparkSession, root: str, files: Column, columns: Callable | None = None) -> DataFrame:
+    """CSV files with differing headers, matched by name; strings. What comes to the driver
+    is the distinct header lines, however many files there are.
+
+    Files of one layout are one plain CSV scan. Where layouts differ, lines meet the
+    layout of their file in a join of the (file, header) table and fields are taken by
+    their place in it. ``columns(names)`` may give {output column: file column} for a
+    layout (default: every column under its own name). Adds _path and row_idx (file order)."""
+    headers = csv_headers(spark, root, files)
+    found = headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
+    if not found:
+        raise FileNotFoundError(f"no such files under {root}")
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers under {root}")
+    lines = sorted(r["header"] for r in found)
+    layouts = [[n.strip() for n in next(csv.reader([line]))] for line in lines]
+    columns = columns or (lambda names: {n: n for n in names})
+    wanted = [columns(names) for names in layouts]
+    out_names = list(dict.fromkeys(n for w in wanted for n in w))
+    width = max(map(len, layouts))
+    fields = [f"_c{k}" for k in range(width)]
+    schema = ", ".join(f"{f} string" for f in fields)
+    where = [F.col("_metadata.file_path").alias("_path"), F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid")).alias("row_idx")]
+    if len(layouts) == 1:
+        rows = _recursive(spark).schema(schema).option("header", True).csv(root).where(files).select(*fields, *where)
+        place = lambda n: F.col(fields[layouts[0].index(wanted[0][n])])
+    else:
+        layout = F.array_position(F.array(*map(F.lit, lines)), F.ltrim("value", F.lit("\ufeff")))
+        text = _recursive(spark).text(root).where(files).select("value", *where)
+        known = headers.select(F.col("_path").alias("_file"), F.array_position(F.array(*map(F.lit, lines)), F.col("header")).alias("_layout"))
+        rows = text.join(known, text["_path"] == known["_file"]).drop("_file")
+        # lines equal to their file's header are headers
+        rows = rows.where((F.trim("value") != "") & (layout != F.col("_layout"))).select(
+            "*", F.from_csv("value", F.lit(schema)).alias("_f")).select("_layout", "_path", "row_idx", *[F.col(f"_f.{f}").alias(f) for f in fields])
+        place = lambda n: F.coalesce(*[F.when(F.col("_layout") == k + 1, F.col(fields[names.index(w[n])]))
+                                       for k, (names, w) in enumerate(zip(layouts, wanted)) if n in w])
+    return rows.select(*[place(n).alias(n) for n in out_names], "_path", "row_idx")
 
 
 def named_cell_columns(names) -> list[str]:
@@ -120,31 +108,42 @@ def named_cell_columns(names) -> list[str]:
     return ["cell_name" if n == "cell_id" else n for n in names]
 
 
+def cell_columns(cell_type_column: str | None = None, keep_type: bool = False) -> Callable:
+    """{output column: file column} of a cell metadata layout: names Spark can tell apart,
+    and ``cell_type`` from the layout's own typing column (P15; with ``keep_type`` only
+    where there is no ``cell_type`` yet)."""
+    def columns(names: list[str]) -> dict[str, str]:
+        out = dict(zip(named_cell_columns(names), names))
+        if "cell_type" not in out or cell_type_column or not keep_type:
+            typed = detect_cell_type_column(list(out), cell_type_column)
+            if typed:
+                out["cell_type"] = out[typed]
+        return out
+    return columns
+
+
+def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    if "cell_type" not in df.columns:
+        df = df.withColumn("cell_type", F.lit(None).cast("string"))
+    for c, t in types.items():
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).try_cast(t))
+    return df
+
+
 def read_raw_metadata(spark: SparkSession, paths: list[str], cell_type_column: str | None = None) -> DataFrame:
     """Cell metadata files as the instrument writes them, or as the metadata job does:
     columns by name, a ``cell_type`` column (P15 per header unless it is there
     already), fov and cell_ID as INT, coordinates as DOUBLE."""
-    files = [f for p in paths for f in _list(spark, p) if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
-    if not files:
-        raise FileNotFoundError(f"no metadata files under {paths}")
     frames = []
-    for header, same in files_by_header(spark, files).items():
-        df = spark.read.option("header", True).csv(same).toDF(*named_cell_columns(header))
-        if "cell_type" not in df.columns or cell_type_column:
-            c = detect_cell_type_column(df.columns, cell_type_column)
-            df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
-        frames.append(df)
+    for p in paths:
+        seen = ~F.col("_metadata.file_path").rlike(r"/[_.][^/]*$")
+        frames.append(read_csv_by_name(spark, p, seen, cell_columns(cell_type_column, keep_type=True)).drop("_path", "row_idx"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    if "cell_name" in out.columns:
-        types = {"fov": "int", "cell_ID": "int"}
-    else:
-        types = {"fov": "int"}
-    for c, t in {**types, "UMAP_1": "double", "UMAP_2": "double"}.items():
-        if c in out.columns:
-            out = out.withColumn(c, F.col(c).try_cast(t))
-    return out
+    types = {"fov": "int", "cell_ID": "int"} if "cell_name" in out.columns else {"fov": "int"}
+    return _typed(out, {**types, "UMAP_1": "double", "UMAP_2": "double"})
 
 
 # S1 -------------------------------------------------------------------------
@@ -152,50 +151,27 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
                          cell_type_column: str | None = None) -> DataFrame:
     """Cell metadata of every slide and run under an experiment, as one frame.
 
-    Files ``<run>/flatFiles/<slide>/<slide>_metadata_file.csv.gz`` are listed
-    once; one line of each gives its header; files with the same header are read
-    by one CSV scan (runs name their typing column differently, so there is one
-    scan per distinct header, not per file) and combined by name.
+    Files ``<run>/flatFiles/<slide>/<slide>_metadata_file.csv.gz`` are read by name
+    (:func:`read_csv_by_name`); runs name their typing column differently, which is found
+    per layout (P15).
 
     Columns: slide, run, source_idx (run listing order within the slide),
     row_idx (file order), fov INT, cell_ID INT, cell_name (the string
     ``cell_id``; renamed because Spark column names are case-insensitive),
-    cellSegmentationSetId, cell_type (P15 per header).
+    cellSegmentationSetId, cell_type.
     """
     root = experiment_root.rstrip("/")
-    pat = re.compile(r"([^/]+)/flatFiles/([^/]+)/\2_metadata_file\.csv\.gz")
-    logical = {}
-    for k, v in logical_files(spark, root, r".+_metadata_file\.csv\.gz").items():
-        m = pat.fullmatch(k)
-        if m and (slides is None or m.group(2) in slides):
-            logical[k] = (m.group(1), m.group(2), v)
-    if not logical:
-        raise FileNotFoundError(f"no metadata files under {root}")
-    # source order: runs in listing order within each slide (file-name metadata only)
-    by_slide: dict[str, list[str]] = {}
-    for k in sorted(logical):
-        run, slide, _ = logical[k]
-        by_slide.setdefault(slide, []).append(run)
-    order = [(slide, run, i) for slide, runs in by_slide.items() for i, run in enumerate(runs)]
-    phys = [p for _, _, ps in logical.values() for p in ps]
-    frames = []
-    for header, files in files_by_header(spark, phys).items():
-        names = named_cell_columns(header)
-        df = with_file_order(spark.read.option("header", True).csv(files)).toDF(*names, "row_idx")
-        c = detect_cell_type_column(df.columns, cell_type_column)
-        df = df.withColumn("cell_type", F.col(f"`{c}`") if c else F.lit(None).cast("string"))
-        loc = F.regexp_extract(F.col("row_idx.file"), r"/([^/]+)/flatFiles/([^/]+)/", 1)
-        slide = F.regexp_extract(F.col("row_idx.file"), r"/flatFiles/([^/]+)/", 1)
-        frames.append(df.withColumn("run", loc).withColumn("slide", slide))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    src = spark.createDataFrame(order, "slide string, run string, source_idx int")
-    out = out.join(src, ["slide", "run"])
-    for col, t in (("fov", "int"), ("cell_ID", "int")):
-        if col in out.columns:
-            out = out.withColumn(col, F.col(col).try_cast(t))
-    return out
+    name = r"([^/]+)/flatFiles/([^/]+)/\2_metadata_file\.csv\.gz"
+    files = named(root, name)
+    if slides is not None:
+        files = files & F.regexp_extract("_metadata.file_path", r"/flatFiles/([^/]+)/", 1).isin(list(slides))
+    df = read_csv_by_name(spark, root, files, cell_columns(cell_type_column)).withColumn(
+        "run", F.regexp_extract("_path", r"/([^/]+)/flatFiles/", 1)).withColumn("slide", F.regexp_extract("_path", r"/flatFiles/([^/]+)/", 1))
+    # runs of a slide in listing order, from the list of files
+    own = file_inventory(spark, root).where(F.col("path").rlike(r"/" + name + r"(/[^/]+)?$")).select(
+        F.regexp_extract("path", r"/([^/]+)/flatFiles/", 1).alias("run"), F.regexp_extract("path", r"/flatFiles/([^/]+)/", 1).alias("slide")).distinct()
+    source = own.withColumn("source_idx", (F.row_number().over(Window.partitionBy("slide").orderBy("run")) - 1).cast("int"))
+    return _typed(df.drop("_path").join(source, ["slide", "run"]), {"fov": "int", "cell_ID": "int"})
 
 
 def read_cell_metadata(spark: SparkSession, experiment_root: str, slide: str,
@@ -223,16 +199,15 @@ def read_target_calls(spark: SparkSession, root: str) -> DataFrame:
     """Transcript calls of a slide folder, 7 typed columns. Three layouts are
     tried in order (FOV*/FOV_Analysis_Summary/, FOV*/, the folder itself); the
     first with any file wins. Columns are taken by name, file by file."""
-    files = logical_files(spark, root, r"[a-zA-Z0-9_][^/]*" + re.escape(TARGET_FILE_SUFFIX))
-    chosen: list[str] = []
+    file = r"[a-zA-Z0-9_][^/]*" + re.escape(TARGET_FILE_SUFFIX)
     for layout in TARGET_LAYOUTS:
-        chosen = [p for rel, ps in files.items() if re.fullmatch(layout, rel) for p in ps]
-        if chosen:
-            break
-    if not chosen:
-        raise FileNotFoundError(f"no target call files under {root}")
-    df = read_csv_by_name(spark, chosen)
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in TARGET_COLUMNS])
+        files = named(root, layout.removesuffix("[^/]+") + file)
+        try:
+            df = read_csv_by_name(spark, root, files)
+        except FileNotFoundError:
+            continue
+        return df.select(*[F.col(c).cast(t).alias(c) for c, t in TARGET_COLUMNS])
+    raise FileNotFoundError(f"no target call files under {root}")
 
 
 # S4 -------------------------------------------------------------------------
@@ -241,10 +216,10 @@ def read_fov_offsets(spark: SparkSession, folder: str) -> DataFrame:
     ZOffset_mm = -2.0 and ROI = 0 added; otherwise the headerless legacy file.
     ``ord`` keeps the file row order."""
     base = folder.rstrip("/")
-    new = {k: v for k, v in logical_files(spark, base, ".*" + FOV_LOCATIONS_SUFFIX).items() if "/" not in k}
-    if new:
-        df = with_file_order(spark.read.option("header", True).option("inferSchema", True)
-                             .csv(new[list(new)[-1]]), "ord")
+    name = F.regexp_extract("path", r"/([^/]*" + re.escape(FOV_LOCATIONS_SUFFIX) + r")(?:/[^/]+)?$", 1)
+    last = file_inventory(spark, base).where(name != "").agg(F.max(name).alias("n")).first()["n"]
+    if last:
+        df = with_file_order(spark.read.option("header", True).option("inferSchema", True).csv(f"{base}/{last}"), "ord")
         df = df.withColumn("Z_um", F.col("Z_um") / 1e3).withColumnRenamed("Z_um", "Z_mm")
         cols = df.columns
         i = cols.index("Z_mm")
@@ -259,11 +234,15 @@ def read_fov_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # S5 -------------------------------------------------------------------------
-def read_manifests(spark: SparkSession, glob: str, multi_line: bool = True) -> DataFrame:
+def read_manifests(spark: SparkSession, glob: str, multi_line: bool = True, below: bool = False) -> DataFrame:
     """Segmentation manifest JSON files (schemas unioned by name) with the
     segmentation folder taken from the file path. ``multi_line``: one
-    (pretty-printed) document per file; False for JSON-lines files."""
-    df = spark.read.option("multiLine", multi_line).json(glob)
+    (pretty-printed) document per file; False for JSON-lines files. ``below``: all JSON
+    files under a folder."""
+    reader = spark.read.option("multiLine", multi_line)
+    if below:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    df = reader.json(glob)
     return df.withColumn("dir", F.regexp_extract(F.col("_metadata.file_path"), r"(Segmentation_[^/]+)", 1))
 
 
@@ -316,7 +295,6 @@ def read_indexed_csv(spark: SparkSession, path: str, index_first_column: bool =
     row's place in its split to the rows of the splits before it. A file scan deals the
     same splits to the same tasks each time, so a row's place is its running id less the
     least one of its split. No sort, no shuffle of rows; the join brings one row a split."""
-    from pyspark.sql import Window
     df = spark.read.option("header", True).csv(path)
     cols = df.columns
     rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),

@@ -64,6 +64,18 @@ def write_mosaic(pixels: DataFrame, path: str, block: int = MOSAIC_BLOCK, keys:
     _replacing(b).partitionBy(*parts).parquet(path)
 
 
+def write_blocks(blocks: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Packed blocks (:mod:`tessera.operators.blocks`) as parquet, one folder a channel and
+    level, rows in block order; blocks without pixels are left out."""
+    rows = blocks.where("depth > 0").repartitionByRange(*partition_by, "by", "bx").sortWithinPartitions(*partition_by, "by", "bx")
+    _replacing(rows).partitionBy(*partition_by).parquet(path)
+
+
+def write_windows(windows: DataFrame, path: str, keys: list[str]) -> None:
+    """Contrast windows, one row a channel of a slide."""
+    _replacing(windows).partitionBy(*keys).parquet(path)
+
+
 def unpack_blocks(blocks: DataFrame, block: int = MOSAIC_BLOCK) -> DataFrame:
     keys = [c for c in blocks.columns if c not in ("by", "bx", "px")]
     e = blocks.select(*keys, "by", "bx", F.explode("px").alias("p"))

@@ -3,8 +3,13 @@
 import gzip
 import os
 
+import numpy as np
+import pytest
+
 from tessera.functions.keys import OUTPUT_ROOT, pair_key
-from tessera.plans.jobs import slide_processing_job
+from tessera.operators import blocks as BL
+from tessera.plans import jobs
+from tessera.plans.jobs import committed, slide_processing_job
 
 SUFFIX = "__complete_code_cell_target_call_coord.csv"
 HEADER = "fov,CellId,x,y,z,target,CellComp\n"
@@ -100,3 +105,91 @@ def test_slide_processing_job(spark, scratch):
     assert [(r["run"], r["slide"]) for r in third["slides"].collect()] == [("RunC", "Slide1")]
     assert sorted({r["run"] for r in spark.read.parquet(f"{out}/targets").collect()}) == ["RunA", "RunB", "RunC"]
     assert len(status()) == 5 and spark.read.parquet(log).count() == 5
+
+
+ONE = "fov,cell_ID,cell_id,cellSegmentationSetId\n1,1,c_1,zz\n"
+
+
+def _three(root, exp):
+    """Three slides of which the second can be spoilt."""
+    return [_slide(root, exp, run, slide, "Scan1", {"Segmentation_zz_001": [1, 2]}, meta=ONE)
+            for run, slide in (("RunA", "Slide1"), ("RunB", "Slide2"), ("RunB", "Slide3"))]
+
+
+def _results(spark, out):
+    status = {(r["run"], r["slide"]): (r["status"], r["failed_step"]) for r in spark.read.parquet(f"{out}/status").collect()}
+    return status, {t: {(r["run"], r["slide"]) for r in committed(spark, out, t).select("run", "slide").distinct().collect()}
+                    for t in ("targets", "metadata", "geometry")}
+
+
+SPOIL = {
+    "value": (lambda base: _touch(f"{base}/AnalysisResults/abc/FOV001/R{SUFFIX}", HEADER + "1,1,oops,0.5,1,g,Nuclear\n"), "read_targets"),
+    "column": (lambda base: _touch(f"{base}/AnalysisResults/abc/FOV001/R{SUFFIX}", "fov,CellId,y,z,target,CellComp\n1,1,0.5,1,g,Nuclear\n"), "read_targets"),
+    "location": (lambda base: _touch(f"{base}/RunSummary/x_FOV_Locations.csv", "FOV,X_mm,Y_mm,Z_um\n1,0,zero,1\n"), "stitch"),
+    "broken file": (lambda base: _touch(base.split("/RunB/")[0] + "/RunB/flatFiles/Slide2/Slide2_metadata_file.csv.gz", "no gzip"), "download"),
+}
+
+
+@pytest.mark.parametrize("what", SPOIL)
+def test_a_spoilt_slide_fails_alone(spark, scratch, what):
+    root, exp, out, log = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out", f"{scratch}/runlog"
+    spoil, step = SPOIL[what]
+    spoil(_three(root, exp)[1])
+    slide_processing_job(spark, root, exp, out, log, fov_size=(2, 2), um_per_px=250.0)
+    fine = {("RunA", "Slide1"), ("RunB", "Slide3")}
+    status, tables = _results(spark, out)
+    assert status == {**dict.fromkeys(fine, ("success", "")), ("RunB", "Slide2"): ("failed", step)}
+    assert tables == dict.fromkeys(tables, fine)
+    assert sorted((r["slide_name"], r["status"], r["failed_step"]) for r in spark.read.parquet(log).collect()) == [
+        ("Slide1", "success", ""), ("Slide2", "failed", step), ("Slide3", "success", "")]
+
+
+def test_a_killed_run_is_taken_up_again(spark, scratch, monkeypatch):
+    root, exp, out = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out"
+    _three(root, exp)
+
+    def killed(*a, **k):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs.S, "write_cell_metadata", killed)
+        with pytest.raises(KeyboardInterrupt):
+            slide_processing_job(spark, root, exp, out, fov_size=(2, 2), um_per_px=250.0)
+    assert os.path.exists(f"{out}/targets") and not os.path.exists(f"{out}/status")
+    again = slide_processing_job(spark, root, exp, out, fov_size=(2, 2), um_per_px=250.0)
+    assert again["slides"].count() == 3
+    status, tables = _results(spark, out)
+    assert set(status.values()) == {("success", "")} and all(len(v) == 3 for v in tables.values())
+    # the data of the killed attempt is there but does not count
+    assert spark.read.parquet(f"{out}/targets").count() == 12 and committed(spark, out, "targets").count() == 6
+
+
+def test_morphology_images(spark, scratch):
+    """F9, R1 and R6 in blocks and A9, for two slides whose mosaics differ."""
+    root, exp, out = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out"
+    n, rng, rows, want = 600, np.random.default_rng(5), [], {}
+    for base in _three(root, exp)[:2]:
+        rel, whole = base.split("/_bucket/")[1], np.zeros((n, n + 100), int)
+        for fov, x0 in ((1, 100), (2, 0)):  # pasted in FOV order: the second overwrites
+            image = rng.integers(1, 5000, (n, n)).astype("<u2")
+            name = f"CellStatsDir/Morphology2D/20240101_X_C902_P99_N99_F{fov:03d}.TIF"
+            _touch(f"{base}/{name}")
+            rows.append((rel, f"{rel}/{name}", "DNA", n, n, *BL.pack(image)))
+            whole[:, x0:x0 + n] = image
+        _touch(f"{base}/CellStatsDir/Morphology2D/20240101_X_C902_P99_N99_F001_Z003.TIF")
+        rows.append((rel, f"{rel}/CellStatsDir/Morphology2D/20240101_X_C902_P99_N99_F001_Z003.TIF", "DNA", n, n, *BL.pack(np.ones((n, n), int))))
+        _touch(f"{base}/RunSummary/x_FOV_Locations.csv", "FOV,X_mm,Y_mm,Z_um\n1,0,0,1\n2,0.1,0,1\n")
+        want[rel.split("/")[2]] = whole
+    images = spark.createDataFrame(rows, "slide_base_path string, path string, channel string, height int, width int, depth int, pixels binary")
+    slide_processing_job(spark, root, exp, out, fov_size=(n, n), um_per_px=1.0, images=images, block=256)
+    got = committed(spark, out, "images").collect()
+    assert {r["run"] for r in got} == {"RunA", "RunB"} and {r["level"] for r in got} == {0}
+    for run, whole in want.items():
+        mine = np.zeros_like(whole)
+        for r in got:
+            if r["run"] == run and r["slide"] in ("Slide1", "Slide2"):
+                mine[r["by"] * 256:r["by"] * 256 + r["bh"], r["bx"] * 256:r["bx"] * 256 + r["bw"]] = BL.unpack(r["pixels"], r["depth"], r["bh"], r["bw"])
+        assert (mine == whole).all()
+        w = committed(spark, out, "windows").where(f"run = '{run}'").first()
+        assert (w["min"], w["max"]) == (whole[whole > 0].min(), whole.max())
+        assert [w["start"], w["end"]] == [int(np.floor(q)) for q in np.quantile(whole[whole > 0], [0.001, 0.999])]
