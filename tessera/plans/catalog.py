@@ -9,3 +9,4 @@ from . import q_files  # noqa: F401
 from . import q_more  # noqa: F401
 from . import q_slides  # noqa: F401
 from . import q_blocks  # noqa: F401
+from . import q_jobs  # noqa: F401
