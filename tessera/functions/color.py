@@ -73,7 +73,7 @@ def assign_category_color(df: DataFrame, col: str, supplied: DataFrame | None =
     generated (P7); NULL value or no colour -> transparent.
 
     ``supplied`` / ``category_colors`` are (value, color) tables; joins are
-    null-safe and the tables are broadcast (one row per category).
+    null-safe, with one row per category on the right.
     """
     cand = []
     base = df

@@ -5,8 +5,8 @@ J3 target_counts_for_cells, J13 ordinal_encode, A13 transcript_raster,
 A14 spread_raster, R12 transcripts_for_display.
 
 The call table is the one large table of a slide (~100 MB CSV per FOV), so every
-operator here keeps it on the probe side of broadcast joins and aggregates with
-partial (map-side) aggregation before any shuffle.
+operator here joins it with small tables and aggregates with partial (map-side)
+aggregation before any shuffle.
 """
 
 from __future__ import annotations
@@ -47,9 +47,9 @@ def global_coordinates(targets: DataFrame, fovs: DataFrame, height: int, width:
                        px_per_mm: float, keys: list[str] = ()) -> DataFrame:
     """Left join FOV offsets onto every call and derive ``global_x/global_y``.
 
-    The FOV side (one row per FOV, with the slide frame from a window over the
-    FOV table) is broadcast after a row-bound check; the call table is only
-    scanned and projected.
+    The FOV side has one row per FOV, with the slide frame from a window over the FOV
+    table; adaptive execution broadcasts it when its bytes turn out small, and then the
+    call table is only scanned and projected.
     """
     keys = list(keys)
     f = with_extent(first_location(fovs, keys), height, width, px_per_mm, keys)

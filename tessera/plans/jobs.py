@@ -166,7 +166,8 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
     not processed again."""
     root, out_root = bucket_root.rstrip("/"), out_root.rstrip("/")
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:", ""))
-    inv = inv.withColumn("rel", I.relative_path("path", root))
+    # one listing: every step reads this table
+    inv = saved_table(inv.withColumn("rel", I.relative_path("path", root)))
     slides = parse_slide_path(I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix), "slide_base_path", processed_root)
     outputs = inv.where(F.col("rel").startswith(processed_root + "/")).select(F.col("rel").alias("key"))
     try:
@@ -432,13 +433,26 @@ def histogram_job(meta: DataFrame) -> DataFrame:
 
 
 # X6 -------------------------------------------------------------------------
+MAX_LAYERS = 1000  # annotation layers of one job: drawn by hand, one column each
+
+
 def roi_annotation_job(shapes: DataFrame, labels: DataFrame, meta: DataFrame, targets: DataFrame,
-                       mm_per_px: float, top_left_mm, height, width):
-    """Cells inside drawn shapes -> per-layer flags on the cell table ->
-    transcript counts per gene in those cells."""
-    inside = R.cells_in_shapes(shapes, labels, mm_per_px, top_left_mm, height, width)
-    by_layer = inside.select("UID", F.concat(F.lit("shape_"), F.col("shape_id").cast("string")).alias("layer"))
-    layers = [f"shape_{r['shape_id']}" for r in shapes.select("shape_id").distinct().collect()]
-    flags = C.flag_cells(meta, by_layer, layers)
-    counts = T.target_counts_for_cells(inside.select("UID").distinct(), T.drop_control_probes(targets))
+                       mm_per_px: float, top_left_mm, height, width, points: DataFrame | None = None, keys: list[str] = ()):
+    """Cells inside drawn shapes, and under the points of point layers (J8; ``points`` =
+    (keys, layer, y, x)) -> per-layer flags on the cell table -> transcript counts per
+    gene in those cells. With ``keys`` on all frames every slide has its own. At most
+    ``MAX_LAYERS`` layers: their names become columns."""
+    keys = list(keys)
+    inside = R.cells_in_shapes(shapes, labels, mm_per_px, top_left_mm, height, width, keys=keys)
+    by_layer = inside.select(*keys, "UID", F.concat(F.lit("shape_"), F.col("shape_id").cast("string")).alias("layer"))
+    names = shapes.select(F.concat(F.lit("shape_"), F.col("shape_id").cast("string")).alias("layer"))
+    if points is not None:
+        at = R.cells_at_points(points.select(*keys, F.concat(F.lit("points_"), "layer").alias("layer"), "y", "x"), labels, mm_per_px, top_left_mm, keys)
+        by_layer = by_layer.union(at.select(*keys, "UID", "layer"))
+        names = names.union(points.select(F.concat(F.lit("points_"), "layer")))
+    layers = sorted(r["layer"] for r in names.distinct().limit(MAX_LAYERS + 1).collect())
+    if len(layers) > MAX_LAYERS:
+        raise ValueError(f"more than {MAX_LAYERS} annotation layers")
+    flags = C.flag_cells(meta, by_layer, layers, keys=keys)
+    counts = T.target_counts_for_cells(by_layer.select(*keys, "UID").distinct(), T.drop_control_probes(targets), keys=keys)
     return flags, counts

@@ -156,3 +156,37 @@ def q_cells_in_shapes_blocks_by_slide(spark, d):
     origins = _slide_origins(b)
     shapes = _with_slides(_shapes(spark).where("kind IN ('rectangle', 'ellipse')"))
     return BL.cells_in_shapes_blocks(shapes, _slide_labels(b), MMPP, (0.0, 0.0), *_canvas(origins), BLOCK, keys=["slide"])
+
+
+# ---------------------------------------------------------------- X6, long form by slide
+_INSIDE = """
+inside AS (
+  SELECT DISTINCT l.slide, 'shape_' || s.shape_id AS layer, l.val AS UID FROM slabels l JOIN shapes s ON s.kind = 'rectangle'
+  WHERE l.val <> 0 AND l.row >= trunc(s.vertices[1].y) AND l.row < trunc(s.vertices[3].y)
+    AND l.col >= trunc(s.vertices[1].x) AND l.col < trunc(s.vertices[2].x)
+  UNION
+  SELECT DISTINCT l.slide, 'points_' || p.layer, l.val FROM slabels l
+  JOIN (SELECT 'S' || l_linenumber % 3 AS slide, CASE WHEN l_linenumber % 2 = 0 THEN 'a' ELSE 'b' END AS layer,
+               l_orderkey % 70 AS row, l_partkey % 70 AS col FROM lineitem) p ON p.slide = l.slide AND p.row = l.row AND p.col = l.col
+  WHERE l.val <> 0)"""
+
+
+@query("roi_flags_by_slide", _sql("""
+SELECT m.slide, m.UID, bool_or(coalesce(i.layer = 'shape_1', false)) AS shape_1, bool_or(coalesce(i.layer = 'points_a', false)) AS points_a,
+       bool_or(coalesce(i.layer = 'points_b', false)) AS points_b
+FROM (SELECT DISTINCT slide, val AS UID FROM slabels WHERE val <> 0) m LEFT JOIN inside i ON i.slide = m.slide AND i.UID = m.UID
+GROUP BY m.slide, m.UID""", _shapes_sql(), _INSIDE))
+def q_roi_flags_by_slide(spark, d):
+    from . import jobs as J
+    b = Bindings(spark, d)
+    origins = _slide_origins(b)
+    labels = _with_slides(_labels(b)).withColumn("val", F.when(F.col("val") == 0, 0).otherwise(F.col("val") + F.col("s")))
+    labels = R.stitch_mosaic(labels, origins, keys=["slide"]).select("slide", "row", "col", "val")
+    li = b.t("lineitem")
+    points = li.select(F.concat(F.lit("S"), (F.col("l_linenumber") % 3).cast("string")).alias("slide"),
+                       F.when(F.col("l_linenumber") % 2 == 0, "a").otherwise("b").alias("layer"),
+                       (F.col("l_orderkey") % 70 + 0.5).cast("double").alias("y"), (F.col("l_partkey") % 70 + 0.5).cast("double").alias("x"))
+    meta = labels.where("val <> 0").select("slide", F.col("val").alias("UID")).distinct()
+    calls = b.target_calls.withColumn("slide", F.lit("S0"))
+    shapes = _with_slides(_shapes(spark).where("kind = 'rectangle'"))
+    return J.roi_annotation_job(shapes, labels, meta, calls, MMPP, (0.0, 0.0), *_canvas(origins), points=points, keys=["slide"])[0]

@@ -279,3 +279,15 @@ SELECT fov, cell_type, round(CASE WHEN mx = mn THEN 0.0 ELSE (UMAP_1 - mn) / (mx
 FROM umap, (SELECT min(UMAP_1) AS mn, max(UMAP_1) AS mx FROM umap) s WHERE fov <= 10""", "umap"))(
     lambda spark, d: C.minmax_scale(Bindings(spark, d).umap, "UMAP_1", subset=F.col("fov") <= 10)
     .select("fov", "cell_type", rnd("UMAP_1_scaled").alias("UMAP_1_scaled")))
+
+
+# ---------------------------------------------------------------- J12 category colours
+query("category_colors", with_ctes("""
+SELECT CAST(row_number() OVER (ORDER BY encode(category)) - 1 AS INTEGER) AS position, category, '#' || upper(substr(md5(category || 'x'), 1, 6)) AS color
+FROM (SELECT DISTINCT cell_type AS category FROM cell_meta WHERE cell_type <> '')""", "cell_meta"))(
+    lambda spark, d: C.category_colors(
+        Bindings(spark, d).cell_meta.where("cell_type <> ''"), "cell_type",
+        # every type twice: the last entry wins
+        Bindings(spark, d).cell_meta.where("cell_type <> ''").select(F.col("cell_type").alias("value")).distinct()
+        .select("value", F.explode(F.array(F.lit(0), F.lit(1))).alias("ord"))
+        .withColumn("color", F.when(F.col("ord") == 0, "#000000").otherwise(F.concat(F.lit("#"), F.upper(F.substring(F.md5(F.concat("value", F.lit("x"))), 1, 6)))))))

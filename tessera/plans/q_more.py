@@ -31,12 +31,19 @@ def q_read_expression(spark, d):
 
 
 # ---------------------------------------------------------------- S6
-@query("file_inventory", with_ctes("SELECT DISTINCT fov FROM target_calls", "target_calls"))
+@query("file_inventory", with_ctes("""
+SELECT 'targets/fov=' || fov AS folder, 1 AS files, CAST(sum(strlen(target) + 1) AS BIGINT) AS bytes
+FROM target_calls GROUP BY fov UNION ALL SELECT 'lone', 1, 4""", "target_calls"))
 def q_file_inventory(spark, d):
-    path = f"{_scratch(spark)}/targets"
-    Bindings(spark, d).target_calls.write.partitionBy("fov").parquet(path)
-    inv = I.file_inventory(spark, path, "*.parquet")
-    return inv.select(F.regexp_extract("path", r"/fov=(\d+)/", 1).cast("int").alias("fov")).distinct()
+    """Folders below the root, files in them and their bytes (a line feed ends each line)."""
+    root = _scratch(spark)
+    calls = Bindings(spark, d).target_calls.select("fov", F.col("target").alias("value"))
+    calls.repartition("fov").write.partitionBy("fov").text(f"{root}/targets")
+    spark.range(1).select(F.lit("abc").alias("value")).write.text(f"{root}/lone")
+    inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    rel = I.relative_path("path", F.lit(root).cast("string") if "://" in root else F.lit(root.replace("file:", "")))
+    return inv.groupBy(F.regexp_extract(rel, "^(.*)/[^/]*$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes"))
 
 
 # ---------------------------------------------------------------- P18

@@ -447,11 +447,8 @@ FROM cat UNION ALL SELECT 'segmentation', '00FFFF', 0, 1, true"""))(
 
 _REQUEST = "ECONOMY, LARGE,BOGUS Cathepsin B  PROMO,,LARGE"
 _REQ_SQL = """
-req AS (SELECT CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos0, unnest(l) AS item FROM (
-          SELECT string_split_regex(replace('""" + _REQUEST + """', 'Cathepsin B', 'CATHEPSIN_B_PLACEHOLDER'), '[ ,]+') AS l)),
-req2 AS (SELECT CAST(row_number() OVER (ORDER BY pos0) - 1 AS INTEGER) AS pos,
-                CASE WHEN item = 'CATHEPSIN_B_PLACEHOLDER' THEN 'Cathepsin B' ELSE item END AS name
-         FROM req WHERE item <> '')"""
+req2 AS (SELECT CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, rtrim(unnest(l), ' ,') AS name
+         FROM (SELECT regexp_extract_all('""" + _REQUEST + """' || ' ', 'Cathepsin B[ ,]|[^ ,]+') AS l))"""
 
 
 def _resolved(spark, d):

@@ -347,6 +347,19 @@ FROM mosaic"""))(
         ["ch1", "ch0", "ch2"], ome=True, active=["ch0", "ch2"]))
 
 
+query("stack_channels_boundary", _ras("""
+SELECT channel, row, col, val, channel_idx, active FROM (
+  SELECT 'ch' || CAST(channel AS VARCHAR) AS channel, row, col, val, CAST(1 - channel AS INTEGER) AS channel_idx, true AS active
+  FROM mosaic WHERE channel < 2)
+UNION ALL
+SELECT 'boundaries', a.row, a.col, 1, 2, true FROM dense a JOIN dense n
+  ON n.row BETWEEN a.row - 1 AND a.row + 1 AND n.col BETWEEN a.col - 1 AND a.col + 1
+GROUP BY a.row, a.col HAVING bool_or(n.val <> a.val)"""))(
+    lambda spark, d: R.stack_channels(
+        _mosaic(Bindings(spark, d)).withColumn("channel", F.concat(F.lit("ch"), F.col("channel").cast("string"))),
+        ["ch0", "ch1"], ome=True, boundary=R.label_boundaries(_labels(Bindings(spark, d)), *_canvas(Bindings(spark, d)))))
+
+
 # ---------------------------------------------------------------- R3
 @query("stitch_proteins", _ras("""
 SELECT m.channel, m.row, m.col, m.val,

@@ -38,8 +38,22 @@ def _selected(b: Bindings):
 query("select_segmentations", with_ctes("SELECT dir, uuid, version, rank FROM selected", "seg", extra=_W1_SQL))(
     lambda spark, d: _selected(Bindings(spark, d))[0])
 
-query("uncovered_fovs", with_ctes("SELECT fov FROM cov WHERE win IS NULL", "seg", extra=_W1_SQL))(
-    lambda spark, d: _selected(Bindings(spark, d))[1])
+# Two folders of one version: only the primary one counts, so FOVs that are in the other
+# (the first by name, whose FOVs are the ones to cover) alone stay uncovered.
+_TIED_SQL = _W1_SQL.replace("FROM seg)", "FROM tied)").replace(PRIMARY_DIR, "Segmentation_bbb_001")
+_TIED = """
+tied AS (SELECT 'Segmentation_aaa_001' AS dir, fov FROM seg WHERE fov % 3 = 0 OR fov % 5 = 0
+         UNION ALL SELECT 'Segmentation_bbb_001', fov FROM seg WHERE fov % 3 <> 0),""" + _TIED_SQL
+
+
+def _tied(b: Bindings):
+    folder = lambda name, cond: b.seg.where(cond).withColumn("dir", F.lit(name))
+    seg = folder("Segmentation_aaa_001", "fov % 3 = 0 OR fov % 5 = 0").unionByName(folder("Segmentation_bbb_001", "fov % 3 <> 0"))
+    return V.select_segmentations(seg, b.spark.range(1).select(F.lit("Segmentation_bbb_001").alias("primary_dir")))
+
+
+query("uncovered_fovs", with_ctes("SELECT fov FROM cov WHERE win IS NULL", "seg", extra=_TIED))(
+    lambda spark, d: _tied(Bindings(spark, d))[1])
 
 
 # ---------------------------------------------------------------- W2
