@@ -6,9 +6,12 @@ units that are not vocabulary entries themselves become rows (word, position, to
 of an in-process DuckDB table. A recursive query joins neighbouring tokens to the
 merge table and contracts each word's leftmost pair of minimum rank until no word has
 a pair left; ordered aggregation of the tokens' bytes decodes, and every decoded word
-is compared with its bytes. Texts with other white space next to a space, where the
-matches depend on more than the unit, are matched as a whole. Memory is bounded by
-the distinct words of ``BLOCK_BYTES`` of text and by the longest text.
+is compared with its bytes. A match of over ``LONG_BYTES`` bytes is first cut wherever no
+vocabulary entry that occurs in it spans, and what stays long contracts all occurrences
+of its least pair in a round, so a text without breaks costs about its length. Texts
+with other white space next to a space, where the matches depend on more than the unit,
+are matched as a whole. Memory is bounded by the distinct words of ``BLOCK_BYTES`` of
+text and by the longest text.
 
 Cases: a null or empty text has no ids and the digests of the empty string; repeated
 rows are encoded row by row; an empty table gives an empty result; other columns are
@@ -32,6 +35,7 @@ from .text import by_bytes, spread
 BLOCK_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
 WORDS_A_QUERY = 20_000
+LONG_BYTES = 256
 KEPT_UNITS = 400_000
 
 #: A word's state is one row per token, words and positions in order: the connection
@@ -58,6 +62,39 @@ WITH RECURSIVE state AS (
 )
 SELECT word, pos, token FROM state WHERE done ORDER BY word, pos
 """
+#: The same for long words, all occurrences of a word's least pair in one round: overlapping
+#: ones (a run of marked rows) every other one from the left, as one by one. A word in which
+#: a new token would rank lower with a neighbour than the pair itself, so that one by one
+#: another pair came first, contracts only its leftmost pair in that round.
+_ENCODE_LONG = """
+WITH RECURSIVE state AS (
+    SELECT word, pos, token, false AS done FROM start_tokens
+  UNION ALL
+    (WITH pairs AS (
+        SELECT word, pos, token, lag(token) OVER w AS before, lead(token) OVER w AS right_token, lead(token, 2) OVER w AS beyond
+        FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)),
+     ranked AS (
+        SELECT p.*, m.rank FROM pairs p LEFT JOIN merges m ON m.left_token = p.token AND m.right_token = p.right_token),
+     best AS (SELECT word, min(rank) AS least FROM ranked GROUP BY word),
+     marked AS (
+        SELECT r.word, r.pos, r.token, r.before, r.beyond, b.least, coalesce(r.rank = b.least, false) AS hit,
+               row_number() OVER (PARTITION BY r.word ORDER BY r.pos) AS i FROM ranked r JOIN best b ON b.word = r.word),
+     disturbed AS (
+        SELECT DISTINCT h.word FROM (
+            SELECT word, least, least AS l, beyond AS r FROM marked WHERE hit UNION ALL SELECT word, least, before, least FROM marked WHERE hit
+            UNION ALL SELECT word, least, least, least FROM best) h
+        JOIN merges m ON m.left_token = h.l AND m.right_token = h.r WHERE m.rank < h.least),
+     runs AS (SELECT *, i - row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS run,
+                     row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS nth FROM marked),
+     chosen AS (
+        SELECT r.word, r.pos, r.token, r.least, r.hit AND CASE WHEN d.word IS NOT NULL THEN r.nth = 1
+               ELSE row_number() OVER (PARTITION BY r.word, r.hit, r.run ORDER BY r.pos) % 2 = 1 END AS head
+        FROM runs r LEFT JOIN disturbed d ON d.word = r.word),
+     after AS (SELECT *, coalesce(lag(head) OVER (PARTITION BY word ORDER BY pos), false) AS taken FROM chosen)
+     SELECT word, pos, CASE WHEN head THEN least ELSE token END AS token, least IS NULL AS done FROM after WHERE NOT taken)
+)
+SELECT word, pos, token FROM state WHERE done ORDER BY word, pos
+"""
 _DECODE = """
 SELECT word, string_agg(hex, '') AS hex
 FROM (SELECT e.word, v.hex FROM encoded e JOIN vocabulary v ON v.token = e.token ORDER BY e.word, e.pos)
@@ -87,6 +124,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         import duckdb
+        self.ranks, self.finder = ranks, None
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": True,
                                          "autoinstall_known_extensions": False, "autoload_known_extensions": False})
@@ -97,19 +135,54 @@ class Encoder:
             self.db.unregister("incoming")
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of ids of each word)."""
-        parts = [self._encode(words[low:low + WORDS_A_QUERY]) for low in range(0, len(words), WORDS_A_QUERY)]
+        """(ids of all words, number of ids of each word). Long words are encoded by their parts."""
+        long = {k: self.parts(w) for k, w in enumerate(words) if len(w) > LONG_BYTES}
+        if not long:
+            return self._all(words)
+        pieces, first = [], np.zeros(len(words) + 1, np.int64)
+        for k, w in enumerate(words):
+            pieces += long.get(k, [w])
+            first[k + 1] = len(pieces)
+        ids: list = [None] * len(pieces)
+        for wanted, query in ((lambda p: len(p) <= LONG_BYTES, _ENCODE), (lambda p: len(p) > LONG_BYTES, _ENCODE_LONG)):
+            at = [k for k, p in enumerate(pieces) if wanted(p)]
+            flat, counts = self._all([pieces[k] for k in at], query)
+            for k, part in zip(at, np.split(flat, np.cumsum(counts)[:-1]) if at else []):
+                ids[k] = part
+        counts = np.array([len(x) for x in ids], np.int64)
+        return np.concatenate(ids), np.add.reduceat(counts, first[:-1])
+
+    def parts(self, word: bytes) -> list[bytes]:
+        """``word`` cut wherever no vocabulary entry found in it spans: no token can reach over
+        such a place, so the parts are encoded each by itself."""
+        if self.finder is None:
+            import ahocorasick
+            self.finder = ahocorasick.Automaton()
+            for t in self.ranks:
+                if len(t) > 1:
+                    self.finder.add_word(t.decode("latin-1"), len(t))
+            self.finder.make_automaton()
+        spanned = np.zeros(len(word) + 1, np.int64)
+        for end, size in self.finder.iter(word.decode("latin-1")):
+            spanned[end - size + 2] += 1  # places between its bytes
+            spanned[end + 1] -= 1
+        cuts = np.flatnonzero(np.cumsum(spanned[:-1])[1:] == 0) + 1
+        edges = [0, *cuts.tolist(), len(word)]
+        return [word[low:high] for low, high in zip(edges[:-1], edges[1:])]
+
+    def _all(self, words: list[bytes], query: str = _ENCODE) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self._encode(words[low:low + WORDS_A_QUERY], query) for low in range(0, len(words), WORDS_A_QUERY)]
         none = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         return tuple(np.concatenate(x) for x in zip(none, *parts))
 
-    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, words: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         self.db.register("start_tokens", pa.table({
             "word": pa.array(np.repeat(np.arange(len(words)), sizes), pa.int32()),
             "pos": pa.array(spread(np.zeros(len(sizes), np.int64), sizes), pa.int32()),
             "token": pa.array(self.single[data], pa.int32())}))
-        encoded = self.db.sql(_ENCODE).to_arrow_table()
+        encoded = self.db.sql(query).to_arrow_table()
         self.db.unregister("start_tokens")
         self.db.register("encoded", encoded)
         decoded = self.db.sql(_DECODE).to_arrow_table()["hex"].to_pylist()

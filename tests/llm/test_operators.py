@@ -364,6 +364,19 @@ def test_bpe_of_random_unicode():
     assert got == [(library.encode_ordinary(t or ""), (t or "").encode()) for t in rows]
 
 
+def test_bpe_of_long_unbroken_texts():
+    import tiktoken
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.load_ranks(path)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng, encoder = random.Random(3), bpe.Encoder(ranks)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(100_000)), "a" * 100_000, "ab" * 50_000, "x", "",
+             "".join(rng.choice("etaoinshrdlu") for _ in range(100_000)), "aab" * 400 + "é" * 300, "short"]
+    flat, counts = encoder.encode([t.encode() for t in texts if t])
+    want = [library._core_bpe.encode_single_piece(t.encode()) for t in texts if t]
+    assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
 # ---- 7 toxicity
 
 def test_toxicity_finds_planted_words(spark, empty):
@@ -389,6 +402,15 @@ def test_toxicity_finds_planted_words(spark, empty):
     kept = toxicity.drop_toxic(df, lab)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(k for k, r in got.items() if not r.toxic)
     assert not any(r.toxic for r in toxicity.toxicity(df, lab.filter("toxic = 0")).collect())
+
+
+def test_toxicity_sample_is_bounded_by_ids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda rows, cols, grades, *a: seen.append(len(grades)) or (np.zeros(a[0]), np.zeros(a[1] - 1)))
+    rows = [(k % 20, "scum word", "x", "y", 1) for k in range(5010)] + [(k, f"clean{k % 3} text", "x", "y", 1) for k in range(20, 60)]
+    df = saved(spark.createDataFrame(rows, "doc_id int, text string, toxic string, row string, digest int"))
+    toxicity.fit(df, spark.createDataFrame([(k, int(k < 20)) for k in range(60)], "doc_id int, toxic int"), max_labelled=40)
+    assert seen and seen[0] <= 40
     assert toxicity.toxicity(saved(df.filter("false")), lab).count() == 0
 
 
