@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import numbered, with_text
+from .tables import numbered, saved, with_text
 from .text import by_bytes, run_lengths, text_buffer, word_hashes, words
 
 BITS = 22
@@ -111,8 +111,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, n_featur
     picked = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__toxic"))
               .filter("__id IS NOT NULL AND __toxic IS NOT NULL").groupBy("__id").agg(F.max("__toxic").alias("__toxic"))
               .orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(max_labelled))
-    sample = (docs.select(F.col(id_col).alias("__id"), F.col("text").cast("string").alias("text"))
-              .join(F.broadcast(picked), "__id").select("__toxic", "text"))
+    # one row an id, by the digest of its text: rows that repeat an id do not widen the sample
+    text = F.col("text").cast("string")
+    sample = saved(docs.select(F.col(id_col).alias("__id"), F.struct(F.md5(F.coalesce(text, F.lit(""))).alias("digest"), text.alias("text")).alias("row"))
+                   .join(F.broadcast(picked), "__id").groupBy("__id", "__toxic").agg(F.min("row").alias("row")).select("__toxic", "row.text"))
 
     def count(batches):
         for batch in by_bytes(batches):
