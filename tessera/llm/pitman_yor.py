@@ -196,7 +196,10 @@ def loose(data: bytes, kind) -> np.ndarray:
 
 
 def packed(values) -> bytes:
-    return squeezed(np.ascontiguousarray(values).astype(np.uint32))
+    values = np.ascontiguousarray(values)
+    if len(values) and int(values.max()) >> 32:
+        raise OverflowError("a count of one cell is over 32 bits")
+    return squeezed(values.astype(np.uint32))
 
 
 def unpacked(data) -> np.ndarray:
