@@ -6,7 +6,8 @@ digest is looked up among the digests of known license texts, brought to the sam
 by the same functions. Whole documents, their single lines and their paragraphs (lines
 between blank ones, joined) are looked up: a license that fills the document, and a
 notice that stands in it, wrapped or not. Only units as long as some known form are
-hashed.
+hashed, and only texts with one of a few words of which every known form holds one are
+brought to the form at all.
 
 Only DataFrame functions run here. The known texts are a parameter of fixed size (the
 default list below), so their digests are broadcast; documents are not shuffled but
@@ -18,6 +19,8 @@ row by row; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -113,26 +116,54 @@ def paragraphs_of(lines: Column) -> Column:
     return F.transform(F.filter(runs, lambda x: x.contains("\n")), lambda x: F.translate(x, "\n", " "))
 
 
-def known_digests(spark, known=None) -> tuple[DataFrame, list[int]]:
+#: What a word of a canonical form may have been spelled from: all spellings of "license"
+#: hold "licen"; words with another unified spelling are no signs.
+_UNIFIED = [word for _, _, word in SPELLINGS if word != "license"]
+
+
+def signs_of(forms: list[str]) -> list[str] | None:
+    """A few strings of which a lower-cased text holds one if its form holds a known one:
+    words stand in a canonical form as they stood in the text, but for unified
+    spellings. Long words that many forms share come first; None if some form has no
+    such word."""
+    signs: list[str] = []
+    left = [{"licen" if "license" in w else w for w in f.split(" ") if not any(u in w.replace("license", "") for u in _UNIFIED)} for f in forms]
+    while left:
+        seen = Counter(w for words in left for w in words if w)
+        if not all(any(words) for words in left):
+            return None
+        best = max(seen, key=lambda w: (w == "licen", len(w) >= 8, seen[w], len(w), w))
+        signs.append(best)
+        left = [words for words in left if best not in words]
+    return signs
+
+
+def holds_sign(text: Column, signs: list[str] | None) -> Column:
+    if signs is None:
+        return F.lit(True)
+    # an array of one, so that the lower case is made once for all signs
+    return F.exists(F.array(F.lower(text)), lambda low: reduce(lambda a, b: a | b, [low.contains(w) for w in signs], F.lit(False)))
+
+
+def known_digests(spark, known=None) -> tuple[DataFrame, list[int], list[str] | None]:
     """(license, digest: one row per distinct canonical text (first license wins);
-    lengths of the texts)."""
+    lengths of the texts; their signs)."""
     known = KNOWN + entire_texts() if known is None else known
     rows = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(known)], "k int, license string, text string")
     rows = rows.withColumn("form", whole_of(lines_of(canonical_lines(F.col("text"))))).filter("form <> ''")
-    found = (rows.groupBy(F.sha2("form", 256).alias("digest"), F.length("form").alias("n"))
-             .agg(F.min_by("license", "k").alias("license")).collect())
+    found = rows.groupBy("form", F.sha2("form", 256).alias("digest"), F.length("form").alias("n")).agg(F.min_by("license", "k").alias("license")).collect()
     digests = spark.createDataFrame([(r["digest"], r["license"]) for r in found], "digest string, license string")
-    return digests, sorted({r["n"] for r in found})
+    return digests, sorted({r["n"] for r in found}), signs_of([r["form"] for r in found])
 
 
 def license_scan(docs: DataFrame, known=None, id_col: str = "doc_id") -> DataFrame:
     """doc_id, license (of the whole text, null if none), line_licenses (distinct
     licenses of single lines and paragraphs, in order), n_license_lines (those lines
     and paragraphs), of every row."""
-    digests, lengths = known_digests(docs.sparkSession, known)
+    digests, lengths, signs = known_digests(docs.sparkSession, known)
     rows = numbered(docs).select("rid", F.col(id_col), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # The generator computes the canonical lines once, for the whole and for each part.
-    forms = rows.select("rid", F.explode(F.array(lines_of(canonical_lines(F.col("text"))))).alias("lines"))
+    forms = rows.filter(holds_sign(F.col("text"), signs)).select("rid", F.explode(F.array(lines_of(canonical_lines(F.col("text"))))).alias("lines"))
     fits = lambda x: F.length(x).isin(lengths)
     unit = lambda whole: lambda x: F.struct(F.lit(whole).alias("whole"), x.alias("unit"))
     parts = F.concat(F.col("lines"), paragraphs_of(F.col("lines")))

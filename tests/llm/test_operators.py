@@ -152,6 +152,23 @@ def test_license_scan(spark, empty):
     assert licenses.license_scan(spark.createDataFrame([(1, "a, B! c")], "doc_id int, text string"), known).first()["license"] == "own"
 
 
+def test_signs_leave_no_match_out(spark, monkeypatch):
+    forms = ["licensed under a", "to the extent possible under law", "the extent of it", "version 2 http x"]
+    signs = licenses.signs_of(forms)
+    assert all(any(w in f.replace("license", "licen") for w in signs) for f in forms) and "licen" in signs
+    assert licenses.signs_of(["version 2", "version"]) is not None and licenses.signs_of(["version"]) is None and licenses.signs_of([]) == []
+    rng = random.Random(8)
+    known = [t for _, t in licenses.KNOWN] + [p.read_text() for p in licenses.TEXTS.glob("*.txt")]
+    spoil = [lambda t: t, str.upper, lambda t: t.replace("icens", "icenc"), lambda t: t.replace(" ", " -\t"), lambda t: t.replace("http:", "https:"),
+             lambda t: t.replace("ersion", "er."), lambda t: t[1:], lambda t: "İ" + t, lambda t: "\n\n".join(["Copyright 1999 X", t, "end"])]
+    rows = [(k, rng.choice(spoil)(rng.choice(spoil)(rng.choice(known)))) for k in range(300)] + [(900, None), (901, ""), (902, "no words")]
+    df = saved(spark.createDataFrame(rows, "doc_id int, text string"))
+    scan = lambda: as_counter(licenses.license_scan(df).collect())
+    got = scan()
+    monkeypatch.setattr(licenses, "holds_sign", lambda text, signs: text.isNotNull())
+    assert got == scan() and sum(r[1] is not None for r in got) > 50
+
+
 def test_license_scan_of_entire_and_wrapped_texts(spark):
     import textwrap
     entire = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
@@ -402,6 +419,7 @@ def test_toxicity_finds_planted_words(spark, empty):
     kept = toxicity.drop_toxic(df, lab)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(k for k, r in got.items() if not r.toxic)
     assert not any(r.toxic for r in toxicity.toxicity(df, lab.filter("toxic = 0")).collect())
+    assert toxicity.toxicity(saved(df.filter("false")), lab).count() == 0
 
 
 def test_toxicity_sample_is_bounded_by_ids(spark, monkeypatch):
@@ -411,7 +429,6 @@ def test_toxicity_sample_is_bounded_by_ids(spark, monkeypatch):
     df = saved(spark.createDataFrame(rows, "doc_id int, text string, toxic string, row string, digest int"))
     toxicity.fit(df, spark.createDataFrame([(k, int(k < 20)) for k in range(60)], "doc_id int, toxic int"), max_labelled=40)
     assert seen and seen[0] <= 40
-    assert toxicity.toxicity(saved(df.filter("false")), lab).count() == 0
 
 
 def test_ordinal_fit_recovers_an_order():
