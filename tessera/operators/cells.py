@@ -365,7 +365,9 @@ def with_cell_type(df: DataFrame, override: str | None = None) -> DataFrame:
 # P16 ------------------------------------------------------------------------
 def column_profile(df: DataFrame, columns: list[str] | None = None,
                    max_distinct: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
-    """(column, n_distinct incl. null, numeric, categorical) in one pass."""
+    """(column, n_distinct incl. null, numeric, categorical): exact counts, for a handful of
+    columns (each is counted on its own copy of the rows); :func:`categorical_columns`
+    answers for all columns of a wide table."""
     columns = columns or df.columns
     types = dict(df.dtypes)
     aggs = []
@@ -373,15 +375,46 @@ def column_profile(df: DataFrame, columns: list[str] | None = None,
         aggs += [F.count_distinct(F.col(f"`{c}`")).alias(f"d_{c}"),
                  F.max(F.col(f"`{c}`").isNull().cast("int")).alias(f"n_{c}")]
     r = df.agg(*aggs)
-    numeric = ("int", "bigint", "smallint", "tinyint", "double", "float")
     rows = [F.struct(F.lit(c).alias("column"),
                      (F.col(f"d_{c}") + F.coalesce(F.col(f"n_{c}"), F.lit(0))).alias("n_distinct"),
-                     F.lit(types[c] in numeric or types[c].startswith("decimal")).alias("numeric"))
+                     F.lit(types[c] in NUMERIC or types[c].startswith("decimal")).alias("numeric"))
             for c in columns]
     out = r.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
     return out.withColumn("categorical", (~F.col("numeric")) | (F.col("n_distinct") < max_distinct))
 
 
+NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
+
+
+def categorical_columns(df: DataFrame, columns: list[str] | None = None, max_distinct: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
+    """(column, numeric, categorical): not a number, or fewer than ``max_distinct``
+    values, null counted as one. For any number of columns in one pass: a task keeps at
+    most ``max_distinct`` values of a column and stops looking once it has them, and
+    the few kept are merged; no row is repeated for a column."""
+    columns, types = columns or df.columns, dict(df.dtypes)
+    numbers = [c for c in columns if types[c] in NUMERIC or types[c].startswith("decimal")]
+
+    def seen(batches):
+        kept = [set() for _ in numbers]
+        for b in batches:
+            for k, have in enumerate(kept):
+                if len(have) < max_distinct:
+                    have.update(repr(v) if v else None if v is None else "0" for v in b.column(k).unique().to_pylist())
+        names = [numbers[k] for k, have in enumerate(kept) for _ in list(have)[:max_distinct]]
+        values = [v for have in kept for v in list(have)[:max_distinct]]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.string())], names=["column", "value"])
+
+    listed = df.sparkSession.createDataFrame([(k, c, c in numbers) for k, c in enumerate(columns)], "_k int, column string, numeric boolean")
+    few = F.col("n").isNull() | (F.col("n") < max_distinct)
+    if numbers:
+        found = df.select(*[F.col(f"`{c}`") for c in numbers]).mapInArrow(seen, "column string, value string").groupBy("column").agg(
+            (F.count_distinct("value") + F.coalesce(F.max(F.col("value").isNull().cast("int")), F.lit(0))).alias("n"))
+        listed = listed.join(found, "column", "left")
+    else:
+        listed = listed.withColumn("n", F.lit(None).cast("long"))
+    return listed.select("column", "numeric", (~F.col("numeric") | few).alias("categorical"))
+
+
 # P17 ------------------------------------------------------------------------
 def minmax_scale(df: DataFrame, col: str, out: str | None = None, subset: Column | None = None) -> DataFrame:
     """Scale to [0, 1] with min/max of the whole table, then keep ``subset``;

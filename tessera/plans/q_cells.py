@@ -273,6 +273,12 @@ query("column_profile", with_ctes(" UNION ALL ".join(
 FROM cell_meta""" for c, n in _PROFILE_COLS), "cell_meta"))(
     lambda spark, d: C.column_profile(Bindings(spark, d).cell_meta, [c for c, _ in _PROFILE_COLS]))
 
+query("categorical_columns", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {str(n).lower()} AS numeric,
+       (NOT {str(n).lower()}) OR (count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) < 30) AS categorical
+FROM cell_meta""" for c, n in _PROFILE_COLS), "cell_meta"))(
+    lambda spark, d: C.categorical_columns(Bindings(spark, d).cell_meta, [c for c, _ in _PROFILE_COLS]))
+
 # ---------------------------------------------------------------- P17
 query("minmax_scale", with_ctes("""
 SELECT fov, cell_type, round(CASE WHEN mx = mn THEN 0.0 ELSE (UMAP_1 - mn) / (mx - mn) END, 6) AS UMAP_1_scaled
