@@ -33,6 +33,7 @@ NEURONAL_TYPES = ["Inhibitory.neuron.A", "Inhibitory.neuron.B", "Inhibitory.neur
                   "L2.3.neuron", "L4.neuron", "L6.neuron"]
 DOT_SIZE_SCALE = 200
 CATEGORICAL_MAX_DISTINCT = 30
+NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
 # ---------------------------------------------------------------------------
 
 
@@ -180,52 +181,59 @@ def dotplot_stats(df_long: DataFrame, keys: list[str] = ()) -> DataFrame:
         F.avg(F.col("count").cast("double")).alias("mean_expression"))
 
 
-GENE_CHUNK = 1024  # genes of one row of partial sums
-ARROW_CELLS = 4096 * 1024  # values of one Arrow batch of the wide matrix
+GENE_CHUNK = 1024  # genes of one array column
+HELD_SUMS = 4 << 20  # sums a task holds before it sends them on
 
 
 def gene_sums(df_wide: DataFrame, genes: list[str], group: list[str]) -> DataFrame:
-    """(group, chunk, n, total, positive, present) from the wide matrix: per group and chunk of
-    ``GENE_CHUNK`` genes, arrays with each gene's sum, count of values above 0 and count
-    of values. Every task adds its rows up in numpy, so what leaves it is one row a group
-    and chunk, however many cells or genes there are."""
+    """(group, gene, total, positive, present) from the wide matrix: each gene's sum, count of
+    values above 0 and count of values. Every task adds its rows up in numpy, so what
+    leaves it is one row a group and gene, however many cells there are."""
     chunks = [genes[k:k + GENE_CHUNK] for k in range(0, len(genes), GENE_CHUNK)]
     types = dict(df_wide.dtypes)
-    fields = ", ".join(f"`{g}` {types[g]}" for g in group) + ", chunk int, total array<double>, positive array<long>, present array<long>"
-    # one array column a chunk: rows of few wide columns instead of thousands of narrow ones
-    rows = df_wide.select(*group, *[F.array(*[F.col(f"`{g}`").cast("double") for g in c]).alias(f"c{k}") for k, c in enumerate(chunks)])
+
+    def array(chunk, name):
+        """One array column instead of thousands of columns; one SQL text, for there are many."""
+        plain = len({types[g] for g in chunk}) == 1 and types[chunk[0]] in NUMERIC
+        quoted = ["`" + g.replace("`", "``") + "`" for g in chunk]
+        return f"array({', '.join(quoted if plain else [f'CAST({q} AS DOUBLE)' for q in quoted])}) AS {name}"
+
+    rows = df_wide.selectExpr(*[f"`{g}`" for g in group], *[array(c, f"c{k}") for k, c in enumerate(chunks)])
+    names = pa.array(genes)
 
     def add(batches):
         sums: dict = {}
         schema = None
         for b in batches:
-            schema = schema or pa.schema([b.schema.field(g) for g in group])
+            if not b.num_rows:
+                continue
+            schema = schema or [b.schema.field(g).type for g in group]
             keys = list(zip(*[b.column(g).to_pylist() for g in group]))
             place = {k: i for i, k in enumerate(dict.fromkeys(keys))}
             owner = np.array([place[k] for k in keys])
             order = np.argsort(owner, kind="stable")
             first = np.flatnonzero(np.diff(owner[order], prepend=-1))
+            parts = []
             for k, c in enumerate(chunks):
-                values = b.column(f"c{k}").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(c))[order]
+                values = b.column(f"c{k}").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(c))[order].astype(float)
                 seen = ~np.isnan(values)
-                parts = [np.add.reduceat(np.where(seen, values, 0), first), np.add.reduceat((values > 0).astype(np.int64), first), np.add.reduceat(seen.astype(np.int64), first)]
-                for i, key in enumerate(place):
-                    had = sums.get((key, k))
-                    sums[key, k] = [p[i] if had is None else had[n] + p[i] for n, p in enumerate(parts)]
-            if len(sums) * GENE_CHUNK > ARROW_CELLS:  # many groups: what is added up so far goes on
+                parts.append([np.add.reduceat(x, first) for x in (np.where(seen, values, 0), (values > 0).astype(np.int64), seen.astype(np.int64))])
+            total, positive, present = (np.concatenate([p[n] for p in parts], axis=1) for n in range(3))
+            for i, key in enumerate(place):
+                had = sums.get(key)
+                own = [total[i], positive[i], present[i]]
+                sums[key] = own if had is None else [x + y for x, y in zip(had, own)]
+            if len(sums) * len(genes) > HELD_SUMS:  # many groups: what is added up so far goes on
                 yield from write(sums, schema)
                 sums = {}
-        if sums:
-            yield from write(sums, schema)
+        yield from write(sums, schema)
 
     def write(sums, schema):
-        for low in range(0, len(sums), 64):
-            part = list(sums.items())[low:low + 64]
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*[key for (key, _), _ in part]), schema)]
-            columns += [pa.array([k for (_, k), _ in part], pa.int32())]
-            columns += [pa.array([v[n].tolist() for _, v in part], pa.list_(t)) for n, t in enumerate((pa.float64(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*group, "chunk", "total", "positive", "present"])
+        for key, own in sums.items():
+            columns = [pa.array([v], t).take(pa.array(np.zeros(len(genes), np.int32))) for v, t in zip(key, schema)]
+            yield pa.RecordBatch.from_arrays([*columns, names, *map(pa.array, own)], names=[*group, "gene", "total", "positive", "present"])
 
+    fields = ", ".join(f"`{g}` {types[g]}" for g in group) + ", gene string, total double, positive long, present long"
     return rows.mapInArrow(add, fields)
 
 
@@ -234,10 +242,8 @@ def dotplot_stats_wide(df_wide: DataFrame, genes: list[str], keys: list[str] = (
     as arrays (:func:`gene_sums`); the sums, one a task, group and gene, are then added by
     (group, gene)."""
     group = [*keys, "cell_type"]
-    names = F.array(*[F.array(*[F.lit(g) for g in genes[k:k + GENE_CHUNK]]) for k in range(0, len(genes), GENE_CHUNK)])
-    each = (gene_sums(df_wide, genes, group)
-            .select(*group, F.explode(F.arrays_zip(names[F.col("chunk")].alias("gene"), "total", "positive", "present")).alias("s"))
-            .groupBy(*group, "s.gene").agg(F.sum("s.total").alias("t"), F.sum("s.positive").alias("p"), F.sum("s.present").alias("n")))
+    each = gene_sums(df_wide, genes, group).groupBy(*group, "gene").agg(
+        F.sum("total").alias("t"), F.sum("positive").alias("p"), F.sum("present").alias("n"))
     share = lambda c: F.try_divide(F.col(c).cast("double"), F.col("n").cast("double"))
     return each.select(*group, "gene", share("p").alias("pct_expressed"), share("t").alias("mean_expression"))
 
@@ -383,9 +389,6 @@ def column_profile(df: DataFrame, columns: list[str] | None = None,
     return out.withColumn("categorical", (~F.col("numeric")) | (F.col("n_distinct") < max_distinct))
 
 
-NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
-
-
 def categorical_columns(df: DataFrame, columns: list[str] | None = None, max_distinct: int = CATEGORICAL_MAX_DISTINCT) -> DataFrame:
     """(column, numeric, categorical): not a number, or fewer than ``max_distinct``
     values, null counted as one. For any number of columns in one pass: a task keeps at
