@@ -36,6 +36,10 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
+def slices(n: int, size: int):
+    return (slice(low, min(n, low + size)) for low in range(0, n, size))
+
+
 @dataclass
 class SkipChain:
     """Weights: per feature and label, per feature and kind (shared by beginning and
@@ -60,9 +64,11 @@ class SkipChain:
             self.weights = {"label": np.zeros((self.n_features, labels)), "kind": np.zeros((self.n_features, self.n_kinds + 1)),
                             "next": np.zeros((labels, labels)), "skip": np.zeros((self.n_sorts, 2))}
 
-    def _potentials(self, graph: Graph):
+    def _potentials(self, graph: Graph, at_once: int = 1 << 62):
         w = self.weights["label"] + self.weights["kind"][:, self.kind]
-        unary = w[graph.features].sum(axis=1)
+        unary = np.zeros((len(graph.features), len(self.kind)))
+        for s in slices(len(unary), at_once):
+            unary[s] = w[graph.features[s]].sum(axis=1)
         unary = unary + np.where(graph.opens[:, None] & self.inside[None, :], NEVER, 0.0)
         tables = [self.weights["next"] + self.allowed]
         tables += [a * self.agree_out + b * self.agree_kind for a, b in self.weights["skip"]]
@@ -71,9 +77,11 @@ class SkipChain:
         sort = np.concatenate([np.zeros(len(graph.chain), int), 1 + graph.skip[:, 2]])
         return unary, np.stack(tables), left, right, sort
 
-    def infer(self, graph: Graph):
-        """(marginals of every token, marginals of every edge with its sort)."""
-        unary, tables, left, right, sort = self._potentials(graph)
+    def infer(self, graph: Graph, at_once: int = 1 << 62, pairs: bool = True):
+        """(marginals of every token, marginals of every edge with its sort). Tables of
+        labels by labels are held for ``at_once`` edges at a time, which changes no result;
+        without ``pairs`` the marginals of edges are left out."""
+        unary, tables, left, right, sort = self._potentials(graph, at_once)
         n, labels = unary.shape
         e = len(left)
         to_right, to_left = np.zeros((e, labels)), np.zeros((e, labels))
@@ -84,19 +92,23 @@ class SkipChain:
                 out[:, k] += np.bincount(right, to_right[:, k], n) + np.bincount(left, to_left[:, k], n)
             return out
 
-        table = tables[sort]
         for _ in range(self.rounds if e else 0):
-            b = beliefs()
-            new_right = log_sum((b[left] - to_left)[:, :, None] + table, 1)
-            new_left = log_sum((b[right] - to_right)[:, None, :] + table, 2)
-            new_right -= log_sum(new_right, 1)[:, None]
-            new_left -= log_sum(new_left, 1)[:, None]
-            moved = max(np.abs(new_right - to_right).max(), np.abs(new_left - to_left).max())
-            to_right, to_left = new_right, new_left
+            b, moved = beliefs(), 0.0
+            for s in slices(e, at_once):  # beliefs are those before the round, so edges do not wait for each other
+                table = tables[sort[s]]
+                new_right = log_sum((b[left[s]] - to_left[s])[:, :, None] + table, 1)
+                new_left = log_sum((b[right[s]] - to_right[s])[:, None, :] + table, 2)
+                new_right -= log_sum(new_right, 1)[:, None]
+                new_left -= log_sum(new_left, 1)[:, None]
+                moved = max(moved, np.abs(new_right - to_right[s]).max(), np.abs(new_left - to_left[s]).max())
+                to_right[s], to_left[s] = new_right, new_left
             if moved < SETTLED:
                 break
         b = beliefs()
         nodes = np.exp(b - log_sum(b, 1)[:, None])
+        if not pairs:
+            return nodes, None, sort
+        table = tables[sort]
         pair = (b[left] - to_left)[:, :, None] + (b[right] - to_right)[:, None, :] + table
         pair = np.exp(pair - log_sum(pair.reshape(e, labels * labels), 1)[:, None, None]) if e else pair
         return nodes, pair, sort

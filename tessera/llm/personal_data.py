@@ -16,8 +16,8 @@ numbers run together; everything else sees all texts whole. An added span must h
 to 19 digits) and overlap no base span.
 
 Cases: a null or empty text has no spans; rows that repeat get equal spans; a text that
-is one very long run costs time in proportion to its length; a text of over
-``GRAPH_TOKENS`` tokens is labelled in pieces of that many, base spans are not affected;
+is one very long run costs time in proportion to its length; a text of any number of
+tokens is labelled as one graph, whose label tables are held for ``GRAPH_TOKENS`` edges at a time;
 an empty table gives an empty result, and without any labelled span nothing is added;
 other columns are ignored, whatever they are called.
 """
@@ -40,7 +40,7 @@ from .text import by_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 4_000, 20_000
-GRAPH_TOKENS, BATCH_TOKENS = 200_000, 20_000
+GRAPH_TOKENS, BATCH_TOKENS = 20_000, 20_000
 N_FEATURES = 1 << 14
 TAIL = 7
 
@@ -193,14 +193,6 @@ def graph(texts: list[Tokens]) -> Graph:
                  np.array(chain, np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 3))
 
 
-def piece(tokens: Tokens, low: int, high: int) -> Tokens:
-    out = Tokens("")
-    out.spans, out.features = tokens.spans[low:high], tokens.features[low:high]
-    out.left = [j - low if j >= low else -1 for j in tokens.left[low:high]]
-    out.skip = [(a - low, b - low, s) for a, b, s in tokens.skip if a >= low and b < high]
-    return out
-
-
 def token_labels(tokens: Tokens, spans: list[tuple[int, int, int]]) -> list[int]:
     """The label of each token under base spans; the first kind in order wins."""
     out = [0] * len(tokens.spans)
@@ -270,16 +262,16 @@ def find(texts: list[str], model: SkipChain, known: dict | None = None) -> list[
 
     def label() -> None:
         if group:
-            labels.extend(np.argmax(model.infer(graph(group))[0], axis=1))
+            labels.extend(np.argmax(model.infer(graph(group), GRAPH_TOKENS, pairs=False)[0], axis=1))
 
     for t in tokens:
-        for low in range(0, len(t.spans), GRAPH_TOKENS):
-            part = t if len(t.spans) <= GRAPH_TOKENS else piece(t, low, low + GRAPH_TOKENS)
-            if size + len(part.spans) > BATCH_TOKENS:
-                label()
-                group, size = [], 0
-            group.append(part)
-            size += len(part.spans)
+        if not t.spans:
+            continue
+        if size + len(t.spans) > BATCH_TOKENS:
+            label()
+            group, size = [], 0
+        group.append(t)
+        size += len(t.spans)
     label()
     out, low = [], 0
     for text, b, t in zip(texts, base, tokens):

@@ -313,3 +313,16 @@ def test_pieces_keep_base_spans(model, monkeypatch):
     whole = personal_data.find(texts, model)
     monkeypatch.setattr(personal_data, "GRAPH_TOKENS", 50)
     assert [b for b, _ in personal_data.find(texts, model)] == [b for b, _ in whole]
+
+
+def test_long_texts_are_labelled_whole(model, monkeypatch):
+    """Links between distant tokens of a text count, however many lie between."""
+    texts = pii_texts()[:30] + [" ".join(pii_texts()[:200])]
+    whole = personal_data.find(texts, model)
+    assert sum(len(a) for _, a in whole)
+    seen = []
+    infer = type(model).infer
+    monkeypatch.setattr(type(model), "infer", lambda self, g, *a, **k: seen.append(len(g.skip)) or infer(self, g, *a, **k))
+    monkeypatch.setattr(personal_data, "GRAPH_TOKENS", 50)
+    assert personal_data.find(texts, model) == whole
+    assert sum(seen) == sum(len(personal_data.Tokens(t).skip) for t in texts)
