@@ -8,14 +8,19 @@ half-written table behind.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import first_location
+from ..util import saved_table
 
 # ---------------------------------------------------------------------------
 # Fixed values.
 METADATA_COLUMNS = ["cell_ID", "cell_type", "hex_color"]
+FOV_GROUP = 256  # FOVs of a folder of the transcript table
 MOSAIC_BLOCK = 1024  # block edge of the packed mosaic table (1M pixels per row group at most)
 # ---------------------------------------------------------------------------
 
@@ -35,14 +40,40 @@ def write_cell_metadata(df: DataFrame, path: str, partition_by: list[str] = ("sl
 
 
 # K2 -------------------------------------------------------------------------
-def write_targets(df: DataFrame, path: str, partition_by: list[str] = ("slide", "fov")) -> None:
-    """Transcript table as parquet partitioned by slide / FOV (partition pruning
-    for FOV filters) and sorted by target inside each file (min/max skipping
-    for gene filters). Range partitioning on (slide, fov, target) splits a
-    heavy FOV over several tasks / files instead of one task per FOV."""
+def write_targets(df: DataFrame, path: str, partition_by: list[str] = ("slide", "fov"), replace: bool = True) -> None:
+    """Transcript table as parquet, one folder a slide and ``FOV_GROUP`` FOVs (column
+    ``fov_group``; a folder a FOV would cost more than its rows), sorted by FOV and target
+    inside each file (min/max skipping for FOV and gene filters). Range partitioning on
+    (slide, fov, target) splits a heavy FOV over several tasks / files.
+
+    The FOVs that ``df`` has are replaced, all others stay: rows of other FOVs in the same
+    folders are written again. ``replace=False`` adds rows to a table that has none of them."""
     parts = [c for c in partition_by if c in df.columns]
-    ranged = df.repartitionByRange(*parts, "target").sortWithinPartitions(*parts, "target")
-    _replacing(ranged).partitionBy(*parts).parquet(path)
+    folders = list(parts)
+    if "fov" in parts and dict(df.dtypes)["fov"] in ("tinyint", "smallint", "int", "bigint"):
+        df = df.withColumn("fov_group", F.floor(F.col("fov") / FOV_GROUP).cast("long"))
+        folders[parts.index("fov")] = "fov_group"
+        if replace:
+            df = _with_other_fovs(df, path, folders, parts)
+    ranged = df.repartitionByRange(*folders, *parts, "target").sortWithinPartitions(*folders, *parts, "target")
+    (_replacing(ranged) if replace else ranged.write.mode("append")).partitionBy(*folders).parquet(path)
+
+
+def _with_other_fovs(df: DataFrame, path: str, folders: list[str], parts: list[str]) -> DataFrame:
+    """``df`` and the rows of the table at ``path`` that share a folder but no FOV with it."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return df
+    df = saved_table(df)
+    old = spark.read.schema(df.schema).parquet(path)
+
+    def same(names: list[str]):
+        new = df.select(*[F.col(n).alias(f"_{n}") for n in names]).distinct()
+        return new, reduce(and_, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
+
+    kept = old.join(*same(folders), "left_semi").join(*same([*folders, "fov"]), "left_anti")
+    return df.unionByName(kept)
 
 
 # K3 -------------------------------------------------------------------------

@@ -137,3 +137,15 @@ def test_cohort_metadata_many_slides(spark, scratch):
     got = sorted((r["slide"], r["run"], r["source_idx"], r["cell_type"]) for r in m.collect())
     assert got == [("S1", "r1", 0, "T"), ("S1", "r2", 1, "B"),
                    ("S2", "r0", 0, "C"), ("S2", "r1", 1, "T"), ("S2", "r2", 2, "B")]
+
+
+
+
+def test_targets_take_few_folders(spark, scratch):
+    """FOVs share folders; a FOV written again is replaced, the others of its folder stay."""
+    path, cols = f"{scratch}/targets", "fov int, CellId int, target string"
+    S.write_targets(spark.createDataFrame([(f, 1, "a") for f in range(600)] + [(None, 1, "n")], cols), path, ["fov"])
+    assert len([n for n in os.listdir(path) if "=" in n]) == 4
+    S.write_targets(spark.createDataFrame([(3, 2, "b"), (3, 3, "c"), (700, 1, "a")], cols), path, ["fov"])
+    got = sorted(((r["fov"], r["CellId"], r["target"]) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == sorted([(f, 1, "a") for f in range(600) if f != 3] + [(None, 1, "n"), (3, 2, "b"), (3, 3, "c"), (700, 1, "a")], key=str)
