@@ -242,11 +242,12 @@ class SlideRun:
         sizes = I.inventory_stats(fovs.join(self.todo.select(*BASE), BASE, "left_semi"), BASE)
         return self.status.join(sizes, BASE, "left")
 
-    def files(self, pattern: str) -> Column:
-        """Files of the slides at hand; the list of slides is the run's list of work."""
-        own = [r["slide_base_path"] for r in self.todo.select("slide_base_path").collect()]
-        slide = F.regexp_extract("_metadata.file_path", re.escape(re.sub("^file:/*(?=/)", "", self.root)) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
-        return RD.named(self.root, r".*/DecodedFiles/[^/]+/[^/]+/" + pattern) & slide.isin(own)
+    def read_files(self, good: DataFrame, folder: str, pattern: str) -> DataFrame:
+        """CSV files of the slides ``good`` (the list of slides is the run's list of work).
+        Only ``folder`` of each is listed again: label folders hold most of a slide's files."""
+        own = [r["slide_base_path"] for r in good.select("slide_base_path").distinct().collect()]
+        files = RD.named(self.root, r".*/DecodedFiles/[^/]+/[^/]+/" + pattern)
+        return RD.read_csv_by_name(self.spark, [f"{self.root}/{RD.literal(base)}/{folder}" for base in own], files)
 
     def of_slide(self) -> Column:
         return F.regexp_extract("_path", re.escape(re.sub("^file:/*(?=/)", "", self.root)) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
@@ -310,7 +311,7 @@ class SlideRun:
         good = self.good()
         if good.isEmpty():
             return
-        f = RD.read_csv_by_name(self.spark, self.root, self.files(LOCATIONS))
+        f = self.read_files(good, "RunSummary", LOCATIONS)
         name = F.regexp_extract("_path", "/" + LOCATIONS + r"(?:/[^/]+)?$", 1)
         number = lambda c, t: (F.col(c).try_cast(t) if c in f.columns else F.lit(None).cast(t)).alias(c)
         f = f.select(self.of_slide().alias("slide_base_path"), name.alias("name"), number("FOV", "int"), number("X_mm", "double"), number("Y_mm", "double"), "row_idx")
@@ -347,7 +348,7 @@ class SlideRun:
         good = self.good()
         if good.isEmpty():
             return
-        calls = RD.read_csv_by_name(self.spark, self.root, self.files(CALLS))
+        calls = self.read_files(good, "AnalysisResults", CALLS)
         layout = _calls_layout(F.regexp_extract("_path", "/" + CALLS + r"(?:/[^/]+)?$", 1))
         calls = calls.select(self.of_slide().alias("slide_base_path"), layout.alias("layout"),
                              *[(F.col(c).try_cast(t) if c in calls.columns else F.lit(None).cast(t)).alias(c) for c, t in RD.TARGET_COLUMNS])
@@ -357,8 +358,9 @@ class SlideRun:
                 whole = whole & F.col(c).isNotNull()
         calls = calls.join(self.layouts, [*BASE, "layout"], "left_semi").join(good, BASE).drop(*BASE, "layout")
         path = f"{self.out_root}/targets"
-        S.write_targets(calls.withColumn("fov", F.when(whole, F.col("fov"))), path, [*self.keys, "fov"])
-        wrong = self.spark.read.parquet(path).where((F.col("attempt") == self.attempt) & F.col("fov").isNull())
+        # the attempt is new, so nothing is replaced
+        S.write_targets(calls.withColumn("fov", F.when(whole, F.col("fov"))), path, [*self.keys, "fov"], replace=False)
+        wrong = self.spark.read.parquet(path).where((F.col("attempt") == self.attempt) & F.col("fov_group").isNull())
         self.fail(wrong, "read_targets", "values or columns that cannot be read")
 
     def metadata(self) -> None:

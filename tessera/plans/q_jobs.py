@@ -9,6 +9,8 @@ query reads what it committed.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import functions as F
 
 from ..sources import readers as RD
@@ -25,12 +27,19 @@ SEGMENTATION = "Segmentation_seg1_001"
 _DONE: dict = {}
 
 
-def _touch(spark, path: str) -> None:
-    """A file of one byte (listings skip empty ones): only the names of images matter here."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    out.write(1)
-    out.close()
+def _touch(spark, paths: list[str]) -> None:
+    """Files of one byte (listings skip empty ones): only the names of images matter here.
+    Each waits for the file system a few times, so many are made at once."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(paths[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def touch(name: str) -> None:
+        out = fs.create(path(name))
+        out.write(1)
+        out.close()
+
+    with ThreadPool(16) as pool:
+        pool.map(touch, paths, chunksize=64)
 
 
 def _base(run: str, slide: str) -> str:
@@ -43,8 +52,8 @@ def _bucket(spark, b: Bindings) -> str:
     calls = ["fov", "CellId", "x", "y", "z", "target", "CellComp"]
     for k, (run, slide) in enumerate(SLIDES):
         base = f"{root}/{_base(run, slide)}"
-        for fov in fovs:
-            _touch(spark, f"{base}/CellStatsDir/{SEGMENTATION}/FOV{fov:03d}/CellLabels_F{fov:03d}.TIF")
+        if fovs:
+            _touch(spark, [f"{base}/CellStatsDir/{SEGMENTATION}/FOV{fov:03d}/CellLabels_F{fov:03d}.TIF" for fov in fovs])
         b.fovs.select("X_mm", "Y_mm", "Z_um", "FOV", "ord").coalesce(1).sortWithinPartitions("ord").drop("ord").write.option("header", True) \
          .csv(f"{base}/RunSummary/x_{RD.FOV_LOCATIONS_SUFFIX}")
         if k == 3:

@@ -12,6 +12,7 @@ listing loops.
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,20 @@ REQUIRED_DIRS = ["CellStatsDir", "RunSummary", "AnalysisResults", "ProteinDir"]
 # ---------------------------------------------------------------------------
 
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Folders are listed in some tasks a core; by itself Spark starts one for every folder."""
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(before), max(32, 8 * spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 # S6 -------------------------------------------------------------------------
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Recursive listing (path, length, modificationTime) of everything under
@@ -41,7 +56,8 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", "modificationTime")
+    with few_listing_tasks(spark):
+        return r.load(root).select("path", "length", "modificationTime")
 
 
 def relative_path(col: str | Column, base: str | Column) -> Column:

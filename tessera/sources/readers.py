@@ -17,12 +17,13 @@ import csv
 import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import detect_cell_type_column
 from ..util import with_file_order
-from .inventory import file_inventory
+from .inventory import few_listing_tasks, file_inventory
 
 # ---------------------------------------------------------------------------
 # File names and column sets of the instrument exports.
@@ -38,6 +39,7 @@ EXPR_KEYS = ["fov", "cell_ID"]
 # ---------------------------------------------------------------------------
 
 
+VISIBLE = "[^_.]*"  # folders that a recursive listing enters
 MAX_LAYOUTS = 1000  # distinct header lines of one kind of file
 
 
@@ -53,7 +55,12 @@ def _recursive(spark: SparkSession):
     return spark.read.option("recursiveFileLookup", True)
 
 
-def csv_headers(spark: SparkSession, root: str, files: Column) -> DataFrame:
+def literal(path: str) -> str:
+    """``path`` as a pattern that matches it alone."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def csv_headers(spark: SparkSession, root: str | list[str], files: Column) -> DataFrame:
     """(_path, header, _first): the first line of every file and its row id, found where
     the files are read. One row a file; it stays in the executors."""
     lines = _recursive(spark).text(root).where(files & (F.col("_metadata.file_block_start") == 0)).select(
@@ -62,15 +69,25 @@ def csv_headers(spark: SparkSession, root: str, files: Column) -> DataFrame:
     return first.select("_path", F.regexp_replace("h.value", "^\ufeff", "").alias("header")).where("header <> ''")
 
 
-def read_csv_by_name(spark: SparkSession, root: str, files: Column, columns: Callable | None = None) -> DataFrame:
-    """CSV files with differing headers, matched by name; strings. What comes to the driver
+def read_csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None = None) -> DataFrame:
+    """CSV files (those of ``files`` below ``root``, one or more folders) with differing headers, matched by name; strings. What comes to the driver
     is the distinct header lines, however many files there are.
 
     Files of one layout are one plain CSV scan. Where layouts differ, lines meet the
     layout of their file in a join of the (file, header) table and fields are taken by
     their place in it. ``columns(names)`` may give {output column: file column} for a
     layout (default: every column under its own name). Adds _path and row_idx (file order)."""
-    headers = csv_headers(spark, root, files)
+    with few_listing_tasks(spark):
+        return _csv_by_name(spark, root, files, columns)
+
+
+def _csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None) -> DataFrame:
+    try:
+        headers = csv_headers(spark, root, files)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no such files under {root}") from e
     found = headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
     if not found:
         raise FileNotFoundError(f"no such files under {root}")
@@ -165,10 +182,11 @@ def read_cohort_metadata(spark: SparkSession, experiment_root: str, slides: list
     files = named(root, name)
     if slides is not None:
         files = files & F.regexp_extract("_metadata.file_path", r"/flatFiles/([^/]+)/", 1).isin(list(slides))
-    df = read_csv_by_name(spark, root, files, cell_columns(cell_type_column)).withColumn(
+    place = f"{root}/{VISIBLE}/flatFiles"  # the other folders of a run hold most of its files
+    df = read_csv_by_name(spark, place, files, cell_columns(cell_type_column)).withColumn(
         "run", F.regexp_extract("_path", r"/([^/]+)/flatFiles/", 1)).withColumn("slide", F.regexp_extract("_path", r"/flatFiles/([^/]+)/", 1))
     # runs of a slide in listing order, from the list of files
-    own = file_inventory(spark, root).where(F.col("path").rlike(r"/" + name + r"(/[^/]+)?$")).select(
+    own = file_inventory(spark, place).where(F.col("path").rlike(r"/" + name + r"(/[^/]+)?$")).select(
         F.regexp_extract("path", r"/([^/]+)/flatFiles/", 1).alias("run"), F.regexp_extract("path", r"/flatFiles/([^/]+)/", 1).alias("slide")).distinct()
     source = own.withColumn("source_idx", (F.row_number().over(Window.partitionBy("slide").orderBy("run")) - 1).cast("int"))
     return _typed(df.drop("_path").join(source, ["slide", "run"]), {"fov": "int", "cell_ID": "int"})
@@ -242,7 +260,8 @@ def read_manifests(spark: SparkSession, glob: str, multi_line: bool = True, belo
     reader = spark.read.option("multiLine", multi_line)
     if below:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    df = reader.json(glob)
+    with few_listing_tasks(spark):
+        df = reader.json(glob)
     return df.withColumn("dir", F.regexp_extract(F.col("_metadata.file_path"), r"(Segmentation_[^/]+)", 1))
 
 

@@ -193,3 +193,17 @@ def test_morphology_images(spark, scratch):
         w = committed(spark, out, "windows").where(f"run = '{run}'").first()
         assert (w["min"], w["max"]) == (whole[whole > 0].min(), whole.max())
         assert [w["start"], w["end"]] == [int(np.floor(q)) for q in np.quantile(whole[whole > 0], [0.001, 0.999])]
+
+
+def test_steps_do_not_list_label_folders_again(spark, scratch, monkeypatch):
+    """After the first listing, steps read the folders of the files they need."""
+    root, exp, out = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out"
+    _three(root, exp)
+    read, listed = [], []
+    by_name, inventory = jobs.RD._csv_by_name, jobs.I.file_inventory
+    monkeypatch.setattr(jobs.RD, "_csv_by_name", lambda s, r, *a: read.extend([r] if isinstance(r, str) else r) or by_name(s, r, *a))
+    for module in (jobs.RD, jobs.I):
+        monkeypatch.setattr(module, "file_inventory", lambda s, r, *a: listed.append(r) or inventory(s, r, *a))
+    slide_processing_job(spark, root, exp, out, fov_size=(2, 2), um_per_px=250.0)
+    assert listed.count(root) == 1 and {r.rsplit("/", 1)[1] for r in read} == {"flatFiles", "RunSummary", "AnalysisResults"}
+    assert len(_results(spark, out)[0]) == 3

@@ -140,6 +140,14 @@ def test_cohort_metadata_many_slides(spark, scratch):
 
 
 
+def test_listings_start_some_tasks_a_core(spark, scratch, monkeypatch):
+    for k in range(40):
+        _write(f"{scratch}/wide/d{k}/f.txt", "x")
+    conf, before = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    with I.few_listing_tasks(spark):
+        assert int(spark.conf.get(conf)) <= max(32, 8 * spark.sparkContext.defaultParallelism)
+    assert spark.conf.get(conf) == before and I.file_inventory(spark, f"{scratch}/wide").count() == 40
+
 
 def test_targets_take_few_folders(spark, scratch):
     """FOVs share folders; a FOV written again is replaced, the others of its folder stay."""
