@@ -64,9 +64,13 @@ def csv_headers(spark: SparkSession, root: str | list[str], files: Column) -> Da
     """(_path, header, _first): the first line of every file and its row id, found where
     the files are read. One row a file; it stays in the executors."""
     lines = _recursive(spark).text(root).where(files & (F.col("_metadata.file_block_start") == 0)).select(
-        F.col("_metadata.file_path").alias("_path"), F.struct(F.monotonically_increasing_id().alias("id"), "value").alias("h"))
-    first = lines.groupBy("_path").agg(F.min("h").alias("h"))
-    return first.select("_path", F.regexp_replace("h.value", "^\ufeff", "").alias("header")).where("header <> ''")
+        F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id"), "value")
+    # The least id of each file is a number, so it is found without sorting lines; a second
+    # scan of the same splits, which numbers them alike, gives the line. One number a file is
+    # sent out, less than the list of files that every scan needs.
+    first = lines.groupBy("_path").agg(F.min("_id").alias("_id")).select("_id")
+    heads = lines.join(F.broadcast(first), "_id", "left_semi")
+    return heads.select("_path", F.regexp_replace("value", "^\ufeff", "").alias("header")).where("header <> ''")
 
 
 def read_csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None = None) -> DataFrame:

@@ -139,6 +139,15 @@ def test_cohort_metadata_many_slides(spark, scratch):
                    ("S2", "r0", 0, "C"), ("S2", "r1", 1, "T"), ("S2", "r2", 2, "B")]
 
 
+def test_first_lines_without_sorting_lines(spark, scratch):
+    """The header of every file is found without a sort of all its lines."""
+    root = f"{scratch}/many"
+    for k in range(3):
+        _write(f"{root}/f{k}.csv", f"﻿a,b{k}\n" + "\n".join(f"{i},{k}" for i in range(50, 0, -1)) + "\n") if k else _write(f"{root}/f{k}.csv", "a,b0\n1,2\n")
+    heads = RD.csv_headers(spark, root, RD.named(root, r"f[0-9]\.csv"))
+    assert sorted(r["header"] for r in heads.collect()) == ["a,b0", "a,b1", "a,b2"]
+    assert "Sort" not in heads._jdf.queryExecution().executedPlan().toString()
+
 
 def test_listings_start_some_tasks_a_core(spark, scratch, monkeypatch):
     for k in range(40):
