@@ -34,8 +34,10 @@ from pyspark.sql.types import StructType
 PIECE = 512
 BLOCK = 1024
 SPREAD_BLOCK = 256
+SPARSE_RADIUS = 64
 OUT_BYTES = 16 << 20
 OUT_ROWS = 65_536
+ROW_BYTES = 1024  # of the Python objects of a row that waits to be written
 _DTYPES = {1: "u1", 2: "<u2", 4: "<u4", 8: "<i8"}
 
 PIECE_FIELDS = "top int, left int, ph int, pw int, depth int, pixels binary"
@@ -74,7 +76,7 @@ def _records(rows: Iterator[tuple], schema: StructType) -> Iterator[pa.RecordBat
 
     for row in rows:
         held.append(row)
-        size += len(row[-1]) if isinstance(row[-1], bytes) else 8
+        size += ROW_BYTES + (len(row[-1]) if isinstance(row[-1], bytes) else 8)
         if size >= OUT_BYTES or len(held) >= OUT_ROWS:
             yield batch()
             held, size = [], 0
@@ -95,8 +97,10 @@ def _pixel_records(chunks: Iterator[tuple], schema: StructType) -> Iterator[pa.R
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     for chunk in chunks:
+        if not len(chunk[1]):
+            continue
         held.append(chunk)
-        size += len(chunk[1])
+        size += ROW_BYTES // 8 + len(chunk[1])  # a chunk waits as Python objects, however short it is
         if size >= 8 * OUT_ROWS:
             yield batch()
             held, size = [], 0
@@ -446,10 +450,22 @@ def spread_blocks(raster: DataFrame, r: int, height: int, width: int, how: str =
     sent = inside.select(*own, "row", "col", F.col("val").cast("long").alias("val"), F.explode(places["row"]).alias("by"))
     sent = sent.select("*", F.explode(places["col"]).alias("bx"))
 
+    near = np.arange(-min(r, SPARSE_RADIUS), min(r, SPARSE_RADIUS) + 1)
+    dy, dx = np.nonzero(near[:, None] ** 2 + near ** 2 <= r * r)
+    dy, dx = near[dy], near[dx]
+
     def dilate(key, parts):
         *mine, by, bx = key
         bh, bw = min(B, height - by * B), min(B, width - bx * B)
         row, col, val = _values(parts, "row", "col", "val")
+        if r <= SPARSE_RADIUS and len(row) * len(dy) < bh * bw:  # few points: their disks one by one
+            y, x = (row - by * B)[:, None] + dy, (col - bx * B)[:, None] + dx
+            on = (y >= 0) & (y < bh) & (x >= 0) & (x < bw)
+            spot, place = np.unique((y * bw + x)[on], return_inverse=True)
+            out = np.full(len(spot), 0 if how == "sum" else np.iinfo(np.int64).min)
+            (np.add if how == "sum" else np.maximum).at(out, place, np.broadcast_to(val[:, None], y.shape)[on])
+            yield mine, by * B + spot // bw, bx * B + spot % bw, out
+            return
         a = np.full((bh + 2 * r, bw + 2 * r), 0 if how == "sum" else np.iinfo(np.int64).min)
         seen = np.zeros(a.shape, np.int32)
         at = (row - by * B + r, col - bx * B + r)

@@ -185,3 +185,43 @@ def test_a_shape_over_the_whole_slide_touches_vertices_on_its_outline_only():
     outline = 8 * n / grid
     assert inside > 15_000 and len(cells) - inside < outline and edges < 3000 + 4 * outline
     assert max(len(c[3]) + len(c[4]) for c in cells) < 40
+
+
+@pytest.mark.parametrize("how", ["sum", "max"])
+def test_spread_of_few_points_makes_no_whole_blocks(spark, monkeypatch, how):
+    raster = {(1, 0, 0): 3, (1, 0, 1): 5, (1, 40, 63): 2, (2, 31, 32): 7, (2, 63, 63): 1}
+    df = spark.createDataFrame([(*k, v) for k, v in raster.items()], "fov int, row int, col int, val long")
+    for r in (1, 3):
+        want = {}
+        for (f, y, x), v in raster.items():
+            for dy in range(-r, r + 1):
+                for dx in range(-r, r + 1):
+                    at = (f, y + dy, x + dx)
+                    if dy * dy + dx * dx <= r * r and 0 <= at[1] < 64 and 0 <= at[2] < 64:
+                        want[at] = (want.get(at, 0) + v) if how == "sum" else max(want.get(at, v), v)
+        got = BL.spread_blocks(df, r, 64, 64, how, block=32).collect()
+        assert {(p.fov, p.row, p.col): p.val for p in got} == want
+    calls = []
+    monkeypatch.setattr(BL, "disk", lambda *a: calls.append(a))
+    schema = BL._schema(df, ["fov"], "row int, col int, val long")
+    monkeypatch.setattr(BL, "_each_group", lambda d, keys, s, fn, **k: fn)
+    import pyarrow as pa
+    fn = BL.spread_blocks(df, 1, 64, 64, how, block=32)
+    part = pa.RecordBatch.from_pydict({"row": [0, 0], "col": [0, 1], "val": [3, 5]})
+    assert sum(len(c[1]) for c in fn((1, 0, 0), [part])) == 5 and not calls and len(schema) == 4
+
+
+def test_waiting_chunks_are_bounded():
+    """Short and empty chunks are written in time too: they wait as Python objects."""
+    from pyspark.sql.types import StructType
+    schema, waiting = StructType.fromDDL("k long, v long"), [0]
+
+    def chunks():
+        for k in range(100_000):
+            waiting[0] += 1
+            yield [k], np.arange(k % 2)
+
+    most = rows = 0
+    for batch in BL._pixel_records(chunks(), schema):
+        most, rows, waiting[0] = max(most, waiting[0]), rows + batch.num_rows, 0
+    assert rows == 50_000 and most <= 10_000
