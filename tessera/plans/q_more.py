@@ -13,7 +13,7 @@ from ..sources import readers as RD
 from . import jobs as J
 from .bindings import GENES, Bindings, with_ctes
 from .q_cells import SLIDE_B_FOVS, _B_FOVS_SQL, _STATS_SQL
-from .q_files import _scratch
+from .q_files import _scratch, write_folders
 from .q_raster import H, MMPP, W, _arith, _ARITH_SQL, _ras
 from .registry import query
 
@@ -38,7 +38,7 @@ def q_file_inventory(spark, d):
     """Folders below the root, files in them and their bytes (a line feed ends each line)."""
     root = _scratch(spark)
     calls = Bindings(spark, d).target_calls.select("fov", F.col("target").alias("value"))
-    calls.repartition("fov").write.partitionBy("fov").text(f"{root}/targets")
+    write_folders(calls, "fov").text(f"{root}/targets")
     spark.range(1).select(F.lit("abc").alias("value")).write.text(f"{root}/lone")
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
     rel = I.relative_path("path", F.lit(root).cast("string") if "://" in root else F.lit(root.replace("file:", "")))

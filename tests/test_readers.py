@@ -166,3 +166,14 @@ def test_targets_take_few_folders(spark, scratch):
     S.write_targets(spark.createDataFrame([(3, 2, "b"), (3, 3, "c"), (700, 1, "a")], cols), path, ["fov"])
     got = sorted(((r["fov"], r["CellId"], r["target"]) for r in spark.read.parquet(path).collect()), key=str)
     assert got == sorted([(f, 1, "a") for f in range(600) if f != 3] + [(None, 1, "n"), (3, 2, "b"), (3, 3, "c"), (700, 1, "a")], key=str)
+
+
+def test_folders_are_dealt_to_many_tasks(spark, scratch):
+    """One file a folder, written by several tasks a core however few bytes there are."""
+    from tessera.plans.q_files import write_folders
+    path = f"{scratch}/folders"
+    df = spark.range(400).selectExpr("id % 200 AS fov", "'x' AS value")
+    write_folders(df, "fov").text(path)
+    files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(files) == 200 and len({f.split("-")[1] for f in files}) > 4
+    assert spark.read.text(path).count() == 400
