@@ -317,12 +317,13 @@ def test_pieces_keep_base_spans(model, monkeypatch):
 
 def test_long_texts_are_labelled_whole(model, monkeypatch):
     """Links between distant tokens of a text count, however many lie between."""
-    texts = pii_texts()[:30] + [" ".join(pii_texts()[:200])]
-    whole = personal_data.find(texts, model)
-    assert sum(len(a) for _, a in whole)
-    seen = []
-    infer = type(model).infer
-    monkeypatch.setattr(type(model), "infer", lambda self, g, *a, **k: seen.append(len(g.skip)) or infer(self, g, *a, **k))
+    texts = pii_texts()[:30] + [" ".join(pii_texts()[:200] * 2)]
+    own = personal_data.graph([personal_data.Tokens(texts[-1])])
+    assert (own.skip[:, 1] - own.skip[:, 0]).max() > 50
+    linked = SkipChain(model.n_kinds, model.n_features, model.n_sorts, weights={**model.weights, "skip": np.array([[0.5, 1.0], [0.3, 0.8]])})
+    assert (linked.infer(own, 50)[0] == linked.infer(own)[0]).all()
+    whole, seen, infer = personal_data.find(texts, linked), [], SkipChain.infer
+    monkeypatch.setattr(SkipChain, "infer", lambda self, g, *a, **k: seen.append(len(g.skip)) or infer(self, g, *a, **k))
     monkeypatch.setattr(personal_data, "GRAPH_TOKENS", 50)
-    assert personal_data.find(texts, model) == whole
+    assert personal_data.find(texts, linked) == whole
     assert sum(seen) == sum(len(personal_data.Tokens(t).skip) for t in texts)
