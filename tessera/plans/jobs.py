@@ -165,9 +165,9 @@ def slide_processing_job(spark: SparkSession, bucket_root: str, experiment_prefi
     apart, until only the failing ones fail. A slide with a status, failed or not, is
     not processed again."""
     root, out_root = bucket_root.rstrip("/"), out_root.rstrip("/")
-    inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:", ""))
+    inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
     # one listing: every step reads this table
-    inv = saved_table(inv.withColumn("rel", I.relative_path("path", root)))
+    inv = saved_table(inv.withColumn("rel", I.relative_path("path", re.sub("^file:/*(?=/)", "", root))))
     slides = parse_slide_path(I.discover_slides(inv.select(F.col("rel").alias("path")), experiment_prefix), "slide_base_path", processed_root)
     outputs = inv.where(F.col("rel").startswith(processed_root + "/")).select(F.col("rel").alias("key"))
     try:

@@ -3,6 +3,8 @@ colours, positional count assembly, FOV centres and the X3 / X4 / X5 jobs."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions.color import PALETTE, assign_category_color
@@ -41,7 +43,7 @@ def q_file_inventory(spark, d):
     write_folders(calls, "fov").text(f"{root}/targets")
     spark.range(1).select(F.lit("abc").alias("value")).write.text(f"{root}/lone")
     inv = I.file_inventory(spark, root).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
-    rel = I.relative_path("path", F.lit(root).cast("string") if "://" in root else F.lit(root.replace("file:", "")))
+    rel = I.relative_path("path", re.sub("^file:/*(?=/)", "", root))
     return inv.groupBy(F.regexp_extract(rel, "^(.*)/[^/]*$", 1).alias("folder")).agg(
         F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes"))
 

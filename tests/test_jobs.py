@@ -207,3 +207,10 @@ def test_steps_do_not_list_label_folders_again(spark, scratch, monkeypatch):
     slide_processing_job(spark, root, exp, out, fov_size=(2, 2), um_per_px=250.0)
     assert listed.count(root) == 1 and {r.rsplit("/", 1)[1] for r in read} == {"flatFiles", "RunSummary", "AnalysisResults"}
     assert len(_results(spark, out)[0]) == 3
+
+
+def test_a_bucket_named_by_its_scheme(spark, scratch):
+    root, exp, out = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out"
+    _slide(root, exp, "RunA", "Slide1", "Scan1", {"Segmentation_zz_001": [1, 2]}, meta=ONE)
+    slide_processing_job(spark, f"file://{root}", exp, out, fov_size=(2, 2), um_per_px=250.0)
+    assert _results(spark, out)[0] == {("RunA", "Slide1"): ("success", "")}
