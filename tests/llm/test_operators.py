@@ -121,6 +121,31 @@ def test_suffix_array_and_common_prefixes():
         assert suffix_dedup.common_prefixes(t, order, rank, 20, lane=64).tolist() == [0] + [common(want[k], want[k - 1]) for k in range(1, n)]
 
 
+def test_suffixes_sorted_to_a_depth_have_equal_ranks_where_their_bytes_are_equal():
+    rng = np.random.default_rng(2)
+    for n, letters, depth in ((400, 1, 20), (900, 2, 37), (900, 2, 64), (300, 3, 8)):
+        t = rng.integers(97, 97 + letters, n).astype(np.uint8)
+        b = t.tobytes()
+        rank = suffix_dedup.suffix_array(t, depth, np.arange(n, 0, -1))[1]
+        whole = range(n - depth + 1)
+        order = {x: k for k, x in enumerate(sorted({b[i:i + depth] for i in whole}))}
+        ranks = {x: k for k, x in enumerate(sorted({int(rank[i]) for i in whole}))}
+        assert [ranks[int(rank[i])] for i in whole] == [order[b[i:i + depth]] for i in whole]
+
+
+def test_texts_that_share_a_short_phrase_share_no_anchor():
+    """Only passages with an anchor in common go on, so chance phrases must not give one."""
+    rng = np.random.default_rng(3)
+    noise = lambda: bytes(rng.integers(97, 123, 190).astype(np.uint8))
+    phrase = b"a phrase of some sixty bytes that very many texts have in it"
+    texts = [noise() + phrase + noise() for _ in range(60)]
+    buf, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    doc, start, windows, anchor = suffix_dedup.passages(buf, offsets, 200)
+    assert len(set(anchor.tolist())) == len(anchor)
+    covered = sorted((int(d), int(s) + k) for d, s, w in zip(doc, start, windows) for k in range(w))
+    assert covered == [(d, k) for d, t in enumerate(texts) for k in range(len(t) - 199)]
+
+
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_repeats_match_brute_force(docs, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
