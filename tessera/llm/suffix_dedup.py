@@ -111,12 +111,12 @@ def suffix_array(text: np.ndarray, depth: int = 0, room: np.ndarray | None = Non
     passage's end) only the suffixes that have as many bytes are told apart."""
     n = len(text)
     key = packed(text)
-    order = np.argsort(key)
+    order = np.argsort(key).astype(np.int32)
     starts, lengths = run_lengths(key[order])
     del key
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = np.repeat(starts, lengths)
-    slots = spread(starts[lengths > 1], lengths[lengths > 1])
+    slots = spread(starts[lengths > 1], lengths[lengths > 1]).astype(np.int32)
     h = 8
     while len(slots) and not 0 < depth <= h:
         step = min(h, depth - h) if depth else h
@@ -124,11 +124,13 @@ def suffix_array(text: np.ndarray, depth: int = 0, room: np.ndarray | None = Non
         if room is not None:
             enough = room[at] >= h + step
             at, slots = at[enough], slots[enough]
-        after = at + step
-        key = rank[at] << 32 | np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[at].astype(np.int64)
+        key <<= 32
+        key |= np.where(at < n - step, rank[np.minimum(at, n - 1 - step) + step] + 1, 0)
         by = np.argsort(key)
         order[slots] = at = at[by]
         first, count = run_lengths(key[by])
+        del key, by
         rank[at] = np.repeat(slots[first], count)
         slots = slots[spread(first[count > 1], count[count > 1])]
         h += step
@@ -138,7 +140,8 @@ def suffix_array(text: np.ndarray, depth: int = 0, room: np.ndarray | None = Non
 def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, cap: int, lane: int = 512) -> np.ndarray:
     """Common prefix, up to ``cap``, of each suffix in the array with the one before:
     Kasai's walk in text order, where a suffix keeps all but one byte of what its
-    neighbour to the left had, in parallel lanes of the text."""
+    neighbour to the left had, in parallel lanes of the text. The operator itself
+    reads classes off ranks; this tells how far neighbours agree."""
     n = len(text)
     key = np.concatenate([packed(text), np.zeros(cap + 16, U64)])
     before = np.full(n, -1, np.int64)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -133,6 +134,21 @@ def test_suffixes_sorted_to_a_depth_have_equal_ranks_where_their_bytes_are_equal
         assert [ranks[int(rank[i])] for i in whole] == [order[b[i:i + depth]] for i in whole]
 
 
+def test_memory_of_a_shard_is_bounded():
+    """A full shard's arrays, here of texts equal but for a byte, stay below 150 MB."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 101, 300).astype(np.uint8)
+    texts = []
+    for k in range(suffix_dedup.SHARD_BYTES // 8 // 300):
+        base[k % 300] = 97 + (base[k % 300] - 96) % 26
+        texts.append(base.tobytes())
+    tracemalloc.start()
+    suffix_dedup.window_classes(texts, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / sum(map(len, texts)) * suffix_dedup.SHARD_BYTES < 150 << 20
+
+
 def test_texts_that_share_a_short_phrase_share_no_anchor():
     """Only passages with an anchor in common go on, so chance phrases must not give one."""
     rng = np.random.default_rng(3)
