@@ -242,12 +242,15 @@ class SlideRun:
         sizes = I.inventory_stats(fovs.join(self.todo.select(*BASE), BASE, "left_semi"), BASE)
         return self.status.join(sizes, BASE, "left")
 
-    def read_files(self, good: DataFrame, folder: str, pattern: str) -> DataFrame:
+    def read_files(self, good: DataFrame, folder: str, suffix: str, pattern: str, of_file) -> DataFrame:
         """CSV files of the slides ``good`` (the list of slides is the run's list of work).
-        Only ``folder`` of each is listed again: label folders hold most of a slide's files."""
+        Only ``folder`` of each is listed again: label folders hold most of a slide's files.
+        ``of_file`` is given the files of ``pattern`` with their slide (see RD.read_csv_by_name)."""
         own = [r["slide_base_path"] for r in good.select("slide_base_path").distinct().collect()]
-        files = RD.named(self.root, r".*/DecodedFiles/[^/]+/[^/]+/" + pattern)
-        return RD.read_csv_by_name(self.spark, [f"{self.root}/{RD.literal(base)}/{folder}" for base in own], files)
+        files = RD.named(self.root, r".*/DecodedFiles/[^/]+/[^/]+/" + pattern, "_path")
+        return RD.read_csv_by_name(self.spark, [f"{self.root}/{RD.literal(base)}/{folder}" for base in own],
+                                   F.contains(F.col("_metadata.file_path"), F.lit(suffix)), None,
+                                   lambda found: of_file(found.where(files).withColumn("slide_base_path", self.of_slide())))
 
     def of_slide(self) -> Column:
         return F.regexp_extract("_path", re.escape(re.sub("^file:/*(?=/)", "", self.root)) + r"/(.*/DecodedFiles/[^/]+/[^/]+)/", 1)
@@ -255,8 +258,8 @@ class SlideRun:
     def download(self) -> None:
         """Which segmentations, label files, FOV locations and calls each slide has."""
         inv, todo = self.inv, self.todo
-        seg = _below(inv, r"CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", "dir", "fov").select(
-            *BASE, "dir", F.col("fov").cast("int").alias("fov")).distinct().join(todo.select(*BASE), BASE, "left_semi")
+        seg = saved_table(_below(inv, r"CellStatsDir/(Segmentation_[^/]+)/FOV(\d+)/", "dir", "fov").select(
+            *BASE, "dir", F.col("fov").cast("int").alias("fov")).distinct().join(todo.select(*BASE), BASE, "left_semi"))
         names = [r["slide"] for r in todo.select("slide").distinct().collect()]
         try:
             self.meta = RD.read_cohort_metadata(self.spark, self.experiment_root, names)
@@ -268,14 +271,15 @@ class SlideRun:
         matched = V.match_segmentation_dir(runs.select(*BASE, "primary_seg_id"), seg.select(*BASE, "dir"), BASE)
         primary = (matched.join(highest_version(self.spark, inv, seg, self.experiment_root), BASE, "left")
                    .select(*BASE, F.coalesce("primary_dir", "fallback_dir").alias("primary_dir")).where("primary_dir IS NOT NULL"))
-        selected, uncovered = V.select_segmentations(seg, primary, BASE)
+        selected, uncovered = V.select_segmentations(seg, saved_table(primary), BASE)
+        self.selected = selected = saved_table(selected)
         lab = inv.where(F.upper(F.regexp_extract("rel", r"([^/]*)$", 1)).rlike("^" + I.LABEL_FILE)).select(
             F.regexp_extract("rel", r"^(.*)/CellStatsDir/", 1).alias("slide_base_path"),
             F.regexp_extract("rel", r"/CellStatsDir/(Segmentation_[^/]+)/", 1).alias("dir"), F.col("rel").alias("path"))
         lab = lab.withColumn("dir", F.when(F.col("dir") == "", F.lit("CellStatsDir")).otherwise(F.col("dir")))
         lab = lab.withColumn("fov", acquisition_field("path", "fov")).join(todo.select(*BASE), BASE, "left_semi")
         label_tiles = V.pick_label_tiles(lab, selected.select(*BASE, "dir", F.col("rank").alias("priority")), BASE)
-        self.selected, self.uncovered, self.label_tiles = saved_table(selected), saved_table(uncovered), saved_table(label_tiles)
+        self.uncovered, self.label_tiles = saved_table(uncovered), saved_table(label_tiles)
         own = inv.join(todo.select(*BASE), F.regexp_extract("rel", r"^(.*/DecodedFiles/[^/]+/[^/]+)/", 1) == F.col("slide_base_path"))
         flagged = I.select_inventory(own.withColumn("rel", I.relative_path("rel", F.col("slide_base_path"))),
                                      I.slide_selection_includes(["Segmentation_*"], "*"))
@@ -311,11 +315,11 @@ class SlideRun:
         good = self.good()
         if good.isEmpty():
             return
-        f = self.read_files(good, "RunSummary", LOCATIONS)
         name = F.regexp_extract("_path", "/" + LOCATIONS + r"(?:/[^/]+)?$", 1)
+        f = self.read_files(good, "RunSummary", RD.FOV_LOCATIONS_SUFFIX, LOCATIONS, lambda found: found.withColumn("name", name)
+                            .join(self.locations, [*BASE, "name"], "left_semi").join(good, BASE).select("_path", "header", *self.keys))
         number = lambda c, t: (F.col(c).try_cast(t) if c in f.columns else F.lit(None).cast(t)).alias(c)
-        f = f.select(self.of_slide().alias("slide_base_path"), name.alias("name"), number("FOV", "int"), number("X_mm", "double"), number("Y_mm", "double"), "row_idx")
-        f = f.join(self.locations, [*BASE, "name"], "left_semi").join(good, BASE).drop(*BASE, "name")
+        f = f.select("_of.*", number("FOV", "int"), number("X_mm", "double"), number("Y_mm", "double"), "row_idx")
         f = saved_table(f.withColumn("ord", F.col("row_idx.mid")).drop("row_idx"))
         self.fail(f.where("FOV IS NULL OR X_mm IS NULL OR Y_mm IS NULL"), "stitch", "FOV locations that cannot be read")
         good = self.good()
@@ -348,15 +352,14 @@ class SlideRun:
         good = self.good()
         if good.isEmpty():
             return
-        calls = self.read_files(good, "AnalysisResults", CALLS)
         layout = _calls_layout(F.regexp_extract("_path", "/" + CALLS + r"(?:/[^/]+)?$", 1))
-        calls = calls.select(self.of_slide().alias("slide_base_path"), layout.alias("layout"),
-                             *[(F.col(c).try_cast(t) if c in calls.columns else F.lit(None).cast(t)).alias(c) for c, t in RD.TARGET_COLUMNS])
+        calls = self.read_files(good, "AnalysisResults", RD.TARGET_FILE_SUFFIX, CALLS, lambda found: found.withColumn("layout", layout)
+                                .join(self.layouts, [*BASE, "layout"], "left_semi").join(good, BASE).select("_path", "header", *self.keys))
+        calls = calls.select("_of.*", *[(F.col(c).try_cast(t) if c in calls.columns else F.lit(None).cast(t)).alias(c) for c, t in RD.TARGET_COLUMNS])
         whole = F.lit(True)
         for c, t in RD.TARGET_COLUMNS:
             if c == "target" or t != "string":
                 whole = whole & F.col(c).isNotNull()
-        calls = calls.join(self.layouts, [*BASE, "layout"], "left_semi").join(good, BASE).drop(*BASE, "layout")
         path = f"{self.out_root}/targets"
         # the attempt is new, so nothing is replaced
         S.write_targets(calls.withColumn("fov", F.when(whole, F.col("fov"))), path, [*self.keys, "fov"], replace=False)

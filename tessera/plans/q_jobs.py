@@ -9,10 +9,15 @@ query reads what it committed.
 
 from __future__ import annotations
 
+import os
+import re
 from multiprocessing.pool import ThreadPool
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from ..sources import inventory as I
 from ..sources import readers as RD
 from ..sources import sinks as S
 from . import jobs as J
@@ -27,19 +32,40 @@ SEGMENTATION = "Segmentation_seg1_001"
 _DONE: dict = {}
 
 
-def _touch(spark, paths: list[str]) -> None:
-    """Files of one byte (listings skip empty ones): only the names of images matter here.
-    Each waits for the file system a few times, so many are made at once."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(paths[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+def _mounted(spark) -> bool:
+    """Whether the shared folder is one that every machine sees as a folder of its own."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
 
-    def touch(name: str) -> None:
-        out = fs.create(path(name))
+
+def _touch(files: DataFrame) -> None:
+    """Files of one byte (listings skip empty ones) at the paths of column ``path``: only the
+    names of images matter here. Tasks make them by themselves in a folder that all machines
+    mount; in any other store the driver does, where each waits for the store a few times,
+    so many are made at once."""
+    spark = files.sparkSession
+    if _mounted(spark):
+        files.repartition(I.some_tasks(spark)).foreachPartition(_touch_mounted)
+        return
+    path, hadoop = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+    def touch(row) -> None:
+        name = path(row["path"])
+        out = name.getFileSystem(hadoop).create(name)
         out.write(1)
         out.close()
 
     with ThreadPool(16) as pool:
-        pool.map(touch, paths, chunksize=64)
+        for _ in pool.imap_unordered(touch, files.toLocalIterator(), chunksize=64):
+            pass
+
+
+def _touch_mounted(rows) -> None:
+    for row in rows:
+        name = re.sub("^file:/*(?=/)", "", row["path"])
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        with open(name, "wb") as f:
+            f.write(b"\x01")
 
 
 def _base(run: str, slide: str) -> str:
@@ -48,12 +74,12 @@ def _base(run: str, slide: str) -> str:
 
 def _bucket(spark, b: Bindings) -> str:
     root = _scratch(spark)
-    fovs = [r["FOV"] for r in b.fovs.select("FOV").distinct().collect()]
+    name = lambda base: F.format_string(f"{base}/CellStatsDir/{SEGMENTATION}/FOV%03d/CellLabels_F%03d.TIF", "FOV", "FOV")
+    _touch(b.fovs.select("FOV").where("FOV IS NOT NULL").distinct()
+           .select(F.explode(F.array(*[name(f"{root}/{_base(*s)}") for s in SLIDES])).alias("path")))
     calls = ["fov", "CellId", "x", "y", "z", "target", "CellComp"]
     for k, (run, slide) in enumerate(SLIDES):
         base = f"{root}/{_base(run, slide)}"
-        if fovs:
-            _touch(spark, [f"{base}/CellStatsDir/{SEGMENTATION}/FOV{fov:03d}/CellLabels_F{fov:03d}.TIF" for fov in fovs])
         b.fovs.select("X_mm", "Y_mm", "Z_um", "FOV", "ord").coalesce(1).sortWithinPartitions("ord").drop("ord").write.option("header", True) \
          .csv(f"{base}/RunSummary/x_{RD.FOV_LOCATIONS_SUFFIX}")
         if k == 3:

@@ -36,28 +36,38 @@ REQUIRED_DIRS = ["CellStatsDir", "RunSummary", "AnalysisResults", "ProteinDir"]
 
 
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+KEEP_LISTINGS = "spark.sql.hive.manageFilesourcePartitions"
+
+
+def some_tasks(spark: SparkSession) -> int:
+    """Tasks of a job whose cost is its files, not their bytes."""
+    return max(32, 8 * spark.sparkContext.defaultParallelism)
 
 
 @contextmanager
 def few_listing_tasks(spark: SparkSession):
-    """Folders are listed in some tasks a core; by itself Spark starts one for every folder."""
-    before = spark.conf.get(LISTING_TASKS)
-    spark.conf.set(LISTING_TASKS, str(min(int(before), max(32, 8 * spark.sparkContext.defaultParallelism))))
+    """Folders are listed in some tasks a core; by itself Spark starts one for every folder.
+    Nor is the listing kept by the driver after its DataFrame is gone."""
+    before = {k: spark.conf.get(k) for k in (LISTING_TASKS, KEEP_LISTINGS)}
+    spark.conf.set(LISTING_TASKS, str(min(int(before[LISTING_TASKS]), some_tasks(spark))))
+    spark.conf.set(KEEP_LISTINGS, "false")
     try:
         yield
     finally:
-        spark.conf.set(LISTING_TASKS, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 # S6 -------------------------------------------------------------------------
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Recursive listing (path, length, modificationTime) of everything under
-    ``root``; the file content column is never read (column pruning)."""
+    ``root``; the file content column is never read (column pruning). Spark would start a
+    task for every few files, and whoever saves the listing would get as many files."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     with few_listing_tasks(spark):
-        return r.load(root).select("path", "length", "modificationTime")
+        return r.load(root).select("path", "length", "modificationTime").coalesce(some_tasks(spark))
 
 
 def relative_path(col: str | Column, base: str | Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import detect_cell_type_column
-from ..util import with_file_order
+from ..util import saved_table, with_file_order
 from .inventory import few_listing_tasks, file_inventory
 
 # ---------------------------------------------------------------------------
@@ -41,14 +41,15 @@ EXPR_KEYS = ["fov", "cell_ID"]
 
 VISIBLE = "[^_.]*"  # folders that a recursive listing enters
 MAX_LAYOUTS = 1000  # distinct header lines of one kind of file
+BROADCAST_FILES = 100_000  # files whose paths and layouts every task may hold
 
 
-def named(root: str, pattern: str) -> Column:
+def named(root: str, pattern: str, path: str = "_metadata.file_path") -> Column:
     """Files whose path below ``root`` matches ``pattern``, or the part files of a folder of
     that name written by a Spark job. A condition on the file path alone: Spark leaves
     other files out when it plans the scan."""
     base = re.sub(r"^file:/*(?=/)", "", root.rstrip("/"))
-    return F.col("_metadata.file_path").rlike(re.escape(base) + "/" + pattern + r"(/[^/]+)?$")
+    return F.col(path).rlike(re.escape(base) + "/" + pattern + r"(/[^/]+)?$")
 
 
 def _recursive(spark: SparkSession):
@@ -61,8 +62,7 @@ def literal(path: str) -> str:
 
 
 def csv_headers(spark: SparkSession, root: str | list[str], files: Column) -> DataFrame:
-    """(_path, header, _first): the first line of every file and its row id, found where
-    the files are read. One row a file; it stays in the executors."""
+    """(_path, header): the first line of every file, found where the files are read. One row a file; it stays in the executors."""
     lines = _recursive(spark).text(root).where(files & (F.col("_metadata.file_block_start") == 0)).select(
         F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id"), "value")
     # The least id of each file is a number, so it is found without sorting lines; a second
@@ -73,26 +73,35 @@ def csv_headers(spark: SparkSession, root: str | list[str], files: Column) -> Da
     return heads.select("_path", F.regexp_replace("value", "^\ufeff", "").alias("header")).where("header <> ''")
 
 
-def read_csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None = None) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None = None,
+                     of_file: Callable | None = None) -> DataFrame:
     """CSV files (those of ``files`` below ``root``, one or more folders) with differing headers, matched by name; strings. What comes to the driver
     is the distinct header lines, however many files there are.
 
     Files of one layout are one plain CSV scan. Where layouts differ, lines meet the
     layout of their file in a join of the (file, header) table and fields are taken by
     their place in it. ``columns(names)`` may give {output column: file column} for a
-    layout (default: every column under its own name). Adds _path and row_idx (file order)."""
+    layout (default: every column under its own name). Adds _path and row_idx (file order).
+
+    Spark tests ``files`` again for every line, which takes far longer than reading the line
+    if it is a pattern. ``of_file`` takes (_path, header), one row a file, and gives the rows
+    of the files to read, with more columns that their lines get in the struct ``_of``:
+    patterns belong there, and ``files`` may be a plain condition that all these files meet."""
     with few_listing_tasks(spark):
-        return _csv_by_name(spark, root, files, columns)
+        return _csv_by_name(spark, root, files, columns, of_file)
 
 
-def _csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None) -> DataFrame:
+def _csv_by_name(spark: SparkSession, root: str | list[str], files: Column, columns: Callable | None, of_file: Callable | None) -> DataFrame:
     try:
         headers = csv_headers(spark, root, files)
+        if of_file:  # saved first, else Spark would test of_file's conditions on the lines
+            headers = of_file(saved_table(headers))
+            headers = saved_table(headers.select("_path", "header", F.struct(*[c for c in headers.columns if c not in ("_path", "header")]).alias("_of")))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no such files under {root}") from e
-    found = headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()
+    found = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LAYOUTS + 1).collect()
     if not found:
         raise FileNotFoundError(f"no such files under {root}")
     if len(found) > MAX_LAYOUTS:
@@ -105,22 +114,27 @@ def _csv_by_name(spark: SparkSession, root: str | list[str], files: Column, colu
     width = max(map(len, layouts))
     fields = [f"_c{k}" for k in range(width)]
     schema = ", ".join(f"{f} string" for f in fields)
+    more = ["_of"] if of_file else []
+    # where the files are few, they go to the lines and not the lines to their files
+    small = F.broadcast if sum(r["n"] for r in found) <= BROADCAST_FILES else lambda df: df
     where = [F.col("_metadata.file_path").alias("_path"), F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid")).alias("row_idx")]
     if len(layouts) == 1:
         rows = _recursive(spark).schema(schema).option("header", True).csv(root).where(files).select(*fields, *where)
+        if of_file:
+            rows = rows.join(small(headers.select("_path", *more)), "_path")
         place = lambda n: F.col(fields[layouts[0].index(wanted[0][n])])
     else:
         layout = F.array_position(F.array(*map(F.lit, lines)), F.ltrim("value", F.lit("\ufeff")))
         text = _recursive(spark).text(root).where(files).select("value", *where)
-        known = headers.select(F.col("_path").alias("_file"), F.array_position(F.array(*map(F.lit, lines)), F.col("header")).alias("_layout"))
-        rows = text.join(known, text["_path"] == known["_file"]).drop("_file")
+        known = headers.select(F.col("_path").alias("_file"), F.array_position(F.array(*map(F.lit, lines)), F.col("header")).alias("_layout"), *more)
+        rows = text.join(small(known), text["_path"] == known["_file"]).drop("_file")
         # lines equal to their file's header are headers
         rows = rows.where((F.trim("value") != "") & (layout != F.col("_layout"))).select(
-            "*", F.from_csv("value", F.lit(schema)).alias("_f")).select("_layout", "_path", "row_idx", *[F.col(f"_f.{f}").alias(f) for f in fields])
+            "*", F.from_csv("value", F.lit(schema)).alias("_f")).select("_layout", "_path", "row_idx", *more, *[F.col(f"_f.{f}").alias(f) for f in fields])
         place = lambda n: F.coalesce(*[F.when(F.col("_layout") == k + 1, F.col(fields[names.index(w[n])]))
                                        for k, (names, w) in enumerate(zip(layouts, wanted)) if n in w])
-    return rows.select(*[place(n).alias(n) for n in out_names], "_path", "row_idx")
+    return rows.select(*[place(n).alias(n) for n in out_names], "_path", "row_idx", *more)
 
 
 def named_cell_columns(names) -> list[str]:

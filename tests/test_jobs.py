@@ -214,3 +214,43 @@ def test_a_bucket_named_by_its_scheme(spark, scratch):
     _slide(root, exp, "RunA", "Slide1", "Scan1", {"Segmentation_zz_001": [1, 2]}, meta=ONE)
     slide_processing_job(spark, f"file://{root}", exp, out, fov_size=(2, 2), um_per_px=250.0)
     assert _results(spark, out)[0] == {("RunA", "Slide1"): ("success", "")}
+
+
+def test_paths_are_matched_a_file_and_not_a_line(spark, scratch, monkeypatch):
+    """Patterns on a long path cost more than reading the line; a file's columns may have
+    the names of the slide's."""
+    root, exp, out = f"{scratch}/_bucket", "St/Exp", f"{scratch}/out"
+    base = _slide(root, exp, "RunA", "Slide1", "Scan1", {"Segmentation_zz_001": [1, 2]}, meta=ONE)
+    _touch(f"{base}/AnalysisResults/abc/FOV003/R{SUFFIX}", "slide," + HEADER + "S,3,1,0.5,0.5,1,g,Nuclear\n")
+    _touch(f"{base}/RunSummary/x_FOV_Locations.csv", "Slide,FOV,X_mm,Y_mm,Z_um\n7,1,0,0,1\n7,2,0.5,0,1\n")
+    written, write = [], jobs.S.write_targets
+    monkeypatch.setattr(jobs.S, "write_targets", lambda df, *a, **k: written.append(df) or write(df, *a, **k))
+    slide_processing_job(spark, root, exp, out, fov_size=(2, 2), um_per_px=250.0)
+    assert _results(spark, out)[0] == {("RunA", "Slide1"): ("success", "")}
+    assert sorted(r["fov"] for r in committed(spark, out, "targets").collect()) == [1, 2, 3]
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(w in plan.lower() for w in ("rlike", "regexp_extract")), plan
+
+
+def test_a_listing_is_saved_by_some_tasks(spark, scratch):
+    """Neither a task nor a file of the saved table for every few listed files."""
+    from tessera.sources import inventory as I
+    for k in range(100):
+        _touch(f"{scratch}/b/FOV{k:03d}/CellLabels_F{k:03d}.TIF")
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        inv = I.file_inventory(spark, f"{scratch}/b")
+        assert inv.count() == 100 and inv.rdd.getNumPartitions() <= I.some_tasks(spark) < 100
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_label_files_of_the_queries(spark, scratch, monkeypatch, mounted):
+    from tessera.plans import q_jobs
+    if not mounted:  # the way to other stores
+        monkeypatch.setattr(q_jobs, "_mounted", lambda spark: False)
+    names = [f"{'file://' if k % 2 else ''}{scratch}/b/FOV{k:03d}/CellLabels_F{k:03d}.TIF" for k in range(70)]
+    q_jobs._touch(spark.createDataFrame([(n,) for n in names], "path string"))
+    assert {os.path.getsize(n.removeprefix("file://")) for n in names} == {1}
