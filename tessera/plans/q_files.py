@@ -8,12 +8,17 @@ from the input tables directly.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
+from itertools import groupby
 
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..operators import runlog as RL
 from ..session import ensure_checkpoint_dir
+from ..sources import inventory as I
 from ..sources import readers as RD
 from ..sources import sinks as S
 from . import jobs as J
@@ -38,6 +43,45 @@ def write_folders(df, col: str):
     return df.repartition(n, col).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(col)
 
 
+def mounted(spark) -> bool:
+    """Whether the shared folder is one that every machine sees as a folder of its own."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
+def own_path(path: str) -> str:
+    """A path of a mounted folder, without its scheme."""
+    return re.sub("^file:/*(?=/)", "", path)
+
+
+PARENTS = 256  # folders among which the folders of write_json_folders are dealt
+
+
+def write_json_folders(df, col: str, root: str) -> None:
+    """``df`` as JSON lines, one file in a folder for every value of ``col``, as
+    ``write_folders`` does, but below ``PARENTS`` folders. Spark's writer sends the name of every
+    folder to the driver, so tasks write the files by themselves where they can."""
+    spark = df.sparkSession
+    df = df.withColumn("part", F.pmod(F.xxhash64(col), F.lit(PARENTS)))
+    if not mounted(spark):
+        n = 4 * spark.sparkContext.defaultParallelism
+        return df.repartition(n, col).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("part", col).json(root)
+    line = F.to_json(F.struct(*[c for c in df.columns if c not in ("part", col)]))
+    value = F.coalesce(F.col(col).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    folder = F.concat(F.lit(f"{own_path(root)}/part="), "part", F.lit(f"/{col}="), value)
+    lines = df.select(folder.alias("folder"), line.alias("line"))
+    lines.repartition(I.some_tasks(spark), "folder").sortWithinPartitions("folder").foreachPartition(_write_mounted)
+
+
+def _write_mounted(rows) -> None:
+    """Lines, in the order of their folders, to one file a folder."""
+    name = f"part-{TaskContext.get().partitionId():05d}.json"
+    for folder, own in groupby(rows, key=lambda r: r[0]):
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+            f.writelines(f"{r[1]}\n" for r in own)
+
+
 def _csv_line(*cols):
     """One CSV line; fields quoted (so '' stays an empty string, not NULL)."""
     q = [F.concat(F.lit('"'), F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), '"', '""'), F.lit('"'))
@@ -194,8 +238,8 @@ def q_read_manifests(spark, d):
     root = _scratch(spark)
     m = Bindings(spark, d).manifests
     # One folder per segmentation version (the reader takes the folder name from the path).
-    write_folders(m.select("dir", "Version"), "dir").json(f"{root}/staging")
-    df = RD.read_manifests(spark, f"{root}/staging/*", multi_line=False)
+    write_json_folders(m.select("dir", "Version"), "dir", f"{root}/staging")
+    df = RD.read_manifests(spark, f"{root}/staging/*/*", multi_line=False)
     return df.select("dir", "Version")
 
 

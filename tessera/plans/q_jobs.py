@@ -10,19 +10,17 @@ query reads what it committed.
 from __future__ import annotations
 
 import os
-import re
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 from ..sources import inventory as I
 from ..sources import readers as RD
 from ..sources import sinks as S
 from . import jobs as J
 from .bindings import Bindings, with_ctes
-from .q_files import _scratch
+from .q_files import _scratch, mounted, own_path
 from .q_raster import _GEO, PPM, H, W
 from .registry import query
 
@@ -32,19 +30,13 @@ SEGMENTATION = "Segmentation_seg1_001"
 _DONE: dict = {}
 
 
-def _mounted(spark) -> bool:
-    """Whether the shared folder is one that every machine sees as a folder of its own."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
-
-
 def _touch(files: DataFrame) -> None:
     """Files of one byte (listings skip empty ones) at the paths of column ``path``: only the
     names of images matter here. Tasks make them by themselves in a folder that all machines
     mount; in any other store the driver does, where each waits for the store a few times,
     so many are made at once."""
     spark = files.sparkSession
-    if _mounted(spark):
+    if mounted(spark):
         files.repartition(I.some_tasks(spark)).foreachPartition(_touch_mounted)
         return
     path, hadoop = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
@@ -62,7 +54,7 @@ def _touch(files: DataFrame) -> None:
 
 def _touch_mounted(rows) -> None:
     for row in rows:
-        name = re.sub("^file:/*(?=/)", "", row["path"])
+        name = own_path(row["path"])
         os.makedirs(os.path.dirname(name), exist_ok=True)
         with open(name, "wb") as f:
             f.write(b"\x01")

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import detect_cell_type_column
-from ..util import saved_table, with_file_order
-from .inventory import few_listing_tasks, file_inventory
+from ..util import saved_table, scratch_table, with_file_order
+from .inventory import few_listing_tasks, file_inventory, some_tasks
 
 # ---------------------------------------------------------------------------
 # File names and column sets of the instrument exports.
@@ -42,6 +42,7 @@ EXPR_KEYS = ["fov", "cell_ID"]
 VISIBLE = "[^_.]*"  # folders that a recursive listing enters
 MAX_LAYOUTS = 1000  # distinct header lines of one kind of file
 BROADCAST_FILES = 100_000  # files whose paths and layouts every task may hold
+BATCH_FOLDERS = 20_000  # folders (or files) of manifests that are read at once
 
 
 def named(root: str, pattern: str, path: str = "_metadata.file_path") -> Column:
@@ -274,13 +275,59 @@ def read_manifests(spark: SparkSession, glob: str, multi_line: bool = True, belo
     """Segmentation manifest JSON files (schemas unioned by name) with the
     segmentation folder taken from the file path. ``multi_line``: one
     (pretty-printed) document per file; False for JSON-lines files. ``below``: all JSON
-    files under a folder."""
-    reader = spark.read.option("multiLine", multi_line)
-    if below:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    files under a folder.
+
+    The driver holds the list of all files that one scan reads. Where ``glob`` matches more
+    than ``BATCH_FOLDERS``, they are read in batches of the folders that hold the matches and
+    the rows are saved; types are still those of all documents together."""
+    batches = [] if below else _batches(spark, glob)
     with few_listing_tasks(spark):
+        if len(batches) > 1:
+            return _read_in_batches(spark, batches, multi_line)
+        reader = spark.read.option("multiLine", multi_line)
+        if below:
+            reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
         df = reader.json(glob)
-    return df.withColumn("dir", F.regexp_extract(F.col("_metadata.file_path"), r"(Segmentation_[^/]+)", 1))
+    return df.withColumn("dir", _manifest_dir())
+
+
+def _manifest_dir() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), r"(Segmentation_[^/]+)", 1)
+
+
+def _batches(spark: SparkSession, glob: str) -> list[list[str]]:
+    """``glob`` as lists of patterns, one a folder that holds matches; a list matches about
+    ``BATCH_FOLDERS`` at most, or is one folder's."""
+    parent, _, last = glob.rstrip("/").rpartition("/")
+    if not parent or "{" in glob:
+        return [[glob]]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(parent).getFileSystem(spark._jsc.hadoopConfiguration())
+    out, held = [], 0
+    for folder in fs.globStatus(path(parent)) or []:
+        one = f"{literal(folder.getPath().toString())}/{last}"
+        n = len(fs.globStatus(path(one)) or [])
+        if n and (not out or held + n > BATCH_FOLDERS):
+            out.append([])
+            held = 0
+        if n:
+            out[-1].append(one)
+            held += n
+    return out
+
+
+def _read_in_batches(spark: SparkSession, batches: list[list[str]], multi_line: bool) -> DataFrame:
+    """Two scans of every batch, as Spark itself does: one for the types, one for the rows."""
+    at, tasks = scratch_table(spark), some_tasks(spark)
+    for paths in batches:
+        spark.read.text(paths, wholetext=multi_line).select("value").coalesce(tasks).write.mode("append").parquet(f"{at}/text")
+    text = spark.read.schema("value string").parquet(f"{at}/text")
+    lines = getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    schema = DataFrame(spark.read._jreader.json(lines), spark).schema
+    for paths in batches:
+        rows = spark.read.option("multiLine", multi_line).schema(schema).json(paths).withColumn("dir", _manifest_dir())
+        rows.coalesce(tasks).write.mode("append").parquet(f"{at}/rows")
+    return spark.read.schema(rows.schema).parquet(f"{at}/rows")
 
 
 # S7 -------------------------------------------------------------------------

@@ -43,11 +43,16 @@ def dense_index(distinct: DataFrame, col: str, out: str) -> DataFrame:
     return at.join(runs, "_run").withColumn(out, place).drop("_run", "_pos", "_first", "_lower")
 
 
-def saved_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the shared checkpoint folder and read it back."""
+def scratch_table(spark) -> str:
+    """A new path below the shared checkpoint folder."""
     import uuid
     from .session import ensure_checkpoint_dir
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+
+
+def saved_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back."""
+    path = scratch_table(df.sparkSession)
     schema = df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)

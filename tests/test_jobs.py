@@ -250,7 +250,7 @@ def test_a_listing_is_saved_by_some_tasks(spark, scratch):
 def test_label_files_of_the_queries(spark, scratch, monkeypatch, mounted):
     from tessera.plans import q_jobs
     if not mounted:  # the way to other stores
-        monkeypatch.setattr(q_jobs, "_mounted", lambda spark: False)
+        monkeypatch.setattr(q_jobs, "mounted", lambda spark: False)
     names = [f"{'file://' if k % 2 else ''}{scratch}/b/FOV{k:03d}/CellLabels_F{k:03d}.TIF" for k in range(70)]
     q_jobs._touch(spark.createDataFrame([(n,) for n in names], "path string"))
     assert {os.path.getsize(n.removeprefix("file://")) for n in names} == {1}

@@ -3,6 +3,7 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import inventory as I
@@ -177,3 +178,35 @@ def test_folders_are_dealt_to_many_tasks(spark, scratch):
     files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
     assert len(files) == 200 and len({f.split("-")[1] for f in files}) > 4
     assert spark.read.text(path).count() == 400
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_manifests_of_many_folders_are_read_in_batches(spark, scratch, monkeypatch, multi_line):
+    """No scan has more folders than a batch; types are those of all documents together."""
+    docs = ['{"Version": 3, "only": null}', '{"Version": "x"}', '{"Version": 1e3, "n": 2}', '[{"Version": 5}, {"Version": 6}]', '{"n": 2.5}', '{}']
+    for k in range(24):
+        folder = f"{scratch}/m/S{k % 6}/Segmentation_u{k}_001"
+        os.makedirs(folder)
+        with open(f"{folder}/manifest.json", "w") as f:
+            f.write(docs[k % 5 if k < 20 else 5].replace(": ", ":\n " if multi_line else ": ") + "\n")
+    order = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    whole = RD.read_manifests(spark, f"{scratch}/m/*/Segmentation_*", multi_line)
+    monkeypatch.setattr(RD, "BATCH_FOLDERS", 8)
+    scans, read = [], RD._read_in_batches
+    monkeypatch.setattr(RD, "_read_in_batches", lambda s, batches, *a: scans.extend(batches) or read(s, batches, *a))
+    parts = RD.read_manifests(spark, f"{scratch}/m/*/Segmentation_*", multi_line)
+    assert [len(b) for b in scans] == [2, 2, 2]
+    assert dict(parts.dtypes) == dict(whole.dtypes) and order(parts) == order(whole) and parts.count() == 28
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_json_folders(spark, scratch, monkeypatch, shared):
+    from tessera.plans import q_files
+    monkeypatch.setattr(q_files, "mounted", lambda spark: shared)
+    rows = [(f"Segmentation_u{k % 40}" if k % 50 else None, None if k % 9 == 0 else f'"\\{k}\u00e9') for k in range(400)]
+    q_files.write_json_folders(spark.createDataFrame(rows, "dir string, Version string"), "dir", f"file://{scratch}/j")
+    got = RD.read_manifests(spark, f"{scratch}/j/*/*", multi_line=False).select("dir", "Version").collect()
+    key = lambda r: (r[0] or "", r[1] or "")
+    assert sorted(map(key, got)) == sorted(map(key, rows))
+    folders = [d for d, _, names in os.walk(f"{scratch}/j") if any(n.endswith(".json") for n in names)]
+    assert len(folders) == 41 and len({os.path.dirname(d) for d in folders}) > 1
