@@ -14,6 +14,7 @@ file, and later shuffles spread its rows.
 from __future__ import annotations
 
 import csv
+import gc
 import re
 from collections.abc import Callable
 
@@ -310,6 +311,7 @@ def _batches(spark: SparkSession, glob: str) -> list[list[str]]:
         if n and (not out or held + n > BATCH_FOLDERS):
             out.append([])
             held = 0
+            gc.collect()
         if n:
             out[-1].append(one)
             held += n
@@ -321,13 +323,17 @@ def _read_in_batches(spark: SparkSession, batches: list[list[str]], multi_line:
     at, tasks = scratch_table(spark), some_tasks(spark)
     for paths in batches:
         spark.read.text(paths, wholetext=multi_line).select("value").coalesce(tasks).write.mode("append").parquet(f"{at}/text")
+        gc.collect()  # Python's references to a batch are cyclic; until they go the JVM holds its list of files
     text = spark.read.schema("value string").parquet(f"{at}/text")
     lines = getattr(text._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
     schema = DataFrame(spark.read._jreader.json(lines), spark).schema
     for paths in batches:
         rows = spark.read.option("multiLine", multi_line).schema(schema).json(paths).withColumn("dir", _manifest_dir())
         rows.coalesce(tasks).write.mode("append").parquet(f"{at}/rows")
-    return spark.read.schema(rows.schema).parquet(f"{at}/rows")
+        types = rows.schema
+        del rows
+        gc.collect()
+    return spark.read.schema(types).parquet(f"{at}/rows")
 
 
 # S7 -------------------------------------------------------------------------
